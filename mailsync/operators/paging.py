@@ -1,0 +1,103 @@
+"""Page assignment (P13) and page packing (items -> landed envelopes).
+
+Ranking items inside a chain is the only step here that needs an order per key. A plain
+``row_number() OVER (PARTITION BY chain ORDER BY ...)`` puts a whole chain into one task, and a
+single mailbox may hold a third of all items. Instead the rank is built skew-safe:
+
+1. range-partition on (chain, order) and sort inside partitions: the sampled bounds split a hot
+   chain over many partitions, and each partition holds contiguous runs of its chains;
+2. tag rows with ``monotonically_increasing_id`` (increasing in that sorted order) and write the
+   result once to the shared checkpoint folder (``checkpoint()``): range bounds come from a
+   sample, so the tagged rows must be fixed before they are read twice;
+3. per (chain, partition): first tag and size - a small table, at most chains + partitions rows -
+   turned into offsets with a running sum per chain, and joined back on (chain, partition).
+
+rank = offset + (tag - first tag of the run) + 1. No group, window or task ever holds more than
+one partition's share of a chain. Pages are then built by grouping at most ``page_size`` items.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from mailsync import constants as C
+from mailsync.session import ensure_checkpoint_dir
+
+
+def rank_within(df: DataFrame, keys: list[str], order: list[str],
+                num_partitions: int | None = None, rank_col: str = "rank") -> DataFrame:
+    """1-based rank of each row inside its key group by ``order`` (ties broken arbitrarily)."""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tagged = (df.repartitionByRange(n, *keys, *order)
+              .sortWithinPartitions(*keys, *order)
+              .withColumn("_part", F.spark_partition_id())
+              .withColumn("_tag", F.monotonically_increasing_id())
+              .checkpoint(eager=True))
+    runs = tagged.groupBy(*keys, "_part").agg(F.min("_tag").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = runs.select(*keys, "_part", "_first",
+                          F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    return (tagged.join(offsets, on=[*keys, "_part"], how="inner")
+            .withColumn(rank_col, F.col("_off") + (F.col("_tag") - F.col("_first")) + 1)
+            .drop("_part", "_tag", "_first", "_off"))
+
+
+def assign_pages(items: DataFrame, keys: list[str], order: list[str],
+                 page_size: int = C.MESSAGE_PAGE_SIZE) -> DataFrame:
+    """``page_no = (rank - 1) div page_size`` and ``item_pos`` inside the page (0-based)."""
+    ranked = rank_within(items, keys, order)
+    r0 = F.col("rank") - 1
+    return (ranked.withColumn("page_no", F.floor(r0 / F.lit(page_size)).cast("int"))
+            .withColumn("item_pos", (r0 % F.lit(page_size)).cast("int"))
+            .drop("rank"))
+
+
+def _links_json(next_link: Column, delta_link: Column) -> Column:
+    """``,"@odata.nextLink":"..."`` / ``,"@odata.deltaLink":"..."`` (JSON-escaped), or ''."""
+    def one(name, v):
+        return F.when(v.isNull(), F.lit("")).otherwise(
+            F.concat(F.lit(f',"{name}":'), F.to_json(F.array(v)).substr(F.lit(2), F.length(F.to_json(F.array(v))) - 2)))
+    return F.concat(one(C.NEXT_LINK, next_link), one(C.DELTA_LINK, delta_link))
+
+
+def pack_pages(items: DataFrame, chains: DataFrame, keys: list[str], order: list[str],
+               page_size: int, resource: str, fetched_at: Column | None = None) -> DataFrame:
+    """Items -> landed page envelopes (one row per page), the shape the API returns.
+
+    ``items``: ``keys + order + item`` (item = JSON text). ``chains``: one row per chain with the
+    ``keys`` and ``delta_link`` its last page carries (null for a chain without one). A chain with
+    no item still lands one empty page, as the API answers with an empty list.
+    Envelope columns not among ``keys`` are null.
+    """
+    paged = assign_pages(items, keys, order, page_size)
+    pages = (paged.groupBy(*keys, "page_no")
+             .agg(F.array_sort(F.collect_list(F.struct("item_pos", "item"))).alias("_v"))
+             .select(*keys, "page_no", F.transform("_v", lambda e: e["item"]).alias("value")))
+    counts = items.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    n = F.coalesce(F.col("_n"), F.lit(0))
+    stats = (chains.join(counts, on=keys, how="left")
+             .select(*keys, "delta_link", n.alias("_n"),
+                     F.greatest(F.ceil(n / F.lit(page_size)) - 1, F.lit(0)).cast("int").alias("_last")))
+    empty = (stats.filter(F.col("_n") == 0)
+             .select(*keys, F.lit(0).alias("page_no"), F.array().cast("array<string>").alias("value")))
+    all_pages = pages.unionByName(empty)
+    joined = all_pages.join(stats.drop("_n"), on=keys, how="inner")
+    is_last = F.col("page_no") == F.col("_last")
+    next_link = F.when(~is_last, F.concat(F.lit("next:"), (F.col("page_no") + 1).cast("string")))
+    delta_link = F.when(is_last, F.col("delta_link"))
+    body = F.concat(F.lit('{"value":['), F.array_join("value", ","), F.lit("]"),
+                    _links_json(next_link, delta_link), F.lit("}"))
+    out = joined.select(*keys, "page_no", body.alias("body"))
+    envelope = []
+    for c in ["resource", "user_id", "folder_id", "message_id", "request_token"]:
+        if c in keys:
+            envelope.append(F.col(c).cast("string"))
+        elif c == "resource":
+            envelope.append(F.lit(resource).alias("resource"))
+        else:
+            envelope.append(F.lit(None).cast("string").alias(c))
+    ts = fetched_at if fetched_at is not None else F.lit("2024-02-01 00:00:00").cast("timestamp")
+    return out.select(*envelope, F.col("page_no").cast("int"), ts.alias("fetched_at"), "body")
