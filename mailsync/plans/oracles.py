@@ -365,5 +365,9 @@ SELECT 'Failure' AS route, event_id,
        CASE event_type WHEN 'error' THEN 'IllegalArgumentException' ELSE 'IllegalStateException' END AS error_class
 FROM req WHERE event_type IN ('error', 'purchase', 'signup')""",
 
+    "stream_sync": f"""WITH {RECORDS} SELECT * FROM recs""",
+
+    "stream_dedupe": f"""WITH {RECORDS} SELECT * FROM recs""",
+
     "generic_scan": """SELECT page_id AS request_id, page_id AS id, url AS web_url, length(html) AS n_chars FROM pages""",
 }

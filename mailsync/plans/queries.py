@@ -513,6 +513,31 @@ def q_generic_scan(spark, d):
                     F.length(F.variant_get(v, "$.content", "string")).alias("n_chars"))
 
 
+# ---- streaming ---------------------------------------------------------------------------------
+
+def _stream_run(spark, d, replay: bool):
+    from mailsync.session import scratch_path
+    from mailsync.streaming import stream as STR
+    root = scratch_path(spark, "stream")
+    landing = f"{root}/landing"
+    STR.land_files(TV.land_changes(spark, d, fetched_at=F.lit("2024-02-01 00:00:00").cast("timestamp")),
+                   landing, 3)
+    if replay:
+        STR.land_files(TV.land_changes(spark, d, fetched_at=F.lit("2024-02-01 00:05:00").cast("timestamp")),
+                       landing, 3)
+    ck = _changes_work(spark, d).withColumn("version", F.lit(0).cast("bigint"))
+    STR.sync_stream(spark, landing, f"{root}/state", f"{root}/out", initial_ckpt=ck, dedupe=replay)
+    return record_view(STR.read_stream_output(spark, f"{root}/out"))
+
+
+def q_stream_sync(spark, d):
+    return _stream_run(spark, d, replay=False)
+
+
+def q_stream_dedupe(spark, d):
+    return _stream_run(spark, d, replay=True)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "messages_delta": q_messages_delta,
     "flatten_pages": q_flatten_pages,
@@ -563,4 +588,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "valid_json": q_valid_json,
     "error_records": q_error_records,
     "generic_scan": q_generic_scan,
+    "stream_sync": q_stream_sync,
+    "stream_dedupe": q_stream_dedupe,
 }

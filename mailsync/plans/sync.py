@@ -55,6 +55,30 @@ def message_work(ckpt: DataFrame, pattern: str = C.REGEX_MESSAGES_DEFAULT) -> Da
                                  pk["folder"].alias("folder_id"), pk["key_ok"].alias("key_ok")))
 
 
+MESSAGE_CHAIN = ["user_id", "folder_id", "request_token"]
+
+
+def select_message_chains(pages: DataFrame, work: DataFrame) -> DataFrame:
+    """The landed message pages of the chains the work asks for (carrying ``key`` and ``delta``)."""
+    good = work.filter(F.col("key_ok")).select(*MESSAGE_CHAIN, "key", "delta")
+    return _select_chains(pages, "messages", good, MESSAGE_CHAIN)
+
+
+def message_records(sel: DataFrame, input_attrs: dict | None = None,
+                    route: str = C.ROUTE_SUCCESS_MESSAGES) -> DataFrame:
+    """Message records of selected pages: input attributes plus user, folder and message ids."""
+    items = flatten_pages(sel, MESSAGE_CHAIN + ["page_no"])
+    ids = attrs_of({C.ATTR_USER_ID: F.col("user_id"), C.ATTR_FOLDER_ID: F.col("folder_id"),
+                    C.ATTR_MESSAGE_ID: item_field("id")})
+    return items.select(*record(route, inherit(_base(input_attrs), ids), F.col("item"), C.EMIT_ITEM))
+
+
+def message_tokens(sel: DataFrame) -> DataFrame:
+    """T1 per selected chain: ``(user_id, folder_id, request_token, key, delta, new_delta)``."""
+    return chain_tokens(sel.select(*MESSAGE_CHAIN, "key", "delta", "page_no", "body"),
+                        MESSAGE_CHAIN + ["key", "delta"])
+
+
 def sync_messages(pages: DataFrame, ckpt: DataFrame, pattern: str = C.REGEX_MESSAGES_DEFAULT,
                   input_attrs: dict | None = None, route: str = C.ROUTE_SUCCESS_MESSAGES,
                   always_emit_token: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -64,16 +88,10 @@ def sync_messages(pages: DataFrame, ckpt: DataFrame, pattern: str = C.REGEX_MESS
     folder and message ids; token records go to the same route (R3) after them (R5).
     """
     work = message_work(ckpt, pattern)
-    good = work.filter(F.col("key_ok")).select("user_id", "folder_id", "request_token", "key", "delta")
-    chain = ["user_id", "folder_id", "request_token"]
-    sel = _select_chains(pages, "messages", good, chain)
-    base = _base(input_attrs)
-    items = flatten_pages(sel, chain + ["page_no"])
-    ids = attrs_of({C.ATTR_USER_ID: F.col("user_id"), C.ATTR_FOLDER_ID: F.col("folder_id"),
-                    C.ATTR_MESSAGE_ID: item_field("id")})
-    records = items.select(*record(route, inherit(base, ids), F.col("item"), C.EMIT_ITEM))
-    tokens = chain_tokens(sel.select(*chain, "key", "delta", "page_no", "body"), chain + ["key", "delta"])
-    tok_records = token_records(tokens, route, base, always=always_emit_token)
+    sel = select_message_chains(pages, work)
+    records = message_records(sel, input_attrs, route)
+    tokens = message_tokens(sel)
+    tok_records = token_records(tokens, route, _base(input_attrs), always=always_emit_token)
     return union_records(records, tok_records), tokens, _bad_keys(work)
 
 

@@ -7,6 +7,9 @@ ENVELOPE_DDL = (
     "request_token STRING, page_no INT, fetched_at TIMESTAMP, body STRING"
 )
 
+ENVELOPE_DDL_COLS = ["resource", "user_id", "folder_id", "message_id", "request_token", "page_no",
+                     "fetched_at", "body"]
+
 # What a page body holds. Items stay raw JSON text (ARRAY<STRING> keeps each element's text).
 PAGE_BODY_DDL = "value ARRAY<STRING>, `@odata.nextLink` STRING, `@odata.deltaLink` STRING"
 

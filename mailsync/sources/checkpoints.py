@@ -34,10 +34,13 @@ def versions(spark: SparkSession, root: str) -> list[int]:
 
 
 def write_checkpoints(ckpt: DataFrame, root: str, version: int) -> str:
-    """Write one complete version of the map (errors if that version exists: never overwrite)."""
+    """Write one complete version of the map (errors if that version exists: never overwrite).
+
+    Rows keep their own ``version`` (the version that last changed the key) when they carry one;
+    rows without it are stamped with this version."""
     out = f"{root.rstrip('/')}/version={version}"
-    (ckpt.select("key", "delta", F.lit(version).cast("bigint").alias("version"))
-     .write.mode("errorifexists").parquet(out))
+    v = F.col("version").cast("bigint") if "version" in ckpt.columns else F.lit(version).cast("bigint")
+    ckpt.select("key", "delta", v.alias("version")).write.mode("errorifexists").parquet(out)
     return out
 
 
