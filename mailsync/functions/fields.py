@@ -64,10 +64,11 @@ def _split_top_level(ddl: str) -> list[str]:
 
 
 def inherit(parent_attrs, extra) -> Column:
-    """Child attributes = parent attributes overlaid by the new ones (new wins)."""
-    a, b = _col(parent_attrs), _col(extra)
-    kept = F.map_filter(a, lambda k, v: ~F.array_contains(F.map_keys(b), k))
-    return F.map_concat(kept, b)
+    """Child attributes = parent attributes overlaid by the new ones (new wins).
+
+    One ``map_zip_with`` over both maps: each side is evaluated once (a lambda over the parent
+    that looked keys up in the new map would re-evaluate the new map per parent entry)."""
+    return F.map_zip_with(_col(parent_attrs), _col(extra), lambda k, old, new: F.coalesce(new, old))
 
 
 def attrs(**named) -> Column:

@@ -267,11 +267,7 @@ def q_attachments_scan(spark, d):
 
 def _message_records_all(spark, d):
     """Message records of the full (per-user) message scan, with ids as attributes."""
-    items = PS.flatten_pages(TV.land_messages(spark, d).filter(F.col("folder_id").isNull()), ["user_id"])
-    ids = P.attrs_of({C.ATTR_USER_ID: F.col("user_id"),
-                      C.ATTR_FOLDER_ID: PS.item_field("parentFolderId"),
-                      C.ATTR_MESSAGE_ID: PS.item_field("id")})
-    return items.select(*R.record(C.ROUTE_SUCCESS_MESSAGES, ids, F.col("item"), C.EMIT_ITEM))
+    return SY.scan_message_records(TV.land_messages(spark, d))
 
 
 def q_message_attachments(spark, d):
@@ -420,7 +416,7 @@ def q_outbox_mail(spark, d):
                     "body", "body_type", F.col("mail_importance").alias("importance"), "save_to_sent",
                     F.size("to_recipients").alias("n_to"), F.size("cc_recipients").alias("n_cc"),
                     F.size("bcc_recipients").alias("n_bcc"),
-                    F.col("to_recipients")[0]["emailAddress"]["address"].alias("first_to"))
+                    F.get(F.col("to_recipients"), 0)["emailAddress"]["address"].alias("first_to"))
 
 
 def q_mail_enums(spark, d):

@@ -156,6 +156,17 @@ def sync_folders(pages: DataFrame, ckpt: DataFrame, pattern: str = C.REGEX_FOLDE
     return recs, tokens, _bad_keys(work)
 
 
+def scan_message_records(pages: DataFrame, route: str = C.ROUTE_SUCCESS_MESSAGES) -> DataFrame:
+    """S4 as records: every message of the per-user full chains (no folder, no token), with user,
+    folder (the message's parent folder) and message ids as attributes."""
+    p = pages.filter((F.col("resource") == "messages") & F.col("folder_id").isNull()
+                     & (F.col("request_token") == ""))
+    items = flatten_pages(p, ["user_id"]).withColumn("_m", F.from_json("item", "id STRING, parentFolderId STRING"))
+    ids = attrs_of({C.ATTR_USER_ID: F.col("user_id"), C.ATTR_FOLDER_ID: F.col("_m.parentFolderId"),
+                    C.ATTR_MESSAGE_ID: F.col("_m.id")})
+    return items.select(*record(route, ids, F.col("item"), C.EMIT_ITEM))
+
+
 # ---- attachments (J3): message -> attachments -----------------------------------------------------
 
 def expand_attachments(message_records: DataFrame, pages: DataFrame,
@@ -171,8 +182,9 @@ def expand_attachments(message_records: DataFrame, pages: DataFrame,
                     F.col("attributes").alias("parent_attrs"))
             .filter(F.col("message_id").isNotNull()))
     att = flatten_pages(pages.filter(F.col("resource") == "attachments"), ["user_id", "message_id"])
-    j = att.join(msgs, on=["user_id", "message_id"], how="inner")
-    extra = attachment_attrs(item_field("contentType"), item_field("name")) if with_file_attrs \
+    j = (att.join(msgs, on=["user_id", "message_id"], how="inner")
+         .withColumn("_a", F.from_json("item", "name STRING, contentType STRING")))
+    extra = attachment_attrs(F.col("_a.contentType"), F.col("_a.name")) if with_file_attrs \
         else F.create_map().cast("map<string,string>")
     return j.select(*record(route, inherit(F.col("parent_attrs"), extra), F.col("item"), C.EMIT_ATTACHMENT))
 
