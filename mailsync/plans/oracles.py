@@ -268,7 +268,13 @@ FROM k""",
 SELECT {MKEY.format(u='f.user_id', t='f.event_type')} AS key, CAST(t.tok AS VARCHAR) AS delta
 FROM fold f LEFT JOIN tok t ON t.user_id = f.user_id AND t.event_type = f.event_type""",
 
-    "checkpoint_scan": f"""WITH {CKPT} SELECT * FROM ckpt""",
+    "checkpoint_scan": f"""WITH {CKPT}, {TOK}, {FOLD}
+SELECT key, delta, version FROM ckpt WHERE key NOT LIKE 'O365_messages|%'
+UNION ALL
+SELECT {MKEY.format(u='f.user_id', t='f.event_type')} AS key,
+       CAST(f.last_id AS VARCHAR) AS delta,
+       CAST(CASE WHEN t.tok IS NOT NULL AND t.tok = f.last_id THEN 1 ELSE 2 END AS BIGINT) AS version
+FROM fold f LEFT JOIN tok t ON t.user_id = f.user_id AND t.event_type = f.event_type""",
 
     "ckpt_get": f"""WITH {CKPT}
 SELECT * FROM ckpt WHERE key IN (SELECT 'O365_folders|' || CAST(c_custkey AS VARCHAR) FROM customer)""",

@@ -341,6 +341,8 @@ def q_checkpoint_scan(spark, d):
     from mailsync.session import scratch_path
     root = scratch_path(spark, "ckpt")
     CK.write_checkpoints(TV.checkpoints(spark, d), root, 1)
+    _, toks, _ = _messages_sync(spark, d)
+    CK.write_delta(SY.new_tokens(toks), root, 2)
     return CK.scan_checkpoints(spark, root)
 
 

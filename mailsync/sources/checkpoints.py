@@ -1,9 +1,19 @@
-"""The checkpoint map as versioned Parquet directories.
+"""S8 / T4 storage: the checkpoint map as versioned Parquet directories on shared storage.
 
-``<root>/version=<n>/`` holds the whole map as of version ``n``. A new version is written to a
-new directory and becomes visible only once complete (a ``_SUCCESS`` marker is written last by the
-committer), so a reader never sees a half-written map and a path is never overwritten while it
-is read. The latest complete version wins.
+Layout under ``root``::
+
+    base/version=<n>/     the whole map as of version n (a snapshot)
+    delta/version=<m>/    only the keys changed by version m (m > n)
+
+A sync run writes one small ``delta`` version with the tokens it changed, not a rewrite of the
+whole map: at a hundred million folder keys a full rewrite per micro-batch would dominate the
+job. Readers take the latest snapshot plus all later deltas and keep, per key, the row of the
+highest version (one aggregate with ``max_by``; partial aggregation keeps it to one row per key per
+task). ``compact`` folds the deltas into a new snapshot every so often.
+
+A version is visible only once complete (the committer writes ``_SUCCESS`` last) and a version
+directory is never overwritten, so readers never see half a map and a replayed batch can tell
+that it was already committed.
 """
 
 from __future__ import annotations
@@ -14,14 +24,14 @@ from pyspark.sql import functions as F
 from mailsync import schemas as S
 
 
-def _fs(spark: SparkSession, root: str):
+def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(root)
-    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
 def versions(spark: SparkSession, root: str) -> list[int]:
-    """Complete versions under ``root`` (those with a ``_SUCCESS`` marker), ascending."""
+    """Complete ``version=<n>`` directories directly under ``root`` (with ``_SUCCESS``), ascending."""
     path, fs = _fs(spark, root)
     if not fs.exists(path):
         return []
@@ -33,20 +43,58 @@ def versions(spark: SparkSession, root: str) -> list[int]:
     return sorted(out)
 
 
+def _write(df: DataFrame, out: str) -> None:
+    df.select("key", "delta", "version").write.mode("errorifexists").parquet(out)
+
+
+def _stamp(df: DataFrame, version: int) -> DataFrame:
+    v = F.col("version").cast("bigint") if "version" in df.columns else F.lit(version).cast("bigint")
+    return df.select("key", "delta", v.alias("version"))
+
+
 def write_checkpoints(ckpt: DataFrame, root: str, version: int) -> str:
-    """Write one complete version of the map (errors if that version exists: never overwrite).
+    """Write a full snapshot as ``base/version=<version>`` (never overwrites).
 
     Rows keep their own ``version`` (the version that last changed the key) when they carry one;
     rows without it are stamped with this version."""
-    out = f"{root.rstrip('/')}/version={version}"
-    v = F.col("version").cast("bigint") if "version" in ckpt.columns else F.lit(version).cast("bigint")
-    ckpt.select("key", "delta", v.alias("version")).write.mode("errorifexists").parquet(out)
+    out = f"{root.rstrip('/')}/base/version={version}"
+    _write(_stamp(ckpt, version), out)
     return out
 
 
+def write_delta(tokens: DataFrame, root: str, version: int) -> str:
+    """T4 on storage: record the changed ``(key, delta)`` pairs as ``delta/version=<version>``."""
+    out = f"{root.rstrip('/')}/delta/version={version}"
+    _write(tokens.select("key", "delta", F.lit(version).cast("bigint").alias("version")), out)
+    return out
+
+
+def latest_version(spark: SparkSession, root: str) -> int | None:
+    vs = versions(spark, f"{root.rstrip('/')}/base") + versions(spark, f"{root.rstrip('/')}/delta")
+    return max(vs) if vs else None
+
+
 def scan_checkpoints(spark: SparkSession, root: str) -> DataFrame:
-    """All keys of the latest complete version, with their tokens (empty map when none)."""
-    vs = versions(spark, root)
-    if not vs:
+    """Every key with its current token: the latest snapshot overlaid by the later deltas."""
+    root = root.rstrip("/")
+    bases = versions(spark, f"{root}/base")
+    if not bases:
         return spark.createDataFrame([], S.CHECKPOINT_DDL)
-    return spark.read.schema(S.CHECKPOINT_DDL).parquet(f"{root.rstrip('/')}/version={vs[-1]}")
+    b = bases[-1]
+    snap = spark.read.schema(S.CHECKPOINT_DDL).parquet(f"{root}/base/version={b}")
+    later = [v for v in versions(spark, f"{root}/delta") if v > b]
+    if not later:
+        return snap
+    deltas = spark.read.schema(S.CHECKPOINT_DDL).parquet(*[f"{root}/delta/version={v}" for v in later])
+    return (snap.unionByName(deltas).groupBy("key")
+            .agg(F.max_by(F.struct("delta", "version"), "version").alias("_w"))
+            .select("key", "_w.delta", "_w.version"))
+
+
+def compact(spark: SparkSession, root: str) -> int | None:
+    """Fold the deltas into a new snapshot at the latest version (readers switch atomically)."""
+    v = latest_version(spark, root)
+    if v is None or v in versions(spark, f"{root.rstrip('/')}/base"):
+        return v
+    write_checkpoints(scan_checkpoints(spark, root), root, v)
+    return v

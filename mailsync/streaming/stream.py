@@ -6,8 +6,10 @@ Landed page files are read with ``readStream``; each micro-batch runs the messag
 1. the batch's records to ``<out>/batch=<id>/`` (overwritten on a rerun: same input, same rows);
 2. the pages of chains still incomplete to ``<state>/pending/version=<id+1>/``: a chain whose
    pages span micro-batches yields its token once its last page and all before it have come;
-3. the new checkpoint map to ``<state>/checkpoints/version=<id+1>/`` - the commit point. A batch
-   whose version already exists was committed before a failure and is skipped when replayed.
+3. the tokens it changed as ``<state>/checkpoints/delta/version=<id+1>/`` - the commit point (only
+   the changed keys are written; the map is folded into a snapshot every ``compact_every``
+   batches). A batch whose version already exists was committed before a failure and is skipped
+   when replayed.
 
 All state lives in the shared folder named by ``spark.checkpoint.dir`` (or a path the caller
 gives on shared storage), so a lost executor or driver restart resumes from the last commit.
@@ -24,9 +26,9 @@ from mailsync import constants as C
 from mailsync import schemas as S
 from mailsync.functions.checks import token_changed
 from mailsync.operators.routes import union_records
-from mailsync.operators.state import token_records, upsert_checkpoints
+from mailsync.operators.state import token_records
 from mailsync.plans import sync as SY
-from mailsync.sources.checkpoints import scan_checkpoints, versions, write_checkpoints
+from mailsync.sources.checkpoints import compact, scan_checkpoints, versions, write_checkpoints, write_delta
 
 PAGE_ID = ["resource", "user_id", "folder_id", "message_id", "request_token", "page_no", "body_sha"]
 
@@ -49,15 +51,15 @@ def dedupe_page_stream(pages: DataFrame, delay: str = "1 hour") -> DataFrame:
             .drop("body_sha"))
 
 
-def _process_batch(spark: SparkSession, state_root: str, out_dir: str):
+def _process_batch(spark: SparkSession, state_root: str, out_dir: str, compact_every: int):
     ckpt_root = f"{state_root}/checkpoints"
     pending_root = f"{state_root}/pending"
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        if (batch_id + 1) in versions(spark, ckpt_root):
+        if (batch_id + 1) in versions(spark, f"{ckpt_root}/delta"):
             return  # committed before a failure; the replay is a no-op
         ckpt = scan_checkpoints(spark, ckpt_root)
-        pending = scan_pending(spark, pending_root)
+        pending = scan_pending(spark, pending_root, batch_id)
         work = SY.message_work(ckpt)
         pages = batch.select(*S.ENVELOPE_DDL_COLS)
         sel_new = SY.select_message_chains(pages, work)
@@ -72,13 +74,17 @@ def _process_batch(spark: SparkSession, state_root: str, out_dir: str):
         still.write.mode("overwrite").parquet(f"{pending_root}/version={batch_id + 1}")
         new = (tokens.filter(token_changed(F.col("delta"), F.col("new_delta")))
                .select("key", F.col("new_delta").alias("delta")))
-        write_checkpoints(upsert_checkpoints(ckpt, new, batch_id + 1), ckpt_root, batch_id + 1)
+        write_delta(new, ckpt_root, batch_id + 1)
+        if compact_every and (batch_id + 1) % compact_every == 0:
+            compact(spark, ckpt_root)
 
     return run
 
 
-def scan_pending(spark: SparkSession, pending_root: str) -> DataFrame:
-    vs = versions(spark, pending_root)
+def scan_pending(spark: SparkSession, pending_root: str, upto: int) -> DataFrame:
+    """Pending pages as committed by the previous batch (never a version written by a crashed
+    attempt of the current one)."""
+    vs = [v for v in versions(spark, pending_root) if v <= upto]
     if not vs:
         return spark.createDataFrame([], S.ENVELOPE_DDL)
     return spark.read.schema(S.ENVELOPE_DDL).parquet(f"{pending_root}/version={vs[-1]}")
@@ -86,16 +92,16 @@ def scan_pending(spark: SparkSession, pending_root: str) -> DataFrame:
 
 def sync_stream(spark: SparkSession, landing_dir: str, state_root: str, out_dir: str,
                 initial_ckpt: DataFrame | None = None, dedupe: bool = True,
-                max_files_per_trigger: int = 1, delay: str = "1 hour") -> None:
+                max_files_per_trigger: int = 1, delay: str = "1 hour", compact_every: int = 20) -> None:
     """Run the stream over everything landed so far (``availableNow``) and return when done."""
     ckpt_root = f"{state_root}/checkpoints"
-    if not versions(spark, ckpt_root):
+    if not versions(spark, f"{ckpt_root}/base"):
         seed = initial_ckpt if initial_ckpt is not None else spark.createDataFrame([], S.CHECKPOINT_DDL)
         write_checkpoints(seed, ckpt_root, 0)
     pages = stream_pages(spark, landing_dir, max_files_per_trigger)
     if dedupe:
         pages = dedupe_page_stream(pages, delay)
-    q = (pages.writeStream.foreachBatch(_process_batch(spark, state_root, out_dir))
+    q = (pages.writeStream.foreachBatch(_process_batch(spark, state_root, out_dir, compact_every))
          .option("checkpointLocation", f"{state_root}/stream")
          .trigger(availableNow=True).start())
     q.awaitTermination()
