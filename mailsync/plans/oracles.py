@@ -81,6 +81,16 @@ REQ = """req AS (
                          WHEN 'signup' THEN 'PATCH' ELSE 'HEAD' END AS method
   FROM events)"""
 
+# the cache-driven tenant sync: users from their token, folders of known and new users, messages
+# of stored message keys (the changes feed) and of every new folder, attachments of those messages
+TENANT = f"""{RECORDS},
+utok AS (SELECT {USERS_TOKEN} AS utok_old,
+                coalesce((SELECT max(c_custkey) FROM customer WHERE c_custkey > {USERS_TOKEN}), {USERS_TOKEN}) AS utok_new),
+new_users AS (SELECT c_custkey FROM customer WHERE c_custkey > {USERS_TOKEN}),
+fusers AS (SELECT DISTINCT user_id AS u FROM events UNION SELECT c_custkey FROM new_users),
+tfold AS (SELECT o_custkey, o_orderstatus, max(o_orderkey) AS mx FROM orders
+          WHERE o_custkey IN (SELECT u FROM fusers) GROUP BY 1, 2)"""
+
 ORACLES: dict[str, str] = {
     "messages_delta": f"""WITH {CHG}
 SELECT CAST(user_id AS VARCHAR) AS user_id, event_type AS folder_id, CAST(event_id AS VARCHAR) AS message_id,
@@ -371,6 +381,39 @@ SELECT 'Failure' AS route, event_id,
        CASE event_type WHEN 'error' THEN 'IllegalArgumentException' ELSE 'IllegalStateException' END AS error_class
 FROM req WHERE event_type IN ('error', 'purchase', 'signup')""",
 
+    "tenant_sync": f"""WITH {TENANT}
+SELECT 'Success' AS route, CAST(1 AS BIGINT) AS emit_seq, CAST(c_custkey AS VARCHAR) AS user_id,
+       CAST(NULL AS VARCHAR) AS folder_id, CAST(NULL AS VARCHAR) AS message_id,
+       'O365_folders|' || CAST(c_custkey AS VARCHAR) AS cache_key, CAST(NULL AS VARCHAR) AS delta_key,
+       CAST(NULL AS VARCHAR) AS delta
+FROM new_users
+UNION ALL SELECT 'Success', 2, NULL, NULL, NULL, NULL, 'O365_users_delta', CAST(utok_new AS VARCHAR)
+FROM utok WHERE utok_new <> utok_old
+UNION ALL SELECT 'Success', 1, CAST(o_custkey AS VARCHAR), o_orderstatus, NULL,
+       'O365_messages|' || CAST(o_custkey AS VARCHAR) || '|' || o_orderstatus, NULL, NULL FROM tfold
+UNION ALL SELECT 'Success', 2, NULL, NULL, NULL, NULL, 'O365_folders|' || CAST(o_custkey AS VARCHAR),
+       CAST(max(mx) AS VARCHAR) FROM tfold GROUP BY o_custkey
+UNION ALL SELECT route, emit_seq, user_id, folder_id, message_id, cache_key, delta_key, delta FROM recs
+UNION ALL SELECT 'success_messages', 1, CAST(o.o_custkey AS VARCHAR), o.o_orderstatus,
+       CAST(o.o_orderkey AS VARCHAR), NULL, NULL, NULL
+FROM orders o JOIN tfold f ON f.o_custkey = o.o_custkey AND f.o_orderstatus = o.o_orderstatus
+UNION ALL SELECT 'success_messages', 2, NULL, NULL, NULL, NULL,
+       'O365_messages|' || CAST(o_custkey AS VARCHAR) || '|' || o_orderstatus, CAST(mx AS VARCHAR) FROM tfold
+UNION ALL SELECT 'success_attachments', 0, CAST(o.o_custkey AS VARCHAR), o.o_orderstatus,
+       CAST(o.o_orderkey AS VARCHAR), NULL, NULL, NULL
+FROM orders o JOIN tfold f ON f.o_custkey = o.o_custkey AND f.o_orderstatus = o.o_orderstatus
+JOIN lineitem l ON l.l_orderkey = o.o_orderkey JOIN part p ON p.p_partkey = l.l_partkey
+UNION ALL -- a change message whose id equals an order key of the same mailbox gets that message's attachments
+SELECT 'success_attachments', 0, CAST(c.user_id AS VARCHAR), c.event_type, CAST(c.event_id AS VARCHAR), NULL, NULL, NULL
+FROM chg c JOIN orders o ON o.o_custkey = c.user_id AND o.o_orderkey = c.event_id
+JOIN lineitem l ON l.l_orderkey = o.o_orderkey JOIN part p ON p.p_partkey = l.l_partkey""",
+
+    "tenant_tokens": f"""WITH {TENANT}
+SELECT 'O365_users_delta' AS key, CAST(utok_new AS VARCHAR) AS delta FROM utok WHERE utok_new <> utok_old
+UNION ALL SELECT 'O365_folders|' || CAST(o_custkey AS VARCHAR), CAST(max(mx) AS VARCHAR) FROM tfold GROUP BY o_custkey
+UNION ALL SELECT 'O365_messages|' || CAST(o_custkey AS VARCHAR) || '|' || o_orderstatus, CAST(mx AS VARCHAR) FROM tfold
+UNION ALL SELECT delta_key, delta FROM recs WHERE emit_seq = 2""",
+
     "stream_sync": f"""WITH {RECORDS} SELECT * FROM recs""",
 
     "stream_dedupe": f"""WITH {RECORDS} SELECT * FROM recs""",

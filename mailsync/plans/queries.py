@@ -64,7 +64,7 @@ def _changes_work(spark, d) -> DataFrame:
 
 
 def _messages_sync(spark, d, pages=None):
-    pages = pages if pages is not None else TV.land_changes(spark, d)
+    pages = pages if pages is not None else TV.landed(spark, d, "changes")
     return SY.sync_messages(pages, _changes_work(spark, d))
 
 
@@ -74,13 +74,13 @@ def q_messages_delta(spark, d):
 
 
 def q_flatten_pages(spark, d):
-    items = PS.flatten_pages(TV.land_changes(spark, d).filter(F.col("resource") == "messages"))
+    items = PS.flatten_pages(TV.landed(spark, d, "changes").filter(F.col("resource") == "messages"))
     return items.select("user_id", "folder_id", "request_token", "page_no", "item_pos",
                         PS.item_field("id").alias("message_id"))
 
 
 def q_assign_pages(spark, d):
-    p = PS.with_links(TV.land_changes(spark, d))
+    p = PS.with_links(TV.landed(spark, d, "changes"))
     return p.select("user_id", "folder_id", "request_token", "page_no",
                     F.size(PS.parse_body().getField("value")).alias("n_items"),
                     "next_link", "delta_link")
@@ -120,8 +120,8 @@ def q_upsert_checkpoints(spark, d):
 
 
 def q_dedupe_replay(spark, d):
-    once = TV.land_changes(spark, d, fetched_at=F.lit("2024-02-01 00:00:00").cast("timestamp"))
-    again = TV.land_changes(spark, d, fetched_at=F.lit("2024-02-01 00:05:00").cast("timestamp"))
+    once = TV.landed(spark, d, "changes")
+    again = once.withColumn("fetched_at", F.col("fetched_at") + F.expr("INTERVAL 5 MINUTES"))
     recs, _, _ = _messages_sync(spark, d, once.unionByName(again))
     return record_view(D.dedupe_replay(recs))
 
@@ -141,7 +141,7 @@ def _delta_inputs(spark, d) -> DataFrame:
 
 
 def _delta_run(spark, d):
-    return SY.sync_messages_from_records(TV.land_changes(spark, d), _delta_inputs(spark, d))
+    return SY.sync_messages_from_records(TV.landed(spark, d, "changes"), _delta_inputs(spark, d))
 
 
 def q_delta_route(spark, d):
@@ -183,7 +183,7 @@ def q_inherit_attrs(spark, d):
 # ---- users, folders, messages, attachments ---------------------------------------------------------
 
 def q_users_scan(spark, d):
-    return P.select_fields(PS.scan_users(TV.land_users(spark, d)), "id,displayName,jobTitle,officeLocation")
+    return P.select_fields(PS.scan_users(TV.landed(spark, d, "users")), "id,displayName,jobTitle,officeLocation")
 
 
 def _user_record_view(recs):
@@ -196,18 +196,18 @@ def _user_record_view(recs):
 
 
 def q_users_delta(spark, d):
-    recs, _ = SY.sync_users(TV.land_users(spark, d), TV.checkpoints(spark, d))
+    recs, _ = SY.sync_users(TV.landed(spark, d, "users"), TV.checkpoints(spark, d))
     return _user_record_view(recs)
 
 
 def q_bootstrap_users(spark, d):
     ck = TV.checkpoints(spark, d).filter(F.col("key") != C.KEY_USERS)
-    recs, _ = SY.sync_users(TV.land_users(spark, d), ck)
+    recs, _ = SY.sync_users(TV.landed(spark, d, "users"), ck)
     return _user_record_view(recs)
 
 
 def q_folders_delta(spark, d):
-    recs, _, _ = SY.sync_folders(TV.land_folders(spark, d), TV.checkpoints(spark, d))
+    recs, _, _ = SY.sync_folders(TV.landed(spark, d, "folders"), TV.checkpoints(spark, d))
     a = F.col("attributes")
     f = F.from_json(F.when(F.col("emit_seq") == C.EMIT_ITEM, F.col("content")),
                     "totalItemCount INT, unreadItemCount INT")
@@ -220,7 +220,7 @@ def q_folders_delta(spark, d):
 def _all_users(spark, d):
     """The full users load (bootstrap run) as user records."""
     ck = TV.checkpoints(spark, d).filter(F.col("key") != C.KEY_USERS)
-    recs, _ = SY.sync_users(TV.land_users(spark, d), ck)
+    recs, _ = SY.sync_users(TV.landed(spark, d, "users"), ck)
     return recs.filter(F.col("emit_seq") == C.EMIT_ITEM)
 
 
@@ -233,7 +233,7 @@ def _all_folder_records(spark, d):
     ck = TV.checkpoints(spark, d)
     users = _all_users(spark, d).select(F.col("attributes")[C.ATTR_CACHE_KEY].alias("key"))
     work = ck.select("key", "delta").unionByName(ST.seed_work(users, ck))
-    recs, _, _ = SY.sync_folders(TV.land_folders(spark, d), work)
+    recs, _, _ = SY.sync_folders(TV.landed(spark, d, "folders"), work)
     return recs.filter(F.col("emit_seq") == C.EMIT_ITEM)
 
 
@@ -247,7 +247,7 @@ def q_user_folder_tree(spark, d):
         F.col("attributes")[C.ATTR_USER_ID].alias("user_id"),
         F.get_json_object("content", "$.displayName").alias("display_name"))
     folder_items = PS.parse_items(
-        PS.flatten_pages(TV.land_folders(spark, d), ["user_id"]), "id STRING, totalItemCount INT, unreadItemCount INT",
+        PS.flatten_pages(TV.landed(spark, d, "folders"), ["user_id"]), "id STRING, totalItemCount INT, unreadItemCount INT",
         keep=["user_id"])
     t = expand_children(users, folder_items, ["user_id"])
     return t.select("user_id", "display_name", F.col("id").alias("folder_id"),
@@ -255,23 +255,23 @@ def q_user_folder_tree(spark, d):
 
 
 def q_messages_scan(spark, d):
-    m = PS.scan_messages(TV.land_messages(spark, d), "id,parentFolderId,receivedDateTime,importance,subject")
+    m = PS.scan_messages(TV.landed(spark, d, "messages"), "id,parentFolderId,receivedDateTime,importance,subject")
     return m.select("user_id", F.col("id").alias("message_id"), F.col("parentFolderId").alias("folder_id"),
                     F.col("receivedDateTime").alias("received_at"), "importance", "subject")
 
 
 def q_attachments_scan(spark, d):
-    a = PS.scan_attachments(TV.land_attachments(spark, d), "name,contentType,size")
+    a = PS.scan_attachments(TV.landed(spark, d, "attachments"), "name,contentType,size")
     return a.select("user_id", "message_id", "name", F.col("contentType").alias("content_type"), "size")
 
 
 def _message_records_all(spark, d):
     """Message records of the full (per-user) message scan, with ids as attributes."""
-    return SY.scan_message_records(TV.land_messages(spark, d))
+    return SY.scan_message_records(TV.landed(spark, d, "messages"))
 
 
 def q_message_attachments(spark, d):
-    att = SY.expand_attachments(_message_records_all(spark, d), TV.land_attachments(spark, d))
+    att = SY.expand_attachments(_message_records_all(spark, d), TV.landed(spark, d, "attachments"))
     a = F.col("attributes")
     return att.select("route", "emit_seq", a[C.ATTR_USER_ID].alias("user_id"),
                       a[C.ATTR_FOLDER_ID].alias("folder_id"), a[C.ATTR_MESSAGE_ID].alias("message_id"),
@@ -280,13 +280,13 @@ def q_message_attachments(spark, d):
 
 
 def q_attachment_attrs(spark, d):
-    a = PS.flatten_pages(TV.land_attachments(spark, d), ["message_id"])
+    a = PS.flatten_pages(TV.landed(spark, d, "attachments"), ["message_id"])
     m = P.attachment_attrs(PS.item_field("contentType"), PS.item_field("name"))
     return a.select("message_id", F.explode(m).alias("attr_key", "attr_value"))
 
 
 def q_select_fields(spark, d):
-    m = PS.scan_messages(TV.land_messages(spark, d), "id,subject,importance")
+    m = PS.scan_messages(TV.landed(spark, d, "messages"), "id,subject,importance")
     return P.select_fields(m, "id, subject ,importance")
 
 
@@ -511,6 +511,20 @@ def q_generic_scan(spark, d):
                     F.length(F.variant_get(v, "$.content", "string")).alias("n_chars"))
 
 
+# ---- the whole cache-driven sync ----------------------------------------------------------------
+
+def q_tenant_sync(spark, d):
+    pages = TV.landed_all(spark, d)
+    recs, _, _ = SY.sync_tenant(pages, TV.checkpoints(spark, d))
+    return record_view(recs)
+
+
+def q_tenant_tokens(spark, d):
+    pages = TV.landed_all(spark, d)
+    _, toks, _ = SY.sync_tenant(pages, TV.checkpoints(spark, d))
+    return toks
+
+
 # ---- streaming ---------------------------------------------------------------------------------
 
 def _stream_run(spark, d, replay: bool):
@@ -518,10 +532,10 @@ def _stream_run(spark, d, replay: bool):
     from mailsync.streaming import stream as STR
     root = scratch_path(spark, "stream")
     landing = f"{root}/landing"
-    STR.land_files(TV.land_changes(spark, d, fetched_at=F.lit("2024-02-01 00:00:00").cast("timestamp")),
-                   landing, 3)
+    pages = TV.landed(spark, d, "changes")
+    STR.land_files(pages, landing, 3)
     if replay:
-        STR.land_files(TV.land_changes(spark, d, fetched_at=F.lit("2024-02-01 00:05:00").cast("timestamp")),
+        STR.land_files(pages.withColumn("fetched_at", F.col("fetched_at") + F.expr("INTERVAL 5 MINUTES")),
                        landing, 3)
     ck = _changes_work(spark, d).withColumn("version", F.lit(0).cast("bigint"))
     STR.sync_stream(spark, landing, f"{root}/state", f"{root}/out", initial_ckpt=ck, dedupe=replay)
@@ -586,6 +600,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "valid_json": q_valid_json,
     "error_records": q_error_records,
     "generic_scan": q_generic_scan,
+    "tenant_sync": q_tenant_sync,
+    "tenant_tokens": q_tenant_tokens,
     "stream_sync": q_stream_sync,
     "stream_dedupe": q_stream_dedupe,
 }

@@ -226,3 +226,37 @@ def sync_messages_from_records(pages: DataFrame, inputs: DataFrame,
         *record(C.ROUTE_DELTA, attrs_of({C.ATTR_USER_ID: F.col("user_id"), C.ATTR_FOLDER_ID: F.col("folder_id")}),
                 F.col("new_delta"), C.EMIT_TOKEN))
     return records, delta, failed
+
+
+# ---- the whole cache-driven sync (3.1): users -> folders -> messages -> attachments -----------------
+
+def sync_tenant(pages: DataFrame, ckpt: DataFrame, input_attrs: dict | None = None):
+    """One run of the cache-driven sync over a landed tenant.
+
+    users (from their token, J2 bootstrap when unknown) -> folder work = stored folder keys plus
+    the new users' keys (J4) -> folders -> message work = stored message keys plus the new folders'
+    keys (J4) -> messages -> their attachments (J3). Returns ``(records, new_tokens, failures)``:
+    records on the routes ``Success`` (users, folders and their tokens), ``success_messages`` and
+    ``success_attachments``; ``new_tokens`` as ``(key, delta)`` for the checkpoint store (T4).
+    Each level is one declarative plan; nothing is collected between levels.
+    """
+    base = ckpt.select("key", "delta")
+    users, user_tokens = sync_users(pages, base, input_attrs=input_attrs)
+    user_keys = users.filter(F.col("emit_seq") == C.EMIT_ITEM).select(
+        F.col("attributes")[C.ATTR_CACHE_KEY].alias("key"))
+    folder_work = base.unionByName(_seed(user_keys, base))
+    folders, folder_tokens, folder_fail = sync_folders(pages, folder_work, input_attrs=input_attrs)
+    folder_keys = folders.filter(F.col("emit_seq") == C.EMIT_ITEM).select(
+        F.col("attributes")[C.ATTR_CACHE_KEY].alias("key"))
+    message_work_keys = base.unionByName(_seed(folder_keys, base))
+    messages, message_tokens_, message_fail = sync_messages(pages, message_work_keys, input_attrs=input_attrs)
+    attachments = expand_attachments(messages, pages)
+    records = union_records(users, folders, messages, attachments)
+    tokens = (new_tokens(user_tokens).unionByName(new_tokens(folder_tokens))
+              .unionByName(new_tokens(message_tokens_)))
+    return records, tokens, union_records(folder_fail, message_fail)
+
+
+def _seed(parent_keys: DataFrame, ckpt: DataFrame) -> DataFrame:
+    from mailsync.operators.state import seed_work
+    return seed_work(parent_keys, ckpt)

@@ -239,6 +239,21 @@ def land_messages(spark, sf_dir) -> DataFrame:
                       "messages")
 
 
+def land_folder_messages(spark, sf_dir) -> DataFrame:
+    """Message delta chains per (user, folder) asked as full loads, ten per page; the delta link
+    is the folder's highest message key."""
+    m = messages(spark, sf_dir)
+    keys = ["user_id", "folder_id", "request_token"]
+    chains = (m.groupBy("user_id", F.col("parentFolderId").alias("folder_id"))
+              .agg(F.max("orderkey").cast("string").alias("delta_link"))
+              .select("user_id", "folder_id", F.lit("").alias("request_token"), "delta_link"))
+    item = _json(F.col("id"), F.col("receivedDateTime"), F.col("subject"), F.col("importance"),
+                 F.col("parentFolderId"))
+    items = m.select("user_id", F.col("parentFolderId").alias("folder_id"), F.lit("").alias("request_token"),
+                     "orderkey", item.alias("item"))
+    return pack_pages(items, chains, keys, ["orderkey"], C.MESSAGE_PAGE_SIZE, "messages")
+
+
 def land_attachments(spark, sf_dir) -> DataFrame:
     """The attachments chain of every message (asked for every message, with or without any)."""
     m = messages(spark, sf_dir).select("user_id", F.col("id").alias("message_id"))
@@ -253,10 +268,43 @@ def land_attachments(spark, sf_dir) -> DataFrame:
                       DEFAULT_PAGE_SIZE, "attachments")
 
 
+LANDERS = {
+    "users": lambda spark, d: land_users(spark, d),
+    "folders": lambda spark, d: land_folders(spark, d),
+    "messages": lambda spark, d: land_messages(spark, d),
+    "changes": lambda spark, d: land_changes(spark, d),
+    "folder_messages": lambda spark, d: land_folder_messages(spark, d),
+    "attachments": lambda spark, d: land_attachments(spark, d),
+}
+_LANDED: dict[tuple, str] = {}
+
+
+def landed(spark, sf_dir, part: str) -> DataFrame:
+    """One landed feed, written once per session and tables to the shared checkpoint folder (a
+    written table cuts the lineage), then read back by every query that needs it."""
+    from mailsync.session import ensure_checkpoint_dir, scratch_path
+    key = (ensure_checkpoint_dir(spark), sf_dir.rstrip("/"), part)
+    path = _LANDED.get(key)
+    if path is None:
+        path = scratch_path(spark, f"landing-{part}")
+        LANDERS[part](spark, sf_dir).write.parquet(path)
+        _LANDED[key] = path
+    return spark.read.schema(S.ENVELOPE_DDL).parquet(path)
+
+
+def landed_all(spark, sf_dir) -> DataFrame:
+    out = None
+    for part in LANDERS:
+        df = landed(spark, sf_dir, part)
+        out = df if out is None else out.unionByName(df)
+    return out
+
+
 def land_all(spark, sf_dir) -> DataFrame:
     """Every landed page of the tenant, as one envelope table."""
     return (land_users(spark, sf_dir).unionByName(land_folders(spark, sf_dir))
             .unionByName(land_messages(spark, sf_dir)).unionByName(land_changes(spark, sf_dir))
+            .unionByName(land_folder_messages(spark, sf_dir))
             .unionByName(land_attachments(spark, sf_dir)))
 
 
