@@ -1,6 +1,6 @@
 """T5: drop replayed records.
 
-After an error the reference refreshes its token and reruns the whole load once, so records
+After an error the original processors refresh their token and rerun the whole load once, so records
 already committed come again. Records are equal when route, emit order, attributes and content
 are equal. Maps cannot be grouped on, so attributes are compared as their sorted entries.
 ``dropDuplicates`` is an aggregate with map-side partial aggregation: a record replayed many
