@@ -418,5 +418,5 @@ UNION ALL SELECT delta_key, delta FROM recs WHERE emit_seq = 2""",
 
     "stream_dedupe": f"""WITH {RECORDS} SELECT * FROM recs""",
 
-    "generic_scan": """SELECT page_id AS request_id, page_id AS id, url AS web_url, length(html) AS n_chars FROM pages""",
+    "generic_scan": """SELECT page_id AS request_id, page_id AS id, url AS web_url, CAST(length(html) AS INTEGER) AS n_chars FROM pages""",
 }

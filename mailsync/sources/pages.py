@@ -35,9 +35,13 @@ def parse_body(body="body") -> Column:
     return F.from_json(b, S.PAGE_BODY_DDL)
 
 
+LINKS_DDL = "`@odata.nextLink` STRING, `@odata.deltaLink` STRING"
+
+
 def with_links(pages: DataFrame) -> DataFrame:
-    """Adds ``next_link`` and ``delta_link`` read from the body (the body is parsed once)."""
-    p = parse_body()
+    """Adds ``next_link`` and ``delta_link`` read from the body in one pass that skips the item
+    list (only the two link fields are in the schema, so the items are never materialised)."""
+    p = F.from_json(F.col("body"), LINKS_DDL)
     return (pages.withColumn("_page", p)
             .withColumn("next_link", F.col("_page").getField(C.NEXT_LINK))
             .withColumn("delta_link", F.col("_page").getField(C.DELTA_LINK))
