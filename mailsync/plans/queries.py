@@ -18,7 +18,6 @@ from mailsync.functions import fields as P
 from mailsync.functions import keys as KY
 from mailsync.operators import dedupe as D
 from mailsync.operators import outbox as O
-from mailsync.operators import paging as PG
 from mailsync.operators import routes as R
 from mailsync.operators import state as ST
 from mailsync.operators.tree import expand_children

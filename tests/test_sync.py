@@ -135,3 +135,27 @@ def test_stream_batch_replay_is_noop(spark):
     run(pages, 0)  # the same batch again after a "failure": already committed
     assert STR.read_stream_output(spark, out).count() == first
     assert CK.versions(spark, f"{state}/checkpoints/delta") == [1]
+
+
+def test_json_lines_landing_and_json_records(spark):
+    from mailsync.sources.pages import read_pages
+    from mailsync.sources.sink import read_records, write_records
+    root = scratch_path(spark, "test-jsonl")
+    pages = TV.land_changes(spark, SF_SMALL)
+    pages.write.json(f"{root}/landing")
+    back = read_pages(spark, f"{root}/landing", resource="messages", fmt="json")
+    cols = ["user_id", "folder_id", "request_token", "page_no", "body"]
+    assert back.select(*cols).exceptAll(pages.select(*cols)).count() == 0
+    recs, _, _ = SY.sync_messages(back, Q._changes_work(spark, SF_SMALL))
+    write_records(recs, f"{root}/records", fmt="json")
+    got = read_records(spark, f"{root}/records", fmt="json")
+    assert got.count() == recs.count()
+    assert {r.route for r in got.select("route").distinct().collect()} == {C.ROUTE_SUCCESS_MESSAGES}
+
+
+def test_select_json_fields_keeps_only_listed(spark):
+    from mailsync import schemas as S
+    from mailsync.functions.fields import select_json_fields
+    df = spark.createDataFrame([('{"id":"1","subject":"s","importance":"high","isRead":true}',)], "c STRING")
+    out = df.select(select_json_fields(F.col("c"), S.MESSAGE_DDL, "id, subject").alias("o")).collect()[0].o
+    assert out == '{"id":"1","subject":"s"}'
