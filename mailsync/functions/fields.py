@@ -66,25 +66,35 @@ def _split_top_level(ddl: str) -> list[str]:
 def inherit(parent_attrs, extra) -> Column:
     """Child attributes = parent attributes overlaid by the new ones (new wins).
 
-    One ``map_zip_with`` over both maps: each side is evaluated once (a lambda over the parent
-    that looked keys up in the new map would re-evaluate the new map per parent entry)."""
-    return F.map_zip_with(_col(parent_attrs), _col(extra), lambda k, old, new: F.coalesce(new, old))
+    Common case first: when the key sets do not overlap, a plain ``map_concat`` (code-generated).
+    Otherwise one ``map_zip_with`` over both maps, so each side is evaluated once (a lambda over
+    the parent that looked keys up in the new map would re-evaluate the new map per entry)."""
+    a, b = _col(parent_attrs), _col(extra)
+    disjoint = ~F.arrays_overlap(F.map_keys(a), F.map_keys(b))
+    return F.when(disjoint, F.map_concat(a, b)).otherwise(
+        F.map_zip_with(a, b, lambda k, old, new: F.coalesce(new, old)))
 
 
 def attrs(**named) -> Column:
     """A ``MAP<STRING,STRING>`` from keyword pairs; null values are left out."""
-    pairs = []
-    for k, v in named.items():
-        pairs.append(F.struct(F.lit(k).alias("key"), _col(v).cast("string").alias("value")))
-    arr = F.filter(F.array(*pairs), lambda e: e["value"].isNotNull())
-    return F.map_from_entries(arr)
+    return attrs_of(named)
 
 
 def attrs_of(mapping: dict) -> Column:
-    """Same as :func:`attrs` for names that are not Python identifiers."""
-    pairs = [F.struct(F.lit(k).alias("key"), _col(v).cast("string").alias("value"))
-             for k, v in mapping.items()]
-    return F.map_from_entries(F.filter(F.array(*pairs), lambda e: e["value"].isNotNull()))
+    """Same as :func:`attrs` for names that are not Python identifiers.
+
+    Rows whose values are all present take a plain (code-generated) ``create_map``; only rows with
+    a missing value go through the filtering form."""
+    vals = {k: _col(v).cast("string") for k, v in mapping.items()}
+    all_present = F.lit(True)
+    for v in vals.values():
+        all_present = all_present & v.isNotNull()
+    flat = []
+    for k, v in vals.items():
+        flat += [F.lit(k), v]
+    pairs = [F.struct(F.lit(k).alias("key"), v.alias("value")) for k, v in vals.items()]
+    filtered = F.map_from_entries(F.filter(F.array(*pairs), lambda e: e["value"].isNotNull()))
+    return F.when(all_present, F.create_map(*flat)).otherwise(filtered)
 
 
 def attachment_attrs(content_type, name) -> Column:
