@@ -45,15 +45,21 @@ def parse_key(key, want_folder: bool) -> dict[str, Column]:
             "key_ok": ok}
 
 
+_CHECKED: set[str] = set()
+
+
 def check_pattern(spark, pattern: str, prefix: str) -> str:
-    """F1 configuration check, run once on the driver: the pattern must compile (with the JVM's own
-    regex engine, the one ``rlike`` uses) and must name its prefix."""
+    """F1 configuration check, run once per pattern on the driver: the pattern must compile (with
+    the JVM's own regex engine, the one ``rlike`` uses) and must name its prefix."""
     if prefix not in pattern:
         raise ValueError(f"key pattern {pattern!r} must contain the prefix {prefix!r}")
+    if pattern in _CHECKED:
+        return pattern
     try:
         spark.range(1).select(F.lit("").rlike(pattern)).collect()
     except Exception as exc:  # a bad pattern would otherwise fail the whole query inside rlike
         raise ValueError(f"key pattern does not compile: {pattern!r}") from exc
+    _CHECKED.add(pattern)
     return pattern
 
 

@@ -19,6 +19,7 @@ Replayed pages (the same page landed twice) are dropped before the sync with
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,7 +66,9 @@ def _process_batch(spark: SparkSession, state_root: str, out_dir: str, compact_e
         sel_new = SY.select_message_chains(pages, work)
         sel_all = SY.select_message_chains(pages.unionByName(pending), work)
         records = SY.message_records(sel_new)
-        tokens = SY.message_tokens(sel_all)
+        # one row per chain, used by three writes below: kept for the batch (recomputed the same
+        # way from the batch's fixed input files if a block is lost)
+        tokens = SY.message_tokens(sel_all).persist(StorageLevel.MEMORY_AND_DISK)
         recs = union_records(records, token_records(tokens, C.ROUTE_SUCCESS_MESSAGES))
         recs.write.mode("overwrite").parquet(f"{out_dir}/batch={batch_id}")
         done = tokens.select(*SY.MESSAGE_CHAIN)
@@ -75,6 +78,7 @@ def _process_batch(spark: SparkSession, state_root: str, out_dir: str, compact_e
         new = (tokens.filter(token_changed(F.col("delta"), F.col("new_delta")))
                .select("key", F.col("new_delta").alias("delta")))
         write_delta(new, ckpt_root, batch_id + 1)
+        tokens.unpersist()
         if compact_every and (batch_id + 1) % compact_every == 0:
             compact(spark, ckpt_root)
 
