@@ -23,7 +23,7 @@ from mailsync.plans import queries as Q  # noqa: E402
 from mailsync.plans import sync as SY  # noqa: E402
 from mailsync.plans import testviews as TV  # noqa: E402
 from mailsync.session import build_session, scratch_path  # noqa: E402
-from mailsync.sources.pages import read_pages  # noqa: E402
+from mailsync.sources.pages import read_pages, write_pages  # noqa: E402
 from mailsync.streaming import stream as STR  # noqa: E402
 
 
@@ -42,7 +42,7 @@ def main() -> None:
     landing = f"{root}/landing"
 
     t0 = time.time()
-    TV.land_all(spark, sf_dir).write.partitionBy("resource").parquet(landing)
+    write_pages(TV.land_all(spark, sf_dir), landing)
     land_sec = time.time() - t0
     pages = read_pages(spark, landing)
     work = Q._changes_work(spark, sf_dir)
@@ -71,9 +71,7 @@ def main() -> None:
         run(recs)
 
     def tenant_sync():
-        recs, toks, _ = SY.sync_tenant(pages, TV.checkpoints(spark, sf_dir))
-        run(recs)
-        run(toks)
+        recs, toks, _ = SY.sync_tenant(pages, TV.checkpoints(spark, sf_dir))  # writes every level
 
     def stream_sync():
         sroot = scratch_path(spark, "bench-stream")

@@ -230,33 +230,62 @@ def sync_messages_from_records(pages: DataFrame, inputs: DataFrame,
 
 # ---- the whole cache-driven sync (3.1): users -> folders -> messages -> attachments -----------------
 
-def sync_tenant(pages: DataFrame, ckpt: DataFrame, input_attrs: dict | None = None):
+def sync_tenant(pages: DataFrame, ckpt: DataFrame, out_dir: str | None = None,
+                input_attrs: dict | None = None):
     """One run of the cache-driven sync over a landed tenant.
 
     users (from their token, J2 bootstrap when unknown) -> folder work = stored folder keys plus
     the new users' keys (J4) -> folders -> message work = stored message keys plus the new folders'
-    keys (J4) -> messages -> their attachments (J3). Returns ``(records, new_tokens, failures)``:
-    records on the routes ``Success`` (users, folders and their tokens), ``success_messages`` and
-    ``success_attachments``; ``new_tokens`` as ``(key, delta)`` for the checkpoint store (T4).
-    Each level is one declarative plan; nothing is collected between levels.
+    keys (J4) -> messages -> their attachments (J3).
+
+    Each level is one job whose records and changed tokens are written under ``out_dir`` (default:
+    a fresh folder under ``spark.checkpoint.dir``), partitioned by level and route; the next level
+    reads back only the column it needs (the children's cache keys, or the message ids). Written
+    levels cut the lineage, so no level is ever recomputed for a later one, and a failed run
+    restarts from the last written level's inputs rather than from the landing.
+
+    Returns ``(records, new_tokens, failures)`` read from the written levels: records on the routes
+    ``Success`` (users, folders and their tokens), ``success_messages`` and
+    ``success_attachments``; tokens as ``(key, delta)`` for the checkpoint store (T4).
     """
+    from mailsync.operators.state import seed_work
+    from mailsync.session import scratch_path
+    from mailsync.sources.sink import read_records, write_records
+
+    spark = pages.sparkSession
+    out = (out_dir or scratch_path(spark, "tenant")).rstrip("/")
     base = ckpt.select("key", "delta")
+
+    def level(name: str, recs: DataFrame, tokens: DataFrame | None, failed: DataFrame | None):
+        write_records(recs, f"{out}/records/level={name}")
+        if tokens is not None:
+            new_tokens(tokens).write.parquet(f"{out}/tokens/level={name}")
+        if failed is not None:
+            write_records(failed, f"{out}/failures/level={name}")
+        return read_records(spark, f"{out}/records/level={name}")
+
+    def child_keys(recs: DataFrame) -> DataFrame:
+        return recs.filter(F.col("emit_seq") == C.EMIT_ITEM).select(
+            F.col("attributes")[C.ATTR_CACHE_KEY].alias("key"))
+
     users, user_tokens = sync_users(pages, base, input_attrs=input_attrs)
-    user_keys = users.filter(F.col("emit_seq") == C.EMIT_ITEM).select(
-        F.col("attributes")[C.ATTR_CACHE_KEY].alias("key"))
-    folder_work = base.unionByName(_seed(user_keys, base))
-    folders, folder_tokens, folder_fail = sync_folders(pages, folder_work, input_attrs=input_attrs)
-    folder_keys = folders.filter(F.col("emit_seq") == C.EMIT_ITEM).select(
-        F.col("attributes")[C.ATTR_CACHE_KEY].alias("key"))
-    message_work_keys = base.unionByName(_seed(folder_keys, base))
-    messages, message_tokens_, message_fail = sync_messages(pages, message_work_keys, input_attrs=input_attrs)
-    attachments = expand_attachments(messages, pages)
-    records = union_records(users, folders, messages, attachments)
-    tokens = (new_tokens(user_tokens).unionByName(new_tokens(folder_tokens))
-              .unionByName(new_tokens(message_tokens_)))
-    return records, tokens, union_records(folder_fail, message_fail)
-
-
-def _seed(parent_keys: DataFrame, ckpt: DataFrame) -> DataFrame:
-    from mailsync.operators.state import seed_work
-    return seed_work(parent_keys, ckpt)
+    users = level("users", users, user_tokens, None)
+    folders, folder_tokens, folder_fail = sync_folders(
+        pages, base.unionByName(seed_work(child_keys(users), base)), input_attrs=input_attrs)
+    folders = level("folders", folders, folder_tokens, folder_fail)
+    messages, message_tokens_, message_fail = sync_messages(
+        pages, base.unionByName(seed_work(child_keys(folders), base)), input_attrs=input_attrs)
+    messages = level("messages", messages, message_tokens_, message_fail)
+    level("attachments", expand_attachments(messages, pages), None, None)
+
+    records = read_records(spark, f"{out}/records")
+    tokens = spark.read.parquet(f"{out}/tokens").select("key", "delta")
+    failures = (read_records(spark, f"{out}/failures") if _exists(spark, f"{out}/failures")
+                else spark.createDataFrame([], "route STRING, attributes MAP<STRING,STRING>, content STRING, emit_seq BIGINT"))
+    return records, tokens, failures
+
+
+def _exists(spark, path: str) -> bool:
+    from mailsync.sources.checkpoints import _fs
+    p, fs = _fs(spark, path)
+    return fs.exists(p)

@@ -23,6 +23,7 @@ from mailsync import constants as C
 from mailsync import schemas as S
 from mailsync.functions.keys import folders_key, messages_key, users_key
 from mailsync.operators.paging import pack_pages
+from mailsync.sources.pages import read_pages, write_pages
 
 # Cut-off of the previous sync in the changes feed (fixed test parameter).
 TOKEN_CUTOFF = "2024-01-15 00:00:00"
@@ -280,16 +281,16 @@ _LANDED: dict[tuple, str] = {}
 
 
 def landed(spark, sf_dir, part: str) -> DataFrame:
-    """One landed feed, written once per session and tables to the shared checkpoint folder (a
-    written table cuts the lineage), then read back by every query that needs it."""
+    """One landed feed, written once per session to the shared checkpoint folder (a written table
+    cuts the lineage), then read back by every query that needs it."""
     from mailsync.session import ensure_checkpoint_dir, scratch_path
     key = (ensure_checkpoint_dir(spark), sf_dir.rstrip("/"), part)
     path = _LANDED.get(key)
     if path is None:
         path = scratch_path(spark, f"landing-{part}")
-        LANDERS[part](spark, sf_dir).write.parquet(path)
+        write_pages(LANDERS[part](spark, sf_dir), path)
         _LANDED[key] = path
-    return spark.read.schema(S.ENVELOPE_DDL).parquet(path)
+    return read_pages(spark, path).select(*S.ENVELOPE_DDL_COLS)
 
 
 def landed_all(spark, sf_dir) -> DataFrame:

@@ -29,6 +29,14 @@ def read_pages(spark: SparkSession, path: str, resource: str | None = None,
     return df
 
 
+def write_pages(pages: DataFrame, path: str, pages_per_file: int = 1000, mode: str = "errorifexists") -> None:
+    """Land pages as Parquet partitioned by ``resource``, in files of at most ``pages_per_file``
+    pages: readers then split a landing into many tasks (a Parquet file splits only at row-group
+    boundaries, so one large file would be one task)."""
+    (pages.write.mode(mode).option("maxRecordsPerFile", pages_per_file)
+     .partitionBy("resource").parquet(path))
+
+
 def parse_body(body="body") -> Column:
     """The page body as ``STRUCT<value ARRAY<STRING>, nextLink, deltaLink>`` (items keep their text)."""
     b = F.col(body) if isinstance(body, str) else body
