@@ -55,14 +55,19 @@ def chain_tokens(pages: DataFrame, chain: list[str]) -> DataFrame:
     The link is read only on the page with no next page. A chain yields a token only when that
     last page and every page before it have landed (distinct page numbers = last + 1), so a
     partly landed chain holds its token back. Duplicated (replayed) pages are counted once.
+
+    Two hash aggregates with fixed-width buffers (page counts per chain; the last pages, distinct)
+    joined on (chain, last page): no sort-based aggregation over the pages.
     """
     p = with_links(pages)
-    last = F.when(F.col("next_link").isNull(), F.col("page_no"))
-    return (p.groupBy(*chain)
-            .agg(F.count_distinct("page_no").alias("_pages"),
-                 F.max(last).alias("_last"),
-                 F.max_by(F.col("delta_link"), last).alias("new_delta"))
-            .filter(F.col("_last").isNotNull() & (F.col("_pages") == F.col("_last") + 1))
+    counts = (p.groupBy(*chain)
+              .agg(F.count_distinct("page_no").alias("_pages"),
+                   F.max(F.when(F.col("next_link").isNull(), F.col("page_no"))).alias("_last")))
+    last = (p.filter(F.col("next_link").isNull())
+            .select(*chain, F.col("page_no").alias("_last"), F.col("delta_link").alias("new_delta"))
+            .distinct())
+    return (counts.filter(F.col("_last").isNotNull() & (F.col("_pages") == F.col("_last") + 1))
+            .join(last, on=[*chain, "_last"], how="inner")
             .drop("_pages", "_last"))
 
 
@@ -79,18 +84,23 @@ def token_records(tokens: DataFrame, route: str, base_attrs: Column | None = Non
                     F.lit(C.EMIT_TOKEN).cast("bigint").alias("emit_seq"))
 
 
+def latest_per_key(rows: DataFrame) -> DataFrame:
+    """The row of the highest version per key (for the small side: new tokens, deltas)."""
+    return (rows.groupBy("key").agg(F.max_by(F.struct("delta", "version"), "version").alias("_w"))
+            .select("key", "_w.delta", "_w.version"))
+
+
 def upsert_checkpoints(ckpt: DataFrame, tokens: DataFrame, version: int | Column) -> DataFrame:
-    """T4: the new map = old map overlaid by the new tokens; the latest version wins per key.
+    """T4: the new map = old map overlaid by the new tokens (the new version wins per key).
 
-    ``tokens`` has ``key`` and ``delta``. One aggregate by key with ``max_by`` (partial
-    aggregation keeps the shuffle to one row per key per task).
+    ``tokens`` has ``key`` and ``delta``. Only the new side is aggregated; the old map is never
+    grouped: its rows whose key got a new token are dropped with an anti-join (AQE broadcasts the
+    changed keys when few), and the new rows are appended.
     """
     v = version if isinstance(version, Column) else F.lit(version).cast("bigint")
-    new = tokens.select("key", "delta", v.alias("version"))
-    return (ckpt.select("key", "delta", "version").unionByName(new)
-            .groupBy("key")
-            .agg(F.max_by(F.struct("delta", "version"), "version").alias("_w"))
-            .select("key", "_w.delta", "_w.version"))
+    new = latest_per_key(tokens.select("key", "delta", v.alias("version")))
+    kept = ckpt.select("key", "delta", "version").join(new.select("key"), on="key", how="left_anti")
+    return kept.unionByName(new)
 
 
 # ---- T6: bulk admin over the map -------------------------------------------------------------

@@ -7,9 +7,10 @@ Layout under ``root``::
 
 A sync run writes one small ``delta`` version with the tokens it changed, not a rewrite of the
 whole map: at a hundred million folder keys a full rewrite per micro-batch would dominate the
-job. Readers take the latest snapshot plus all later deltas and keep, per key, the row of the
-highest version (one aggregate with ``max_by``; partial aggregation keeps it to one row per key per
-task). ``compact`` folds the deltas into a new snapshot every so often.
+job. Readers take the latest snapshot plus all later deltas: the deltas (small) are reduced to the
+highest version per key, and snapshot rows whose key has a newer delta are dropped with an
+anti-join, so the snapshot itself is never aggregated or sorted. ``compact`` folds the deltas into
+a new snapshot every so often.
 
 A version is visible only once complete (the committer writes ``_SUCCESS`` last) and a version
 directory is never overwritten, so readers never see half a map and a replayed batch can tell
@@ -85,10 +86,10 @@ def scan_checkpoints(spark: SparkSession, root: str) -> DataFrame:
     later = [v for v in versions(spark, f"{root}/delta") if v > b]
     if not later:
         return snap
-    deltas = spark.read.schema(S.CHECKPOINT_DDL).parquet(*[f"{root}/delta/version={v}" for v in later])
-    return (snap.unionByName(deltas).groupBy("key")
-            .agg(F.max_by(F.struct("delta", "version"), "version").alias("_w"))
-            .select("key", "_w.delta", "_w.version"))
+    from mailsync.operators.state import latest_per_key
+    deltas = latest_per_key(
+        spark.read.schema(S.CHECKPOINT_DDL).parquet(*[f"{root}/delta/version={v}" for v in later]))
+    return snap.join(deltas.select("key"), on="key", how="left_anti").unionByName(deltas)
 
 
 def compact(spark: SparkSession, root: str) -> int | None:
