@@ -64,11 +64,15 @@ def chain_tokens(pages: DataFrame, chain: list[str]) -> DataFrame:
               .agg(F.count_distinct("page_no").alias("_pages"),
                    F.max(F.when(F.col("next_link").isNull(), F.col("page_no"))).alias("_last")))
     last = (p.filter(F.col("next_link").isNull())
-            .select(*chain, F.col("page_no").alias("_last"), F.col("delta_link").alias("new_delta"))
+            .select(*[F.col(c).alias(f"_l_{c}") for c in chain], F.col("page_no").alias("_l_last"),
+                    F.col("delta_link").alias("new_delta"))
             .distinct())
-    return (counts.filter(F.col("_last").isNotNull() & (F.col("_pages") == F.col("_last") + 1))
-            .join(last, on=[*chain, "_last"], how="inner")
-            .drop("_pages", "_last"))
+    done = counts.filter(F.col("_last").isNotNull() & (F.col("_pages") == F.col("_last") + 1))
+    cond = F.col("_last") == F.col("_l_last")
+    for c in chain:  # null-safe: a chain column may be null (e.g. the token of a bootstrap run)
+        cond = cond & F.col(c).eqNullSafe(F.col(f"_l_{c}"))
+    return (done.join(last, on=cond, how="inner")
+            .select(*chain, "new_delta"))
 
 
 def token_records(tokens: DataFrame, route: str, base_attrs: Column | None = None,
