@@ -159,3 +159,15 @@ def test_select_json_fields_keeps_only_listed(spark):
     df = spark.createDataFrame([('{"id":"1","subject":"s","importance":"high","isRead":true}',)], "c STRING")
     out = df.select(select_json_fields(F.col("c"), S.MESSAGE_DDL, "id, subject").alias("o")).collect()[0].o
     assert out == '{"id":"1","subject":"s"}'
+
+
+def test_last_page_without_delta_link_emits_no_token(spark):
+    from mailsync.operators.state import token_records
+    items = spark.range(0, 5).select(F.lit("u").alias("user_id"), F.col("id").alias("o"),
+                                     F.to_json(F.struct(F.col("id").alias("id"))).alias("item"))
+    chains = spark.createDataFrame([("u", None)], "user_id STRING, delta_link STRING")
+    pages = pack_pages(items, chains, ["user_id"], ["o"], 10, "folders")
+    toks = chain_tokens(pages, ["user_id"]).withColumn("key", F.lit("k")).withColumn("delta", F.lit("old"))
+    assert toks.count() == 1 and toks.collect()[0].new_delta is None
+    assert token_records(toks, C.ROUTE_SUCCESS).count() == 0
+    assert token_records(toks, C.ROUTE_DELTA, always=True).count() == 0
