@@ -174,6 +174,22 @@ UNION ALL SELECT CAST(event_id AS VARCHAR), 'office365_folder_id', event_type FR
 UNION ALL SELECT CAST(event_id AS VARCHAR), 'office365_delta', CAST(tok AS VARCHAR) FROM m
 UNION ALL SELECT CAST(event_id AS VARCHAR), 'office365_message_id', CAST(event_id AS VARCHAR) FROM m""",
 
+    "folders_delta_records": """WITH eu AS (SELECT DISTINCT user_id FROM events),
+f AS (SELECT o_custkey, o_orderstatus, max(o_orderkey) AS mx FROM orders
+      WHERE o_custkey IN (SELECT user_id FROM eu) GROUP BY 1, 2)
+SELECT 'Success' AS route, CAST(1 AS BIGINT) AS emit_seq, CAST(o_custkey AS VARCHAR) AS user_id,
+       o_orderstatus AS folder_id, CAST(NULL AS VARCHAR) AS token, 3 AS n_attrs FROM f
+UNION ALL SELECT 'Delta', 2, CAST(o_custkey AS VARCHAR), NULL, CAST(max(mx) AS VARCHAR), 1 FROM f GROUP BY o_custkey
+UNION ALL SELECT 'Failure', 1, NULL, NULL, NULL, 1""",
+
+    "users_delta_records": f"""SELECT 'Success' AS route, CAST(1 AS BIGINT) AS emit_seq, CAST(c_custkey AS VARCHAR) AS user_id,
+       CAST(NULL AS VARCHAR) AS token, 2 AS n_attrs
+FROM customer WHERE c_custkey > {USERS_TOKEN}
+UNION ALL
+SELECT 'Delta', 2, NULL, CAST(max(c_custkey) AS VARCHAR), 1 FROM customer WHERE c_custkey > {USERS_TOKEN}
+HAVING max(c_custkey) IS NOT NULL
+UNION ALL SELECT 'Original', 1, NULL, NULL, 1""",
+
     "users_scan": """SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS displayName, c_mktsegment AS jobTitle,
        CAST(c_nationkey AS VARCHAR) AS officeLocation FROM customer""",
 

@@ -179,6 +179,33 @@ def q_inherit_attrs(spark, d):
                        F.explode("attributes").alias("attr_key", "attr_value"))
 
 
+def _ckpt_records(spark, d, keep) -> DataFrame:
+    """Checkpoint rows as input records (user id parsed from the key when it has one)."""
+    ck = TV.checkpoints(spark, d).filter(keep)
+    pk = KY.parse_key(F.col("key"), want_folder=False)
+    a = P.attrs_of({C.ATTR_USER_ID: pk["user"], C.ATTR_DELTA: F.col("delta")})
+    return ck.select(F.lit(C.ROUTE_SUCCESS).alias("route"), a.alias("attributes"),
+                     F.lit("").alias("content"), F.lit(C.EMIT_ITEM).cast("bigint").alias("emit_seq"))
+
+
+def q_folders_delta_records(spark, d):
+    inputs = _ckpt_records(spark, d, ~F.col("key").startswith(C.KEY_MESSAGES_PREFIX + C.KEY_SEP))
+    recs, delta, failed = SY.sync_folders_from_records(TV.landed(spark, d, "folders"), inputs)
+    a = F.col("attributes")
+    return R.union_records(recs, delta, failed).select(
+        "route", "emit_seq", a[C.ATTR_USER_ID].alias("user_id"), a[C.ATTR_FOLDER_ID].alias("folder_id"),
+        F.when(F.col("route") == C.ROUTE_DELTA, F.col("content")).alias("token"), F.size(a).alias("n_attrs"))
+
+
+def q_users_delta_records(spark, d):
+    inputs = _ckpt_records(spark, d, F.col("key") == C.KEY_USERS)
+    recs, delta, originals = SY.sync_users_from_records(TV.landed(spark, d, "users"), inputs)
+    a = F.col("attributes")
+    return R.union_records(recs, delta, originals).select(
+        "route", "emit_seq", a[C.ATTR_USER_ID].alias("user_id"),
+        F.when(F.col("route") == C.ROUTE_DELTA, F.col("content")).alias("token"), F.size(a).alias("n_attrs"))
+
+
 # ---- users, folders, messages, attachments ---------------------------------------------------------
 
 def q_users_scan(spark, d):
@@ -564,6 +591,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "route_counts": q_route_counts,
     "original_route": q_original_route,
     "inherit_attrs": q_inherit_attrs,
+    "folders_delta_records": q_folders_delta_records,
+    "users_delta_records": q_users_delta_records,
     "users_scan": q_users_scan,
     "users_delta": q_users_delta,
     "bootstrap_users": q_bootstrap_users,

@@ -289,3 +289,56 @@ def _exists(spark, path: str) -> bool:
     from mailsync.sources.checkpoints import _fs
     p, fs = _fs(spark, path)
     return fs.exists(p)
+
+
+def sync_folders_from_records(pages: DataFrame, inputs: DataFrame,
+                              delta_attr: str = C.ATTR_DELTA) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """S3 (delta variant): every input record names a user and (in ``delta_attr``) a token.
+
+    F2: a record without a user id goes to ``Failure`` unchanged. Folder records inherit the
+    input attributes plus the folder id; the token goes to ``Delta`` on every run carrying only the
+    user id (T3). Returns ``(records, delta_records, failures)``.
+    """
+    ok = F.col("attributes")[C.ATTR_USER_ID].isNotNull()
+    failed = inputs.filter(~ok).select(F.lit(C.ROUTE_FAILURE).alias("route"), "attributes", "content",
+                                       "emit_seq")
+    work = work_from(inputs.filter(ok).select(
+        F.col("attributes")[C.ATTR_USER_ID].alias("user_id"),
+        F.col("attributes")[delta_attr].alias("delta"),
+        F.col("attributes").alias("input_attrs")))
+    chain = ["user_id", "request_token"]
+    sel = _select_chains(pages, "folders", work, chain)
+    items = flatten_pages(sel, chain + ["page_no", "input_attrs"])
+    a = inherit(F.col("input_attrs"), attrs_of({C.ATTR_FOLDER_ID: item_field("id")}))
+    records = items.select(*record(C.ROUTE_SUCCESS, a, F.col("item"), C.EMIT_ITEM))
+    tokens = chain_tokens(pages.filter(F.col("resource") == "folders")
+                          .join(work.select(*chain).distinct(), on=chain, how="left_semi"), chain)
+    delta = (tokens.join(work.select(*chain), on=chain, how="inner")
+             .filter(F.col("new_delta").isNotNull())
+             .select(*record(C.ROUTE_DELTA, attrs_of({C.ATTR_USER_ID: F.col("user_id")}), F.col("new_delta"),
+                             C.EMIT_TOKEN)))
+    return records, delta, failed
+
+
+def sync_users_from_records(pages: DataFrame, inputs: DataFrame,
+                            delta_attr: str = C.ATTR_DELTA) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """S2 (delta variant): every input record asks for the users from the token in ``delta_attr``.
+
+    User records inherit the input attributes plus the user id; a changed token goes to ``Delta``
+    inheriting all input attributes; each input also goes to ``Original`` (R4). Returns
+    ``(records, delta_records, originals)``.
+    """
+    work = work_from(inputs.select(F.col("attributes")[delta_attr].alias("delta"),
+                                   F.col("attributes").alias("input_attrs")))
+    sel = _select_chains(pages, "users", work, ["request_token"])
+    items = flatten_pages(sel, ["request_token", "page_no", "input_attrs"])
+    a = inherit(F.col("input_attrs"), attrs_of({C.ATTR_USER_ID: item_field("id")}))
+    records = items.select(*record(C.ROUTE_SUCCESS, a, F.col("item"), C.EMIT_ITEM))
+    tokens = chain_tokens(pages.filter(F.col("resource") == "users")
+                          .join(work.select("request_token").distinct(), on="request_token", how="left_semi"),
+                          ["request_token"])
+    delta = (tokens.join(work, on="request_token", how="inner")
+             .filter(token_changed(F.col("delta"), F.col("new_delta")))
+             .select(*record(C.ROUTE_DELTA, F.col("input_attrs"), F.col("new_delta"), C.EMIT_TOKEN)))
+    from mailsync.operators.routes import passthrough_original
+    return records, delta, passthrough_original(inputs)
