@@ -203,10 +203,11 @@ def land_users(spark, sf_dir, ckpt: DataFrame | None = None) -> DataFrame:
     u = users(spark, sf_dir)
     ck = ckpt if ckpt is not None else checkpoints(spark, sf_dir)
     utok = ck.filter(F.col("key") == C.KEY_USERS).select(F.col("delta").alias("request_token"))
+    tok = utok.select(F.max("request_token")).scalar()  # at most one users key: a scalar subquery
     item = _json(F.col("id"), F.col("displayName"), F.col("jobTitle"), F.col("officeLocation"))
     full_items = u.select(F.lit("").alias("request_token"), "custkey", item.alias("item"))
-    delta_items = (u.join(utok, F.col("custkey") > F.col("request_token").cast("bigint"), "inner")
-                   .select("request_token", "custkey", item.alias("item")))
+    delta_items = (u.filter(F.col("custkey") > tok.cast("bigint"))
+                   .select(tok.alias("request_token"), "custkey", item.alias("item")))
     items = full_items.unionByName(delta_items)
     asked = spark.range(1).select(F.lit("").alias("request_token")).unionByName(utok)
     last = items.groupBy("request_token").agg(F.max("custkey").cast("string").alias("_max"))
