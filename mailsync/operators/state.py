@@ -54,12 +54,13 @@ def chain_tokens(pages: DataFrame, chain: list[str]) -> DataFrame:
 
     The link is read only on the page with no next page. A chain yields a token only when that
     last page and every page before it have landed (distinct page numbers = last + 1), so a
-    partly landed chain holds its token back. Duplicated (replayed) pages are counted once.
+    partly landed chain holds its token back. Duplicated (replayed) pages are counted once, and a
+    page whose body does not parse counts as missing.
 
     Two hash aggregates with fixed-width buffers (page counts per chain; the last pages, distinct)
     joined on (chain, last page): no sort-based aggregation over the pages.
     """
-    p = with_links(pages)
+    p = with_links(pages).filter(F.col("page_ok"))  # a page that does not parse does not count
     counts = (p.groupBy(*chain)
               .agg(F.count_distinct("page_no").alias("_pages"),
                    F.max(F.when(F.col("next_link").isNull(), F.col("page_no"))).alias("_last")))

@@ -24,7 +24,7 @@ from mailsync.functions.fields import attachment_attrs, attrs_of, inherit
 from mailsync.functions.keys import filter_keys, folders_key, messages_key, parse_key
 from mailsync.operators.routes import error_records, record, union_records
 from mailsync.operators.state import bootstrap, chain_tokens, token_records, work_from
-from mailsync.sources.pages import flatten_pages, item_field
+from mailsync.sources.pages import flatten_pages, item_field, with_links
 
 
 def _base(input_attrs: dict | None) -> Column:
@@ -38,6 +38,16 @@ def _select_chains(pages: DataFrame, resource: str, work: DataFrame, chain: list
     return p.join(work, on=chain, how="inner")
 
 
+def bad_pages(sel: DataFrame, chain: list[str]) -> DataFrame:
+    """Pages whose body is not a JSON page (the API client would have failed on them): one
+    ``Failure`` record each, naming the chain and page. Such a chain never completes, so its token
+    is held back and the next run asks again from the old token."""
+    bad = with_links(sel).filter(~F.col("page_ok"))
+    a = attrs_of({**{f"office365_{c}": F.col(c) for c in chain}, "page_no": F.col("page_no")})
+    return error_records(bad.select(a.alias("attributes"), F.col("body").alias("content")),
+                         F.lit("page body is not JSON"), "JsonParseException", keep_attrs=True)
+
+
 def _bad_keys(work: DataFrame) -> DataFrame:
     failed = work.filter(~F.col("key_ok"))
     return error_records(failed.select(F.lit("").alias("content"), "key"),
@@ -92,7 +102,7 @@ def sync_messages(pages: DataFrame, ckpt: DataFrame, pattern: str = C.REGEX_MESS
     records = message_records(sel, input_attrs, route)
     tokens = message_tokens(sel)
     tok_records = token_records(tokens, route, _base(input_attrs), always=always_emit_token)
-    return union_records(records, tok_records), tokens, _bad_keys(work)
+    return union_records(records, tok_records), tokens, union_records(_bad_keys(work), bad_pages(sel, MESSAGE_CHAIN))
 
 
 def message_items(pages: DataFrame, ckpt: DataFrame, pattern: str = C.REGEX_MESSAGES_DEFAULT) -> DataFrame:

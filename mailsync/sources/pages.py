@@ -43,16 +43,19 @@ def parse_body(body="body") -> Column:
     return F.from_json(b, S.PAGE_BODY_DDL)
 
 
-LINKS_DDL = "`@odata.nextLink` STRING, `@odata.deltaLink` STRING"
+LINKS_DDL = "`@odata.nextLink` STRING, `@odata.deltaLink` STRING, _corrupt STRING"
 
 
 def with_links(pages: DataFrame) -> DataFrame:
-    """Adds ``next_link`` and ``delta_link`` read from the body in one pass that skips the item
-    list (only the two link fields are in the schema, so the items are never materialised)."""
-    p = F.from_json(F.col("body"), LINKS_DDL)
+    """Adds ``next_link``, ``delta_link`` and ``page_ok`` read from the body in one pass that skips
+    the item list (only the link fields are in the schema, so the items are never materialised).
+    ``page_ok`` is false for a null body or one that is not JSON (its text lands in the corrupt
+    record column of the same parse)."""
+    p = F.from_json(F.col("body"), LINKS_DDL, {"columnNameOfCorruptRecord": "_corrupt"})
     return (pages.withColumn("_page", p)
             .withColumn("next_link", F.col("_page").getField(C.NEXT_LINK))
             .withColumn("delta_link", F.col("_page").getField(C.DELTA_LINK))
+            .withColumn("page_ok", F.col("_page").isNotNull() & F.col("_page._corrupt").isNull())
             .drop("_page"))
 
 

@@ -171,3 +171,16 @@ def test_last_page_without_delta_link_emits_no_token(spark):
     assert toks.count() == 1 and toks.collect()[0].new_delta is None
     assert token_records(toks, C.ROUTE_SUCCESS).count() == 0
     assert token_records(toks, C.ROUTE_DELTA, always=True).count() == 0
+
+
+def test_corrupt_page_fails_and_holds_token(spark):
+    pages = TV.land_changes(spark, SF_SMALL)
+    work = Q._changes_work(spark, SF_SMALL)
+    victim = pages.select("user_id", "folder_id", "request_token").limit(1).collect()[0]
+    hit = ((F.col("user_id") == victim.user_id) & (F.col("folder_id") == victim.folder_id)
+           & (F.col("page_no") == 0))
+    broken = pages.withColumn("body", F.when(hit, F.lit('{"value": [oops')).otherwise(F.col("body")))
+    _, good_toks, _ = SY.sync_messages(pages, work)
+    _, toks, failed = SY.sync_messages(broken, work)
+    assert failed.filter(F.col("attributes")[C.ATTR_ERROR] == "page body is not JSON").count() == 1
+    assert toks.count() == good_toks.count() - 1  # that folder's token is held back
