@@ -10,7 +10,9 @@ Scale notes:
   key): broadcast when AQE measures the work side small, sort-merge otherwise, and AQE splits a
   skewed chain's partitions; the pages are flattened only after this selection;
 * the ``resource`` filter is a partition filter on a landing partitioned by resource;
-* token detection is one aggregate per chain with partial aggregation (no window, no sort).
+* token detection is two hash aggregates per chain (page count, last page) and a join, with
+  partial aggregation; no window and no sort-based aggregate;
+* a page that does not parse goes to ``Failure`` (``bad_pages``) and keeps its chain incomplete.
 """
 
 from __future__ import annotations
@@ -163,7 +165,7 @@ def sync_folders(pages: DataFrame, ckpt: DataFrame, pattern: str = C.REGEX_FOLDE
     records = items.select(*record(route, inherit(base, a), F.col("item"), C.EMIT_ITEM))
     tokens = chain_tokens(sel.select(*chain, "key", "delta", "page_no", "body"), chain + ["key", "delta"])
     recs = union_records(records, token_records(tokens, route, base, always=always_emit_token))
-    return recs, tokens, _bad_keys(work)
+    return recs, tokens, union_records(_bad_keys(work), bad_pages(sel, chain))
 
 
 def scan_message_records(pages: DataFrame, route: str = C.ROUTE_SUCCESS_MESSAGES) -> DataFrame:
@@ -235,7 +237,7 @@ def sync_messages_from_records(pages: DataFrame, inputs: DataFrame,
     delta = tokens.filter(F.col("new_delta").isNotNull()).select(
         *record(C.ROUTE_DELTA, attrs_of({C.ATTR_USER_ID: F.col("user_id"), C.ATTR_FOLDER_ID: F.col("folder_id")}),
                 F.col("new_delta"), C.EMIT_TOKEN))
-    return records, delta, failed
+    return records, delta, union_records(failed, bad_pages(sel, chain))
 
 
 # ---- the whole cache-driven sync (3.1): users -> folders -> messages -> attachments -----------------
@@ -327,7 +329,7 @@ def sync_folders_from_records(pages: DataFrame, inputs: DataFrame,
              .filter(F.col("new_delta").isNotNull())
              .select(*record(C.ROUTE_DELTA, attrs_of({C.ATTR_USER_ID: F.col("user_id")}), F.col("new_delta"),
                              C.EMIT_TOKEN)))
-    return records, delta, failed
+    return records, delta, union_records(failed, bad_pages(sel, chain))
 
 
 def sync_users_from_records(pages: DataFrame, inputs: DataFrame,
