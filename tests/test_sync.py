@@ -184,3 +184,14 @@ def test_corrupt_page_fails_and_holds_token(spark):
     _, toks, failed = SY.sync_messages(broken, work)
     assert failed.filter(F.col("attributes")[C.ATTR_ERROR] == "page body is not JSON").count() == 1
     assert toks.count() == good_toks.count() - 1  # that folder's token is held back
+
+
+def test_paging_keeps_null_keys(spark):
+    items = spark.range(0, 25).select(
+        F.when(F.col("id") < 12, F.lit(None)).otherwise(F.lit("u")).cast("string").alias("user_id"),
+        F.col("id").alias("o"), F.to_json(F.struct(F.col("id").alias("id"))).alias("item"))
+    r = rank_within(items, ["user_id"], ["o"])
+    assert r.count() == 25
+    chains = spark.createDataFrame([(None, "a"), ("u", "b")], "user_id STRING, delta_link STRING")
+    pages = pack_pages(items, chains, ["user_id"], ["o"], 5, "folders")
+    assert flatten_pages(pages).count() == 25
