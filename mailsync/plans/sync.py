@@ -12,7 +12,8 @@ Scale notes:
 * the ``resource`` filter is a partition filter on a landing partitioned by resource;
 * token detection is two hash aggregates per chain (page count, last page) and a join, with
   partial aggregation; no window and no sort-based aggregate;
-* a page that does not parse goes to ``Failure`` (``bad_pages``) and keeps its chain incomplete.
+* a page that does not parse keeps its chain incomplete; ``bad_pages`` reports such pages once,
+  where pages land.
 """
 
 from __future__ import annotations
@@ -40,11 +41,15 @@ def _select_chains(pages: DataFrame, resource: str, work: DataFrame, chain: list
     return p.join(work, on=chain, how="inner")
 
 
-def bad_pages(sel: DataFrame, chain: list[str]) -> DataFrame:
-    """Pages whose body is not a JSON page (the API client would have failed on them): one
-    ``Failure`` record each, naming the chain and page. Such a chain never completes, so its token
-    is held back and the next run asks again from the old token."""
-    bad = with_links(sel).filter(~F.col("page_ok"))
+def bad_pages(pages: DataFrame, chain: list[str] | None = None) -> DataFrame:
+    """Landing validation: pages whose body is not a JSON page (the API client would have failed
+    on them), one ``Failure`` record each naming the chain and page.
+
+    Run once where pages land, not inside every sync: the syncs already treat such a page as
+    missing (its chain never completes, so its token is held back and the next run asks again
+    from the old token), and a second parse of every page per sync would cost a full pass."""
+    chain = chain or ["resource", "user_id", "folder_id", "message_id", "request_token"]
+    bad = with_links(pages).filter(~F.col("page_ok"))
     a = attrs_of({**{f"office365_{c}": F.col(c) for c in chain}, "page_no": F.col("page_no")})
     return error_records(bad.select(a.alias("attributes"), F.col("body").alias("content")),
                          F.lit("page body is not JSON"), "JsonParseException", keep_attrs=True)
@@ -104,7 +109,7 @@ def sync_messages(pages: DataFrame, ckpt: DataFrame, pattern: str = C.REGEX_MESS
     records = message_records(sel, input_attrs, route)
     tokens = message_tokens(sel)
     tok_records = token_records(tokens, route, _base(input_attrs), always=always_emit_token)
-    return union_records(records, tok_records), tokens, union_records(_bad_keys(work), bad_pages(sel, MESSAGE_CHAIN))
+    return union_records(records, tok_records), tokens, _bad_keys(work)
 
 
 def message_items(pages: DataFrame, ckpt: DataFrame, pattern: str = C.REGEX_MESSAGES_DEFAULT) -> DataFrame:
@@ -165,7 +170,7 @@ def sync_folders(pages: DataFrame, ckpt: DataFrame, pattern: str = C.REGEX_FOLDE
     records = items.select(*record(route, inherit(base, a), F.col("item"), C.EMIT_ITEM))
     tokens = chain_tokens(sel.select(*chain, "key", "delta", "page_no", "body"), chain + ["key", "delta"])
     recs = union_records(records, token_records(tokens, route, base, always=always_emit_token))
-    return recs, tokens, union_records(_bad_keys(work), bad_pages(sel, chain))
+    return recs, tokens, _bad_keys(work)
 
 
 def scan_message_records(pages: DataFrame, route: str = C.ROUTE_SUCCESS_MESSAGES) -> DataFrame:
@@ -237,7 +242,7 @@ def sync_messages_from_records(pages: DataFrame, inputs: DataFrame,
     delta = tokens.filter(F.col("new_delta").isNotNull()).select(
         *record(C.ROUTE_DELTA, attrs_of({C.ATTR_USER_ID: F.col("user_id"), C.ATTR_FOLDER_ID: F.col("folder_id")}),
                 F.col("new_delta"), C.EMIT_TOKEN))
-    return records, delta, union_records(failed, bad_pages(sel, chain))
+    return records, delta, failed
 
 
 # ---- the whole cache-driven sync (3.1): users -> folders -> messages -> attachments -----------------
@@ -269,15 +274,15 @@ def sync_tenant(pages: DataFrame, ckpt: DataFrame, out_dir: str | None = None,
     base = ckpt.select("key", "delta")
 
     def level(name: str, recs: DataFrame, tokens: DataFrame | None, failed: DataFrame | None):
-        write_records(recs, f"{out}/records/level={name}")
+        # records and failures of a level in one write (failures under route=Failure)
+        write_records(union_records(recs, failed) if failed is not None else recs,
+                      f"{out}/records/level={name}")
         if tokens is not None:
             new_tokens(tokens).write.parquet(f"{out}/tokens/level={name}")
-        if failed is not None:
-            write_records(failed, f"{out}/failures/level={name}")
         return read_records(spark, f"{out}/records/level={name}")
 
     def child_keys(recs: DataFrame) -> DataFrame:
-        return recs.filter(F.col("emit_seq") == C.EMIT_ITEM).select(
+        return recs.filter((F.col("route") != C.ROUTE_FAILURE) & (F.col("emit_seq") == C.EMIT_ITEM)).select(
             F.col("attributes")[C.ATTR_CACHE_KEY].alias("key"))
 
     users, user_tokens = sync_users(pages, base, input_attrs=input_attrs)
@@ -288,21 +293,16 @@ def sync_tenant(pages: DataFrame, ckpt: DataFrame, out_dir: str | None = None,
     messages, message_tokens_, message_fail = sync_messages(
         pages, base.unionByName(seed_work(child_keys(folders), base)), input_attrs=input_attrs)
     messages = level("messages", messages, message_tokens_, message_fail)
-    level("attachments", expand_attachments(messages, pages), None, None)
+    level("attachments", expand_attachments(messages.filter(F.col("route") != C.ROUTE_FAILURE), pages),
+          None, None)
 
-    records = read_records(spark, f"{out}/records")
+    written = read_records(spark, f"{out}/records")
+    records = written.filter(F.col("route") != C.ROUTE_FAILURE)
+    failures = written.filter(F.col("route") == C.ROUTE_FAILURE)
     tokens = spark.read.parquet(f"{out}/tokens").select("key", "delta")
-    failures = (read_records(spark, f"{out}/failures") if _exists(spark, f"{out}/failures")
-                else spark.createDataFrame([], "route STRING, attributes MAP<STRING,STRING>, content STRING, emit_seq BIGINT"))
     return records, tokens, failures
 
 
-def _exists(spark, path: str) -> bool:
-    from mailsync.sources.checkpoints import _fs
-    p, fs = _fs(spark, path)
-    return fs.exists(p)
-
-
 def sync_folders_from_records(pages: DataFrame, inputs: DataFrame,
                               delta_attr: str = C.ATTR_DELTA) -> tuple[DataFrame, DataFrame, DataFrame]:
     """S3 (delta variant): every input record names a user and (in ``delta_attr``) a token.
@@ -329,7 +329,7 @@ def sync_folders_from_records(pages: DataFrame, inputs: DataFrame,
              .filter(F.col("new_delta").isNotNull())
              .select(*record(C.ROUTE_DELTA, attrs_of({C.ATTR_USER_ID: F.col("user_id")}), F.col("new_delta"),
                              C.EMIT_TOKEN)))
-    return records, delta, union_records(failed, bad_pages(sel, chain))
+    return records, delta, failed
 
 
 def sync_users_from_records(pages: DataFrame, inputs: DataFrame,

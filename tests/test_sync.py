@@ -181,7 +181,8 @@ def test_corrupt_page_fails_and_holds_token(spark):
            & (F.col("page_no") == 0))
     broken = pages.withColumn("body", F.when(hit, F.lit('{"value": [oops')).otherwise(F.col("body")))
     _, good_toks, _ = SY.sync_messages(pages, work)
-    _, toks, failed = SY.sync_messages(broken, work)
+    _, toks, _ = SY.sync_messages(broken, work)
+    failed = SY.bad_pages(broken)
     assert failed.filter(F.col("attributes")[C.ATTR_ERROR] == "page body is not JSON").count() == 1
     assert toks.count() == good_toks.count() - 1  # that folder's token is held back
 
