@@ -211,3 +211,14 @@ def test_second_run_after_upsert_picks_up_nothing_old(spark):
     unchanged = toks.filter(F.col("new_delta") == F.col("delta")).count()
     assert toks2.count() == unchanged
     assert again.filter(F.col("emit_seq") == C.EMIT_TOKEN).count() == 0
+
+
+def test_tenant_sync_routes_bad_keys_to_failure(spark):
+    pages = TV.landed_all(spark, SF_SMALL)
+    ck = TV.checkpoints(spark, SF_SMALL).select("key", "delta").unionByName(
+        spark.createDataFrame([("O365_messages|7|", ""), ("O365_folders|", "")], "key STRING, delta STRING"))
+    recs, toks, failures = SY.sync_tenant(pages, ck)
+    assert failures.count() == 2
+    assert {r.route for r in recs.select("route").distinct().collect()} == {
+        C.ROUTE_SUCCESS, C.ROUTE_SUCCESS_MESSAGES, C.ROUTE_SUCCESS_ATTACHMENTS}
+    assert toks.filter(F.col("key").isNull() | F.col("delta").isNull()).count() == 0
