@@ -4,10 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from mailsync.llm.frames import documents
 from mailsync.llm.quality import quality_rules
+from mailsync.llm.tokens import count_tokens
+
+TOKEN_LIMIT = 512
+
+
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = count_tokens(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
 
 
 def op6_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +27,7 @@ def op6_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_token_counts": op2_token_counts,
     "op6_quality_divergence": op6_quality_divergence,
 }
 
