@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mailsync.llm.frames import documents
+from mailsync.llm.packing import pack_documents
 from mailsync.llm.quality import quality_rules
 from mailsync.llm.tokens import count_tokens
 
@@ -20,6 +21,10 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
 
 
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op6_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(documents(spark, sf_dir)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
@@ -28,6 +33,7 @@ def op6_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
+    "op5_best_fit_packing": op5_best_fit_packing,
     "op6_quality_divergence": op6_quality_divergence,
 }
 
