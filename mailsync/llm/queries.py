@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mailsync.llm.frames import documents
+from mailsync.llm.language import predict_languages
 from mailsync.llm.packing import pack_documents
 from mailsync.llm.quality import quality_rules
 from mailsync.llm.tokens import count_tokens
@@ -16,6 +17,10 @@ from mailsync.llm.tokens import count_tokens
 TOKEN_LIMIT = 512
 
 
+def op1_language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return predict_languages(documents(spark, sf_dir)).select("doc_id", "held_out", "lang_pred", "score", "n_spans")
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = count_tokens(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
@@ -32,6 +37,7 @@ def op6_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_spans": op1_language_spans,
     "op2_token_counts": op2_token_counts,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_quality_divergence": op6_quality_divergence,
