@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mailsync.llm.exact_dedup import exact_dedup
 from mailsync.llm.frames import documents
 from mailsync.llm.language import predict_languages
 from mailsync.llm.packing import pack_documents
@@ -26,6 +27,10 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
 
 
+def op4_streaming_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup(documents(spark, sf_dir))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -39,8 +44,17 @@ def op6_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_spans": op1_language_spans,
     "op2_token_counts": op2_token_counts,
+    "op4_streaming_exact_dedup": op4_streaming_exact_dedup,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_quality_divergence": op6_quality_divergence,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_streaming_exact_dedup": r"""
+WITH t AS (
+    SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256
+    FROM documents)
+SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = min(doc_id) OVER g AS kept,
+       text_sha256
+FROM t WINDOW g AS (PARTITION BY text_sha256)""",
+}
