@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from mailsync.llm.exact_dedup import exact_dedup
 from mailsync.llm.frames import documents
 from mailsync.llm.language import predict_languages
+from mailsync.llm.line_dedup import apply_bitmaps, line_bitmaps
 from mailsync.llm.packing import pack_documents
 from mailsync.llm.quality import quality_rules
 from mailsync.llm.tokens import count_tokens
@@ -27,6 +28,12 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return apply_bitmaps(docs, line_bitmaps(docs)).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op4_streaming_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir))
 
@@ -44,12 +51,26 @@ def op6_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_spans": op1_language_spans,
     "op2_token_counts": op2_token_counts,
+    "op3_line_dedup": op3_line_dedup,
     "op4_streaming_exact_dedup": op4_streaming_exact_dedup,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_quality_divergence": op6_quality_divergence,
 }
 
 ORACLES: dict[str, str] = {
+    "op3_line_dedup": r"""
+WITH split AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+flat AS (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS n FROM split),
+keyed AS (
+    SELECT *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+                        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS line_key
+    FROM flat),
+frequent AS (
+    SELECT line_key, max(doc_id) AS top FROM keyed WHERE length(line_key) >= 20
+    GROUP BY line_key HAVING count(DISTINCT doc_id) >= 3)
+SELECT k.doc_id, count(*) AS n_lines, count(*) FILTER (f.top IS NOT NULL AND k.doc_id <> f.top) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (f.top IS NULL OR k.doc_id = f.top), '')) AS kept_sha256
+FROM keyed k LEFT JOIN frequent f USING (line_key) GROUP BY k.doc_id""",
     "op4_streaming_exact_dedup": r"""
 WITH t AS (
     SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256
