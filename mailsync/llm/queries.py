@@ -13,6 +13,7 @@ from mailsync.llm.frames import documents
 from mailsync.llm.language import predict_languages
 from mailsync.llm.line_dedup import apply_bitmaps, line_bitmaps
 from mailsync.llm.packing import pack_documents
+from mailsync.llm.personal_data import personal_data
 from mailsync.llm.quality import quality_rules
 from mailsync.llm.tokens import count_tokens
 
@@ -48,6 +49,10 @@ def op6_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
         "class_distance", "word_distance")
 
 
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_spans": op1_language_spans,
     "op2_token_counts": op2_token_counts,
@@ -55,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_streaming_exact_dedup": op4_streaming_exact_dedup,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_quality_divergence": op6_quality_divergence,
+    "op9_personal_data": op9_personal_data,
 }
 
 ORACLES: dict[str, str] = {
