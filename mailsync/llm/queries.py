@@ -12,6 +12,7 @@ from mailsync.llm.exact_dedup import exact_dedup
 from mailsync.llm.frames import documents
 from mailsync.llm.language import predict_languages
 from mailsync.llm.line_dedup import apply_bitmaps, line_bitmaps
+from mailsync.llm.mixing import mix, mix_sql
 from mailsync.llm.packing import pack_documents
 from mailsync.llm.personal_data import personal_data
 from mailsync.llm.quality import quality_rules
@@ -49,6 +50,10 @@ def op6_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
         "class_distance", "word_distance")
 
 
+def op8_rake_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(documents(spark, sf_dir))
+
+
 def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data(documents(spark, sf_dir))
 
@@ -60,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_streaming_exact_dedup": op4_streaming_exact_dedup,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_quality_divergence": op6_quality_divergence,
+    "op8_rake_mixture": op8_rake_mixture,
     "op9_personal_data": op9_personal_data,
 }
 
@@ -84,4 +90,5 @@ WITH t AS (
 SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = min(doc_id) OVER g AS kept,
        text_sha256
 FROM t WINDOW g AS (PARTITION BY text_sha256)""",
+    "op8_rake_mixture": mix_sql(),
 }
