@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from mailsync.llm.exact_dedup import exact_dedup
 from mailsync.llm.frames import documents
 from mailsync.llm.language import predict_languages
+from mailsync.llm.license_scan import scan_licenses, scan_sql
 from mailsync.llm.line_dedup import apply_bitmaps, line_bitmaps
 from mailsync.llm.mixing import mix, mix_sql
 from mailsync.llm.packing import pack_documents
@@ -58,6 +59,10 @@ def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data(documents(spark, sf_dir))
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_spans": op1_language_spans,
     "op2_token_counts": op2_token_counts,
@@ -67,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_quality_divergence": op6_quality_divergence,
     "op8_rake_mixture": op8_rake_mixture,
     "op9_personal_data": op9_personal_data,
+    "op10_license_scan": op10_license_scan,
 }
 
 ORACLES: dict[str, str] = {
@@ -91,4 +97,5 @@ SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc
        text_sha256
 FROM t WINDOW g AS (PARTITION BY text_sha256)""",
     "op8_rake_mixture": mix_sql(),
+    "op10_license_scan": scan_sql(),
 }
