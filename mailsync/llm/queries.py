@@ -14,6 +14,7 @@ from mailsync.llm.language import predict_languages
 from mailsync.llm.license_scan import scan_licenses, scan_sql
 from mailsync.llm.line_dedup import apply_bitmaps, line_bitmaps
 from mailsync.llm.mixing import mix, mix_sql
+from mailsync.llm.near_dup import near_duplicates
 from mailsync.llm.packing import pack_documents
 from mailsync.llm.personal_data import personal_data
 from mailsync.llm.quality import quality_rules
@@ -51,6 +52,10 @@ def op6_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
         "class_distance", "word_distance")
 
 
+def op7_hamming_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(documents(spark, sf_dir)).withColumn("kept", F.col("doc_id") == F.col("component_id"))
+
+
 def op8_rake_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(documents(spark, sf_dir))
 
@@ -70,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_streaming_exact_dedup": op4_streaming_exact_dedup,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_quality_divergence": op6_quality_divergence,
+    "op7_hamming_near_duplicates": op7_hamming_near_duplicates,
     "op8_rake_mixture": op8_rake_mixture,
     "op9_personal_data": op9_personal_data,
     "op10_license_scan": op10_license_scan,
