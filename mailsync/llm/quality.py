@@ -55,7 +55,8 @@ _NOT_LETTER[ord("A"):ord("Z") + 1] = False
 _NOT_LETTER[128:] = False
 _LINE_END = np.arange(256) == 0x0A
 
-ALL = ""  # the reference of all documents together; no language value is the empty string
+ALL = "(all)"    # the reference of all documents together
+NONE = "(none)"  # documents without a language: only in the reference of all
 
 
 def _histograms(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -76,13 +77,15 @@ def _count_languages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         langs = batch.column("lang").to_pylist()
         for s, e in T.blocks(offsets, BLOCK_BYTES):
             classes, buckets, at = _histograms(raw[offsets[s]:offsets[e]], offsets[s:e + 1] - offsets[s])
-            values, index = np.unique(np.array([x or ALL for x in langs[s:e]], dtype=object), return_inverse=True)
+            values, index = np.unique(np.array([x or NONE for x in langs[s:e]], dtype=object), return_inverse=True)
             owner = np.repeat(index, np.diff(at))
             words = np.bincount(owner * WORD_BUCKETS + buckets, minlength=len(values) * WORD_BUCKETS)
             for k, lang in enumerate(values):
                 total = totals.setdefault(lang, np.zeros(width, np.int64))
                 total[:WORD_BUCKETS] += words[k * WORD_BUCKETS:(k + 1) * WORD_BUCKETS]
                 total[WORD_BUCKETS:] += classes[index == k].sum(axis=0)
+    if totals:
+        totals[ALL] = sum(totals.values())
     for lang, total in totals.items():
         bins = np.flatnonzero(total)
         yield pa.RecordBatch.from_pydict({"lang": pa.array([lang] * len(bins), pa.string()),
@@ -93,9 +96,7 @@ def language_references(docs: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarr
     """By language: class shares, the common word buckets, and their shares with the rest's last."""
     counts = (docs.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
               .mapInArrow(_count_languages, "lang string, bin long, n long"))
-    own = counts.groupBy("lang", "bin").agg(F.sum("n").alias("n"))
-    both = (own.filter(F.col("lang") != ALL).union(own.select(F.lit(ALL).alias("lang"), "bin", "n"))
-            .groupBy("lang", "bin").agg(F.sum("n").alias("n")))
+    both = counts.filter(F.col("lang") != NONE).groupBy("lang", "bin").agg(F.sum("n").alias("n"))
     is_word = F.col("bin") < WORD_BUCKETS
     of_lang = Window.partitionBy("lang", is_word)
     top = (both.withColumn("total", F.sum("n").over(of_lang))
@@ -203,6 +204,13 @@ def measure(raw: np.ndarray, offsets: np.ndarray, langs: list, references: dict)
                   "class_distance": class_distance, "word_distance": word_distance}
 
 
+def _parts(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, list]]:
+    raw, offsets = T.text_bytes(batch.column("text"))
+    langs = batch.column("lang").to_pylist()
+    for s, e in T.blocks(offsets, BLOCK_BYTES):
+        yield s, e, raw[offsets[s]:offsets[e]], offsets[s:e + 1] - offsets[s], langs[s:e]
+
+
 SCHEMA = ("doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
           "base_failed boolean, kept boolean, class_distance double, word_distance double")
 
@@ -214,13 +222,25 @@ def quality_rules(docs: DataFrame) -> DataFrame:
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raw, offsets = T.text_bytes(batch.column("text"))
-            langs = batch.column("lang").to_pylist()
-            for s, e in T.blocks(offsets, BLOCK_BYTES):
-                found = measure(raw[offsets[s]:offsets[e]], offsets[s:e + 1] - offsets[s], langs[s:e], references)
+            for s, e, *part in _parts(batch):
+                found = measure(*part, references)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(s, e - s), *(pa.array(found[x]) for x in names[1:])], names)
 
     return (docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"),
                         F.col("lang").cast("string").alias("lang"))
             .mapInArrow(judge, SCHEMA))
+
+
+def good_documents(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that the rules keep, columns unchanged."""
+    references = language_references(docs)
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text").cast("string").alias("text"),
+                        F.col("lang").cast("string").alias("lang"))
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = np.concatenate([measure(*part, references)["kept"] for _, _, *part in _parts(batch)] or [np.zeros(0, bool)])
+            yield batch.select(["row"]).filter(pa.array(kept))
+
+    return whole.mapInArrow(keep, whole.select("row").schema).select("row.*")
