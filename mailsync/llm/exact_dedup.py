@@ -32,6 +32,7 @@ from mailsync.llm.frames import written
 from mailsync.session import scratch_path
 
 SALT_ROWS = 256
+BROADCAST_GROUPS = 100_000  # 20 MB of digests that were met again; more are joined by a shuffle
 LAST_ID = (1 << 63) - 1  # stands for a null doc_id in comparisons
 FILES_PER_BATCH = 1000
 STATE_CONF = {
@@ -39,6 +40,7 @@ STATE_CONF = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "200",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",  # else 4 MB of disk per state partition
 }
 LANDED = "doc_id long, digest string, n_bytes long, locator long"
 FIRST = "struct<id:long,locator:long,doc_id:long>"
@@ -92,9 +94,12 @@ def settle(landed: DataFrame, groups: DataFrame) -> DataFrame:
     """Every landed row with its group after comparing the full bytes of all hits."""
     keys = ["digest", "n_bytes"]
     rows = landed.select("locator", "doc_id", *keys, "text_sha256").join(groups, keys)
-    hits = (landed.select("locator", *keys, normal_text(F.col("row.text")).alias("text"))
-            .join(groups.filter("n > 1"), keys)
-            .withColumn("salts", F.ceil(F.col("n") / SALT_ROWS)))
+    met_again = groups.filter("n > 1")
+    if met_again.count() <= BROADCAST_GROUPS:
+        met_again = F.broadcast(met_again)
+    hits = written(landed.join(met_again, keys)
+                   .select("locator", *keys, "first", F.ceil(F.col("n") / SALT_ROWS).alias("salts"),
+                           normal_text(F.col("row.text")).alias("text")), "op4-hits")
     firsts = (hits.filter("locator = first.locator")
               .select(*keys, F.col("text").alias("first_text"), F.explode(F.expr("sequence(0L, salts - 1)")).alias("salt")))
     copies = (hits.filter("locator != first.locator")
