@@ -5,8 +5,9 @@ is longer than a sequence. ``pack`` deals the pieces to partitions of about ``GR
 packed by best-fit decreasing. For each partition the largest of two families of dual feasible
 functions gives a lower bound of its number of sequences; where the packing meets the bound, it is
 certified as optimal and final. Partitions with a gap close their full sequences and release the
-pieces of all others; released pieces are exchanged (dealt anew among fewer partitions) and packed
-again. A round's packing is taken only if it needs fewer sequences than the one before.
+pieces of all others; released pieces are exchanged (dealt anew among fewer partitions, which may
+hold twice as many pieces in each round, ``GROUP << (ROUNDS - 1)`` at most) and packed again. A
+round's packing is taken only if it needs fewer sequences than the one before.
 
 Plan: texts are read once; from then on only rows of a few numbers move. A partition holds a bounded
 number of pieces whatever the sizes of sources or documents, as pieces are dealt by row number.
@@ -140,13 +141,13 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, group: int = GROUP, rounds
     out_columns = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
     loose, settled, before = numbered, None, None
     for round_no in range(rounds):
-        groups = max(1, -(-loose.count() // group))
+        groups = max(1, -(-loose.count() // (group << round_no)))
         dealt = loose.select("doc_id", "piece", "start", "length", "ids_crc32", "row",
                              F.pmod(F.xxhash64("row", F.lit(round_no)), F.lit(groups)).alias("grp"))
         packed = written(dealt.groupBy("grp").applyInPandas(_pack_group(capacity, round_no), packed_schema), "op5-packed")
         n = packed.agg(F.count_distinct("sequence_id")).first()[0]
         if before is not None and n >= before:
-            break
+            continue
         done = packed.filter("final").select(out_columns)
         settled = done if settled is None else settled.union(done)
         loose = packed.filter(~F.col("final"))
