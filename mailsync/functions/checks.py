@@ -12,6 +12,11 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def is_blank(text) -> Column:
+    """Null, empty, or only white space and control characters (tab, newline and the like included)."""
+    return F.coalesce(_col(text), F.lit("")).rlike(r"\A[\x00-\x20\p{Z}]*\z")
+
+
 def has_attrs(attributes, names) -> Column:
     """true when every named attribute is present (not null)."""
     cond = F.lit(True)
@@ -28,7 +33,7 @@ def require_attrs(records: DataFrame, names, attributes: str = "attributes") ->
 
 def is_full_load(token) -> Column:
     """a null or blank token means a full load (blank rule applied everywhere, deliberately)."""
-    return F.coalesce(F.trim(_col(token)), F.lit("")) == ""
+    return is_blank(token)
 
 
 def request_token(token) -> Column:
@@ -48,7 +53,7 @@ def valid_json(text) -> Column:
     """the option validator: blank, or holding an expression (``${...}``, checked again once
     rendered), or parsing as JSON."""
     t = _col(text)
-    return (t.isNull() | (F.trim(t) == "") | t.contains("${")
+    return (is_blank(t) | t.contains("${")
             | F.try_parse_json(t).isNotNull())
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 
 from pyspark.sql import Column, DataFrame
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from mailsync import constants as C
 from mailsync import schemas as S
+from mailsync.functions.checks import is_blank
 
 
 def _col(c) -> Column:
@@ -31,19 +33,36 @@ def select_fields(df: DataFrame, fields: str | None) -> DataFrame:
 
 
 def ddl_subset(ddl: str, fields: str | None) -> str:
-    """The part of an entity DDL naming only the listed fields (for pruned ``from_json``)."""
+    """The part of an entity DDL naming only the listed fields (for pruned ``from_json``).
+
+    The list is free text: a field that the DDL does not know is kept as its raw JSON text."""
     names = field_list(fields)
     if not names:
         return ddl
-    parts = _split_top_level(ddl)
-    keep = [p for p in parts if p.strip().split(" ", 1)[0].strip("`") in names]
-    return ", ".join(keep)
+    parts = {p.strip().split(" ", 1)[0].strip("`"): p for p in _split_top_level(ddl)}
+    known = [p for name, p in parts.items() if name in names]
+    return ", ".join(known + [f"`{n}` STRING" for n in dict.fromkeys(names) if n not in parts])
 
 
 def select_json_fields(content, ddl: str, fields: str | None) -> Column:
-    """P1 on raw item JSON: the item re-written with only the listed top-level fields."""
-    sub = ddl_subset(ddl, fields)
-    return F.to_json(F.from_json(_col(content), sub, S.JSON_TS_OPTIONS), S.JSON_TS_OPTIONS)
+    """P1 on raw item JSON: the item re-written with only the listed top-level fields.
+
+    Fields of the DDL come typed; any other asked-for field keeps its raw JSON value. A field that
+    the item lacks is left out."""
+    names = field_list(fields)
+    if not names:
+        return F.to_json(F.from_json(_col(content), ddl, S.JSON_TS_OPTIONS), S.JSON_TS_OPTIONS)
+    known = {p.strip().split(" ", 1)[0].strip("`") for p in _split_top_level(ddl)}
+    other = [n for n in dict.fromkeys(names) if n not in known]
+    typed = ", ".join(p for p in _split_top_level(ddl) if p.strip().split(" ", 1)[0].strip("`") in names)
+    out = F.to_json(F.from_json(_col(content), typed, S.JSON_TS_OPTIONS), S.JSON_TS_OPTIONS) if typed else F.lit("{}")
+    if not other:
+        return out
+    value = F.try_variant_get(F.try_parse_json(_col(content)), "$", "map<string,variant>")
+    raw = [F.concat(F.lit(json.dumps(n) + ":"), F.to_json(F.try_element_at(value, F.lit(n)))) for n in other]
+    more = F.array_join(F.filter(F.array(*raw), lambda x: x.isNotNull()), ",")
+    inner = F.substring(out, 2, F.length(out) - 2)
+    return F.when(out.isNotNull(), F.concat(F.lit("{"), F.concat_ws(",", F.nullif(inner, F.lit("")), F.nullif(more, F.lit(""))), F.lit("}")))
 
 
 def _split_top_level(ddl: str) -> list[str]:
@@ -104,6 +123,7 @@ def attachment_attrs(content_type, name) -> Column:
 
 
 _PLACEHOLDER = re.compile(r"\$\{([^{}]+)\}")
+_PLAIN_NAME = re.compile(r"[^\s:()'\"]+")
 
 
 def template_parts(template: str | None) -> list[tuple[str, str]]:
@@ -114,7 +134,10 @@ def template_parts(template: str | None) -> list[tuple[str, str]]:
     for m in _PLACEHOLDER.finditer(template):
         if m.start() > pos:
             parts.append(("lit", template[pos:m.start()]))
-        parts.append(("attr", m.group(1).strip()))
+        name = m.group(1).strip()
+        if not _PLAIN_NAME.fullmatch(name):
+            raise ValueError(f"only plain attribute names can be substituted, not ${{{name}}}")
+        parts.append(("attr", name))
         pos = m.end()
     if pos < len(template):
         parts.append(("lit", template[pos:]))
@@ -182,7 +205,7 @@ def mail_body(body, content) -> Column:
 def request_data(data, content) -> Column:
     """P11 (request): **blank** data falls back to the record content."""
     d = _col(data)
-    return F.when(d.isNull() | (F.trim(d) == ""), _col(content)).otherwise(d)
+    return F.when(is_blank(d), _col(content)).otherwise(d)
 
 
 def mail_enums(body_type, importance, save_to_sent) -> dict[str, Column]:
@@ -198,7 +221,7 @@ def mail_enums(body_type, importance, save_to_sent) -> dict[str, Column]:
           & F.coalesce(imp.isin(*C.MAIL_IMPORTANCES), F.lit(False))
           & sv.isNotNull())
     return {"body_type": bt, "importance": imp,
-            "save_to_sent": F.lower(F.trim(sv)) == "true", "ok": ok}
+            "save_to_sent": F.lower(F.regexp_replace(sv, r"\A[\x00-\x20]+|[\x00-\x20]+\z", "")) == "true", "ok": ok}
 
 
 def mailbox_path(user) -> Column:

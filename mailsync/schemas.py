@@ -1,14 +1,14 @@
 """DDL strings for the landed envelope, the entity views, records and state tables."""
 
 # One row per landed page. `page_no` is the only order to trust; `request_token` is the token the
-# chain was asked with ('' = full load).
+# chain was asked with ('' = full load); `attempt_id` names the run that asked (null: not known).
 ENVELOPE_DDL = (
     "resource STRING, user_id STRING, folder_id STRING, message_id STRING, "
-    "request_token STRING, page_no INT, fetched_at TIMESTAMP, body STRING"
+    "request_token STRING, page_no INT, fetched_at TIMESTAMP, body STRING, attempt_id STRING"
 )
 
 ENVELOPE_DDL_COLS = ["resource", "user_id", "folder_id", "message_id", "request_token", "page_no",
-                     "fetched_at", "body"]
+                     "fetched_at", "body", "attempt_id"]
 
 # What a page body holds. Items stay raw JSON text (ARRAY<STRING> keeps each element's text).
 PAGE_BODY_DDL = "value ARRAY<STRING>, `@odata.nextLink` STRING, `@odata.deltaLink` STRING"
