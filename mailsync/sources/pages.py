@@ -24,6 +24,8 @@ def read_pages(spark: SparkSession, path: str, resource: str | None = None,
     resource filter prunes whole directories; JSON-lines landings are read with the fixed DDL."""
     reader = spark.read.schema(S.ENVELOPE_DDL) if fmt == "json" else spark.read
     df = reader.format(fmt).load(path)
+    if "attempt_id" not in df.columns:  # landed before the envelope had it
+        df = df.withColumn("attempt_id", F.lit(None).cast("string"))
     if resource is not None:
         df = df.filter(F.col("resource") == resource)
     return df
