@@ -112,4 +112,5 @@ def pack_pages(items: DataFrame, chains: DataFrame, keys: list[str], order: list
         else:
             envelope.append(F.lit(None).cast("string").alias(c))
     ts = fetched_at if fetched_at is not None else F.lit("2024-02-01 00:00:00").cast("timestamp")
-    return out.select(*envelope, F.col("page_no").cast("int"), ts.alias("fetched_at"), "body")
+    return out.select(*envelope, F.col("page_no").cast("int"), ts.alias("fetched_at"), "body",
+                      F.lit(None).cast("string").alias("attempt_id"))

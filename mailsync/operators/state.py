@@ -49,31 +49,42 @@ def work_from(keys: DataFrame) -> DataFrame:
     return keys.withColumn("request_token", request_token(F.col("delta")))
 
 
-def chain_tokens(pages: DataFrame, chain: list[str]) -> DataFrame:
-    """The delta link of each **complete** chain.
+def page_links(pages: DataFrame, chain: list[str]) -> DataFrame:
+    """What token detection needs of a page: chain, attempt, number, landing time and links; no body.
+
+    ``attempt_id`` tells apart runs that asked for the same chain (null in landings without it).
+    """
+    for name, kind in (("attempt_id", "string"), ("fetched_at", "timestamp")):
+        if name not in pages.columns:
+            pages = pages.withColumn(name, F.lit(None).cast(kind))
+    p = with_links(pages.select(*chain, "attempt_id", "fetched_at", "page_no", "body")).filter("page_ok")
+    return p.select(*chain, "attempt_id", "fetched_at", "page_no", "next_link", "delta_link")
 
-    The link is read only on the page with no next page. A chain yields a token only when that
-    last page and every page before it have landed (distinct page numbers = last + 1), so a
-    partly landed chain holds its token back. Duplicated (replayed) pages are counted once, and a
-    page whose body does not parse counts as missing.
 
-    Two hash aggregates with fixed-width buffers (page counts per chain; the last pages, distinct)
-    joined on (chain, last page): no sort-based aggregation over the pages.
+def tokens_of_links(links: DataFrame, chain: list[str]) -> DataFrame:
+    """``chain`` columns and ``new_delta`` of each chain with a complete attempt, one row per chain.
+
+    An attempt is complete when its last page (the one without a next page) and every page before
+    it have landed; pages of different attempts never add up. Of a page landed twice in one attempt
+    the later landing counts; of several complete attempts the one whose last page landed last
+    (ties: by attempt, then link). Three aggregates of fixed-width rows, each combined before its
+    shuffle, so a chain with a third of all pages is spread by page first and small afterwards.
     """
-    p = with_links(pages).filter(F.col("page_ok"))  # a page that does not parse does not count
-    counts = (p.groupBy(*chain)
-              .agg(F.count_distinct("page_no").alias("_pages"),
-                   F.max(F.when(F.col("next_link").isNull(), F.col("page_no"))).alias("_last")))
-    last = (p.filter(F.col("next_link").isNull())
-            .select(*[F.col(c).alias(f"_l_{c}") for c in chain], F.col("page_no").alias("_l_last"),
-                    F.col("delta_link").alias("new_delta"))
-            .distinct())
-    done = counts.filter(F.col("_last").isNotNull() & (F.col("_pages") == F.col("_last") + 1))
-    cond = F.col("_last") == F.col("_l_last")
-    for c in chain:  # null-safe: a chain column may be null (e.g. the token of a bootstrap run)
-        cond = cond & F.col(c).eqNullSafe(F.col(f"_l_{c}"))
-    return (done.join(last, on=cond, how="inner")
-            .select(*chain, "new_delta"))
+    landing = F.struct(F.col("fetched_at"), F.col("next_link").isNull().alias("ends"), F.col("delta_link"))
+    page = links.groupBy(*chain, "attempt_id", "page_no").agg(F.max(landing).alias("x"))
+    last = F.when(F.col("x.ends"), F.struct(F.col("page_no"), F.col("x.fetched_at").alias("at"), F.col("x.delta_link").alias("link")))
+    attempt = page.groupBy(*chain, "attempt_id").agg(F.count(F.lit(1)).alias("pages"), F.max(last).alias("last"))
+    done = attempt.filter(F.col("pages") == F.col("last.page_no") + 1)
+    newest = F.max(F.struct(F.col("last.at"), F.col("attempt_id"), F.col("last.link").alias("link")))
+    return done.groupBy(*chain).agg(newest.alias("x")).select(*chain, F.col("x.link").alias("new_delta"))
+
+
+def chain_tokens(pages: DataFrame, chain: list[str]) -> DataFrame:
+    """The delta link of each **complete** chain (see :func:`tokens_of_links`).
+
+    A page whose body does not parse counts as missing. Bodies are dropped before any shuffle.
+    """
+    return tokens_of_links(page_links(pages, chain), chain)
 
 
 def token_records(tokens: DataFrame, route: str, base_attrs: Column | None = None,
@@ -89,13 +100,16 @@ def token_records(tokens: DataFrame, route: str, base_attrs: Column | None = Non
                     F.lit(C.EMIT_TOKEN).cast("bigint").alias("emit_seq"))
 
 
-def latest_per_key(rows: DataFrame) -> DataFrame:
-    """The row of the highest version per key (for the small side: new tokens, deltas)."""
-    return (rows.groupBy("key").agg(F.max_by(F.struct("delta", "version"), "version").alias("_w"))
-            .select("key", "_w.delta", "_w.version"))
+def latest_per_key(rows: DataFrame, order: str | None = None) -> DataFrame:
+    """The row of the highest version per key (for the small side: new tokens, deltas).
 
+    Of equal versions the highest ``order`` wins, or without one the greatest delta, so that the
+    choice is always the same."""
+    place = [F.col("version"), *([F.col(order)] if order else []), F.col("delta")]
+    return (rows.groupBy("key").agg(F.max(F.struct(*place)).alias("_w")).select("key", "_w.delta", "_w.version"))
 
-def upsert_checkpoints(ckpt: DataFrame, tokens: DataFrame, version: int | Column) -> DataFrame:
+
+def upsert_checkpoints(ckpt: DataFrame, tokens: DataFrame, version: int | Column, order: str | None = None) -> DataFrame:
     """T4: the new map = old map overlaid by the new tokens (the new version wins per key).
 
     ``tokens`` has ``key`` and ``delta``. Only the new side is aggregated; the old map is never
@@ -103,7 +117,7 @@ def upsert_checkpoints(ckpt: DataFrame, tokens: DataFrame, version: int | Column
     changed keys when few), and the new rows are appended.
     """
     v = version if isinstance(version, Column) else F.lit(version).cast("bigint")
-    new = latest_per_key(tokens.select("key", "delta", v.alias("version")))
+    new = latest_per_key(tokens.select("key", "delta", v.alias("version"), *([order] if order else [])), order)
     kept = ckpt.select("key", "delta", "version").join(new.select("key"), on="key", how="left_anti")
     return kept.unionByName(new)
 
@@ -115,10 +129,13 @@ def ckpt_get(ckpt: DataFrame, keys: DataFrame) -> DataFrame:
     return ckpt.join(keys.select("key").distinct(), on="key", how="left_semi")
 
 
-def ckpt_put(ckpt: DataFrame, pairs: DataFrame, version: int | Column) -> DataFrame:
-    """Put pairs (key, delta); a pair without a value (the odd tail) is ignored."""
+def ckpt_put(ckpt: DataFrame, pairs: DataFrame, version: int | Column, order: str | None = None) -> DataFrame:
+    """Put pairs (key, delta); a pair without a value (the odd tail) is ignored.
+
+    Of several pairs with one key the last wins, where ``order`` names the column with their
+    places (rows of a DataFrame have none); without it the greatest delta wins."""
     return upsert_checkpoints(ckpt, pairs.filter(F.col("key").isNotNull() & F.col("delta").isNotNull()),
-                              version)
+                              version, order)
 
 
 def ckpt_remove(ckpt: DataFrame, keys: DataFrame) -> DataFrame:

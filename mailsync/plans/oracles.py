@@ -27,7 +27,8 @@ CKPT = f"""ckpt AS (
   UNION ALL
   SELECT 'O365_users_delta', CAST(max(user_id) AS VARCHAR), CAST(1 AS BIGINT) FROM events)"""
 EDGES = """edges AS (SELECT * FROM (VALUES ('O365_messages|7', ''), ('O365_messages|7|', ''),
-                                       ('O365_folders|', '')) v(key, delta))"""
+                                       ('O365_folders|', ''), ('O365_folders|tab', chr(9)),
+                                       ('O365_folders|line', ' ' || chr(10))) v(key, delta))"""
 MKEY = "'O365_messages|' || CAST({u} AS VARCHAR) || '|' || {t}"
 # the chain each folder is asked with: its checkpoint token, or '' for new work
 CHAINS = """chains AS (SELECT f.user_id, f.event_type, f.last_id,
@@ -45,7 +46,7 @@ tokens AS (SELECT {MKEY.format(u='user_id', t='event_type')} AS key,
 RECORDS = f"""{CHG}, {CHAINS},
 recs AS (
   SELECT 'success_messages' AS route, CAST(1 AS BIGINT) AS emit_seq, CAST(user_id AS VARCHAR) AS user_id,
-         event_type AS folder_id, CAST(event_id AS VARCHAR) AS message_id, CAST(NULL AS VARCHAR) AS cache_key,
+         event_type AS folder_id, 'c' || CAST(event_id AS VARCHAR) AS message_id, CAST(NULL AS VARCHAR) AS cache_key,
          CAST(NULL AS VARCHAR) AS delta_key, CAST(NULL AS VARCHAR) AS delta
   FROM chg
   UNION ALL
@@ -93,7 +94,7 @@ tfold AS (SELECT o_custkey, o_orderstatus, max(o_orderkey) AS mx FROM orders
 
 ORACLES: dict[str, str] = {
     "messages_delta": f"""WITH {CHG}
-SELECT CAST(user_id AS VARCHAR) AS user_id, event_type AS folder_id, CAST(event_id AS VARCHAR) AS message_id,
+SELECT CAST(user_id AS VARCHAR) AS user_id, event_type AS folder_id, 'c' || CAST(event_id AS VARCHAR) AS message_id,
        removed, CASE WHEN removed THEN NULL ELSE props END AS subject,
        CASE WHEN removed THEN NULL ELSE ts END AS received_at
 FROM chg""",
@@ -102,7 +103,7 @@ FROM chg""",
 SELECT CAST(r.user_id AS VARCHAR) AS user_id, r.event_type AS folder_id,
        coalesce(CAST(r.tok AS VARCHAR), '') AS request_token,
        CAST(r.r0 // 10 AS INTEGER) AS page_no, CAST(r.r0 % 10 AS INTEGER) AS item_pos,
-       CAST(r.event_id AS VARCHAR) AS message_id
+       'c' || CAST(r.event_id AS VARCHAR) AS message_id
 FROM ranked r""",
 
     "assign_pages": f"""WITH {RANKED},
@@ -169,10 +170,10 @@ WHERE user_id IS NOT NULL AND folder_id IS NOT NULL""",
     "inherit_attrs": f"""WITH {TOK},
 m AS (SELECT e.user_id, e.event_type, e.event_id, t.tok FROM events e JOIN tok t
       ON t.user_id = e.user_id AND t.event_type = e.event_type WHERE e.event_id > t.tok)
-SELECT CAST(event_id AS VARCHAR) AS message_id, 'office365_user_id' AS attr_key, CAST(user_id AS VARCHAR) AS attr_value FROM m
-UNION ALL SELECT CAST(event_id AS VARCHAR), 'office365_folder_id', event_type FROM m
-UNION ALL SELECT CAST(event_id AS VARCHAR), 'office365_delta', CAST(tok AS VARCHAR) FROM m
-UNION ALL SELECT CAST(event_id AS VARCHAR), 'office365_message_id', CAST(event_id AS VARCHAR) FROM m""",
+SELECT 'c' || CAST(event_id AS VARCHAR) AS message_id, 'office365_user_id' AS attr_key, CAST(user_id AS VARCHAR) AS attr_value FROM m
+UNION ALL SELECT 'c' || CAST(event_id AS VARCHAR), 'office365_folder_id', event_type FROM m
+UNION ALL SELECT 'c' || CAST(event_id AS VARCHAR), 'office365_delta', CAST(tok AS VARCHAR) FROM m
+UNION ALL SELECT 'c' || CAST(event_id AS VARCHAR), 'office365_message_id', 'c' || CAST(event_id AS VARCHAR) FROM m""",
 
     "folders_delta_records": """WITH eu AS (SELECT DISTINCT user_id FROM events),
 f AS (SELECT o_custkey, o_orderstatus, max(o_orderkey) AS mx FROM orders
@@ -265,8 +266,10 @@ UNION ALL SELECT message_id, 'attachment_file_name', p_name FROM a""",
     "select_fields": """SELECT CAST(o_orderkey AS VARCHAR) AS id, o_orderpriority AS subject,
        CASE WHEN substr(o_orderpriority, 1, 1) IN ('1', '2') THEN 'high'
             WHEN substr(o_orderpriority, 1, 1) IN ('3', '4') THEN 'normal'
-            WHEN substr(o_orderpriority, 1, 1) = '5' THEN 'low' END AS importance
-FROM orders""",
+            WHEN substr(o_orderpriority, 1, 1) = '5' THEN 'low' END AS importance, CAST(NULL AS VARCHAR) AS raw
+FROM orders
+UNION ALL
+SELECT CAST(o_orderkey AS VARCHAR), NULL, NULL, '{"id":"' || o_orderkey || '","extra":{"a":[1,"x"]}}' FROM orders""",
 
     "filter_keys": f"""WITH {CKPT}, {EDGES}, k AS (SELECT key, delta FROM ckpt UNION ALL SELECT key, delta FROM edges)
 SELECT key, delta, 'messages' AS pattern FROM k WHERE regexp_full_match(key, 'O365_messages.*')
@@ -286,8 +289,8 @@ FROM p""",
 FROM events""",
 
     "full_load_flag": f"""WITH {CKPT}, {EDGES}, k AS (SELECT key, delta FROM ckpt UNION ALL SELECT key, delta FROM edges)
-SELECT key, delta, coalesce(trim(delta), '') = '' AS full_load,
-       CASE WHEN coalesce(trim(delta), '') = '' THEN '' ELSE delta END AS request_token
+SELECT key, delta, regexp_full_match(coalesce(delta, ''), '\\s*') AS full_load,
+       CASE WHEN regexp_full_match(coalesce(delta, ''), '\\s*') THEN '' ELSE delta END AS request_token
 FROM k""",
 
     "lookup_token": f"""WITH {TOK}, {FOLD}
@@ -322,9 +325,9 @@ SELECT * FROM ckpt WHERE key NOT IN (SELECT 'O365_folders|' || CAST(c_custkey AS
     "literal_attrs": f"""WITH {RECORDS} SELECT route, emit_seq, user_id, message_id, 'r1' AS batch, 'changes' AS source FROM recs""",
 
     "render_template": f"""WITH {CHG}
-SELECT CAST(event_id AS VARCHAR) AS message_id,
+SELECT 'c' || CAST(event_id AS VARCHAR) AS message_id,
        '/users/' || CAST(user_id AS VARCHAR) || '/mailFolders/' || event_type || '/messages/'
-         || CAST(event_id AS VARCHAR) || '?x=' AS url
+         || 'c' || CAST(event_id AS VARCHAR) || '?x=' AS url
 FROM chg""",
 
     "outbox_mail": f"""WITH {MAIL},
@@ -418,10 +421,6 @@ UNION ALL SELECT 'success_messages', 2, NULL, NULL, NULL, NULL,
 UNION ALL SELECT 'success_attachments', 0, CAST(o.o_custkey AS VARCHAR), o.o_orderstatus,
        CAST(o.o_orderkey AS VARCHAR), NULL, NULL, NULL
 FROM orders o JOIN tfold f ON f.o_custkey = o.o_custkey AND f.o_orderstatus = o.o_orderstatus
-JOIN lineitem l ON l.l_orderkey = o.o_orderkey JOIN part p ON p.p_partkey = l.l_partkey
-UNION ALL -- a change message whose id equals an order key of the same mailbox gets that message's attachments
-SELECT 'success_attachments', 0, CAST(c.user_id AS VARCHAR), c.event_type, CAST(c.event_id AS VARCHAR), NULL, NULL, NULL
-FROM chg c JOIN orders o ON o.o_custkey = c.user_id AND o.o_orderkey = c.event_id
 JOIN lineitem l ON l.l_orderkey = o.o_orderkey JOIN part p ON p.p_partkey = l.l_partkey""",
 
     "tenant_tokens": f"""WITH {TENANT}
@@ -434,5 +433,36 @@ UNION ALL SELECT delta_key, delta FROM recs WHERE emit_seq = 2""",
 
     "stream_dedupe": f"""WITH {RECORDS} SELECT * FROM recs""",
 
+    "attachments_replay": """SELECT 'success_attachments' AS route, CAST(0 AS BIGINT) AS emit_seq,
+       CAST(o.o_custkey AS VARCHAR) AS user_id, o.o_orderstatus AS folder_id,
+       CAST(l.l_orderkey AS VARCHAR) AS message_id, p.p_type AS content_type, p.p_type AS mime_type,
+       p.p_name AS file_name
+FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey JOIN orders o ON o.o_orderkey = l.l_orderkey""",
+    "stream_late_pages": f"""WITH {RECORDS} SELECT * FROM recs""",
+
+    "stream_new_folders": f"""WITH {RECORDS} SELECT * FROM recs""",
+
+    "stream_chained_tokens": f"""WITH {TOK}, {FOLD}
+SELECT 'success_messages' AS route, CAST(1 AS BIGINT) AS emit_seq, CAST(user_id AS VARCHAR) AS user_id,
+       event_type AS folder_id, 'c' || CAST(event_id AS VARCHAR) AS message_id, CAST(NULL AS VARCHAR) AS cache_key,
+       CAST(NULL AS VARCHAR) AS delta_key, CAST(NULL AS VARCHAR) AS delta
+FROM events e
+UNION ALL
+SELECT 'success_messages', 2, NULL, NULL, NULL, NULL, {MKEY.format(u='user_id', t='event_type')}, CAST(tok AS VARCHAR) FROM tok
+UNION ALL
+SELECT 'success_messages', 2, NULL, NULL, NULL, NULL, {MKEY.format(u='user_id', t='event_type')}, CAST(last_id AS VARCHAR)
+FROM fold LEFT JOIN tok USING (user_id, event_type) WHERE tok IS NULL OR tok <> last_id""",
+
+    "mixed_attempts": f"""WITH {RANKED},
+pages AS (SELECT user_id, event_type, greatest(0, (count(*) - 1) // 10) AS last FROM ranked GROUP BY 1, 2)
+SELECT {MKEY.format(u='c.user_id', t='c.event_type')} AS key, coalesce(old_delta, '') AS old_delta, CAST(last_id AS VARCHAR) AS new_delta
+FROM chains c LEFT JOIN pages p ON p.user_id = c.user_id AND p.event_type = c.event_type WHERE coalesce(last, 0) = 0""",
+
+    "replay_new_link": f"""WITH {TOKENS} SELECT key, old_delta, new_delta || '-again' AS new_delta FROM tokens""",
+
+    "ckpt_remove_stored": f"""WITH {CKPT}
+SELECT * FROM ckpt WHERE key <> 'O365_users_delta'
+  AND key NOT IN (SELECT 'O365_folders|' || CAST(c_custkey AS VARCHAR) FROM customer)""",
+
     "generic_scan": """SELECT page_id AS request_id, page_id AS id, url AS web_url, CAST(length(html) AS INTEGER) AS n_chars FROM pages""",
 }

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mailsync import constants as C
+from mailsync import schemas as S
 from mailsync.functions import checks as K
 from mailsync.functions import fields as P
 from mailsync.functions import keys as KY
@@ -297,7 +298,10 @@ def _message_records_all(spark, d):
 
 
 def q_message_attachments(spark, d):
-    att = SY.expand_attachments(_message_records_all(spark, d), TV.landed(spark, d, "attachments"))
+    return _attachment_view(SY.expand_attachments(_message_records_all(spark, d), TV.landed(spark, d, "attachments")))
+
+
+def _attachment_view(att):
     a = F.col("attributes")
     return att.select("route", "emit_seq", a[C.ATTR_USER_ID].alias("user_id"),
                       a[C.ATTR_FOLDER_ID].alias("folder_id"), a[C.ATTR_MESSAGE_ID].alias("message_id"),
@@ -312,8 +316,15 @@ def q_attachment_attrs(spark, d):
 
 
 def q_select_fields(spark, d):
-    m = PS.scan_messages(TV.landed(spark, d, "messages"), "id,subject,importance")
-    return P.select_fields(m, "id, subject ,importance")
+    """P1 on the typed view of all fields, and on the items' raw JSON with a field no schema knows."""
+    pages = TV.landed(spark, d, "messages")
+    typed = P.select_fields(PS.scan_messages(pages, None), "id, subject ,importance").withColumn("raw", F.lit(None).cast("string"))
+    unknown = F.concat(F.expr("left(item, length(item) - 1)"), F.lit(',"extra":{"a":[1,"x"]}}'))
+    items = PS.flatten_pages(pages.filter("folder_id is null"), ["user_id"]).withColumn("item", unknown)
+    raw = items.select(PS.item_field("id").alias("id"), F.lit(None).cast("string").alias("subject"),
+                       F.lit(None).cast("string").alias("importance"),
+                       P.select_json_fields("item", S.MESSAGE_DDL, "extra, id").alias("raw"))
+    return typed.unionByName(raw)
 
 
 # ---- keys and checkpoints ------------------------------------------------------------------------
@@ -323,7 +334,8 @@ EDGE_KEYS = ["O365_messages|7", "O365_messages|7|", "O365_folders|"]
 
 def _ckpt_with_edges(spark, d):
     ck = TV.checkpoints(spark, d).select("key", "delta")
-    edges = spark.createDataFrame([(k, "") for k in EDGE_KEYS], "key STRING, delta STRING")
+    edges = spark.createDataFrame([(k, "") for k in EDGE_KEYS] + [("O365_folders|tab", "\t"), ("O365_folders|line", " \n")],
+                                  "key STRING, delta STRING")
     return ck.unionByName(edges)
 
 
@@ -553,27 +565,90 @@ def q_tenant_tokens(spark, d):
 
 # ---- streaming ---------------------------------------------------------------------------------
 
-def _stream_run(spark, d, replay: bool):
+def _stream_run(spark, d, *landings, ckpt=None, dedupe=True):
+    """Land each frame as files of its own, one file per trigger, and stream them all."""
     from mailsync.session import scratch_path
     from mailsync.streaming import stream as STR
     root = scratch_path(spark, "stream")
-    landing = f"{root}/landing"
-    pages = TV.landed(spark, d, "changes")
-    STR.land_files(pages, landing, 3)
-    if replay:
-        STR.land_files(pages.withColumn("fetched_at", F.col("fetched_at") + F.expr("INTERVAL 5 MINUTES")),
-                       landing, 3)
-    ck = _changes_work(spark, d).withColumn("version", F.lit(0).cast("bigint"))
-    STR.sync_stream(spark, landing, f"{root}/state", f"{root}/out", initial_ckpt=ck, dedupe=replay)
+    for pages in landings:
+        STR.land_files(pages, f"{root}/landing", 3)
+    ck = (ckpt if ckpt is not None else _changes_work(spark, d)).select("key", "delta", F.lit(0).cast("bigint").alias("version"))
+    STR.sync_stream(spark, f"{root}/landing", f"{root}/state", f"{root}/out", initial_ckpt=ck, dedupe=dedupe,
+                    max_files_per_trigger=1)
     return record_view(STR.read_stream_output(spark, f"{root}/out"))
 
 
+def _later(pages, interval: str):
+    return pages.withColumn("fetched_at", F.col("fetched_at") + F.expr(f"INTERVAL {interval}"))
+
+
 def q_stream_sync(spark, d):
-    return _stream_run(spark, d, replay=False)
+    return _stream_run(spark, d, TV.landed(spark, d, "changes"), dedupe=False)
 
 
 def q_stream_dedupe(spark, d):
-    return _stream_run(spark, d, replay=True)
+    pages = TV.landed(spark, d, "changes")
+    return _stream_run(spark, d, pages, _later(pages, "5 MINUTES"))
+
+
+def q_stream_late_pages(spark, d):
+    """The later pages of every chain land first, the first page days after them."""
+    pages = TV.landed(spark, d, "changes")
+    return _stream_run(spark, d, _later(pages.filter("page_no > 0"), "3 DAYS"), pages.filter("page_no = 0"))
+
+
+def q_stream_chained_tokens(spark, d):
+    """Two chains per folder, the second asked with the first one's token, land together."""
+    ck = _changes_work(spark, d).withColumn("delta", F.lit(""))
+    return _stream_run(spark, d, TV.land_chained_changes(spark, d), ckpt=ck)
+
+
+def q_stream_new_folders(spark, d):
+    """Folders that the map does not know are seeded from their landed full loads."""
+    return _stream_run(spark, d, TV.landed(spark, d, "changes"), ckpt=TV.checkpoints(spark, d))
+
+
+# ---- attempts and replays ------------------------------------------------------------------------
+
+def q_mixed_attempts(spark, d):
+    """Every chain of several pages has a first attempt without its last page and a rerun without
+    its first: neither is complete, so only chains of one page give a token."""
+    pages = TV.landed(spark, d, "changes")
+    last = pages.groupBy("user_id", "folder_id", "request_token").agg(F.max("page_no").alias("last"))
+    both = pages.join(last, ["user_id", "folder_id", "request_token"])
+    one = both.filter("page_no < last or last = 0").withColumn("attempt_id", F.lit("a"))
+    two = _later(both.filter("page_no > 0").withColumn("attempt_id", F.lit("b")), "1 HOUR")
+    toks = SY.sync_messages(one.unionByName(two).drop("last"), _changes_work(spark, d))[1]
+    return toks.select("key", F.col("delta").alias("old_delta"), "new_delta")
+
+
+def q_replay_new_link(spark, d):
+    """Every chain is landed again an hour later with another delta link: the later one counts."""
+    pages = TV.landed(spark, d, "changes")
+    again = _later(pages.withColumn("body", F.regexp_replace("body", r'("@odata.deltaLink":"[^"]*)"', '$1-again"'))
+                   .withColumn("attempt_id", F.lit("b")), "1 HOUR")
+    toks = SY.sync_messages(pages.unionByName(again), _changes_work(spark, d))[1]
+    return toks.select("key", F.col("delta").alias("old_delta"), "new_delta")
+
+
+def q_attachments_replay(spark, d):
+    """Message and attachment pages landed three times, the attachments in attempts of their own."""
+    att, msg = TV.landed(spark, d, "attachments"), _message_records_all(spark, d)
+    thrice = att
+    for n in (1, 2):
+        thrice = thrice.unionByName(_later(att.withColumn("attempt_id", F.lit(f"again-{n}")), f"{n} HOURS"))
+    return _attachment_view(SY.expand_attachments(msg.unionByName(msg), thrice))
+
+
+def q_ckpt_remove_stored(spark, d):
+    """Removing keys as a stored delta version."""
+    from mailsync.session import scratch_path
+    root = scratch_path(spark, "ckpt")
+    ck = TV.checkpoints(spark, d)
+    CK.write_checkpoints(ck, root, 1)
+    gone = _customer_folder_keys(spark, d).unionByName(TV.users(spark, d).select(KY.users_key().alias("key")).distinct())
+    CK.write_delta(ck.select("key", "delta").limit(0), root, 2, removed=gone)
+    return CK.scan_checkpoints(spark, root)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -632,4 +707,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tenant_tokens": q_tenant_tokens,
     "stream_sync": q_stream_sync,
     "stream_dedupe": q_stream_dedupe,
+    "stream_late_pages": q_stream_late_pages,
+    "stream_chained_tokens": q_stream_chained_tokens,
+    "stream_new_folders": q_stream_new_folders,
+    "mixed_attempts": q_mixed_attempts,
+    "replay_new_link": q_replay_new_link,
+    "attachments_replay": q_attachments_replay,
+    "ckpt_remove_stored": q_ckpt_remove_stored,
 }

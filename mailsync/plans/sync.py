@@ -25,9 +25,10 @@ from mailsync import constants as C
 from mailsync.functions.checks import token_changed
 from mailsync.functions.fields import attachment_attrs, attrs_of, inherit
 from mailsync.functions.keys import filter_keys, folders_key, messages_key, parse_key
+from mailsync.operators.dedupe import dedupe_pages
 from mailsync.operators.routes import error_records, record, union_records
 from mailsync.operators.state import bootstrap, chain_tokens, token_records, work_from
-from mailsync.sources.pages import flatten_pages, item_field, with_links
+from mailsync.sources.pages import flatten_pages, is_tombstone, item_field, with_links
 
 
 def _base(input_attrs: dict | None) -> Column:
@@ -36,9 +37,19 @@ def _base(input_attrs: dict | None) -> Column:
     return attrs_of({k: F.lit(v) for k, v in input_attrs.items()})
 
 
-def _select_chains(pages: DataFrame, resource: str, work: DataFrame, chain: list[str]) -> DataFrame:
-    p = pages.filter(F.col("resource") == resource)
-    return p.join(work, on=chain, how="inner")
+def _select_chains(pages: DataFrame, resource: str, work: DataFrame, chain: list[str], dedupe: bool = True) -> DataFrame:
+    """The resource's pages of the chains in ``work``; pages landed again are dropped unless told not to."""
+    p = pages.filter(F.col("resource") == resource).join(work, on=chain, how="inner")
+    return dedupe_pages(p) if dedupe else p
+
+
+def _select_tokens(pages: DataFrame, resource: str, work: DataFrame, chain: list[str]) -> DataFrame:
+    """The work rows whose chain is complete, with ``new_delta``.
+
+    The links are reduced to one row per chain before the join, so no body and no hot chain's pages
+    are ever shuffled for the tokens."""
+    tokens = chain_tokens(pages.filter(F.col("resource") == resource), chain)
+    return work.join(tokens, on=chain, how="inner")
 
 
 def bad_pages(pages: DataFrame, chain: list[str] | None = None) -> DataFrame:
@@ -75,10 +86,10 @@ def message_work(ckpt: DataFrame, pattern: str = C.REGEX_MESSAGES_DEFAULT) -> Da
 MESSAGE_CHAIN = ["user_id", "folder_id", "request_token"]
 
 
-def select_message_chains(pages: DataFrame, work: DataFrame) -> DataFrame:
+def select_message_chains(pages: DataFrame, work: DataFrame, dedupe: bool = True) -> DataFrame:
     """The landed message pages of the chains the work asks for (carrying ``key`` and ``delta``)."""
     good = work.filter(F.col("key_ok")).select(*MESSAGE_CHAIN, "key", "delta")
-    return _select_chains(pages, "messages", good, MESSAGE_CHAIN)
+    return _select_chains(pages, "messages", good, MESSAGE_CHAIN, dedupe)
 
 
 def message_records(sel: DataFrame, input_attrs: dict | None = None,
@@ -90,36 +101,27 @@ def message_records(sel: DataFrame, input_attrs: dict | None = None,
     return items.select(*record(route, inherit(_base(input_attrs), ids), F.col("item"), C.EMIT_ITEM))
 
 
-def message_tokens(sel: DataFrame) -> DataFrame:
-    """T1 per selected chain: ``(user_id, folder_id, request_token, key, delta, new_delta)``."""
-    return chain_tokens(sel.select(*MESSAGE_CHAIN, "key", "delta", "page_no", "body"),
-                        MESSAGE_CHAIN + ["key", "delta"])
+def message_tokens(pages: DataFrame, work: DataFrame) -> DataFrame:
+    """T1 per chain of the work: ``(user_id, folder_id, request_token, key, delta, new_delta)``."""
+    good = work.filter(F.col("key_ok")).select(*MESSAGE_CHAIN, "key", "delta")
+    return _select_tokens(pages, "messages", good, MESSAGE_CHAIN)
 
 
 def sync_messages(pages: DataFrame, ckpt: DataFrame, pattern: str = C.REGEX_MESSAGES_DEFAULT,
                   input_attrs: dict | None = None, route: str = C.ROUTE_SUCCESS_MESSAGES,
-                  always_emit_token: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
+                  always_emit_token: bool = False, dedupe: bool = True) -> tuple[DataFrame, DataFrame, DataFrame]:
     """S5 (cache variant): messages of every matching folder key from its token on.
 
     Returns ``(records, tokens, failures)``. Message records carry the input attributes plus user,
     folder and message ids; token records go to the same route (R3) after them (R5).
     """
     work = message_work(ckpt, pattern)
-    sel = select_message_chains(pages, work)
-    records = message_records(sel, input_attrs, route)
-    tokens = message_tokens(sel)
+    records = message_records(select_message_chains(pages, work, dedupe), input_attrs, route)
+    tokens = message_tokens(pages, work)
     tok_records = token_records(tokens, route, _base(input_attrs), always=always_emit_token)
     return union_records(records, tok_records), tokens, _bad_keys(work)
 
 
-def message_items(pages: DataFrame, ckpt: DataFrame, pattern: str = C.REGEX_MESSAGES_DEFAULT) -> DataFrame:
-    """The message items of a messages sync with their chain columns (for typed views and J3)."""
-    work = message_work(ckpt, pattern)
-    good = work.filter(F.col("key_ok")).select("user_id", "folder_id", "request_token")
-    chain = ["user_id", "folder_id", "request_token"]
-    return flatten_pages(_select_chains(pages, "messages", good, chain), chain + ["page_no"])
-
-
 # ---- users (S1/S2): key O365_users_delta ---------------------------------------------------------
 
 def user_work(ckpt: DataFrame, pattern: str = C.REGEX_USERS_DEFAULT) -> DataFrame:
@@ -130,18 +132,17 @@ def user_work(ckpt: DataFrame, pattern: str = C.REGEX_USERS_DEFAULT) -> DataFram
 
 def sync_users(pages: DataFrame, ckpt: DataFrame, pattern: str = C.REGEX_USERS_DEFAULT,
                input_attrs: dict | None = None, route: str = C.ROUTE_SUCCESS,
-               always_emit_token: bool = False) -> tuple[DataFrame, DataFrame]:
+               always_emit_token: bool = False, dedupe: bool = True) -> tuple[DataFrame, DataFrame]:
     """Users from the stored token (full load without one). Each user record carries the
     folders key its children are fetched under (``office365_cache_key``)."""
     work = user_work(ckpt, pattern).select("request_token", "key", "delta")
-    sel = _select_chains(pages, "users", work, ["request_token"])
+    sel = _select_chains(pages, "users", work, ["request_token"], dedupe)
     base = _base(input_attrs)
     items = flatten_pages(sel, ["request_token", "page_no"])
     uid = item_field("id")
     a = attrs_of({C.ATTR_USER_ID: uid, C.ATTR_CACHE_KEY: folders_key(uid)})
     records = items.select(*record(route, inherit(base, a), F.col("item"), C.EMIT_ITEM))
-    tokens = chain_tokens(sel.select("request_token", "key", "delta", "page_no", "body"),
-                          ["request_token", "key", "delta"])
+    tokens = _select_tokens(pages, "users", work, ["request_token"])
     return union_records(records, token_records(tokens, route, base, always=always_emit_token)), tokens
 
 
@@ -155,20 +156,20 @@ def folder_work(ckpt: DataFrame, pattern: str = C.REGEX_FOLDERS_DEFAULT) -> Data
 
 def sync_folders(pages: DataFrame, ckpt: DataFrame, pattern: str = C.REGEX_FOLDERS_DEFAULT,
                  input_attrs: dict | None = None, route: str = C.ROUTE_SUCCESS,
-                 always_emit_token: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
+                 always_emit_token: bool = False, dedupe: bool = True) -> tuple[DataFrame, DataFrame, DataFrame]:
     """S3: folders of every matching user key from its token. Each folder record carries the
     messages key its children are fetched under."""
     work = folder_work(ckpt, pattern)
     good = work.filter(F.col("key_ok")).select("user_id", "request_token", "key", "delta")
     chain = ["user_id", "request_token"]
-    sel = _select_chains(pages, "folders", good, chain)
+    sel = _select_chains(pages, "folders", good, chain, dedupe)
     base = _base(input_attrs)
     items = flatten_pages(sel, chain + ["page_no"])
     fid = item_field("id")
     a = attrs_of({C.ATTR_USER_ID: F.col("user_id"), C.ATTR_FOLDER_ID: fid,
                   C.ATTR_CACHE_KEY: messages_key(F.col("user_id"), fid)})
     records = items.select(*record(route, inherit(base, a), F.col("item"), C.EMIT_ITEM))
-    tokens = chain_tokens(sel.select(*chain, "key", "delta", "page_no", "body"), chain + ["key", "delta"])
+    tokens = _select_tokens(pages, "folders", good, chain)
     recs = union_records(records, token_records(tokens, route, base, always=always_emit_token))
     return recs, tokens, _bad_keys(work)
 
@@ -187,19 +188,39 @@ def scan_message_records(pages: DataFrame, route: str = C.ROUTE_SUCCESS_MESSAGES
 # ---- attachments (J3): message -> attachments -----------------------------------------------------
 
 def expand_attachments(message_records: DataFrame, pages: DataFrame,
-                       route: str = C.ROUTE_SUCCESS_ATTACHMENTS, with_file_attrs: bool = True) -> DataFrame:
+                       route: str = C.ROUTE_SUCCESS_ATTACHMENTS, with_file_attrs: bool = True,
+                       dedupe: bool = True) -> DataFrame:
     """J3 + P4 + P5: each message record's attachments, inheriting the message's attributes.
 
-    Message records without attachments give nothing (inner join). Tombstones and token records
-    carry no message id and so never match. Attachments are a bag: no key on them is assumed.
+    Message records without attachments give nothing (inner join). Removed messages have none:
+    tombstone records are left out, and so are token records. With ``dedupe`` (the default) the
+    attachments are those of the message's latest ask: of several attempts landed for one message
+    only the newest counts, pages landed again count once, and equal message records count once.
+    Within a page attachments are a bag: no key on them is assumed.
+
+    Pages are joined to the messages first and flattened afterwards, so a delta of ten messages
+    does not parse every attachment of the history.
     """
-    msgs = (message_records.filter(F.col("emit_seq") == C.EMIT_ITEM)
+    msgs = (message_records.filter((F.col("emit_seq") == C.EMIT_ITEM) & ~is_tombstone("content"))
             .select(F.col("attributes")[C.ATTR_USER_ID].alias("user_id"),
                     F.col("attributes")[C.ATTR_MESSAGE_ID].alias("message_id"),
                     F.col("attributes").alias("parent_attrs"))
             .filter(F.col("message_id").isNotNull()))
-    att = flatten_pages(pages.filter(F.col("resource") == "attachments"), ["user_id", "message_id"])
-    j = (att.join(msgs, on=["user_id", "message_id"], how="inner")
+    keys = ["user_id", "message_id"]
+    att = pages.filter(F.col("resource") == "attachments")
+    if dedupe:
+        entries = F.array_sort(F.map_entries("parent_attrs")).alias("entries")
+        msgs = msgs.select(*keys, entries).distinct().select(*keys, F.map_from_entries("entries").alias("parent_attrs"))
+        if "attempt_id" in att.columns:
+            newest = (att.groupBy(*keys).agg(F.max(F.struct("fetched_at", "attempt_id")).alias("x"))
+                      .select(*keys, F.col("x.attempt_id").alias("newest_attempt")))
+            att = att.join(newest, keys).filter(F.col("attempt_id").eqNullSafe(F.col("newest_attempt"))).drop("newest_attempt")
+    chosen = att.join(msgs, on=keys, how="inner")
+    if dedupe:  # a map can not be compared, its sorted entries can
+        chosen = (chosen.withColumn("_digest", F.sha2("body", 256))
+                  .withColumn("_entries", F.to_json(F.array_sort(F.map_entries("parent_attrs"))))
+                  .dropDuplicates([*keys, "request_token", "page_no", "_digest", "_entries"]))
+    j = (flatten_pages(chosen, [*keys, "parent_attrs"])
          .withColumn("_a", F.from_json("item", "name STRING, contentType STRING")))
     extra = attachment_attrs(F.col("_a.contentType"), F.col("_a.name")) if with_file_attrs \
         else F.create_map().cast("map<string,string>")
@@ -238,7 +259,7 @@ def sync_messages_from_records(pages: DataFrame, inputs: DataFrame,
                     C.ATTR_MESSAGE_ID: item_field("id")})
     records = items.select(*record(C.ROUTE_SUCCESS_MESSAGES, inherit(F.col("input_attrs"), ids),
                                    F.col("item"), C.EMIT_ITEM))
-    tokens = chain_tokens(sel.select(*chain, "page_no", "body"), chain)
+    tokens = _select_tokens(pages, "messages", work.select(*chain), chain)  # one Delta record per input
     delta = tokens.filter(F.col("new_delta").isNotNull()).select(
         *record(C.ROUTE_DELTA, attrs_of({C.ATTR_USER_ID: F.col("user_id"), C.ATTR_FOLDER_ID: F.col("folder_id")}),
                 F.col("new_delta"), C.EMIT_TOKEN))
@@ -248,18 +269,19 @@ def sync_messages_from_records(pages: DataFrame, inputs: DataFrame,
 # ---- the whole cache-driven sync (3.1): users -> folders -> messages -> attachments -----------------
 
 def sync_tenant(pages: DataFrame, ckpt: DataFrame, out_dir: str | None = None,
-                input_attrs: dict | None = None):
+                input_attrs: dict | None = None, dedupe: bool = True):
     """One run of the cache-driven sync over a landed tenant.
 
     users (from their token, J2 bootstrap when unknown) -> folder work = stored folder keys plus
     the new users' keys (J4) -> folders -> message work = stored message keys plus the new folders'
     keys (J4) -> messages -> their attachments (J3).
 
-    Each level is one job whose records and changed tokens are written under ``out_dir`` (default:
-    a fresh folder under ``spark.checkpoint.dir``), partitioned by level and route; the next level
-    reads back only the column it needs (the children's cache keys, or the message ids). Written
-    levels cut the lineage, so no level is ever recomputed for a later one, and a failed run
-    restarts from the last written level's inputs rather than from the landing.
+    Each level is one job: its records, token records and failures are written under ``out_dir``
+    (default: a fresh folder under ``spark.checkpoint.dir``), partitioned by level and route, and a
+    marker file is written after them. The next level reads back only the column it needs (the
+    children's cache keys, or the message ids), and the changed tokens are read from the written
+    token records. A rerun with the same ``out_dir`` skips the levels that have a marker and writes
+    the others anew.
 
     Returns ``(records, new_tokens, failures)`` read from the written levels: records on the routes
     ``Success`` (users, folders and their tokens), ``success_messages`` and
@@ -267,39 +289,50 @@ def sync_tenant(pages: DataFrame, ckpt: DataFrame, out_dir: str | None = None,
     """
     from mailsync.operators.state import seed_work
     from mailsync.session import scratch_path
+    from mailsync.sources.checkpoints import is_marked, mark
     from mailsync.sources.sink import read_records, write_records
 
     spark = pages.sparkSession
     out = (out_dir or scratch_path(spark, "tenant")).rstrip("/")
     base = ckpt.select("key", "delta")
 
-    def level(name: str, recs: DataFrame, tokens: DataFrame | None, failed: DataFrame | None):
-        # records and failures of a level in one write (failures under route=Failure)
-        write_records(union_records(recs, failed) if failed is not None else recs,
-                      f"{out}/records/level={name}")
-        if tokens is not None:
-            new_tokens(tokens).write.parquet(f"{out}/tokens/level={name}")
-        return read_records(spark, f"{out}/records/level={name}")
+    def level(name: str, make) -> DataFrame:
+        path, marker = f"{out}/records/level={name}", f"{out}/done/{name}"
+        if not is_marked(spark, marker):
+            recs, failed = make()
+            write_records(union_records(recs, failed) if failed is not None else recs, path, mode="overwrite")
+            mark(spark, marker)
+        return read_records(spark, path)
 
     def child_keys(recs: DataFrame) -> DataFrame:
         return recs.filter((F.col("route") != C.ROUTE_FAILURE) & (F.col("emit_seq") == C.EMIT_ITEM)).select(
             F.col("attributes")[C.ATTR_CACHE_KEY].alias("key"))
 
-    users, user_tokens = sync_users(pages, base, input_attrs=input_attrs)
-    users = level("users", users, user_tokens, None)
-    folders, folder_tokens, folder_fail = sync_folders(
-        pages, base.unionByName(seed_work(child_keys(users), base)), input_attrs=input_attrs)
-    folders = level("folders", folders, folder_tokens, folder_fail)
-    messages, message_tokens_, message_fail = sync_messages(
-        pages, base.unionByName(seed_work(child_keys(folders), base)), input_attrs=input_attrs)
-    messages = level("messages", messages, message_tokens_, message_fail)
-    level("attachments", expand_attachments(messages.filter(F.col("route") != C.ROUTE_FAILURE), pages),
-          None, None)
+    def work_under(parents: DataFrame) -> DataFrame:
+        return base.unionByName(seed_work(child_keys(parents), base))
+
+    def of_users():
+        recs, _ = sync_users(pages, base, input_attrs=input_attrs, dedupe=dedupe)
+        return recs, None
+
+    def of_folders():
+        recs, _, failed = sync_folders(pages, work_under(users), input_attrs=input_attrs, dedupe=dedupe)
+        return recs, failed
+
+    def of_messages():
+        recs, _, failed = sync_messages(pages, work_under(folders), input_attrs=input_attrs, dedupe=dedupe)
+        return recs, failed
+
+    users = level("users", of_users)
+    folders = level("folders", of_folders)
+    messages = level("messages", of_messages)
+    level("attachments", lambda: (expand_attachments(messages.filter(F.col("route") != C.ROUTE_FAILURE), pages, dedupe=dedupe), None))
 
     written = read_records(spark, f"{out}/records")
     records = written.filter(F.col("route") != C.ROUTE_FAILURE)
     failures = written.filter(F.col("route") == C.ROUTE_FAILURE)
-    tokens = spark.read.parquet(f"{out}/tokens").select("key", "delta")
+    tokens = records.filter(F.col("emit_seq") == C.EMIT_TOKEN).select(
+        F.col("attributes")[C.ATTR_DELTA_KEY].alias("key"), F.col("attributes")[C.ATTR_DELTA].alias("delta"))
     return records, tokens, failures
 
 
@@ -323,10 +356,8 @@ def sync_folders_from_records(pages: DataFrame, inputs: DataFrame,
     items = flatten_pages(sel, chain + ["page_no", "input_attrs"])
     a = inherit(F.col("input_attrs"), attrs_of({C.ATTR_FOLDER_ID: item_field("id")}))
     records = items.select(*record(C.ROUTE_SUCCESS, a, F.col("item"), C.EMIT_ITEM))
-    tokens = chain_tokens(pages.filter(F.col("resource") == "folders")
-                          .join(work.select(*chain).distinct(), on=chain, how="left_semi"), chain)
-    delta = (tokens.join(work.select(*chain), on=chain, how="inner")
-             .filter(F.col("new_delta").isNotNull())
+    tokens = _select_tokens(pages, "folders", work.select(*chain), chain)
+    delta = (tokens.filter(F.col("new_delta").isNotNull())
              .select(*record(C.ROUTE_DELTA, attrs_of({C.ATTR_USER_ID: F.col("user_id")}), F.col("new_delta"),
                              C.EMIT_TOKEN)))
     return records, delta, failed
@@ -346,11 +377,8 @@ def sync_users_from_records(pages: DataFrame, inputs: DataFrame,
     items = flatten_pages(sel, ["request_token", "page_no", "input_attrs"])
     a = inherit(F.col("input_attrs"), attrs_of({C.ATTR_USER_ID: item_field("id")}))
     records = items.select(*record(C.ROUTE_SUCCESS, a, F.col("item"), C.EMIT_ITEM))
-    tokens = chain_tokens(pages.filter(F.col("resource") == "users")
-                          .join(work.select("request_token").distinct(), on="request_token", how="left_semi"),
-                          ["request_token"])
-    delta = (tokens.join(work, on="request_token", how="inner")
-             .filter(token_changed(F.col("delta"), F.col("new_delta")))
+    tokens = _select_tokens(pages, "users", work, ["request_token"])
+    delta = (tokens.filter(token_changed(F.col("delta"), F.col("new_delta")))
              .select(*record(C.ROUTE_DELTA, F.col("input_attrs"), F.col("new_delta"), C.EMIT_TOKEN)))
     from mailsync.operators.routes import passthrough_original
     return records, delta, passthrough_original(inputs)

@@ -102,7 +102,7 @@ def changes(spark, sf_dir) -> DataFrame:
     return e.select(F.col("user_id").cast("string").alias("user_id"),
                     F.col("event_type").alias("folder_id"),
                     F.col("event_id"),
-                    F.col("event_id").cast("string").alias("id"),
+                    F.concat(F.lit("c"), F.col("event_id").cast("string")).alias("id"),  # never an order key
                     F.col("ts"),
                     F.col("props").alias("subject"),
                     F.coalesce(k % 10 == 0, F.lit(False)).alias("removed"))
@@ -196,6 +196,22 @@ def land_changes(spark, sf_dir, ckpt: DataFrame | None = None, fetched_at: Colum
     return pack_pages(items, chains, keys, ["event_id"], C.MESSAGE_PAGE_SIZE, "messages", fetched_at)
 
 
+def land_chained_changes(spark, sf_dir) -> DataFrame:
+    """The changes feed as two chains per folder with a checkpoint token: the full load up to the
+    token, then the chain asked with it; folders without a token have their full load only."""
+    ch = changes(spark, sf_dir)
+    tok = (checkpoints(spark, sf_dir).filter(F.col("key").startswith(C.KEY_MESSAGES_PREFIX + C.KEY_SEP))
+           .select(F.try_element_at(F.split("key", r"[|]"), F.lit(2)).alias("user_id"),
+                   F.try_element_at(F.split("key", r"[|]"), F.lit(3)).alias("folder_id"), F.col("delta").alias("tok")))
+    keys = ["user_id", "folder_id", "request_token"]
+    chains = tok.select("user_id", "folder_id", F.lit("").alias("request_token"), F.col("tok").alias("delta_link"))
+    items = (ch.join(tok, ["user_id", "folder_id"]).filter(F.col("event_id") <= F.col("tok").cast("bigint"))
+             .select("user_id", "folder_id", F.lit("").alias("request_token"), "event_id",
+                     _json(F.col("id"), F.col("ts").alias("receivedDateTime"), F.col("subject")).alias("item")))
+    first = pack_pages(items, chains, keys, ["event_id"], C.MESSAGE_PAGE_SIZE, "messages")
+    return first.unionByName(land_changes(spark, sf_dir))
+
+
 def land_users(spark, sf_dir, ckpt: DataFrame | None = None) -> DataFrame:
     """Two users chains: the full load ('' token) and the delta from the checkpoint's users token
     (users with a higher key). A chain's new delta link is the highest user key it returned, or
