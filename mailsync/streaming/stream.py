@@ -1,118 +1,149 @@
 """The repeated trigger as a Structured Streaming file stream (and T5 on a stream).
 
 Landed page files are read with ``readStream``; each micro-batch runs the messages sync in
-``foreachBatch`` against the checkpoint map as of the previous batch, then commits:
-
-1. the batch's records to ``<out>/batch=<id>/`` (overwritten on a rerun: same input, same rows);
-2. the pages of chains still incomplete to ``<state>/pending/version=<id+1>/``: a chain whose
-   pages span micro-batches yields its token once its last page and all before it have come;
-3. the tokens it changed as ``<state>/checkpoints/delta/version=<id+1>/`` - the commit point (only
-   the changed keys are written; the map is folded into a snapshot every ``compact_every``
-   batches). A batch whose version already exists was committed before a failure and is skipped
-   when replayed.
-
-All state lives in the shared folder named by ``spark.checkpoint.dir`` (or a path the caller
-gives on shared storage), so a lost executor or driver restart resumes from the last commit.
-Replayed pages (the same page landed twice) are dropped before the sync with
-``dropDuplicatesWithinWatermark`` on the page identity; its state is bounded by the watermark.
+``foreachBatch`` against the checkpoint map as of the previous batch and commits once, with the
+checkpoint store's manifest. What is kept between batches, next to the map:
+
+* the *pool*: every page that has landed and is not part of a closed chain. A page that matches no
+  current chain (of a later token, or of a key that is not known yet) waits there with its body; a
+  page whose records are out stays as its links only, until its chain is complete;
+* the *closed* chains: those whose token was committed, one small row each.
+
+A batch adds its pages to the pool and then goes on, step by step, until nothing changes: pages of
+current chains give their records, complete chains their tokens, new tokens make further chains
+current, and keys that only landed pages know are seeded as full loads (J4). No page is dropped but
+exact replays: pages of the same chain, number and body digest as one in the pool, and pages of a
+closed chain. How late a page lands does not matter.
+
+Crashes: a batch that was committed is skipped when it is replayed; one that was not starts over from
+the last commit and overwrites its own output. All state lies on shared storage.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mailsync import constants as C
 from mailsync import schemas as S
 from mailsync.functions.checks import token_changed
+from mailsync.functions.keys import messages_key
 from mailsync.operators.routes import union_records
-from mailsync.operators.state import token_records
+from mailsync.operators.state import seed_work, token_records, tokens_of_links
 from mailsync.plans import sync as SY
-from mailsync.sources.checkpoints import compact, scan_checkpoints, versions, write_checkpoints, write_delta
+from mailsync.sources import checkpoints as CK
+from mailsync.sources.pages import with_links
+
+CHAIN = SY.MESSAGE_CHAIN
+PAGE_ID = [*CHAIN, "page_no", "digest"]
+POOL_DDL = S.ENVELOPE_DDL + ", digest STRING, next_link STRING, delta_link STRING, page_ok BOOLEAN, emitted BOOLEAN"
+CHAIN_DDL = "user_id STRING, folder_id STRING, request_token STRING"
+MOST_STEPS = 1000  # chained tokens in one batch; a batch ends earlier when nothing changes
 
-PAGE_ID = ["resource", "user_id", "folder_id", "message_id", "request_token", "page_no", "body_sha"]
 
+def stream_pages(spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None,
+                 fmt: str = "parquet", max_bytes_per_trigger: int = 64 << 30) -> DataFrame:
+    """Landed page files as a stream (fixed DDL; no inference), bounded by bytes or by files."""
+    reader = spark.readStream.schema(S.ENVELOPE_DDL)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    else:
+        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
+    return reader.format(fmt).load(landing_dir)
 
-def stream_pages(spark: SparkSession, landing_dir: str, max_files_per_trigger: int = 1,
-                 fmt: str = "parquet") -> DataFrame:
-    """Landed page files as a stream (fixed DDL; no inference)."""
-    return (spark.readStream.schema(S.ENVELOPE_DDL).option("maxFilesPerTrigger", max_files_per_trigger)
-            .format(fmt).load(landing_dir))
 
+def _written(df: DataFrame, root: str, name: str, ddl: str) -> tuple[str, DataFrame]:
+    path = f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(path)
+    return path, df.sparkSession.read.schema(ddl).parquet(path)
 
-def dedupe_page_stream(pages: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """T5 on a stream: the same page landed again within ``delay`` of its first landing is dropped.
 
-    The page identity includes a SHA-256 of the body, so state holds a fixed-size digest per page
-    and not the page text."""
-    return (pages.withColumn("body_sha", F.sha2("body", 256))
-            .withWatermark("fetched_at", delay)
-            .dropDuplicatesWithinWatermark(PAGE_ID)
-            .drop("body_sha"))
+def _read(spark: SparkSession, path: str | None, ddl: str) -> DataFrame:
+    return spark.read.schema(ddl).parquet(path) if path else spark.createDataFrame([], ddl)
 
 
-def _process_batch(spark: SparkSession, state_root: str, out_dir: str, compact_every: int):
-    ckpt_root = f"{state_root}/checkpoints"
-    pending_root = f"{state_root}/pending"
+def _process_batch(spark: SparkSession, state_root: str, out_dir: str, compact_every: int, dedupe: bool = True):
+    root = f"{state_root}/checkpoints"
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        if (batch_id + 1) in versions(spark, f"{ckpt_root}/delta"):
+        state = CK.read_manifest(spark, root)["extra"]
+        if state.get("batch", -1) >= batch_id:
             return  # committed before a failure; the replay is a no-op
-        ckpt = scan_checkpoints(spark, ckpt_root)
-        pending = scan_pending(spark, pending_root, batch_id)
-        work = SY.message_work(ckpt)
-        pages = batch.select(*S.ENVELOPE_DDL_COLS)
-        sel_new = SY.select_message_chains(pages, work)
-        sel_all = SY.select_message_chains(pages.unionByName(pending), work)
-        records = SY.message_records(sel_new)
-        # one row per chain, used by three writes below: kept for the batch (recomputed the same
-        # way from the batch's fixed input files if a block is lost)
-        tokens = SY.message_tokens(sel_all).persist(StorageLevel.MEMORY_AND_DISK)
-        recs = union_records(records, token_records(tokens, C.ROUTE_SUCCESS_MESSAGES))
-        recs.write.mode("overwrite").parquet(f"{out_dir}/batch={batch_id}")
-        done = tokens.select(*SY.MESSAGE_CHAIN)
-        still = (sel_all.join(done, on=SY.MESSAGE_CHAIN, how="left_anti")
-                 .select(*S.ENVELOPE_DDL_COLS))
-        still.write.mode("overwrite").parquet(f"{pending_root}/version={batch_id + 1}")
-        new = (tokens.filter(token_changed(F.col("delta"), F.col("new_delta")))
-               .select("key", F.col("new_delta").alias("delta")))
-        write_delta(new, ckpt_root, batch_id + 1)
-        tokens.unpersist()
+        CK.delete_path(spark, f"{out_dir}/batch={batch_id}")  # of an attempt that was not committed
+        ckpt = CK.scan_checkpoints(spark, root)
+        closed = _read(spark, state.get("closed"), CHAIN_DDL)
+        old = _read(spark, state.get("pool"), POOL_DDL)
+        landed = batch.filter((F.col("resource") == "messages") & F.col("user_id").isNotNull() & F.col("folder_id").isNotNull())
+        new = (with_links(landed.select(*S.ENVELOPE_DDL_COLS)).withColumn("request_token", F.coalesce("request_token", F.lit("")))
+               .withColumn("digest", F.sha2("body", 256)).withColumn("emitted", F.lit(False)))
+        if dedupe:
+            new = (new.dropDuplicates(PAGE_ID).join(old.select(*PAGE_ID), PAGE_ID, "left_anti")
+                   .join(closed, CHAIN, "left_anti"))
+        if not dedupe:  # a rerun of a closed chain gives its records again, as the original does
+            replayed = new.join(closed, CHAIN, "left_semi")
+            new = new.join(closed, CHAIN, "left_anti")
+            SY.message_records(replayed).write.parquet(f"{out_dir}/batch={batch_id}/step=0")
+        pool_path, pool = _written(old.unionByName(new.select(old.columns)), f"{state_root}/pool", "landed", POOL_DDL)
+        keys = pool.filter("request_token = ''").select(messages_key("user_id", "folder_id").alias("key"))
+        seeds = seed_work(keys, ckpt)
+        current = ckpt.select("key", "delta").unionByName(seeds)
+        _, changed = _written(seeds, f"{state_root}/pool", "tokens", "key STRING, delta STRING")
+        all_closed = closed
+        for step in range(1, MOST_STEPS + 1):
+            work = SY.message_work(current)
+            chains = work.filter(F.col("key_ok")).select(*CHAIN, "key", "delta")
+            mine = pool.join(chains, CHAIN)
+            tokens = chains.join(tokens_of_links(pool.filter("page_ok"), CHAIN), CHAIN)
+            records = union_records(SY.message_records(mine.filter(~F.col("emitted"))),
+                                    token_records(tokens, C.ROUTE_SUCCESS_MESSAGES))
+            records.write.mode("overwrite").parquet(f"{out_dir}/batch={batch_id}/step={step}")
+            _, moved = _written(tokens.filter(token_changed(F.col("delta"), F.col("new_delta"))),
+                                         f"{state_root}/pool", "moved", CHAIN_DDL + ", key STRING, delta STRING, new_delta STRING")
+            out = F.col("emitted") | F.col("is_current").isNotNull()
+            rest = (pool.join(moved.select(*CHAIN), CHAIN, "left_anti")
+                    .join(chains.select(*CHAIN, F.lit(True).alias("is_current")), CHAIN, "left")
+                    .withColumn("body", F.when(~out, F.col("body"))).withColumn("emitted", out))
+            pool_path, pool = _written(rest.select(old.columns), f"{state_root}/pool", "pool", POOL_DDL)
+            if moved.isEmpty():
+                break
+            fresh = moved.select("key", F.col("new_delta").alias("delta"))
+            _, changed = _written(changed.join(fresh.select("key"), "key", "left_anti").unionByName(fresh),
+                                  f"{state_root}/pool", "tokens", "key STRING, delta STRING")
+            current = (current.join(fresh.select("key"), "key", "left_anti").unionByName(fresh))
+            all_closed = all_closed.unionByName(moved.select(*CHAIN))
+        closed_path, _ = _written(all_closed, f"{state_root}/pool", "closed", CHAIN_DDL)
+        CK.write_delta(changed, root, batch_id + 1, extra={"batch": batch_id, "pool": pool_path, "closed": closed_path})
+        CK.prune(spark, f"{state_root}/pool", root)
         if compact_every and (batch_id + 1) % compact_every == 0:
-            compact(spark, ckpt_root)
+            CK.compact(spark, root)
 
     return run
 
 
-def scan_pending(spark: SparkSession, pending_root: str, upto: int) -> DataFrame:
-    """Pending pages as committed by the previous batch (never a version written by a crashed
-    attempt of the current one)."""
-    vs = [v for v in versions(spark, pending_root) if v <= upto]
-    if not vs:
-        return spark.createDataFrame([], S.ENVELOPE_DDL)
-    return spark.read.schema(S.ENVELOPE_DDL).parquet(f"{pending_root}/version={vs[-1]}")
+def scan_pool(spark: SparkSession, state_root: str) -> DataFrame:
+    """The pages that wait as of the last commit."""
+    return _read(spark, CK.read_manifest(spark, f"{state_root}/checkpoints")["extra"].get("pool"), POOL_DDL)
 
 
 def sync_stream(spark: SparkSession, landing_dir: str, state_root: str, out_dir: str,
                 initial_ckpt: DataFrame | None = None, dedupe: bool = True,
-                max_files_per_trigger: int = 1, delay: str = "1 hour", compact_every: int = 20) -> None:
+                max_files_per_trigger: int | None = None, compact_every: int = 20) -> None:
     """Run the stream over everything landed so far (``availableNow``) and return when done."""
-    ckpt_root = f"{state_root}/checkpoints"
-    if not versions(spark, f"{ckpt_root}/base"):
+    root = f"{state_root}/checkpoints"
+    if CK.latest_version(spark, root) is None:
         seed = initial_ckpt if initial_ckpt is not None else spark.createDataFrame([], S.CHECKPOINT_DDL)
-        write_checkpoints(seed, ckpt_root, 0)
+        CK.write_checkpoints(seed, root, 0)
     pages = stream_pages(spark, landing_dir, max_files_per_trigger)
-    if dedupe:
-        pages = dedupe_page_stream(pages, delay)
-    q = (pages.writeStream.foreachBatch(_process_batch(spark, state_root, out_dir, compact_every))
+    q = (pages.writeStream.foreachBatch(_process_batch(spark, state_root, out_dir, compact_every, dedupe))
          .option("checkpointLocation", f"{state_root}/stream")
          .trigger(availableNow=True).start())
     q.awaitTermination()
 
 
 def read_stream_output(spark: SparkSession, out_dir: str) -> DataFrame:
-    return spark.read.schema(S.RECORD_DDL + ", batch BIGINT").parquet(out_dir).select(
+    return spark.read.schema(S.RECORD_DDL + ", batch BIGINT, step BIGINT").parquet(out_dir).select(
         "route", "attributes", "content", "emit_seq")
 
 
