@@ -5,9 +5,8 @@ import pytest
 import __spark_entry__ as E
 from compare import compare, duck
 from conftest import SF_SMALL
-
-QUERIES = E.queries()
-ORACLES = E.oracle_sql()
+from mailsync.plans.oracles import ORACLES
+from mailsync.plans.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -17,6 +16,7 @@ def con():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLES) <= set(E.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

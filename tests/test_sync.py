@@ -84,10 +84,13 @@ def test_replay_dedupe_and_rerun(spark):
     pages = TV.land_changes(spark, SF_SMALL)
     work = Q._changes_work(spark, SF_SMALL)
     once, _, _ = SY.sync_messages(pages, work)
-    twice, _, _ = SY.sync_messages(pages.unionByName(pages), work)
+    doubled = pages.unionByName(pages)
+    twice, _, _ = SY.sync_messages(doubled, work, dedupe=False)
     assert twice.count() > once.count()
-    d = dedupe_replay(twice)
     key = ["route", "emit_seq", "content"]
+    default, _, _ = SY.sync_messages(doubled, work)  # replayed pages are dropped unless asked not to
+    assert default.select(*key).exceptAll(once.select(*key)).count() == 0 and default.count() == once.count()
+    d = dedupe_replay(twice)
     assert d.select(*key).exceptAll(once.select(*key)).count() == 0
     assert once.select(*key).exceptAll(d.select(*key)).count() == 0
 
@@ -116,7 +119,7 @@ def test_checkpoint_store_deltas_and_compaction(spark):
     want = {"a": ("1", 0), "b": ("2", 1), "c": ("3", 2)}
     assert {r.key: (r.delta, r.version) for r in CK.scan_checkpoints(spark, root).collect()} == want
     assert CK.compact(spark, root) == 2
-    assert CK.versions(spark, f"{root}/base") == [0, 2]
+    assert CK.versions(spark, root) == (2, [])
     assert {r.key: (r.delta, r.version) for r in CK.scan_checkpoints(spark, root).collect()} == want
     with pytest.raises(Exception):
         CK.write_delta(spark.createDataFrame([("d", "4")], "key STRING, delta STRING"), root, 2)  # never overwrite
@@ -134,7 +137,7 @@ def test_stream_batch_replay_is_noop(spark):
     first = STR.read_stream_output(spark, out).count()
     run(pages, 0)  # the same batch again after a "failure": already committed
     assert STR.read_stream_output(spark, out).count() == first
-    assert CK.versions(spark, f"{state}/checkpoints/delta") == [1]
+    assert CK.versions(spark, f"{state}/checkpoints") == (0, [1])
 
 
 def test_json_lines_landing_and_json_records(spark):
@@ -222,3 +225,144 @@ def test_tenant_sync_routes_bad_keys_to_failure(spark):
     assert {r.route for r in recs.select("route").distinct().collect()} == {
         C.ROUTE_SUCCESS, C.ROUTE_SUCCESS_MESSAGES, C.ROUTE_SUCCESS_ATTACHMENTS}
     assert toks.filter(F.col("key").isNull() | F.col("delta").isNull()).count() == 0
+
+
+def test_half_written_versions_do_not_hinder_the_next_attempt(spark):
+    from mailsync.sources import checkpoints as CK
+    root = scratch_path(spark, "test-crash")
+    rows = lambda *x: spark.createDataFrame(list(x), "key STRING, delta STRING")
+    for kind in ("base", "delta"):  # what writers killed half-way leave behind
+        rows(("a", "half")).write.parquet(f"{root}/{kind}/version=0-killed")
+        rows(("a", "half")).write.parquet(f"{root}/{kind}/version=1")
+    assert CK.scan_checkpoints(spark, root).count() == 0
+    CK.write_checkpoints(rows(("a", "1"), ("b", "1")), root, 0)
+    CK.write_delta(rows(("b", "2")), root, 1, removed=rows(("a", "")).select("key"))
+    assert {r.key: r.delta for r in CK.scan_checkpoints(spark, root).collect()} == {"b": "2"}
+
+
+def test_listing_does_not_grow_with_commits(spark):
+    from mailsync.sources import checkpoints as CK
+    root = scratch_path(spark, "test-retention")
+    row = lambda i: spark.createDataFrame([("k", str(i))], "key STRING, delta STRING")
+    CK.write_checkpoints(row(0), root, 0)
+    for v in range(1, 7):
+        CK.write_delta(row(v), root, v)
+        if v % 3 == 0:
+            CK.compact(spark, root)
+    assert len(CK._commits(spark, root)) == CK.KEEP
+    assert [(r.delta, r.version) for r in CK.scan_checkpoints(spark, root).collect()] == [("6", 6)]
+    path, fs = CK._fs(spark, f"{root}/delta")
+    assert len(fs.listStatus(path)) <= 3
+
+
+def _page(chain, no, items, nxt=None, delta=None, attempt=None, at=0):
+    import datetime as dt
+    import json
+    body = {"value": [{"id": i} for i in items]}
+    body.update({"@odata.nextLink": nxt} if nxt else {})
+    body.update({"@odata.deltaLink": delta} if delta else {})
+    return ("messages", "u", "f", None, chain, no, dt.datetime(2024, 3, 1) + dt.timedelta(minutes=at), json.dumps(body), attempt)
+
+
+def _pages(spark, *rows):
+    from mailsync import schemas as S
+    return spark.createDataFrame(list(rows), S.ENVELOPE_DDL)
+
+
+MAIL_KEY = "O365_messages|u|f"
+
+
+def test_attempts_never_add_up(spark):
+    chain = ["user_id", "folder_id", "request_token"]
+    failed = [_page("", 0, ["a"], nxt="n", attempt="1"), _page("", 1, ["b"], nxt="n", attempt="1")]
+    rerun = [_page("", 0, ["a"], nxt="n", attempt="2", at=9), _page("", 2, ["c"], delta="T", attempt="2", at=9)]
+    assert chain_tokens(_pages(spark, *failed, *rerun), chain).count() == 0
+    whole = _page("", 1, ["b"], nxt="n", attempt="2", at=9)
+    again = [_page("", 0, ["z"], delta="T9", attempt="0", at=3)]
+    got = chain_tokens(_pages(spark, *failed, *rerun, whole, *again), chain).collect()
+    assert [r.new_delta for r in got] == ["T"]  # the complete attempt that ended last
+
+
+def test_token_plan_moves_no_body(spark):
+    pages = _pages(spark, _page("", 0, ["a"], delta="T"))
+    work = SY.message_work(spark.createDataFrame([(MAIL_KEY, "")], "key STRING, delta STRING"))
+    plan = SY.message_tokens(pages, work)._jdf.queryExecution().optimizedPlan().toString()
+    below = [line for line in plan.split("\n") if "Join" in line or "Aggregate" in line]
+    assert below and not any("body" in line for line in below)
+
+
+def test_hot_chain_gives_its_token(spark):
+    rows = [_page("", n, [f"i{n}"], nxt="n" if n < 299 else None, delta="T" if n == 299 else None) for n in range(300)]
+    assert [r.new_delta for r in chain_tokens(_pages(spark, *rows), ["user_id", "folder_id", "request_token"]).collect()] == ["T"]
+
+
+def _streamed(spark, batches, ckpt, **how):
+    from mailsync.sources import checkpoints as CK
+    root = scratch_path(spark, "test-lossless")
+    start = spark.createDataFrame(ckpt, "key STRING, delta STRING")
+    CK.write_checkpoints(start, f"{root}/state/checkpoints", 0)
+    run = STR._process_batch(spark, f"{root}/state", f"{root}/out", compact_every=2, **how)
+    for n, rows in enumerate(batches):
+        run(_pages(spark, *rows), n)
+    recs = STR.read_stream_output(spark, f"{root}/out").collect()
+    ids = sorted(r.attributes[C.ATTR_MESSAGE_ID] for r in recs if r.emit_seq == C.EMIT_ITEM)
+    tokens = [r.content for r in recs if r.emit_seq == C.EMIT_TOKEN]
+    now = {r.key: r.delta for r in CK.scan_checkpoints(spark, f"{root}/state/checkpoints").collect()}
+    return ids, sorted(tokens), now, STR.scan_pool(spark, f"{root}/state").count()
+
+
+def test_stream_loses_nothing(spark):
+    a, b, c = _page("", 0, ["a"], delta="T1"), _page("T1", 0, ["b"], delta="T2"), _page("T2", 0, ["c"], delta="T3")
+    want = (["a", "b", "c"], ["T1", "T2", "T3"], {MAIL_KEY: "T3"}, 0)
+    known = [(MAIL_KEY, "")]
+    for dedupe in (True, False):
+        assert _streamed(spark, [[a, b], [c]], known, dedupe=dedupe) == want    # chained tokens in one batch
+        assert _streamed(spark, [[c], [b], [a]], known, dedupe=dedupe) == want  # later tokens first
+        assert _streamed(spark, [[a, b, c]], [("O365_users_delta", "")], dedupe=dedupe)[0] == ["a", "b", "c"]  # unknown key
+    late = _page("", 1, ["b2"], delta="T1", at=9000), _page("", 0, ["a"], nxt="n", at=0)
+    assert _streamed(spark, [[late[0]], [late[1]]], known) == (["a", "b2"], ["T1"], {MAIL_KEY: "T1"}, 0)
+
+
+def test_stream_drops_exact_replays_only(spark):
+    first, last = _page("", 0, ["a"], nxt="n"), _page("", 1, ["b"], delta="T1")
+    again = _page("", 0, ["a"], nxt="n", attempt="2", at=5)
+    got = _streamed(spark, [[first, again], [again], [last], [first, last]], [(MAIL_KEY, "")])
+    assert got == (["a", "b"], ["T1"], {MAIL_KEY: "T1"}, 0)
+    got = _streamed(spark, [[first, last], [first, last]], [(MAIL_KEY, "")], dedupe=False)
+    assert got[0] == ["a", "a", "b", "b"] and got[1:] == (["T1"], {MAIL_KEY: "T1"}, 0)
+
+
+def test_attachments_of_replays_and_removed_messages(spark):
+    import datetime as dt
+    from mailsync import schemas as S
+    msg = lambda i, body: (C.ROUTE_SUCCESS_MESSAGES, {C.ATTR_USER_ID: "u", C.ATTR_MESSAGE_ID: i}, body, C.EMIT_ITEM)
+    records = spark.createDataFrame([msg("m", '{"id":"m"}'), msg("gone", '{"id":"gone","@removed":{"reason":"deleted"}}')], S.RECORD_DDL)
+
+    def page(message, attempt, hour, names):
+        body = '{"value": [' + ",".join(f'{{"name":"{n}"}}' for n in names) + "]}"
+        return ("attachments", "u", None, message, "", 0, dt.datetime(2024, 3, 1, hour), body, attempt)
+
+    landed = [page("m", "1", 1, ["x", "x"]), page("m", "2", 2, ["x", "x", "y"]), page("gone", "1", 1, ["z"])]
+    for k in (1, 2, 3):
+        got = SY.expand_attachments(records, spark.createDataFrame(landed * k, S.ENVELOPE_DDL))
+        assert sorted(r.attributes[C.ATTR_ATTACHMENT_FILE_NAME] for r in got.collect()) == ["x", "x", "y"]
+    plan = SY.expand_attachments(records, spark.createDataFrame(landed, S.ENVELOPE_DDL))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate") < plan.index("Join")  # pages are flattened after they are chosen
+
+
+def test_tenant_rerun_takes_up_after_the_last_level(spark, monkeypatch):
+    pages, ck = TV.landed_all(spark, SF_SMALL), TV.checkpoints(spark, SF_SMALL)
+    out = scratch_path(spark, "test-tenant")
+    real = SY.sync_messages
+    monkeypatch.setattr(SY, "sync_messages", lambda *a, **k: 1 / 0)
+    try:
+        SY.sync_tenant(pages, ck, out)
+        raise AssertionError("the level should have failed")
+    except ZeroDivisionError:
+        pass
+    monkeypatch.setattr(SY, "sync_messages", real)
+    monkeypatch.setattr(SY, "sync_users", lambda *a, **k: 1 / 0)  # done before, must not run again
+    recs, toks, _ = SY.sync_tenant(pages, ck, out)
+    monkeypatch.undo()
+    recs2, toks2, _ = SY.sync_tenant(pages, ck)
+    assert (recs.count(), toks.count()) == (recs2.count(), toks2.count())
