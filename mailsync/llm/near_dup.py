@@ -24,8 +24,8 @@ Plan, always linear in the rows but for pairs that really must be told apart:
 5. Components again, with the links of step 4.
 
 Edge cases: null or empty texts and texts without words have no shingle, no links, and are their own
-component; one to four words are one shingle; rows that repeat a ``doc_id`` are one document with all
-links of its rows; a null ``doc_id`` counts as the largest; extra columns are ignored; an empty table
+component; one to four words are one shingle; rows that repeat a ``doc_id`` are judged each by their
+own text; a null ``doc_id`` counts as the largest; extra columns are ignored; an empty table
 gives an empty result.
 """
 
