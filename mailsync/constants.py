@@ -62,7 +62,6 @@ USER_FIELDS_DEFAULT = (
     "businessPhones,displayName,givenName,jobTitle,mail,mobilePhone,officeLocation,"
     "preferredLanguage,surname,userPrincipalName,id"
 )
-FOLDER_FIELDS_DEFAULT = "id,displayName,childFolderCount,parentFolderId,totalItemCount,unreadItemCount"
 MESSAGE_FIELDS_DEFAULT = (
     "id,createdDateTime,lastModifiedDateTime,changeKey,categories,receivedDateTime,sentDateTime,"
     "hasAttachments,internetMessageId,subject,bodyPreview,importance,parentFolderId,conversationId,"

@@ -57,7 +57,3 @@ def passthrough_original(inputs: DataFrame) -> DataFrame:
     """The input record also goes to ``Original`` on success, unchanged."""
     return inputs.select(F.lit(C.ROUTE_ORIGINAL).alias("route"), "attributes", "content", "emit_seq")
 
-
-def split_routes(records: DataFrame, routes: list[str]) -> dict[str, DataFrame]:
-    """Named outputs as filtered views (no extra pass when written with ``partitionBy('route')``)."""
-    return {r: records.filter(F.col("route") == r) for r in routes}

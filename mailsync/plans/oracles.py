@@ -453,6 +453,24 @@ UNION ALL
 SELECT 'success_messages', 2, NULL, NULL, NULL, NULL, {MKEY.format(u='user_id', t='event_type')}, CAST(last_id AS VARCHAR)
 FROM fold LEFT JOIN tok USING (user_id, event_type) WHERE tok IS NULL OR tok <> last_id""",
 
+    "delta_failures": f"""WITH {INPUTS}
+SELECT 'Failure' AS route, user_id, folder_id, delta, CAST(NULL AS VARCHAR) AS error, CAST(NULL AS VARCHAR) AS error_class
+FROM inputs WHERE user_id IS NULL OR folder_id IS NULL
+UNION ALL
+SELECT 'Failure', user_id, folder_id, delta, 'page body is not JSON', 'JsonParseException'
+FROM inputs WHERE folder_id IS NOT NULL AND CAST(user_id AS BIGINT) % 3 = 0""",
+
+    "generic_records": """SELECT 'Success' AS route, CAST(1 AS BIGINT) AS emit_seq, url AS asked_url, 2 AS n_attrs, page_id FROM pages""",
+
+    "cache_original": f"""WITH {CKPT},
+new_users AS (SELECT count(*) AS n FROM customer WHERE c_custkey > {USERS_TOKEN}),
+mine AS (SELECT DISTINCT user_id AS u FROM events),
+found AS (SELECT o_custkey, o_orderstatus FROM orders JOIN mine ON u = o_custkey GROUP BY 1, 2)
+SELECT 'users/Success' AS route, CAST(n + CASE WHEN n > 0 THEN 1 ELSE 0 END AS BIGINT) AS n_records FROM new_users WHERE n > 0
+UNION ALL SELECT 'users/Original', count(*) FROM mine
+UNION ALL SELECT 'folders/Original', count(*) FROM mine
+UNION ALL SELECT 'folders/Success', CAST((SELECT count(*) FROM found) + (SELECT count(DISTINCT o_custkey) FROM found) AS BIGINT)""",
+
     "mixed_attempts": f"""WITH {RANKED},
 pages AS (SELECT user_id, event_type, greatest(0, (count(*) - 1) // 10) AS last FROM ranked GROUP BY 1, 2)
 SELECT {MKEY.format(u='c.user_id', t='c.event_type')} AS key, coalesce(old_delta, '') AS old_delta, CAST(last_id AS VARCHAR) AS new_delta

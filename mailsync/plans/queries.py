@@ -207,6 +207,36 @@ def q_users_delta_records(spark, d):
         F.when(F.col("route") == C.ROUTE_DELTA, F.col("content")).alias("token"), F.size(a).alias("n_attrs"))
 
 
+def q_delta_failures(spark, d):
+    """Inputs of the record-driven message sync whose first page is cut off."""
+    pages = TV.landed(spark, d, "changes")
+    first = (F.col("page_no") == 0) & (F.col("user_id").cast("bigint") % 3 == 0)
+    cut = pages.withColumn("body", F.when(first, F.lit('{"value": [oops')).otherwise(F.col("body")))
+    _, _, failed = SY.sync_messages_from_records(cut, _delta_inputs(spark, d))
+    a = F.col("attributes")
+    return failed.select("route", a[C.ATTR_USER_ID].alias("user_id"), a[C.ATTR_FOLDER_ID].alias("folder_id"),
+                         a[C.ATTR_DELTA].alias("delta"), a[C.ATTR_MSG_ERROR].alias("error"), a[C.ATTR_MSG_STACK].alias("error_class"))
+
+
+def q_cache_original(spark, d):
+    """The cache syncs of users and folders give their triggers to ``Original``."""
+    trigger = _ckpt_records(spark, d, F.col("key").startswith(C.KEY_FOLDERS_PREFIX))
+    users, _ = SY.sync_users(TV.landed(spark, d, "users"), TV.checkpoints(spark, d), trigger=trigger)
+    folders, _, _ = SY.sync_folders(TV.landed(spark, d, "folders"), TV.checkpoints(spark, d), trigger=trigger)
+    return R.route_counts(users.withColumn("route", F.concat(F.lit("users/"), "route")).unionByName(
+        folders.withColumn("route", F.concat(F.lit("folders/"), "route"))))
+
+
+def q_generic_records(spark, d):
+    """S7 as records of their requests."""
+    answers = TV.generic_responses(spark, d)
+    asked = TV.table(spark, d, "pages").select(F.col("page_id").alias("request_id"), P.attrs_of(
+        {"method": F.lit("GET"), "asked_url": F.col("url")}).alias("attributes"))
+    r = PS.generic_records(asked, answers)
+    return r.select("route", "emit_seq", F.col("attributes")["asked_url"].alias("asked_url"), F.size("attributes").alias("n_attrs"),
+                    F.get_json_object("content", "$.id").cast("bigint").alias("page_id"))
+
+
 # ---- users, folders, messages, attachments ---------------------------------------------------------
 
 def q_users_scan(spark, d):
@@ -710,6 +740,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_late_pages": q_stream_late_pages,
     "stream_chained_tokens": q_stream_chained_tokens,
     "stream_new_folders": q_stream_new_folders,
+    "delta_failures": q_delta_failures,
+    "cache_original": q_cache_original,
+    "generic_records": q_generic_records,
     "mixed_attempts": q_mixed_attempts,
     "replay_new_link": q_replay_new_link,
     "attachments_replay": q_attachments_replay,

@@ -26,7 +26,7 @@ from mailsync.functions.checks import token_changed
 from mailsync.functions.fields import attachment_attrs, attrs_of, inherit
 from mailsync.functions.keys import filter_keys, folders_key, messages_key, parse_key
 from mailsync.operators.dedupe import dedupe_pages
-from mailsync.operators.routes import error_records, record, union_records
+from mailsync.operators.routes import error_records, passthrough_original, record, union_records
 from mailsync.operators.state import bootstrap, chain_tokens, token_records, work_from
 from mailsync.sources.pages import flatten_pages, is_tombstone, item_field, with_links
 
@@ -66,6 +66,19 @@ def bad_pages(pages: DataFrame, chain: list[str] | None = None) -> DataFrame:
                          F.lit("page body is not JSON"), "JsonParseException", keep_attrs=True)
 
 
+def _unread_chains(pages: DataFrame, resource: str, work: DataFrame, chain: list[str]) -> DataFrame:
+    """Rows of ``work`` whose chain has a page that does not parse and no complete attempt."""
+    p = pages.filter(F.col("resource") == resource)
+    bad = with_links(p).filter(~F.col("page_ok")).select(*chain).distinct()
+    return work.join(bad, on=chain, how="left_semi").join(chain_tokens(p, chain).select(*chain), on=chain, how="left_anti")
+
+
+def _chain_failures(failed: DataFrame, variant: str) -> DataFrame:
+    """R2 of the record-driven variants: the input's attributes and content with their error names."""
+    return error_records(failed.select(F.col("input_attrs").alias("attributes"), F.col("input_content").alias("content")),
+                         F.lit("page body is not JSON"), "JsonParseException", variant=variant, keep_attrs=True)
+
+
 def _bad_keys(work: DataFrame) -> DataFrame:
     failed = work.filter(~F.col("key_ok"))
     return error_records(failed.select(F.lit("").alias("content"), "key"),
@@ -132,9 +145,11 @@ def user_work(ckpt: DataFrame, pattern: str = C.REGEX_USERS_DEFAULT) -> DataFram
 
 def sync_users(pages: DataFrame, ckpt: DataFrame, pattern: str = C.REGEX_USERS_DEFAULT,
                input_attrs: dict | None = None, route: str = C.ROUTE_SUCCESS,
-               always_emit_token: bool = False, dedupe: bool = True) -> tuple[DataFrame, DataFrame]:
+               always_emit_token: bool = False, dedupe: bool = True,
+               trigger: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Users from the stored token (full load without one). Each user record carries the
-    folders key its children are fetched under (``office365_cache_key``)."""
+    folders key its children are fetched under (``office365_cache_key``). The records that
+    triggered the run (``trigger``), if any, go to ``Original`` (R4)."""
     work = user_work(ckpt, pattern).select("request_token", "key", "delta")
     sel = _select_chains(pages, "users", work, ["request_token"], dedupe)
     base = _base(input_attrs)
@@ -143,7 +158,8 @@ def sync_users(pages: DataFrame, ckpt: DataFrame, pattern: str = C.REGEX_USERS_D
     a = attrs_of({C.ATTR_USER_ID: uid, C.ATTR_CACHE_KEY: folders_key(uid)})
     records = items.select(*record(route, inherit(base, a), F.col("item"), C.EMIT_ITEM))
     tokens = _select_tokens(pages, "users", work, ["request_token"])
-    return union_records(records, token_records(tokens, route, base, always=always_emit_token)), tokens
+    recs = union_records(records, token_records(tokens, route, base, always=always_emit_token))
+    return (union_records(recs, passthrough_original(trigger)) if trigger is not None else recs), tokens
 
 
 # ---- folders (S3): keys O365_folders|user ---------------------------------------------------------
@@ -156,9 +172,10 @@ def folder_work(ckpt: DataFrame, pattern: str = C.REGEX_FOLDERS_DEFAULT) -> Data
 
 def sync_folders(pages: DataFrame, ckpt: DataFrame, pattern: str = C.REGEX_FOLDERS_DEFAULT,
                  input_attrs: dict | None = None, route: str = C.ROUTE_SUCCESS,
-                 always_emit_token: bool = False, dedupe: bool = True) -> tuple[DataFrame, DataFrame, DataFrame]:
+                 always_emit_token: bool = False, dedupe: bool = True,
+                 trigger: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """S3: folders of every matching user key from its token. Each folder record carries the
-    messages key its children are fetched under."""
+    messages key its children are fetched under. ``trigger`` as in :func:`sync_users`."""
     work = folder_work(ckpt, pattern)
     good = work.filter(F.col("key_ok")).select("user_id", "request_token", "key", "delta")
     chain = ["user_id", "request_token"]
@@ -171,7 +188,7 @@ def sync_folders(pages: DataFrame, ckpt: DataFrame, pattern: str = C.REGEX_FOLDE
     records = items.select(*record(route, inherit(base, a), F.col("item"), C.EMIT_ITEM))
     tokens = _select_tokens(pages, "folders", good, chain)
     recs = union_records(records, token_records(tokens, route, base, always=always_emit_token))
-    return recs, tokens, _bad_keys(work)
+    return (union_records(recs, passthrough_original(trigger)) if trigger is not None else recs), tokens, _bad_keys(work)
 
 
 def scan_message_records(pages: DataFrame, route: str = C.ROUTE_SUCCESS_MESSAGES) -> DataFrame:
@@ -241,6 +258,8 @@ def sync_messages_from_records(pages: DataFrame, inputs: DataFrame,
     ``delta_attr``) a token. Returns ``(records, delta_records, failures)``.
 
     * F2: a record without user or folder id goes to ``Failure`` unchanged, with no error attributes;
+    * a record whose chain has an unreadable page (and no complete attempt) goes to ``Failure`` with its
+      attributes and the error's (R2);
     * message records inherit the input attributes and always get the ids (a deliberate choice);
     * the token goes to the ``Delta`` route on every run, carrying only the ids (T3).
     """
@@ -251,8 +270,9 @@ def sync_messages_from_records(pages: DataFrame, inputs: DataFrame,
         F.col("attributes")[C.ATTR_USER_ID].alias("user_id"),
         F.col("attributes")[C.ATTR_FOLDER_ID].alias("folder_id"),
         F.col("attributes")[delta_attr].alias("delta"),
-        F.col("attributes").alias("input_attrs")))
+        F.col("attributes").alias("input_attrs"), F.col("content").alias("input_content")))
     chain = ["user_id", "folder_id", "request_token"]
+    failed = union_records(failed, _chain_failures(_unread_chains(pages, "messages", work, chain), "message"))
     sel = _select_chains(pages, "messages", work, chain)
     items = flatten_pages(sel, chain + ["page_no", "input_attrs"])
     ids = attrs_of({C.ATTR_USER_ID: F.col("user_id"), C.ATTR_FOLDER_ID: F.col("folder_id"),
@@ -340,7 +360,8 @@ def sync_folders_from_records(pages: DataFrame, inputs: DataFrame,
                               delta_attr: str = C.ATTR_DELTA) -> tuple[DataFrame, DataFrame, DataFrame]:
     """S3 (delta variant): every input record names a user and (in ``delta_attr``) a token.
 
-    F2: a record without a user id goes to ``Failure`` unchanged. Folder records inherit the
+    F2: a record without a user id goes to ``Failure`` unchanged; one whose chain has an unreadable page
+    goes there with its attributes and the error's (R2). Folder records inherit the
     input attributes plus the folder id; the token goes to ``Delta`` on every run carrying only the
     user id (T3). Returns ``(records, delta_records, failures)``.
     """
@@ -350,8 +371,9 @@ def sync_folders_from_records(pages: DataFrame, inputs: DataFrame,
     work = work_from(inputs.filter(ok).select(
         F.col("attributes")[C.ATTR_USER_ID].alias("user_id"),
         F.col("attributes")[delta_attr].alias("delta"),
-        F.col("attributes").alias("input_attrs")))
+        F.col("attributes").alias("input_attrs"), F.col("content").alias("input_content")))
     chain = ["user_id", "request_token"]
+    failed = union_records(failed, _chain_failures(_unread_chains(pages, "folders", work, chain), "folder"))
     sel = _select_chains(pages, "folders", work, chain)
     items = flatten_pages(sel, chain + ["page_no", "input_attrs"])
     a = inherit(F.col("input_attrs"), attrs_of({C.ATTR_FOLDER_ID: item_field("id")}))
@@ -368,11 +390,11 @@ def sync_users_from_records(pages: DataFrame, inputs: DataFrame,
     """S2 (delta variant): every input record asks for the users from the token in ``delta_attr``.
 
     User records inherit the input attributes plus the user id; a changed token goes to ``Delta``
-    inheriting all input attributes; each input also goes to ``Original`` (R4). Returns
-    ``(records, delta_records, originals)``.
+    inheriting all input attributes; each input also goes to ``Original`` (R4), or unchanged to
+    ``Failure`` if its chain has an unreadable page. Returns ``(records, delta_records, inputs)``.
     """
     work = work_from(inputs.select(F.col("attributes")[delta_attr].alias("delta"),
-                                   F.col("attributes").alias("input_attrs")))
+                                   F.col("attributes").alias("input_attrs"), "content", "emit_seq"))
     sel = _select_chains(pages, "users", work, ["request_token"])
     items = flatten_pages(sel, ["request_token", "page_no", "input_attrs"])
     a = inherit(F.col("input_attrs"), attrs_of({C.ATTR_USER_ID: item_field("id")}))
@@ -380,5 +402,8 @@ def sync_users_from_records(pages: DataFrame, inputs: DataFrame,
     tokens = _select_tokens(pages, "users", work, ["request_token"])
     delta = (tokens.filter(token_changed(F.col("delta"), F.col("new_delta")))
              .select(*record(C.ROUTE_DELTA, F.col("input_attrs"), F.col("new_delta"), C.EMIT_TOKEN)))
-    from mailsync.operators.routes import passthrough_original
-    return records, delta, passthrough_original(inputs)
+    unread = _unread_chains(pages, "users", work.select("request_token").distinct(), ["request_token"])
+    routed = work.join(unread.withColumn("unread", F.lit(True)), on="request_token", how="left").select(
+        F.when(F.col("unread"), C.ROUTE_FAILURE).otherwise(C.ROUTE_ORIGINAL).alias("route"),
+        F.col("input_attrs").alias("attributes"), "content", "emit_seq")
+    return records, delta, routed

@@ -21,11 +21,6 @@ USER_DDL = (
     "businessPhones ARRAY<STRING>"
 )
 
-FOLDER_DDL = (
-    "id STRING, displayName STRING, parentFolderId STRING, "
-    "childFolderCount INT, totalItemCount INT, unreadItemCount INT"
-)
-
 MESSAGE_DDL = (
     "id STRING, createdDateTime TIMESTAMP_NTZ, lastModifiedDateTime TIMESTAMP_NTZ, changeKey STRING, "
     "categories ARRAY<STRING>, receivedDateTime TIMESTAMP_NTZ, sentDateTime TIMESTAMP_NTZ, "

@@ -118,3 +118,13 @@ def scan_attachments(pages: DataFrame, fields: str | None = None) -> DataFrame:
 def scan_generic(responses: DataFrame, content: str = "content") -> DataFrame:
     """One response object per request, kept whole; parsed once as ``VARIANT`` for lookups."""
     return responses.withColumn("response", F.try_parse_json(F.col(content)))
+
+
+def generic_records(requests: DataFrame, responses: DataFrame, on: str = "request_id",
+                    content: str = "content") -> DataFrame:
+    """S7 as records: each response under its request's attributes, on ``Success``.
+
+    ``requests`` has ``on`` and ``attributes``; a request without a response gives nothing."""
+    return (responses.select(on, F.col(content).alias("response")).join(requests.select(on, "attributes"), on=on, how="inner")
+            .select(F.lit(C.ROUTE_SUCCESS).alias("route"), "attributes", F.col("response").alias("content"),
+                    F.lit(C.EMIT_ITEM).cast("bigint").alias("emit_seq")))
