@@ -15,28 +15,39 @@ from mailsync import constants as C
 from mailsync import schemas as S
 from mailsync.functions.fields import ddl_subset
 
+LANDING_DATE = "landing_date"
 CHAIN_COLS = ["resource", "user_id", "folder_id", "message_id", "request_token"]
 
 
 def read_pages(spark: SparkSession, path: str, resource: str | None = None,
-               fmt: str = "parquet") -> DataFrame:
-    """Read landed pages. Parquet landings are expected partitioned by ``resource`` so the
-    resource filter prunes whole directories; JSON-lines landings are read with the fixed DDL."""
+               fmt: str = "parquet", since: str | None = None) -> DataFrame:
+    """Read landed pages. Parquet landings are expected partitioned by ``resource`` and landing date,
+    so that the resource and ``since`` (a date: pages landed from then on) prune whole directories;
+    JSON-lines landings are read with the fixed DDL."""
     reader = spark.read.schema(S.ENVELOPE_DDL) if fmt == "json" else spark.read
     df = reader.format(fmt).load(path)
     if "attempt_id" not in df.columns:  # landed before the envelope had it
         df = df.withColumn("attempt_id", F.lit(None).cast("string"))
     if resource is not None:
         df = df.filter(F.col("resource") == resource)
-    return df
+    if since is not None:
+        landed = F.col(LANDING_DATE) if LANDING_DATE in df.columns else F.to_date("fetched_at")
+        df = df.filter(landed >= F.lit(since).cast("date"))
+    return df.drop(LANDING_DATE)
+
+
+def last_landing_date(spark: SparkSession, path: str, resource: str) -> str | None:
+    """The latest landing date of a resource, from the partition columns alone."""
+    days = spark.read.parquet(path).filter(F.col("resource") == resource).agg(F.max(LANDING_DATE).cast("string").alias("d"))
+    return days.first().d
 
 
 def write_pages(pages: DataFrame, path: str, pages_per_file: int = 1000, mode: str = "errorifexists") -> None:
-    """Land pages as Parquet partitioned by ``resource``, in files of at most ``pages_per_file``
-    pages: readers then split a landing into many tasks (a Parquet file splits only at row-group
+    """Land pages as Parquet partitioned by ``resource`` and landing date (the day of ``fetched_at``),
+    in files of at most ``pages_per_file`` pages: readers then split a landing into many tasks (a Parquet file splits only at row-group
     boundaries, so one large file would be one task)."""
-    (pages.write.mode(mode).option("maxRecordsPerFile", pages_per_file)
-     .partitionBy("resource").parquet(path))
+    (pages.withColumn(LANDING_DATE, F.to_date("fetched_at")).write.mode(mode).option("maxRecordsPerFile", pages_per_file)
+     .partitionBy("resource", LANDING_DATE).parquet(path))
 
 
 def parse_body(body="body") -> Column:

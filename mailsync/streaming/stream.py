@@ -34,7 +34,7 @@ from mailsync.operators.routes import union_records
 from mailsync.operators.state import seed_work, token_records, tokens_of_links
 from mailsync.plans import sync as SY
 from mailsync.sources import checkpoints as CK
-from mailsync.sources.pages import with_links
+from mailsync.sources.pages import last_landing_date, read_pages, with_links
 
 CHAIN = SY.MESSAGE_CHAIN
 PAGE_ID = [*CHAIN, "page_no", "digest"]
@@ -64,7 +64,8 @@ def _read(spark: SparkSession, path: str | None, ddl: str) -> DataFrame:
     return spark.read.schema(ddl).parquet(path) if path else spark.createDataFrame([], ddl)
 
 
-def _process_batch(spark: SparkSession, state_root: str, out_dir: str, compact_every: int, dedupe: bool = True):
+def _process_batch(spark: SparkSession, state_root: str, out_dir: str, compact_every: int, dedupe: bool = True,
+                   extra: dict | None = None):
     root = f"{state_root}/checkpoints"
 
     def run(batch: DataFrame, batch_id: int) -> None:
@@ -114,7 +115,7 @@ def _process_batch(spark: SparkSession, state_root: str, out_dir: str, compact_e
             current = (current.join(fresh.select("key"), "key", "left_anti").unionByName(fresh))
             all_closed = all_closed.unionByName(moved.select(*CHAIN))
         closed_path, _ = _written(all_closed, f"{state_root}/pool", "closed", CHAIN_DDL)
-        CK.write_delta(changed, root, batch_id + 1, extra={"batch": batch_id, "pool": pool_path, "closed": closed_path})
+        CK.write_delta(changed, root, batch_id + 1, extra={"batch": batch_id, "pool": pool_path, "closed": closed_path, **(extra or {})})
         CK.prune(spark, f"{state_root}/pool", root)
         if compact_every and (batch_id + 1) % compact_every == 0:
             CK.compact(spark, root)
@@ -122,6 +123,24 @@ def _process_batch(spark: SparkSession, state_root: str, out_dir: str, compact_e
     return run
 
 
+def sync_landing(spark: SparkSession, landing: str, state_root: str, out_dir: str,
+                 initial_ckpt: DataFrame | None = None, compact_every: int = 20) -> None:
+    """One incremental batch run over a landing partitioned by date.
+
+    Only pages landed since the last run's latest date are read (``PartitionFilters``), and that
+    date itself again, as more may have landed on it; what was taken then is dropped as a replay.
+    Pages of open chains wait in the pool, however old they are, so none is skipped.
+    """
+    root = f"{state_root}/checkpoints"
+    if CK.latest_version(spark, root) is None:
+        CK.write_checkpoints(initial_ckpt if initial_ckpt is not None else spark.createDataFrame([], S.CHECKPOINT_DDL), root, 0)
+    state = CK.read_manifest(spark, root)["extra"]
+    until = last_landing_date(spark, landing, "messages")
+    pages = read_pages(spark, landing, resource="messages", since=state.get("since", {}).get("date"))
+    run = _process_batch(spark, state_root, out_dir, compact_every, extra={"since": {"date": until}})
+    run(pages, state.get("batch", -1) + 1)
+
+
 def scan_pool(spark: SparkSession, state_root: str) -> DataFrame:
     """The pages that wait as of the last commit."""
     return _read(spark, CK.read_manifest(spark, f"{state_root}/checkpoints")["extra"].get("pool"), POOL_DDL)
