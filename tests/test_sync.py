@@ -366,3 +366,21 @@ def test_tenant_rerun_takes_up_after_the_last_level(spark, monkeypatch):
     monkeypatch.undo()
     recs2, toks2, _ = SY.sync_tenant(pages, ck)
     assert (recs.count(), toks.count()) == (recs2.count(), toks2.count())
+
+
+def test_incremental_runs_read_by_date_and_skip_nothing(spark):
+    from mailsync.sources.pages import read_pages, write_pages
+    root = scratch_path(spark, "test-dates")
+    land = lambda *rows: write_pages(_pages(spark, *rows), f"{root}/landing", mode="append")
+    ck = spark.createDataFrame([(MAIL_KEY, "")], "key STRING, delta STRING")
+    day = 24 * 60
+    runs = ([_page("", 1, ["b"], delta="T1")], [_page("T1", 0, ["c"], delta="T2", at=day)],
+            [_page("", 0, ["a"], nxt="n", at=2 * day)])  # the first page of the first chain comes last
+    for rows in runs:
+        land(*rows)
+        STR.sync_landing(spark, f"{root}/landing", f"{root}/state", f"{root}/out", initial_ckpt=ck)
+    recs = STR.read_stream_output(spark, f"{root}/out").collect()
+    assert sorted(r.attributes[C.ATTR_MESSAGE_ID] for r in recs if r.emit_seq == C.EMIT_ITEM) == ["a", "b", "c"]
+    assert sorted(r.content for r in recs if r.emit_seq == C.EMIT_TOKEN) == ["T1", "T2"]
+    recent = read_pages(spark, f"{root}/landing", resource="messages", since="2024-03-03")
+    assert recent.count() == 1 and "landing_date" in str(recent._jdf.queryExecution().executedPlan()).split("PartitionFilters")[1]
