@@ -114,6 +114,9 @@ def _process_batch(spark: SparkSession, state_root: str, out_dir: str, compact_e
                                   f"{state_root}/pool", "tokens", "key STRING, delta STRING")
             current = (current.join(fresh.select("key"), "key", "left_anti").unionByName(fresh))
             all_closed = all_closed.unionByName(moved.select(*CHAIN))
+            ahead = moved.select("user_id", "folder_id", F.col("new_delta").alias("request_token"))
+            if pool.join(ahead, CHAIN, "left_semi").isEmpty():
+                break  # no page waits for the new tokens
         closed_path, _ = _written(all_closed, f"{state_root}/pool", "closed", CHAIN_DDL)
         CK.write_delta(changed, root, batch_id + 1, extra={"batch": batch_id, "pool": pool_path, "closed": closed_path, **(extra or {})})
         CK.prune(spark, f"{state_root}/pool", root)
