@@ -20,7 +20,8 @@ Plan, always linear in the rows but for pairs that really must be told apart:
 4. Keys whose members are in different components are *open*: up to ``OPEN_MEMBERS`` members, the
    pairs across components are confirmed; the members of larger keys (documents around one common
    passage) are joined exactly by prefix filtering: two sets with similarity t share one of the
-   n - ceil(t * n) + 1 rarest shingles of each, which common passages are not.
+   n - ceil(t * n) + 1 rarest shingles of each, which common passages are not. Components with more
+   than ``OPEN_MEMBERS`` members there are compared in tiles with the documents they share one with.
 5. Components again, with the links of step 4.
 
 Edge cases: null or empty texts and texts without words have no shingle, no links, and are their own
@@ -155,22 +156,79 @@ def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                  pa.array(values)], ["id", "component", "n", "shingle"])
 
 
-def prefix_pairs(sets: DataFrame) -> DataFrame:
-    """Pairs across components of ``id, component, shingles`` that can reach the similarity, exactly."""
+def _prefixes(sets: DataFrame) -> DataFrame:
+    """Of each of ``id, component, shingles``: one row per shingle of its prefix, with the whole prefix."""
     rows = sets.mapInArrow(_set_rows, "id long, component long, n long, shingle long")
-    common = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("df"))
-    rarest = Window.partitionBy("id").orderBy("df", "shingle")
-    prefix = (rows.join(common.filter("df > 1"), "shingle")
-              .withColumn("unshared", F.col("n") - F.count(F.lit(1)).over(Window.partitionBy("id")))
-              .withColumn("place", F.row_number().over(rarest) + F.col("unshared"))
+    common = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+    of_id = Window.partitionBy("id")
+    ranked = (rows.join(common, "shingle")
+              .withColumn("place", F.row_number().over(of_id.orderBy("df", "shingle")) + F.col("n") - F.count(F.lit(1)).over(of_id))
               .filter(f"place <= n - ceil({PERCENT} * n / 100) + 1"))
-    prefix = written(prefix.select("shingle", "id", "component", "n"), "op7-prefix")
-    open_ones = prefix.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low != high")
-    left = prefix.join(open_ones.select("shingle"), "shingle", "left_semi")
-    right = left.select("shingle", F.col("id").alias("id2"), F.col("component").alias("component2"), F.col("n").alias("n2"))
-    return (left.join(right, "shingle")
-            .filter(f"id < id2 and component != component2 and 100 * n >= {PERCENT} * n2 and 100 * n2 >= {PERCENT} * n")
-            .select(F.col("id").alias("u"), F.col("id2").alias("v")))
+    prefix = ranked.groupBy("id", "component", "n").agg(F.array_sort(F.collect_list(F.struct("df", "shingle"))).alias("x"))
+    return prefix.select("id", "component", "n", F.expr("transform(x, y -> y.shingle)").alias("prefix"))
+
+
+def _small_pairs(rows: DataFrame) -> DataFrame:
+    """Pairs of different components that share a prefix shingle, made once, at the first they share."""
+    other = rows.select("shingle", F.col("id").alias("v"), F.col("component").alias("component2"), F.col("n").alias("n2"),
+                        F.col("prefix").alias("prefix2")).withColumnRenamed("shingle", "shingle2")
+    return (rows.join(other, F.expr(
+                f"shingle = shingle2 and id < v and component != component2 and 100 * n >= {PERCENT} * n2 and 100 * n2 >= {PERCENT} * n "
+                "and array_intersect(prefix, prefix2)[0] = shingle2"))
+            .select(F.col("id").alias("u"), "v"))
+
+
+def _tile_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links between the documents of two bounded blocks."""
+    for batch in batches:
+        us, vs = [], []
+        for ours, theirs in zip(batch.column("ours").to_pylist(), batch.column("theirs").to_pylist(), strict=True):
+            left = [(x["id"], np.frombuffer(x["shingles"], np.uint64)) for x in ours]
+            for y in theirs:
+                v, b = y["id"], np.frombuffer(y["shingles"], np.uint64)
+                for u, a in left:
+                    if 100 * min(len(a), len(b)) >= PERCENT * max(len(a), len(b)):
+                        both = np.intersect1d(a, b, assume_unique=True).size
+                        if 100 * both >= PERCENT * (len(a) + len(b) - both):
+                            us.append(min(u, v))
+                            vs.append(max(u, v))
+        yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], ["u", "v"])
+
+
+def _family_links(rows: DataFrame, sets: DataFrame, families: DataFrame) -> DataFrame:
+    """Links between a large component and documents that share a prefix shingle with any of its members.
+
+    Members and documents meet in tiles of two blocks of about ``OPEN_MEMBERS``, spread over all tasks;
+    sets are compared in the tile and only links leave it.
+    """
+    ours = rows.join(families.select("component"), "component", "left_semi").select("shingle", F.col("component").alias("family")).distinct()
+    is_family = families.select("component", F.lit(True).alias("large"))
+    theirs = rows.join(is_family, "component", "left").select("shingle", "id", "component", F.coalesce("large", F.lit(False)).alias("large"))
+    near = written(ours.join(theirs, "shingle").filter("component != family and (not large or family < component)")
+                   .select("family", "id").distinct(), "op7-near")
+    blocks = families.select(F.col("component").alias("family"), F.ceil(F.col("members") / OPEN_MEMBERS).alias("blocks"))
+    member = F.struct("id", "shingles")
+    left = (sets.withColumnRenamed("component", "family").join(blocks, "family")
+            .withColumn("block", F.pmod(F.xxhash64("id"), "blocks"))
+            .groupBy("family", "block").agg(F.collect_list(member).alias("ours")))
+    counts = near.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / OPEN_MEMBERS).alias("theirs_blocks"))
+    right = (near.join(counts, "family").join(sets.select("id", "shingles"), "id")
+             .withColumn("part", F.pmod(F.xxhash64("id"), "theirs_blocks"))
+             .groupBy("family", "part").agg(F.collect_list(member).alias("theirs"))
+             .join(blocks, "family").withColumn("block", F.explode(F.expr("sequence(0L, blocks - 1)"))))
+    tiles = left.join(right, ["family", "block"]).select("ours", "theirs").repartition("ours")
+    return tiles.mapInArrow(_tile_links, "u long, v long")
+
+
+def prefix_links(sets: DataFrame, sketches: DataFrame) -> DataFrame:
+    """All links across components among ``id, component, shingles``, exactly."""
+    prefix = written(_prefixes(sets), "op7-prefix")
+    families = written(prefix.groupBy("component").agg(F.count(F.lit(1)).alias("members")).filter(F.col("members") > OPEN_MEMBERS),
+                       "op7-families")
+    rows = prefix.select("id", "component", "n", "prefix", F.explode("prefix").alias("shingle"))
+    small = rows.join(families.select("component"), "component", "left_anti")
+    return (confirmed(written(_small_pairs(small), "op7-small"), sketches, sets.select("id", "shingles"))
+            .union(_family_links(rows, sets, families)))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -201,9 +259,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     few = unsure.filter(F.col("members") <= OPEN_MEMBERS)
     other = few.select("key", F.col("id").alias("v"), F.col("component").alias("component2"))
     pairs = (few.join(other, "key").filter("id < v and component != component2").select(F.col("id").alias("u"), "v"))
+    pairs = written(pairs.distinct().join(stars, ["u", "v"], "left_anti"), "op7-pairs")
     many = unsure.filter(F.col("members") > OPEN_MEMBERS).select("id", "component").distinct()
-    pairs = pairs.union(prefix_pairs(sets.join(many, "id"))).distinct().join(stars, ["u", "v"], "left_anti")
-    second = confirmed(written(pairs, "op7-pairs"), classes, sets)
+    second = confirmed(pairs, classes, sets).union(prefix_links(written(sets.join(many, "id"), "op7-many"), classes))
     final = components(first.select(F.col("id").alias("u"), F.col("component").alias("v")).union(second))
 
     smallest = classes.select("set_id", F.col("id").alias("smallest"))
