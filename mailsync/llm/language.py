@@ -31,6 +31,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from mailsync.llm.frames import small_batches
+
 UNDETERMINED = "und"
 SAMPLE_DOCS = 1000       # labelled documents per language that the model is fitted on, at most
 BUCKETS = 1 << 16
@@ -297,6 +299,7 @@ def held_out(doc_id: Column) -> Column:
 
 def predict_languages(docs: DataFrame) -> DataFrame:
     """Fit on the documents that are not held out, then label every document."""
+    small_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"),
                        F.col("lang").cast("string").alias("lang"))
     model = fit(docs.filter(~held_out(F.col("doc_id"))))

@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mailsync.llm import textbatch as T
+from mailsync.llm.frames import small_batches
 
 WORD_BUCKETS = 1 << 14
 COMMON = 64
@@ -94,6 +95,7 @@ def _count_languages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 
 def language_references(docs: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """By language: class shares, the common word buckets, and their shares with the rest's last."""
+    small_batches(docs.sparkSession)
     counts = (docs.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
               .mapInArrow(_count_languages, "lang string, bin long, n long"))
     both = counts.filter(F.col("lang") != NONE).groupBy("lang", "bin").agg(F.sum("n").alias("n"))
