@@ -52,6 +52,7 @@ OPEN_MEMBERS = 64
 BROADCAST_IDS = 1_000_000  # 8 MB of ids; more are joined by a shuffle
 LAST_ID = (1 << 63) - 1    # stands for a null doc_id
 BLOCK_BYTES = 1 << 20
+SIZES = f"100 * n >= {PERCENT} * n2 and 100 * n2 >= {PERCENT} * n"  # else the sizes alone rule a link out
 
 _RANDOM = np.random.default_rng(20)
 _FACTORS = _RANDOM.integers(0, 1 << 63, SYMBOLS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -157,23 +158,32 @@ def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _prefixes(sets: DataFrame) -> DataFrame:
-    """Of each of ``id, component, shingles``: one row per shingle of its prefix, with the whole prefix."""
+    """``id, component, n, prefix, skipped``: the rarest shingles of each of ``id, component, shingles``.
+
+    Shingles of one document alone come first in the order; they match nothing, so the ``prefix`` is
+    without them and ``skipped`` is their number."""
     rows = sets.mapInArrow(_set_rows, "id long, component long, n long, shingle long")
     common = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
     of_id = Window.partitionBy("id")
     ranked = (rows.join(common, "shingle")
               .withColumn("place", F.row_number().over(of_id.orderBy("df", "shingle")) + F.col("n") - F.count(F.lit(1)).over(of_id))
               .filter(f"place <= n - ceil({PERCENT} * n / 100) + 1"))
-    prefix = ranked.groupBy("id", "component", "n").agg(F.array_sort(F.collect_list(F.struct("df", "shingle"))).alias("x"))
-    return prefix.select("id", "component", "n", F.expr("transform(x, y -> y.shingle)").alias("prefix"))
+    prefix = ranked.groupBy("id", "component", "n").agg(F.array_sort(F.collect_list(F.struct("df", "shingle"))).alias("x"),
+                                                        (F.min("place") - 1).alias("skipped"))
+    return prefix.select("id", "component", "n", F.expr("transform(x, y -> y.shingle)").alias("prefix"), "skipped")
 
 
 def _small_pairs(rows: DataFrame) -> DataFrame:
-    """Pairs of different components that share a prefix shingle, made once, at the first they share."""
-    other = rows.select("shingle", F.col("id").alias("v"), F.col("component").alias("component2"), F.col("n").alias("n2"),
-                        F.col("prefix").alias("prefix2")).withColumnRenamed("shingle", "shingle2")
+    """Pairs of different components that share a prefix shingle, made once, at the first they share.
+
+    Nothing before that shingle is common, so the pair shares at most the shorter of what is left from
+    there on; pairs for which that is too little are not made."""
+    rows = rows.withColumn("left_over", F.col("n") - F.col("skipped") - F.array_position("prefix", F.col("shingle")) + 1)
+    other = rows.select(F.col("shingle").alias("shingle2"), F.col("id").alias("v"), F.col("component").alias("component2"),
+                        F.col("n").alias("n2"), F.col("prefix").alias("prefix2"), F.col("left_over").alias("left_over2"))
     return (rows.join(other, F.expr(
-                f"shingle = shingle2 and id < v and component != component2 and 100 * n >= {PERCENT} * n2 and 100 * n2 >= {PERCENT} * n "
+                f"shingle = shingle2 and id < v and component != component2 and {SIZES} "
+                f"and {100 + PERCENT} * least(left_over, left_over2) >= {PERCENT} * (n + n2) "
                 "and array_intersect(prefix, prefix2)[0] = shingle2"))
             .select(F.col("id").alias("u"), "v"))
 
@@ -225,7 +235,7 @@ def prefix_links(sets: DataFrame, sketches: DataFrame) -> DataFrame:
     prefix = written(_prefixes(sets), "op7-prefix")
     families = written(prefix.groupBy("component").agg(F.count(F.lit(1)).alias("members")).filter(F.col("members") > OPEN_MEMBERS),
                        "op7-families")
-    rows = prefix.select("id", "component", "n", "prefix", F.explode("prefix").alias("shingle"))
+    rows = prefix.select("id", "component", "n", "prefix", "skipped", F.explode("prefix").alias("shingle"))
     small = rows.join(families.select("component"), "component", "left_anti")
     return (confirmed(written(_small_pairs(small), "op7-small"), sketches, sets.select("id", "shingles"))
             .union(_family_links(rows, sets, families)))
@@ -236,7 +246,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     texts = id_text(docs).select(F.coalesce("doc_id", F.lit(LAST_ID)).alias("id"), "text")
     sketches = written(texts.mapInArrow(_sketch, "id long, n_shingles long, set_id binary, signature binary"), "op7-sketches")
     full = sketches.filter(F.col("set_id").isNotNull())
-    classes = written(full.groupBy("set_id").agg(F.min("id").alias("id"), F.first("signature").alias("signature")), "op7-classes")
+    classes = written(full.groupBy("set_id").agg(F.min("id").alias("id"), F.first("signature").alias("signature"),
+                                                 F.first("n_shingles").alias("n")), "op7-classes")
 
     keys = classes.select("id", "signature").mapInArrow(_keys, "key long, id long")
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
@@ -255,10 +266,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
               .select("key", "id", "members", F.coalesce("component", "id").alias("component")))
     open_keys = (placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
                  .filter("low != high").select("key"))
-    unsure = written(placed.join(open_keys, "key", "left_semi"), "op7-open")
+    unsure = written(placed.join(open_keys, "key", "left_semi").join(classes.select("id", "n"), "id"), "op7-open")
     few = unsure.filter(F.col("members") <= OPEN_MEMBERS)
-    other = few.select("key", F.col("id").alias("v"), F.col("component").alias("component2"))
-    pairs = (few.join(other, "key").filter("id < v and component != component2").select(F.col("id").alias("u"), "v"))
+    other = few.select("key", F.col("id").alias("v"), F.col("component").alias("component2"), F.col("n").alias("n2"))
+    pairs = few.join(other, "key").filter(f"id < v and component != component2 and {SIZES}").select(F.col("id").alias("u"), "v")
     pairs = written(pairs.distinct().join(stars, ["u", "v"], "left_anti"), "op7-pairs")
     many = unsure.filter(F.col("members") > OPEN_MEMBERS).select("id", "component").distinct()
     second = confirmed(pairs, classes, sets).union(prefix_links(written(sets.join(many, "id"), "op7-many"), classes))
