@@ -39,7 +39,8 @@ STATE_CONF = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
-    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "200",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "64",
+    "spark.sql.streaming.stateStore.maintenanceInterval": "10s",  # state of a finished run leaves the executors soon
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",  # else 4 MB of disk per state partition
 }
 LANDED = "doc_id long, digest string, n_bytes long, locator long"
