@@ -3,9 +3,16 @@
 Every document belongs to a cell (source, language, topic) with a size in words. Targets are the
 shares of the words that each value of each of the three margins should have. Raking multiplies the
 cells' weights by margin factors until all three margins meet their targets, which gives the
-weights closest to the corpus (in relative entropy) that do. A document's calibrated probability is
-its cell's weight divided by the largest weight, so the kept words have the target shares in
-expectation and no document is needed twice; a document stays if a hash of its id lies below it.
+weights closest to the corpus (in relative entropy) that do. A document stays if a hash of its id lies
+below its cell's calibrated probability, so no document is needed twice.
+
+Probabilities are calibrated to keep ``KEEP_SHARE`` of the words (``calibrate``): raked factors are
+scaled to that share and bounded by 1, and what a bounded cell lacks is made up by the others of its
+margins. A value with fewer words than its target is kept whole and the rest of its target goes to the
+margin's other values, so that rare values never thin the rest. Sweeps go on until all margins are met
+within ``TOLERANCE``; if they can not be, a warning says by how much they are missed. ``share=None`` gives
+the older definition, which the SQL of the registered query states: ``SWEEPS`` sweeps, and the cell's
+factor over the largest factor.
 
 Topics are rules on the text (``TOPIC_RULES``, the first that holds); the operator itself takes any
 columns as margins. Default targets (``tempered``) are the corpus's own shares to the power
@@ -13,7 +20,7 @@ columns as margins. Default targets (``tempered``) are the corpus's own shares t
 
 Plan: one scan, one aggregate to the cells (combined before the shuffle, so a source with a third of
 the rows is a few rows per task). Each raking step is one aggregate of the cell table by a margin
-and a join back, written to the shared folder. The last join brings the cells' probabilities to the
+and a join back, written to the shared folder; only single numbers (errors, scales) reach the driver. The last join brings the cells' probabilities to the
 documents. Cells (sources by languages by topics that occur) stay a distributed table throughout.
 
 Edge cases: null margins are a value of their own; a null or empty text has no words, is ``brief``,
@@ -24,6 +31,8 @@ stay together; an empty table gives an empty result; extra columns are ignored b
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,6 +41,9 @@ from mailsync.llm.frames import written
 MARGINS = ("source", "lang", "topic")
 POWER = 0.9
 SWEEPS = 6
+KEEP_SHARE = 0.75   # of the words
+TOLERANCE = 0.001   # relative error of a margin value's words
+MOST_SWEEPS = 50
 SEED = "mix-1"
 NULL_VALUE = "(null)"
 
@@ -90,41 +102,78 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int = SWEEPS)
     return cells.crossJoin(F.broadcast(top)).select(*margins, (F.col("factor") / F.col("top")).alias("probability"))
 
 
+def reachable(cells: DataFrame, target: DataFrame, margin: str, share: float) -> DataFrame:
+    """``margin, target``: ``share`` of the words dealt in proportion to ``target``, but to no value more
+    than it has."""
+    own = cells.groupBy(margin).agg(F.sum("n").cast("double").alias("m")).join(target, margin)
+    own = written(own, "op8-targets")
+    scale = share
+    while True:  # every turn but the last keeps another value whole
+        whole = F.col("target") * F.lit(scale) >= F.col("m")
+        sums = own.agg(F.sum("m").alias("all"), F.sum(F.when(whole, F.col("m")).otherwise(0.0)).alias("full"),
+                       F.sum(F.when(whole, 0.0).otherwise(F.col("target"))).alias("open")).first()
+        if not sums.open or (next_scale := (share * sums.all - sums.full) / sums.open) <= scale * (1 + 1e-9):
+            return own.select(margin, F.least(F.col("target") * F.lit(scale), "m").alias("target"))
+        scale = next_scale
+
+
+def calibrate(cells: DataFrame, targets: dict[str, DataFrame], share: float = KEEP_SHARE) -> DataFrame:
+    """``cells`` (margins and ``n``) with ``probability``, by which ``share`` of the words stays."""
+    margins = list(targets)
+    for m in margins:
+        cells = cells.join(reachable(cells, targets[m], m, share).withColumnRenamed("target", f"target_{m}"), m)
+    cells = written(cells.withColumn("factor", F.lit(share)).withColumn("error", F.lit(0.0)), "op8-cells")
+    for _ in range(MOST_SWEEPS):
+        for m in margins:
+            step = cells.groupBy(m).agg(F.try_divide(F.max(f"target_{m}"), F.sum(F.col("n") * F.least(F.col("factor"), F.lit(1.0))))
+                                        .alias("step"))
+            missed = F.abs(F.coalesce("step", F.lit(1.0)) - 1)
+            cells = written(cells.join(step, m).withColumn("factor", F.col("factor") * F.coalesce("step", F.lit(1.0)))
+                            .withColumn("error", missed if m == margins[0] else F.greatest("error", missed)).drop("step"), "op8-cells")
+        error = cells.agg(F.max("error").alias("x")).first().x or 0.0
+        if error <= TOLERANCE:
+            break
+    else:
+        logging.getLogger(__name__).warning("mixing: margins are missed by up to %.2f%% after %d sweeps", 100 * error, MOST_SWEEPS)
+    return cells.select(*margins, F.least(F.col("factor"), F.lit(1.0)).alias("probability"))
+
+
 def uniform(doc_id: Column, seed: str = SEED) -> Column:
     """A number from 0 to 1 that depends on the id alone."""
     text = F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit(NULL_VALUE)))
     return F.conv(F.substring(F.md5(text), 1, 12), 16, 10).cast("double") / F.lit(float(1 << 48))
 
 
-def _judged(docs: DataFrame) -> DataFrame:
+def _judged(docs: DataFrame, share: float | None) -> DataFrame:
     """``docs`` with ``mix``, then ``mix_cell`` holding the cell's probability."""
     described = describe(docs)
     cells = written(described.groupBy(*[F.col(f"mix.{m}").alias(m) for m in MARGINS])
                     .agg(F.sum("mix.n_words").alias("n")), "op8-counted")
-    raked = rake(cells, {m: tempered(cells, m) for m in MARGINS})
+    targets = {m: tempered(cells, m) for m in MARGINS}
+    raked = rake(cells, targets) if share is None else calibrate(cells, targets, share)
     lookup = raked.select(F.struct(*MARGINS).alias("mix_key"), F.struct("probability").alias("mix_cell"))
     key = F.struct(*[F.col(f"mix.{m}").alias(m) for m in MARGINS])
     return described.withColumn("mix_key", key).join(lookup, "mix_key")
 
 
-def mix(docs: DataFrame) -> DataFrame:
+def mix(docs: DataFrame, share: float | None = KEEP_SHARE) -> DataFrame:
     """One row per document: margins, size, calibrated probability, and whether it is sampled."""
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", "lang", "source")
-    return _judged(rows).select(
+    return _judged(rows, share).select(
         "doc_id", *[F.col(f"mix.{m}").alias(m) for m in MARGINS], F.col("mix.n_words").alias("n_words"),
         F.round("mix_cell.probability", 6).alias("probability"),
         (uniform(F.col("doc_id")) < F.col("mix_cell.probability")).alias("kept"))
 
 
-def sample_mix(docs: DataFrame) -> DataFrame:
+def sample_mix(docs: DataFrame, share: float | None = KEEP_SHARE) -> DataFrame:
     """The sampled documents of ``docs``, columns unchanged."""
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"),
                         "text", "lang", "source")
-    return _judged(whole).filter(uniform(F.col("doc_id")) < F.col("mix_cell.probability")).select("row.*")
+    return _judged(whole, share).filter(uniform(F.col("doc_id")) < F.col("mix_cell.probability")).select("row.*")
 
 
 def mix_sql() -> str:
-    """The same rows in SQL, the raking steps unrolled."""
+    """The rows of ``mix(docs, share=None)`` in SQL, the raking steps unrolled."""
     rules = " ".join(f"WHEN regexp_matches(text, '{p}') THEN '{name}'" for name, p in TOPIC_RULES)
     parts = [f"""WITH t AS (
     SELECT doc_id, coalesce(source, '{NULL_VALUE}') AS source, coalesce(lang, '{NULL_VALUE}') AS lang,

@@ -57,7 +57,7 @@ def op7_hamming_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_rake_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix(documents(spark, sf_dir))
+    return mix(documents(spark, sf_dir), share=None)  # as its SQL says
 
 
 def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -50,3 +50,35 @@ def test_edges(spark, edge_docs, no_docs):
 def test_uniform_depends_on_the_id_alone(spark):
     rows = spark.range(4000).select(K.uniform(F.col("id")).alias("x")).collect()
     assert 0.47 < sum(r.x for r in rows) / 4000 < 0.53 and len({r.x for r in rows}) == 4000
+
+
+def _expected(rows):
+    """Share of the words that is kept in expectation."""
+    return sum(r.n_words * r.probability for r in rows) / sum(r.n_words for r in rows)
+
+
+def test_a_stray_document_does_not_thin_the_rest(spark):
+    docs = spark.read.parquet(f"{SF_CHECK}/documents.parquet").select("doc_id", "text", "lang", "source")
+    stray = spark.createDataFrame([(-1, "word " * 200, "xx", "stray")], docs.schema)
+    rows = K.mix(docs.union(stray)).collect()
+    assert [r.probability for r in rows if r.doc_id == -1] == [pytest.approx(1, abs=K.TOLERANCE)]
+    assert _expected(rows) == pytest.approx(K.KEEP_SHARE, rel=0.005)
+    assert _expected([r for r in rows if r.doc_id != -1]) == pytest.approx(K.KEEP_SHARE, rel=0.01)
+
+
+def test_rare_cells_are_kept_whole_at_any_size_of_the_rest(spark):
+    for times in (1, 1000):
+        cells = [("a", "x", 30000 * times), ("a", "y", 10000 * times), ("b", "x", 20000 * times), ("b", "y", 40000 * times), ("c", "z", 200)]
+        frame = spark.createDataFrame(cells, "source string, lang string, n long")
+        got = K.calibrate(frame, {m: K.tempered(frame, m) for m in ("source", "lang")}, 0.75).collect()
+        p = {(r.source, r.lang): r.probability for r in got}
+        assert p["c", "z"] == pytest.approx(1, abs=0.002)
+        assert sum(n * p[s, v] for s, v, n in cells) / sum(n for *_, n in cells) == pytest.approx(0.75, rel=0.002)
+
+
+def test_margins_that_can_not_be_met_are_said(spark, caplog, monkeypatch):
+    monkeypatch.setattr(K, "MOST_SWEEPS", 5)
+    frame = spark.createDataFrame([("a", "x", 100), ("b", "y", 100)], "source string, lang string, n long")
+    want = {"source": [("a", 150.0), ("b", 50.0)], "lang": [("x", 50.0), ("y", 150.0)]}
+    K.calibrate(frame, {m: spark.createDataFrame(t, f"{m} string, target double") for m, t in want.items()}, 0.5)
+    assert "margins are missed" in caplog.text
