@@ -8,6 +8,8 @@ explicit (and pruned) DDL, so only the asked-for fields are materialised.
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,7 +24,7 @@ CHAIN_COLS = ["resource", "user_id", "folder_id", "message_id", "request_token"]
 def read_pages(spark: SparkSession, path: str, resource: str | None = None,
                fmt: str = "parquet", since: str | None = None) -> DataFrame:
     """Read landed pages. Parquet landings are expected partitioned by ``resource`` and landing date,
-    so that the resource and ``since`` (a date: pages landed from then on) prune whole directories;
+    so that the resource and ``since`` (a date: pages fetched from then on) prune whole directories;
     JSON-lines landings are read with the fixed DDL."""
     reader = spark.read.schema(S.ENVELOPE_DDL) if fmt == "json" else spark.read
     df = reader.format(fmt).load(path)
@@ -36,10 +38,20 @@ def read_pages(spark: SparkSession, path: str, resource: str | None = None,
     return df.drop(LANDING_DATE)
 
 
-def last_landing_date(spark: SparkSession, path: str, resource: str) -> str | None:
-    """The latest landing date of a resource, from the partition columns alone."""
-    days = spark.read.parquet(path).filter(F.col("resource") == resource).agg(F.max(LANDING_DATE).cast("string").alias("d"))
-    return days.first().d
+def landed_files(spark: SparkSession, path: str, resource: str) -> list[str]:
+    """The files of a resource in a partitioned landing, from a listing alone."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/resource={resource}")
+    if not folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
+        return []
+    found = spark.read.schema(S.ENVELOPE_DDL).option("basePath", path).parquet(folder.toString()).inputFiles()
+    return [unquote(f) for f in found]
+
+
+def read_landed_files(spark: SparkSession, path: str, files: list[str]) -> DataFrame:
+    """The pages of some of a partitioned landing's files."""
+    if not files:
+        return spark.createDataFrame([], S.ENVELOPE_DDL)
+    return spark.read.schema(S.ENVELOPE_DDL).option("basePath", path).parquet(*files).drop(LANDING_DATE)
 
 
 def write_pages(pages: DataFrame, path: str, pages_per_file: int = 1000, mode: str = "errorifexists") -> None:

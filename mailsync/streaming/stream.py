@@ -34,12 +34,13 @@ from mailsync.operators.routes import union_records
 from mailsync.operators.state import seed_work, token_records, tokens_of_links
 from mailsync.plans import sync as SY
 from mailsync.sources import checkpoints as CK
-from mailsync.sources.pages import last_landing_date, read_pages, with_links
+from mailsync.sources.pages import landed_files, read_landed_files, with_links
 
 CHAIN = SY.MESSAGE_CHAIN
 PAGE_ID = [*CHAIN, "page_no", "digest"]
 POOL_DDL = S.ENVELOPE_DDL + ", digest STRING, next_link STRING, delta_link STRING, page_ok BOOLEAN, emitted BOOLEAN"
 CHAIN_DDL = "user_id STRING, folder_id STRING, request_token STRING"
+FILES_DDL = "file STRING"
 MOST_STEPS = 1000  # chained tokens in one batch; a batch ends earlier when nothing changes
 
 
@@ -128,19 +129,22 @@ def _process_batch(spark: SparkSession, state_root: str, out_dir: str, compact_e
 
 def sync_landing(spark: SparkSession, landing: str, state_root: str, out_dir: str,
                  initial_ckpt: DataFrame | None = None, compact_every: int = 20) -> None:
-    """One incremental batch run over a landing partitioned by date.
+    """One incremental batch run over a partitioned landing.
 
-    Only pages landed since the last run's latest date are read (``PartitionFilters``), and that
-    date itself again, as more may have landed on it; what was taken then is dropped as a replay.
-    Pages of open chains wait in the pool, however old they are, so none is skipped.
+    The landing is listed, and the files that no earlier run has taken are read, whatever dates their
+    pages bear; their names are committed with the run's tokens. A state of before files were recorded
+    reads all files once, and what was taken then is dropped as a replay. Pages of open chains wait in
+    the pool, however old they are, so none is skipped.
     """
     root = f"{state_root}/checkpoints"
     if CK.latest_version(spark, root) is None:
         CK.write_checkpoints(initial_ckpt if initial_ckpt is not None else spark.createDataFrame([], S.CHECKPOINT_DDL), root, 0)
     state = CK.read_manifest(spark, root)["extra"]
-    until = last_landing_date(spark, landing, "messages")
-    pages = read_pages(spark, landing, resource="messages", since=state.get("since", {}).get("date"))
-    run = _process_batch(spark, state_root, out_dir, compact_every, extra={"since": {"date": until}})
+    files = landed_files(spark, landing, "messages")
+    taken = {r.file for r in _read(spark, state.get("files"), FILES_DDL).collect()}
+    pages = read_landed_files(spark, landing, [f for f in files if f not in taken])
+    files_path, _ = _written(spark.createDataFrame([(f,) for f in files], FILES_DDL), f"{state_root}/pool", "files", FILES_DDL)
+    run = _process_batch(spark, state_root, out_dir, compact_every, extra={"files": files_path})
     run(pages, state.get("batch", -1) + 1)
 
 

@@ -384,3 +384,19 @@ def test_incremental_runs_read_by_date_and_skip_nothing(spark):
     assert sorted(r.content for r in recs if r.emit_seq == C.EMIT_TOKEN) == ["T1", "T2"]
     recent = read_pages(spark, f"{root}/landing", resource="messages", since="2024-03-03")
     assert recent.count() == 1 and "landing_date" in str(recent._jdf.queryExecution().executedPlan()).split("PartitionFilters")[1]
+
+
+def test_incremental_runs_take_older_days_and_undated_pages_that_land_later(spark):
+    from mailsync.sources.pages import write_pages
+    root = scratch_path(spark, "test-late-days")
+    ck = spark.createDataFrame([(MAIL_KEY, "")], "key STRING, delta STRING")
+    day = 24 * 60
+    newest = _pages(spark, _page("", 2, ["c"], delta="T1", at=2 * day))
+    older = _pages(spark, _page("", 0, ["a"], nxt="n", at=-1))  # the day before, lands after
+    undated = _pages(spark, _page("", 1, ["b"], nxt="n")).withColumn("fetched_at", F.lit(None).cast("timestamp"))
+    for pages in (newest, older, undated):
+        write_pages(pages, f"{root}/landing", mode="append")
+        STR.sync_landing(spark, f"{root}/landing", f"{root}/state", f"{root}/out", initial_ckpt=ck)
+    recs = STR.read_stream_output(spark, f"{root}/out").collect()
+    assert sorted(r.attributes[C.ATTR_MESSAGE_ID] for r in recs if r.emit_seq == C.EMIT_ITEM) == ["a", "b", "c"]
+    assert [r.content for r in recs if r.emit_seq == C.EMIT_TOKEN] == ["T1"]
