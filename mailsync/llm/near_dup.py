@@ -12,8 +12,10 @@ beyond the distance. Pairs with fewer than ``LEAST_EQUAL`` equal symbols (at 0.7
 1e8) are not confirmed.
 
 Plan, always linear in the rows but for pairs that really must be told apart:
-1. Sketches of all texts; equal shingle sets collapse to the smallest ``doc_id`` of each (copies
-   are combined before the shuffle).
+1. Sketches of all texts; equal shingle sets collapse to one numbered class each, with its smallest
+   ``doc_id`` (copies are combined before the shuffle). Classes are the nodes of all that follows, so
+   rows that share a ``doc_id``, or have none, are linked by their texts alone; the components' smallest
+   ``doc_id`` comes back in the last join.
 2. Keys of the representatives; keys of one document fall out.
 3. Every key's members are compared with the smallest member only, and confirmed links joined to
    components. Families of near-copies end up in one component without their pairs being made.
@@ -26,7 +28,8 @@ Plan, always linear in the rows but for pairs that really must be told apart:
 
 Edge cases: null or empty texts and texts without words have no shingle, no links, and are their own
 component; one to four words are one shingle; rows that repeat a ``doc_id`` are judged each by their
-own text; a null ``doc_id`` counts as the largest; extra columns are ignored; an empty table
+own text, also by ``drop_near_duplicates`` (of different texts of a component's smallest ``doc_id``, one
+stays); a null ``doc_id`` counts as the largest; extra columns are ignored; an empty table
 gives an empty result.
 """
 
@@ -37,7 +40,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mailsync.llm import textbatch as T
@@ -84,6 +87,10 @@ def _shingle_blocks(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarra
         yield s, e, *T.shingle_hashes(words, at)
 
 
+def _digest(shingles: bytes) -> bytes:
+    return blake2b(shingles, digest_size=16).digest()
+
+
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for s, e, shingles, at in _shingle_blocks(batch):
@@ -92,19 +99,19 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sketch: list[bytes | None] = [None] * (e - s)
             for i, row in zip(full, signatures(shingles, np.append(at[full], at[-1])) if len(full) else [], strict=True):
                 sketch[i] = row.tobytes()
-            digests = [blake2b(x.tobytes(), digest_size=16).digest() if len(x) else None for x in sets]
+            digests = [_digest(x.tobytes()) if len(x) else None for x in sets]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id").slice(s, e - s), pa.array([len(x) for x in sets], pa.int64()),
-                 pa.array(digests, pa.binary()), pa.array(sketch, pa.binary())], ["id", "n_shingles", "set_id", "signature"])
+                [batch.column("doc").slice(s, e - s), batch.column("text_key").slice(s, e - s),
+                 pa.array([len(x) for x in sets], pa.int64()), pa.array(digests, pa.binary()), pa.array(sketch, pa.binary())],
+                ["doc", "text_key", "n_shingles", "set_id", "signature"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for s, e, shingles, at in _shingle_blocks(batch):
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id").slice(s, e - s),
-                 pa.array([np.unique(shingles[a:b]).tobytes() for a, b in zip(at[:-1], at[1:], strict=True)], pa.binary())],
-                ["id", "shingles"])
+            sets = [np.unique(shingles[a:b]).tobytes() for a, b in zip(at[:-1], at[1:], strict=True) if a < b]
+            yield pa.RecordBatch.from_arrays([pa.array([_digest(x) for x in sets], pa.binary()), pa.array(sets, pa.binary())],
+                                             ["set_id", "shingles"])
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -241,21 +248,29 @@ def prefix_links(sets: DataFrame, sketches: DataFrame) -> DataFrame:
             .union(_family_links(rows, sets, families)))
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of every document."""
-    texts = id_text(docs).select(F.coalesce("doc_id", F.lit(LAST_ID)).alias("id"), "text")
-    sketches = written(texts.mapInArrow(_sketch, "id long, n_shingles long, set_id binary, signature binary"), "op7-sketches")
+def text_key(text: Column) -> Column:
+    return F.unhex(F.md5(F.coalesce(text.cast("string"), F.lit(""))))
+
+
+def _judged(docs: DataFrame) -> DataFrame:
+    """``doc, text_key, n_shingles, component_id, kept`` of every row, null ids as ``LAST_ID``."""
+    texts = id_text(docs).select(F.coalesce("doc_id", F.lit(LAST_ID)).alias("doc"), "text")
+    sketches = written(texts.withColumn("text_key", text_key(F.col("text")))
+                       .mapInArrow(_sketch, "doc long, text_key binary, n_shingles long, set_id binary, signature binary"), "op7-sketches")
     full = sketches.filter(F.col("set_id").isNotNull())
-    classes = written(full.groupBy("set_id").agg(F.min("id").alias("id"), F.first("signature").alias("signature"),
-                                                 F.first("n_shingles").alias("n")), "op7-classes")
+    classes = written(full.groupBy("set_id").agg(F.min("doc").alias("doc"), F.first("signature").alias("signature"),
+                                                 F.first("n_shingles").alias("n"))
+                      .withColumn("id", F.monotonically_increasing_id()), "op7-classes")  # numbers are fixed once written
 
     keys = classes.select("id", "signature").mapInArrow(_keys, "key long, id long")
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
     members = written(keys.join(shared, "key"), "op7-members")
-    ids = written(members.select("id").distinct(), "op7-ids")
-    wanted = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    sets = written(texts.join(wanted, "id").mapInArrow(_sets, "id long, shingles binary"), "op7-sets")
-    if sets.count() > ids.count():  # repeated rows
+    ids = written(classes.select("id", "set_id", "doc").join(members.select("id").distinct(), "id"), "op7-ids")
+    n_ids, wanted = ids.count(), ids.select("doc").distinct()
+    wanted = F.broadcast(wanted) if n_ids <= BROADCAST_IDS else wanted
+    sets = written(texts.join(wanted, "doc", "left_semi").mapInArrow(_sets, "set_id binary, shingles binary")
+                   .join(ids.select("set_id", "id"), "set_id").select("id", "shingles"), "op7-sets")
+    if sets.count() > n_ids:  # repeated rows
         sets = written(sets.distinct(), "op7-sets")
 
     pivots = members.groupBy("key").agg(F.min("id").alias("u"))
@@ -275,16 +290,25 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     second = confirmed(pairs, classes, sets).union(prefix_links(written(sets.join(many, "id"), "op7-many"), classes))
     final = components(first.select(F.col("id").alias("u"), F.col("component").alias("v")).union(second))
 
-    smallest = classes.select("set_id", F.col("id").alias("smallest"))
-    found = (sketches.select("id", "n_shingles", "set_id").join(smallest, "set_id", "left")
-             .join(final.withColumnRenamed("id", "smallest"), "smallest", "left")
-             .select("id", "n_shingles", F.coalesce("component", "smallest", "id").alias("component_id")))
-    return found.select(F.nullif("id", F.lit(LAST_ID)).alias("doc_id"), "n_shingles",
-                        F.nullif("component_id", F.lit(LAST_ID)).alias("component_id"))
+    linked = final.union(final.select(F.col("component").alias("id"), "component").distinct())
+    linked = written(linked.join(classes.select("id", "doc", "set_id"), "id"), "op7-linked")
+    least = linked.groupBy("component").agg(F.min(F.struct("doc", "set_id")).alias("least"))
+    named = linked.join(least, "component").select("id", F.col("least.doc").alias("least_doc"), F.col("least.set_id").alias("least_set"))
+    smallest = (classes.select("set_id", "id", F.col("doc").alias("smallest")).join(named, "id", "left")
+                .select("set_id", F.coalesce("least_doc", "smallest").alias("smallest"),
+                        F.coalesce("least_set", "set_id").alias("least_set")))
+    found = sketches.drop("signature").join(smallest, "set_id", "left").withColumn("component_id", F.coalesce("smallest", "doc"))
+    return found.withColumn("kept", (F.col("doc") == F.col("component_id")) & F.col("set_id").eqNullSafe(F.col("least_set")))
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` of every document."""
+    return _judged(docs).select(F.nullif("doc", F.lit(LAST_ID)).alias("doc_id"), "n_shingles",
+                                F.nullif("component_id", F.lit(LAST_ID)).alias("component_id"))
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """The smallest document of each component of ``docs``, columns unchanged."""
-    stay = (near_duplicates(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-            .select(F.col("doc_id").alias("stay_id")).distinct())
-    return docs.join(stay, docs["doc_id"].eqNullSafe(stay["stay_id"]), "left_semi")
+    stay = (_judged(docs).filter("kept")
+            .select(F.nullif("doc", F.lit(LAST_ID)).alias("stay_id"), F.col("text_key").alias("stay_key")).distinct())
+    return docs.join(stay, docs["doc_id"].eqNullSafe(stay["stay_id"]) & (text_key(docs["text"]) == stay["stay_key"]), "left_semi")

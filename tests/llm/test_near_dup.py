@@ -105,3 +105,18 @@ def test_edges(edge_docs, no_docs):
     assert left.columns == edge_docs.columns
     assert {r.doc_id for r in left.select("doc_id").collect()} == {c for _, _, c in brute(rows)}
     assert _got(no_docs) == [] and K.drop_near_duplicates(no_docs).collect() == []
+
+
+def test_rows_that_share_an_id_or_have_none_are_judged_by_their_texts(spark):
+    rng = random.Random(12)
+    base = [[f"w{rng.randint(0, 9000)}" for _ in range(90)] for _ in range(6)]
+    near = lambda n, k: " ".join([*base[n][:k], "edited", *base[n][k + 1:]])
+    rows = [(5, near(0, 10)), (9, near(1, 10)), (None, near(0, 50)), (None, near(1, 50)),   # 5 and 9 are near nothing common
+            (20, near(2, 10)), (21, near(3, 10)), (30, near(2, 50)), (30, near(3, 50)),     # one id near two documents
+            (30, near(4, 10)), (None, near(5, 10)), (None, near(5, 60)), (None, None), (None, near(0, 50))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert _got(docs) == brute(rows)
+    left = sorted((tuple(r) for r in K.drop_near_duplicates(docs).collect()), key=repr)
+    alone = [r for r in rows if r in {(5, near(0, 10)), (9, near(1, 10)), (20, near(2, 10)), (21, near(3, 10)), (30, near(4, 10)), (None, None)}]
+    one = [r for r in left if r[0] is None and r[1] is not None]  # two near-copies without an id: one stays
+    assert sorted([*alone, *one], key=repr) == left and len(one) == 1 and one[0] in rows[9:11]
