@@ -9,7 +9,8 @@ checkpoint store's manifest. What is kept between batches, next to the map:
   page whose records are out stays as its links only, until its chain is complete;
 * the *closed* chains: those whose token was committed, one small row each.
 
-A batch adds its pages to the pool and then goes on, step by step, until nothing changes: pages of
+A batch adds its pages to the pool and then goes on, step by step, until nothing changes (each step
+but the last closes a chain of the pool, so it ends): pages of
 current chains give their records, complete chains their tokens, new tokens make further chains
 current, and keys that only landed pages know are seeded as full loads (J4). No page is dropped but
 exact replays: pages of the same chain, number and body digest as one in the pool, and pages of a
@@ -21,6 +22,7 @@ the last commit and overwrites its own output. All state lies on shared storage.
 
 from __future__ import annotations
 
+import itertools
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,7 +43,6 @@ PAGE_ID = [*CHAIN, "page_no", "digest"]
 POOL_DDL = S.ENVELOPE_DDL + ", digest STRING, next_link STRING, delta_link STRING, page_ok BOOLEAN, emitted BOOLEAN"
 CHAIN_DDL = "user_id STRING, folder_id STRING, request_token STRING"
 FILES_DDL = "file STRING"
-MOST_STEPS = 1000  # chained tokens in one batch; a batch ends earlier when nothing changes
 
 
 def stream_pages(spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None,
@@ -90,10 +91,10 @@ def _process_batch(spark: SparkSession, state_root: str, out_dir: str, compact_e
         pool_path, pool = _written(old.unionByName(new.select(old.columns)), f"{state_root}/pool", "landed", POOL_DDL)
         keys = pool.filter("request_token = ''").select(messages_key("user_id", "folder_id").alias("key"))
         seeds = seed_work(keys, ckpt)
-        current = ckpt.select("key", "delta").unionByName(seeds)
         _, changed = _written(seeds, f"{state_root}/pool", "tokens", "key STRING, delta STRING")
-        all_closed = closed
-        for step in range(1, MOST_STEPS + 1):
+        newly_closed = spark.createDataFrame([], CHAIN_DDL)
+        for step in itertools.count(1):
+            current = ckpt.select("key", "delta").join(changed.select("key"), "key", "left_anti").unionByName(changed)
             work = SY.message_work(current)
             chains = work.filter(F.col("key_ok")).select(*CHAIN, "key", "delta")
             mine = pool.join(chains, CHAIN)
@@ -113,12 +114,11 @@ def _process_batch(spark: SparkSession, state_root: str, out_dir: str, compact_e
             fresh = moved.select("key", F.col("new_delta").alias("delta"))
             _, changed = _written(changed.join(fresh.select("key"), "key", "left_anti").unionByName(fresh),
                                   f"{state_root}/pool", "tokens", "key STRING, delta STRING")
-            current = (current.join(fresh.select("key"), "key", "left_anti").unionByName(fresh))
-            all_closed = all_closed.unionByName(moved.select(*CHAIN))
+            _, newly_closed = _written(newly_closed.unionByName(moved.select(*CHAIN)), f"{state_root}/pool", "closing", CHAIN_DDL)
             ahead = moved.select("user_id", "folder_id", F.col("new_delta").alias("request_token"))
             if pool.join(ahead, CHAIN, "left_semi").isEmpty():
                 break  # no page waits for the new tokens
-        closed_path, _ = _written(all_closed, f"{state_root}/pool", "closed", CHAIN_DDL)
+        closed_path, _ = _written(closed.unionByName(newly_closed), f"{state_root}/pool", "closed", CHAIN_DDL)
         CK.write_delta(changed, root, batch_id + 1, extra={"batch": batch_id, "pool": pool_path, "closed": closed_path, **(extra or {})})
         CK.prune(spark, f"{state_root}/pool", root)
         if compact_every and (batch_id + 1) % compact_every == 0:

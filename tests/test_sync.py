@@ -400,3 +400,16 @@ def test_incremental_runs_take_older_days_and_undated_pages_that_land_later(spar
     recs = STR.read_stream_output(spark, f"{root}/out").collect()
     assert sorted(r.attributes[C.ATTR_MESSAGE_ID] for r in recs if r.emit_seq == C.EMIT_ITEM) == ["a", "b", "c"]
     assert [r.content for r in recs if r.emit_seq == C.EMIT_TOKEN] == ["T1"]
+
+
+def test_a_batch_follows_chained_tokens_to_the_end(spark, monkeypatch):
+    from mailsync.sources.pages import write_pages
+    monkeypatch.setattr(STR, "MOST_STEPS", 2, raising=False)  # no bound on the steps may cut the chain
+    root = scratch_path(spark, "test-long-chain")
+    ck = spark.createDataFrame([(MAIL_KEY, "")], "key STRING, delta STRING")
+    rows = [_page(f"T{n}" if n else "", 0, [f"m{n}"], delta=f"T{n + 1}", at=n) for n in range(5)]
+    write_pages(_pages(spark, *rows), f"{root}/landing")
+    STR.sync_landing(spark, f"{root}/landing", f"{root}/state", f"{root}/out", initial_ckpt=ck)
+    recs = STR.read_stream_output(spark, f"{root}/out").collect()
+    assert sorted(r.attributes[C.ATTR_MESSAGE_ID] for r in recs if r.emit_seq == C.EMIT_ITEM) == [f"m{n}" for n in range(5)]
+    assert STR.scan_pool(spark, f"{root}/state").count() == 0
