@@ -13,7 +13,7 @@ def con():
 
 
 def test_one_query_per_operator():
-    assert sorted(int(x[2:].split("_")[0]) for x in QUERIES) == list(range(1, 11))
+    assert sorted(int(x[2:].split("_")[0]) for x in QUERIES) == list(range(1, 14))
     assert set(ORACLES) <= set(QUERIES)
 
 
