@@ -14,11 +14,12 @@ the whole chain's budgets before all 64 bits are compared.
 Plan:
 1. Fingerprints of whole texts in Arrow batches; equal ones collapse to one node, which is the fingerprint
    itself, with its smallest ``doc_id`` (copies are combined before the shuffle).
-2. 64 keys a node, as column expressions; a key's members travel as one row of longs and are compared in the
-   task. Only links that join members not yet joined leave it: fewer rows than members.
-3. Keys with more than ``MOST_MEMBERS`` members are cut by exact pigeonhole on the other bits: of five parts
-   of them at least one is equal in a linked pair, so every part's value makes a smaller group; again if need
-   be, until the bits are used up. Nothing is capped.
+2. 64 keys a node, as column expressions, shuffled and sorted by Spark once; a key's members stream by in the
+   task and are compared there. Only links that join members not yet joined leave it, and members of keys
+   with more than ``MOST_MEMBERS`` of them, which pass through unheld.
+3. Those are cut by exact pigeonhole on the other bits: of five parts of them at least one is equal in a
+   linked pair, so every part's value makes a smaller group; again if need be, until the bits are used up.
+   Nothing is capped.
 4. Connected components, and the smallest ``doc_id`` of each.
 
 Edge cases: null and empty texts, and texts without words, have the fingerprint zero and are linked like any
@@ -40,7 +41,7 @@ from pyspark.sql import functions as F
 
 from mailsync.llm import textbatch as T
 from mailsync.llm.components import components
-from mailsync.llm.frames import id_text, written
+from mailsync.llm.frames import id_text, small_batches, written
 
 SHINGLE_WORDS = 4
 SEED = 42
@@ -116,28 +117,25 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(prints.view(np.int64))], ["doc", "fp"])
 
 
+def _signed(mask: int) -> int:
+    return mask - (1 << BITS) if mask >> (BITS - 1) else mask
+
+
 def _mask(segments: list[int]) -> int:
     """Bits of the segments, as a signed long."""
-    mask = sum(((1 << SEGMENT) - 1) << (SEGMENT * (s % SEGMENTS)) for s in segments)
-    return mask - (1 << BITS) if mask >> (BITS - 1) else mask
+    return _signed(sum(((1 << SEGMENT) - 1) << (SEGMENT * (s % SEGMENTS)) for s in segments))
 
 
-def _signed(mask: int) -> int:
-    return mask - (1 << BITS) if mask >> (BITS - 1) else mask
+# Starting segment of every key, and the bits that it holds equal: the chain's head but for one segment.
+PATTERNS = [(start, _mask([start + k for k in range(HEAD) if k != left_out])) for start in range(SEGMENTS) for left_out in range(EXACT, HEAD)]
+_LOW = len(PATTERNS) - 1  # the low bits of a key are the number of its pattern
 
 
 def chain_keys(nodes: DataFrame) -> DataFrame:
-    """``key, start, seen, fp``: for every start of a chain, its head without one of the segments that may differ.
-
-    ``seen`` has the bits that a key holds equal."""
-    keys = []
-    for start in range(SEGMENTS):
-        for left_out in range(EXACT, HEAD):
-            mask = _mask([start + k for k in range(HEAD) if k != left_out])
-            keys.append(F.struct(F.lit(start).alias("start"), F.lit(mask).alias("seen")))
-    each = nodes.select("fp", F.explode(F.array(*keys)).alias("k"))
-    return each.select(F.xxhash64("k.start", "k.seen", F.col("fp").bitwiseAND(F.col("k.seen"))).alias("key"),
-                       F.col("k.start").alias("start"), F.col("k.seen").alias("seen"), "fp")
+    """``key, fp``: every node under each of the patterns."""
+    keys = F.array(*[F.xxhash64(F.lit(n), F.col("fp").bitwiseAND(F.lit(mask))).bitwiseAND(F.lit(~_LOW)).bitwiseOR(F.lit(n))
+                     for n, (_, mask) in enumerate(PATTERNS)])
+    return nodes.select(F.explode(keys).alias("key"), "fp")
 
 
 def _parts(seen: int) -> list[int]:
@@ -147,12 +145,13 @@ def _parts(seen: int) -> list[int]:
 
 
 def _cut(rows: DataFrame) -> DataFrame:
-    """Members of large groups in the groups of each part of their other bits."""
-    seen = [r.seen for r in rows.select("seen").distinct().collect()]  # masks, a few per start: never data
+    """Members ``key, fp, seen`` of large groups in the groups of each part of their other bits."""
+    seen = [r.seen for r in rows.select("seen").distinct().collect()]  # masks, a few per pattern: never data
     parts = F.create_map(*[F.lit(x) for s in seen for x in (s, _parts(s & ((1 << BITS) - 1)))])
-    each = rows.select("key", "start", "seen", "fp", F.explode(F.element_at(parts, F.col("seen"))).alias("part"))
-    return each.select(F.xxhash64("key", "part", F.col("fp").bitwiseAND(F.col("part"))).alias("key"), "start",
-                       F.col("seen").bitwiseOR(F.col("part")).alias("seen"), "fp")
+    each = rows.select("key", "seen", "fp", F.explode(F.element_at(parts, F.col("seen"))).alias("part"))
+    key = F.xxhash64("key", "part", F.col("fp").bitwiseAND(F.col("part")))
+    return each.select(key.bitwiseAND(F.lit(~_LOW)).bitwiseOR(F.col("key").bitwiseAND(F.lit(_LOW))).alias("key"), "fp",
+                       F.col("seen").bitwiseOR(F.col("part")).alias("seen"))
 
 
 def near_pairs(fps: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray]:
@@ -193,36 +192,83 @@ def spanning(n: int, us: np.ndarray, vs: np.ndarray) -> list[int]:
     return out
 
 
-def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        us, vs = [], []
-        fps, at = batch.column("fps"), batch.column("start").to_pylist()
-        for k, start in enumerate(at):
-            members = fps[k].values.to_numpy().view(np.uint64)
-            u, v = near_pairs(members, start)
-            kept = spanning(len(members), u, v)
-            us.append(members[u[kept]])
-            vs.append(members[v[kept]])
-        flat = lambda x: np.concatenate(x or [np.zeros(0, np.uint64)]).view(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(flat(us)), pa.array(flat(vs))], ["u", "v"])
+LINKS = "u long, v long, key long, fp long, seen long"
+
+
+def _rows(u=(), v=(), key=(), fp=(), seen=()) -> pa.RecordBatch:
+    """Links, or members of large groups."""
+    n = max(len(u), len(key))
+    column = lambda x: pa.array(np.asarray(x, np.int64) if len(x) else [None] * n, pa.int64())
+    return pa.RecordBatch.from_arrays([column(x) for x in (u, v, key, fp, seen)], ["u", "v", "key", "fp", "seen"])
+
+
+def _group_links(keys: np.ndarray, fps: np.ndarray, seen: np.ndarray, most: int) -> Iterator[pa.RecordBatch]:
+    """Links within whole groups of rows in order; groups of more than ``most`` members as they are."""
+    heads = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    sizes = np.diff(np.append(heads, len(keys)))
+    us, vs, large = [], [], []
+    for head, size in zip(heads[sizes > 1].tolist(), sizes[sizes > 1].tolist(), strict=True):
+        if size > most and seen[head] != -1:  # -1: all bits are used up
+            large.append(np.arange(head, head + size))
+            continue
+        members = np.unique(fps[head:head + size]).view(np.uint64)
+        u, v = near_pairs(members, PATTERNS[int(keys[head]) & _LOW][0])
+        kept = spanning(len(members), u, v)
+        us.append(members[u[kept]].view(np.int64))
+        vs.append(members[v[kept]].view(np.int64))
+    if us:
+        yield _rows(np.concatenate(us), np.concatenate(vs))
+    for at in large:
+        yield _rows(key=keys[at], fp=fps[at], seen=seen[at])
+
+
+def _walk(most: int):
+    """Groups that arrive in order; at most ``most`` members of the last group are held between batches."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = [np.zeros(0, np.int64)] * 3
+        passing = None  # the key of a group that is known to be large
+        for batch in batches:
+            if not len(batch):
+                continue
+            rows = [batch.column(c).to_numpy() for c in ("key", "fp", "seen")]
+            if passing is not None:
+                n = int(np.argmax(rows[0] != passing)) if rows[0][-1] != passing else len(batch)
+                if n:
+                    yield _rows(key=rows[0][:n], fp=rows[1][:n], seen=rows[2][:n])
+                rows = [x[n:] for x in rows]
+                if not len(rows[0]):
+                    continue
+                passing = None
+            rows = [np.concatenate([x, y]) for x, y in zip(kept, rows, strict=True)]
+            cut = len(rows[0]) - int(np.argmax(rows[0][::-1] != rows[0][-1])) if rows[0][0] != rows[0][-1] else 0
+            if cut:
+                yield from _group_links(*[x[:cut] for x in rows], most)
+            kept = [x[cut:] for x in rows]
+            if len(kept[0]) > most and kept[2][0] != -1:
+                passing = int(kept[0][0])
+                yield _rows(key=kept[0], fp=kept[1], seen=kept[2])
+                kept = [np.zeros(0, np.int64)] * 3
+        if len(kept[0]):
+            yield from _group_links(*kept, most)
+    return run
 
 
 def fingerprint_links(nodes: DataFrame, most: int = MOST_MEMBERS) -> DataFrame:
     """Links ``u, v`` among the distinct ``fp`` of ``nodes`` that connect all within ``MOST_BITS`` bits."""
+    small_batches(nodes.sparkSession)
+    by_pattern = F.create_map(*[F.lit(x) for n, (_, mask) in enumerate(PATTERNS) for x in (n, mask)])
     rows, links = chain_keys(nodes), None
     while True:
-        counts = written(rows.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.min("seen").alias("seen"))
-                         .filter("members > 1"), "op13-keys")
-        used_up = F.col("seen") == F.lit(-1)  # only hashes of keys that met can leave two members there
-        fit = counts.filter((F.col("members") <= most) | used_up).select("key")
-        large = counts.filter((F.col("members") > most) & ~used_up).select("key")
-        groups = (rows.join(fit, "key", "left_semi").groupBy("key", "start")
-                  .agg(F.sort_array(F.collect_list("fp")).alias("fps")).select("start", "fps"))
-        found = groups.mapInArrow(_links, "u long, v long")
-        links = found if links is None else links.union(found)
+        dealt = rows.repartition("key").sortWithinPartitions("key")
+        if "seen" not in rows.columns:  # the key says it: not shuffled
+            dealt = dealt.withColumn("seen", F.element_at(by_pattern, F.col("key").bitwiseAND(F.lit(_LOW)).cast("int")))
+        found = written(dealt.mapInArrow(_walk(most), LINKS), "op13-links")
+        own = found.filter("key is null").select("u", "v")
+        links = own if links is None else links.union(own)
+        large = found.filter("key is not null").select("key", "fp", "seen")
         if large.isEmpty():
             return links
-        rows = _cut(written(rows.join(large, "key", "left_semi"), "op13-large"))
+        rows = _cut(large)
 
 
 def simhash_duplicates(docs: DataFrame) -> DataFrame:
