@@ -51,11 +51,10 @@ SEGMENTS = 16
 SEGMENT = BITS // SEGMENTS
 EXACT = (SEGMENTS - 1) // MOST_BITS           # first segments of a chain without a difference
 HEAD = (2 * SEGMENTS - 1) // MOST_BITS        # first segments with at most one
-MOST_MEMBERS = 2_048
+MOST_MEMBERS = 16_384
 PARTS = MOST_BITS + 1
 LAST_ID = (1 << 63) - 1
 BLOCK_SHINGLES = 1 << 14
-PAIR_CELLS = 1 << 20
 
 
 def _chain_budgets() -> list[tuple[int, int]]:
@@ -154,42 +153,31 @@ def _cut(rows: DataFrame) -> DataFrame:
                        F.col("seen").bitwiseOR(F.col("part")).alias("seen"))
 
 
-def near_pairs(fps: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of rows that keep a chain's budgets from ``start`` on and then differ in ``MOST_BITS`` bits or fewer."""
-    us, vs = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    step = max(1, PAIR_CELLS // max(len(fps), 1))
-    masks = [(np.uint64(_mask([start + k for k in range(n)]) & ((1 << BITS) - 1)), most) for n, most in CHAIN]
-    for s in range(0, len(fps), step):
-        differ = fps[s:s + step, None] ^ fps[None, s:]
-        u, v = np.nonzero(np.bitwise_count(differ & masks[0][0]) <= masks[0][1])
-        u, v = u[later := v > u], v[later]
-        differ = differ[u, v]
-        for mask, most in masks[1:]:
-            fits = np.bitwise_count(differ & mask) <= most
-            u, v, differ = u[fits], v[fits], differ[fits]
-        linked = np.bitwise_count(differ) <= MOST_BITS
-        us.append(u[linked] + s)
-        vs.append(v[linked] + s)
-    return np.concatenate(us), np.concatenate(vs)
-
-
-def spanning(n: int, us: np.ndarray, vs: np.ndarray) -> list[int]:
-    """Positions of links that suffice to connect what the links connect."""
-    parent = list(range(n))
-
-    def find(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
+def spanning_links(fps: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links that connect all distinct fingerprints that links connect, fewer than there are fingerprints.
 
-    out = []
-    for k, (u, v) in enumerate(zip(us.tolist(), vs.tolist(), strict=True)):
-        a, b = find(u), find(v)
-        if a != b:
-            parent[b] = a
-            out.append(k)
-    return out
+    A link keeps the budgets of the chain from ``start`` on and then differs in ``MOST_BITS`` bits or fewer. From
+    one fingerprint after the other, those that link to it and were not reached before are reached."""
+    masks = [(np.uint64(_mask([start + k for k in range(n)]) & ((1 << BITS) - 1)), most) for n, most in CHAIN]
+    us, vs = [], []
+    apart = fps  # not reached yet
+    while len(apart) > 1:
+        waiting, apart = [apart[0]], apart[1:]
+        while waiting and len(apart):
+            fp = waiting.pop()
+            differ = apart ^ fp
+            at = np.flatnonzero(np.bitwise_count(differ & masks[0][0]) <= masks[0][1])
+            for mask, most in masks[1:]:
+                at = at[np.bitwise_count(differ[at] & mask) <= most]
+            at = at[np.bitwise_count(differ[at]) <= MOST_BITS]
+            if len(at):
+                near = apart[at]
+                us.append(np.full(len(near), fp))
+                vs.append(near)
+                waiting.extend(near)
+                apart = np.delete(apart, at)
+    none = np.zeros(0, np.uint64)
+    return np.concatenate([none, *us]), np.concatenate([none, *vs])
 
 
 LINKS = "u long, v long, key long, fp long, seen long"
@@ -211,11 +199,9 @@ def _group_links(keys: np.ndarray, fps: np.ndarray, seen: np.ndarray, most: int)
         if size > most and seen[head] != -1:  # -1: all bits are used up
             large.append(np.arange(head, head + size))
             continue
-        members = np.unique(fps[head:head + size]).view(np.uint64)
-        u, v = near_pairs(members, PATTERNS[int(keys[head]) & _LOW][0])
-        kept = spanning(len(members), u, v)
-        us.append(members[u[kept]].view(np.int64))
-        vs.append(members[v[kept]].view(np.int64))
+        u, v = spanning_links(np.unique(fps[head:head + size]).view(np.uint64), PATTERNS[int(keys[head]) & _LOW][0])
+        us.append(u.view(np.int64))
+        vs.append(v.view(np.int64))
     if us:
         yield _rows(np.concatenate(us), np.concatenate(vs))
     for at in large:

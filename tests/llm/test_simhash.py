@@ -75,7 +75,7 @@ def test_near_copies(spark):
     assert _got(spark.createDataFrame(rows, "doc_id long, text string")) == want
 
 
-@pytest.mark.parametrize("most", [16, 2048])
+@pytest.mark.parametrize("most", [16, 16384])
 def test_all_links_of_clusters(spark, most):
     rng, fps = random.Random(3), set()
     for _ in range(8):
@@ -110,4 +110,4 @@ def test_chain_budgets_lose_no_pair():
         b = a
         for k in rng.choice(64, rng.integers(0, 5), replace=False):
             b ^= np.uint64(1) << np.uint64(k)
-        assert any(len(H.near_pairs(np.array([a, b]), start)[0]) for start in range(H.SEGMENTS))
+        assert a == b or any(len(H.spanning_links(np.array([a, b]), start)[0]) for start in range(H.SEGMENTS))
