@@ -19,11 +19,14 @@ Plan, always linear in the rows but for pairs that really must be told apart:
 2. Keys of the representatives; keys of one document fall out.
 3. Every key's members are compared with the smallest member only, and confirmed links joined to
    components. Families of near-copies end up in one component without their pairs being made.
-4. Keys whose members are in different components are *open*: up to ``OPEN_MEMBERS`` members, the
-   pairs across components are confirmed; the members of larger keys (documents around one common
-   passage) are joined exactly by prefix filtering: two sets with similarity t share one of the
-   n - ceil(t * n) + 1 rarest shingles of each, which common passages are not. Components with more
-   than ``OPEN_MEMBERS`` members there are compared in tiles with the documents they share one with.
+4. Keys whose members are in different components are *open*. Up to ``OPEN_MEMBERS`` members travel as one
+   row with their signatures and are compared in the task; only pairs across components that are alike
+   leave it, each at the first key it shares, and are confirmed on the full sets. The members of larger keys (documents around one common passage) are joined exactly by
+   prefix filtering: two sets with similarity t share one of the n - ceil(t * n) + 1 rarest shingles of
+   each, which common passages are not. Members of a shingle are compared in the task by size and by what
+   is left after it, in tiles of two blocks of about ``OPEN_MEMBERS`` where it has more. Components with more
+   than that there are compared by signature, in tiles, with the documents they share a shingle with.
+   All pairs that leave are confirmed on the full sets.
 5. Components again, with the links of step 4.
 
 Edge cases: null or empty texts and texts without words have no shingle, no links, and are their own
@@ -55,7 +58,7 @@ OPEN_MEMBERS = 64
 BROADCAST_IDS = 1_000_000  # 8 MB of ids; more are joined by a shuffle
 LAST_ID = (1 << 63) - 1    # stands for a null doc_id
 BLOCK_BYTES = 1 << 20
-SIZES = f"100 * n >= {PERCENT} * n2 and 100 * n2 >= {PERCENT} * n"  # else the sizes alone rule a link out
+BLOCK_SHINGLES = 1 << 16  # of a block of sets that are compared in a task
 
 _RANDOM = np.random.default_rng(20)
 _FACTORS = _RANDOM.integers(0, 1 << 63, SYMBOLS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -151,10 +154,111 @@ def confirmed(pairs: DataFrame, sketches: DataFrame, sets: DataFrame) -> DataFra
     sign = sketches.select("id", "signature")
     alike = (pairs.join(sign.withColumnsRenamed({"id": "u", "signature": "su"}), "u")
              .join(sign.withColumnsRenamed({"id": "v", "signature": "sv"}), "v").mapInArrow(_alike, "u long, v long"))
+    return confirmed_sets(alike, sets)
+
+
+def confirmed_sets(alike: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs ``u, v`` of alike signatures that are links."""
     return (alike.join(sets.withColumnsRenamed({"id": "u", "shingles": "hu"}), "u")
             .join(sets.withColumnsRenamed({"id": "v", "shingles": "hv"}), "v").mapInArrow(_confirm, "u long, v long"))
 
 
+def _flat(lists: pa.Array) -> tuple[np.ndarray, list[np.ndarray], pa.Array]:
+    """Offsets of lists of structs, the structs' numbers ``id, component, n``, and the structs."""
+    flat = lists.flatten()
+    offsets = np.concatenate([[0], np.cumsum(lists.value_lengths().fill_null(0).to_numpy())])
+    return offsets, [flat.field(c).to_numpy() for c in ("id", "component", "n")], flat
+
+
+def _apart(one: list[np.ndarray], other: list[np.ndarray]) -> np.ndarray:
+    """Pairs of different components whose sizes do not rule a link out."""
+    (_, c, n), (_, c2, n2) = one, other
+    return ((c[:, None] != c2) & (100 * n[:, None] >= PERCENT * n2) & (100 * n2 >= PERCENT * n[:, None]))
+
+
+def _pairs_of(us: list[np.ndarray], vs: list[np.ndarray]) -> pa.RecordBatch:
+    u, v = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (us, vs))
+    return pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], ["u", "v"])
+
+
+def _first_key(one: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Number of the first key that two signatures share, row by row; -1 for none."""
+    differs = (one != other).reshape(len(one), CHUNKS, WIDTH)
+    errors = differs.sum(axis=2)
+    chunk = (errors <= 1).argmax(axis=1)
+    rows = np.arange(len(one))
+    return np.where(errors[rows, chunk] <= 1, chunk * WIDTH + differs[rows, chunk].argmax(axis=1), -1)
+
+
+def _alike_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Alike pairs among the members of each key, each pair at the first key that it shares."""
+    for batch in batches:
+        if not len(batch):
+            continue
+        at, numbers, flat = _flat(batch.column("ours"))
+        symbols, keys = _matrix(flat.field("signature")), batch.column("key").to_numpy()
+        us, vs = [], []
+        for k in range(len(batch)):
+            own = slice(at[k], at[k + 1])
+            members = [x[own] for x in numbers]
+            u, v = np.nonzero(np.triu(_apart(members, members), 1))
+            if len(u):
+                place = int(np.flatnonzero(signature_keys(symbols[at[k]:at[k] + 1])[0] == keys[k])[0])
+                one, other = symbols[own][u], symbols[own][v]
+                alike = ((one == other).sum(axis=1) >= LEAST_EQUAL) & (_first_key(one, other) == place)
+                us.append(members[0][u[alike]])
+                vs.append(members[0][v[alike]])
+        yield _pairs_of(us, vs)
+
+
+def _family_tile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For every document on the right of a tile one link to a member on the left, if there is any.
+
+    The members are of one component, so one link says all."""
+    for batch in batches:
+        us, vs = [], []
+        for k in range(len(batch)):
+            ours, theirs = batch.column("ours")[k].as_py(), batch.column("theirs")[k].as_py()
+            left = [(x["id"], np.frombuffer(x["shingles"], np.uint64)) for x in ours]
+            ids = np.array([y["id"] for y in theirs])
+            sizes = np.array([len(y["shingles"]) // 8 for y in theirs])
+            flat = np.frombuffer(b"".join(y["shingles"] for y in theirs), np.uint64)
+            starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+            apart = np.ones(len(ids), bool)
+            for u, a in left:
+                place = np.searchsorted(a, flat)
+                both = np.add.reduceat((a[np.minimum(place, len(a) - 1)] == flat).astype(np.int64), starts)
+                linked = apart & (100 * both >= PERCENT * (len(a) + sizes - both))
+                if linked.any():
+                    us.append(np.full(int(linked.sum()), u))
+                    vs.append(ids[linked])
+                    apart &= ~linked
+        yield _pairs_of(us, vs)
+
+
+def _sharing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of members of a prefix shingle that it does not rule out; across the sides of a tile of two blocks.
+
+    Nothing before the first shingle that two sets share is common, so they share at most the shorter of what
+    is left from there on."""
+    for batch in batches:
+        if not len(batch):
+            continue
+        at, numbers, flat = _flat(batch.column("ours"))
+        left_over, side = flat.field("left_over").to_numpy(), flat.field("side").to_numpy()
+        us, vs = [], []
+        for k, two in enumerate(batch.column("two").to_pylist()):
+            own = slice(at[k], at[k + 1])
+            ids, _, n = members = [x[own] for x in numbers]
+            shared = np.minimum(left_over[own][:, None], left_over[own])
+            may = _apart(members, members) & ((100 + PERCENT) * shared >= PERCENT * (n[:, None] + n))
+            may &= (side[own][:, None] < side[own]) if two else np.triu(np.ones_like(may), 1)
+            u, v = np.nonzero(may)
+            us.append(ids[u])
+            vs.append(ids[v])
+        yield _pairs_of(us, vs)
+
+
 def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for i, c, x in zip(*(batch.column(n).to_pylist() for n in ("id", "component", "shingles")), strict=True):
@@ -181,60 +285,54 @@ def _prefixes(sets: DataFrame) -> DataFrame:
 
 
 def _small_pairs(rows: DataFrame) -> DataFrame:
-    """Pairs of different components that share a prefix shingle, made once, at the first they share.
-
-    Nothing before that shingle is common, so the pair shares at most the shorter of what is left from
-    there on; pairs for which that is too little are not made."""
-    rows = rows.withColumn("left_over", F.col("n") - F.col("skipped") - F.array_position("prefix", F.col("shingle")) + 1)
-    other = rows.select(F.col("shingle").alias("shingle2"), F.col("id").alias("v"), F.col("component").alias("component2"),
-                        F.col("n").alias("n2"), F.col("prefix").alias("prefix2"), F.col("left_over").alias("left_over2"))
-    return (rows.join(other, F.expr(
-                f"shingle = shingle2 and id < v and component != component2 and {SIZES} "
-                f"and {100 + PERCENT} * least(left_over, left_over2) >= {PERCENT} * (n + n2) "
-                "and array_intersect(prefix, prefix2)[0] = shingle2"))
-            .select(F.col("id").alias("u"), "v"))
-
-
-def _tile_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links between the documents of two bounded blocks."""
-    for batch in batches:
-        us, vs = [], []
-        for ours, theirs in zip(batch.column("ours").to_pylist(), batch.column("theirs").to_pylist(), strict=True):
-            left = [(x["id"], np.frombuffer(x["shingles"], np.uint64)) for x in ours]
-            for y in theirs:
-                v, b = y["id"], np.frombuffer(y["shingles"], np.uint64)
-                for u, a in left:
-                    if 100 * min(len(a), len(b)) >= PERCENT * max(len(a), len(b)):
-                        both = np.intersect1d(a, b, assume_unique=True).size
-                        if 100 * both >= PERCENT * (len(a) + len(b) - both):
-                            us.append(min(u, v))
-                            vs.append(max(u, v))
-        yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], ["u", "v"])
-
-
-def _family_links(rows: DataFrame, sets: DataFrame, families: DataFrame) -> DataFrame:
+    """Pairs of different components that share a prefix shingle and may be links.
+
+    The members of a shingle are one row; those of a frequent one are dealt to blocks, and every two blocks
+    are a row, so no row holds more than about twice ``OPEN_MEMBERS``."""
+    blocks = (rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
+              .select("shingle", F.ceil(F.col("members") / OPEN_MEMBERS).alias("blocks")))
+    dealt = (rows.select("shingle", "id", "component", "n", "left_over").join(blocks, "shingle")
+             .withColumn("block", F.pmod(F.xxhash64("id"), "blocks"))
+             .withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1)"))))
+    low, high = F.least("block", "other"), F.greatest("block", "other")
+    member = F.struct("id", "component", "n", "left_over", (F.col("block") == F.col("high")).cast("int").alias("side"))
+    tiles = (dealt.withColumn("low", low).withColumn("high", high).groupBy("shingle", "low", "high")
+             .agg(F.collect_list(member).alias("ours")).select("ours", (F.col("low") != F.col("high")).alias("two")))
+    return tiles.mapInArrow(_sharing, "u long, v long").distinct()
+
+
+def _blocks(sizes: str) -> Column:
+    """Blocks for all of ``sizes`` shingles, of about ``BLOCK_SHINGLES`` each (a larger set stands alone)."""
+    return F.ceil(F.sum(sizes) / BLOCK_SHINGLES)
+
+
+def _family_links(rows: DataFrame, sets: DataFrame, sizes: DataFrame, families: DataFrame) -> DataFrame:
     """Links between a large component and documents that share a prefix shingle with any of its members.
 
-    Members and documents meet in tiles of two blocks of about ``OPEN_MEMBERS``, spread over all tasks;
-    sets are compared in the tile and only links leave it.
-    """
-    ours = rows.join(families.select("component"), "component", "left_semi").select("shingle", F.col("component").alias("family")).distinct()
+    Members and documents meet in tiles of two blocks with about ``BLOCK_SHINGLES`` shingles each, spread over
+    all tasks by family and block numbers. Sets are compared in the tile, at most one link per document leaves."""
+    ours = (rows.join(families.select("component"), "component", "left_semi").groupBy("shingle", F.col("component").alias("family"))
+            .agg(F.max("left_over").alias("most_left"), F.min("n").alias("least_n"), F.max("n").alias("most_n")))
     is_family = families.select("component", F.lit(True).alias("large"))
-    theirs = rows.join(is_family, "component", "left").select("shingle", "id", "component", F.coalesce("large", F.lit(False)).alias("large"))
-    near = written(ours.join(theirs, "shingle").filter("component != family and (not large or family < component)")
+    theirs = (rows.join(is_family, "component", "left")
+              .select("shingle", "id", "component", "n", "left_over", F.coalesce("large", F.lit(False)).alias("large")))
+    may = (f"100 * n >= {PERCENT} * least_n and 100 * most_n >= {PERCENT} * n "  # for some member, by size and by what is left
+           f"and {100 + PERCENT} * least(left_over, most_left) >= {PERCENT} * (n + least_n)")
+    near = written(ours.join(theirs, "shingle").filter(f"component != family and (not large or family < component) and {may}")
                    .select("family", "id").distinct(), "op7-near")
-    blocks = families.select(F.col("component").alias("family"), F.ceil(F.col("members") / OPEN_MEMBERS).alias("blocks"))
+    blocks = (sizes.join(families.select("component"), "component", "left_semi").groupBy(F.col("component").alias("family"))
+              .agg(_blocks("n").alias("blocks")))
+    parts = near.join(sizes, "id").groupBy("family").agg(_blocks("n").alias("parts"))
     member = F.struct("id", "shingles")
     left = (sets.withColumnRenamed("component", "family").join(blocks, "family")
             .withColumn("block", F.pmod(F.xxhash64("id"), "blocks"))
             .groupBy("family", "block").agg(F.collect_list(member).alias("ours")))
-    counts = near.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / OPEN_MEMBERS).alias("theirs_blocks"))
-    right = (near.join(counts, "family").join(sets.select("id", "shingles"), "id")
-             .withColumn("part", F.pmod(F.xxhash64("id"), "theirs_blocks"))
+    right = (near.join(parts, "family").join(sets.select("id", "shingles"), "id")
+             .withColumn("part", F.pmod(F.xxhash64("id"), "parts"))
              .groupBy("family", "part").agg(F.collect_list(member).alias("theirs"))
              .join(blocks, "family").withColumn("block", F.explode(F.expr("sequence(0L, blocks - 1)"))))
-    tiles = left.join(right, ["family", "block"]).select("ours", "theirs").repartition("ours")
-    return tiles.mapInArrow(_tile_links, "u long, v long")
+    tiles = right.join(left, ["family", "block"])
+    return tiles.repartition("family", "block", "part").select("ours", "theirs").mapInArrow(_family_tile, "u long, v long")
 
 
 def prefix_links(sets: DataFrame, sketches: DataFrame) -> DataFrame:
@@ -242,10 +340,11 @@ def prefix_links(sets: DataFrame, sketches: DataFrame) -> DataFrame:
     prefix = written(_prefixes(sets), "op7-prefix")
     families = written(prefix.groupBy("component").agg(F.count(F.lit(1)).alias("members")).filter(F.col("members") > OPEN_MEMBERS),
                        "op7-families")
-    rows = prefix.select("id", "component", "n", "prefix", "skipped", F.explode("prefix").alias("shingle"))
+    rows = (prefix.select("id", "component", "n", "skipped", F.posexplode("prefix").alias("place", "shingle"))
+            .select("id", "component", "n", "shingle", (F.col("n") - F.col("skipped") - F.col("place")).alias("left_over")))
     small = rows.join(families.select("component"), "component", "left_anti")
-    return (confirmed(written(_small_pairs(small), "op7-small"), sketches, sets.select("id", "shingles"))
-            .union(_family_links(rows, sets, families)))
+    links = confirmed(written(_small_pairs(small), "op7-small"), sketches, sets.select("id", "shingles"))
+    return links.union(_family_links(rows, sets, prefix.select("id", "component", "n"), families))
 
 
 def text_key(text: Column) -> Column:
@@ -282,12 +381,11 @@ def _judged(docs: DataFrame) -> DataFrame:
     open_keys = (placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
                  .filter("low != high").select("key"))
     unsure = written(placed.join(open_keys, "key", "left_semi").join(classes.select("id", "n"), "id"), "op7-open")
-    few = unsure.filter(F.col("members") <= OPEN_MEMBERS)
-    other = few.select("key", F.col("id").alias("v"), F.col("component").alias("component2"), F.col("n").alias("n2"))
-    pairs = few.join(other, "key").filter(f"id < v and component != component2 and {SIZES}").select(F.col("id").alias("u"), "v")
-    pairs = written(pairs.distinct().join(stars, ["u", "v"], "left_anti"), "op7-pairs")
+    few = (unsure.filter(F.col("members") <= OPEN_MEMBERS).join(classes.select("id", "signature"), "id")
+           .groupBy("key").agg(F.collect_list(F.struct("id", "component", "n", "signature")).alias("ours")))
+    alike = written(few.mapInArrow(_alike_members, "u long, v long"), "op7-pairs")
     many = unsure.filter(F.col("members") > OPEN_MEMBERS).select("id", "component").distinct()
-    second = confirmed(pairs, classes, sets).union(prefix_links(written(sets.join(many, "id"), "op7-many"), classes))
+    second = confirmed_sets(alike, sets).union(prefix_links(written(sets.join(many, "id"), "op7-many"), classes))
     final = components(first.select(F.col("id").alias("u"), F.col("component").alias("v")).union(second))
 
     linked = final.union(final.select(F.col("component").alias("id"), "component").distinct())

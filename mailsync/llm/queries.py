@@ -56,7 +56,7 @@ def op6_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_hamming_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(documents(spark, sf_dir)).withColumn("kept", F.col("doc_id") == F.col("component_id"))
+    return near_duplicates(documents(spark, sf_dir)).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def op8_rake_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
