@@ -7,22 +7,24 @@ identifier, that row's content locator and the number of rows. A digest that is
 *hit*: the hits' full bytes are then compared with those at the locator, and rows that differ from
 them (digests that collide) form groups of their own by their full text.
 
-``land`` writes the rows with digest and locator as the stream's source, ``absorb`` runs the stream
-over whatever has landed since its last run and commits each micro-batch as a table of its own
+``land`` adds rows with digest and locator to the stream's source (a locator is the landing's number, which
+grows with time, and a row number in it, so rows of any number of landings never share one), ``absorb`` runs
+the stream over whatever has landed since its last run and commits each micro-batch as a table of its own
 under the batch number, so a batch that is replayed after a failure overwrites itself. ``settle``
-compares the bytes. ``exact_dedup`` does all three for one table.
+compares the bytes of all that has landed. ``exact_dedup`` does all three for one table.
 
 Copies of one text may be a third of all rows: the state's aggregate combines them before the
 shuffle, and for the byte check each group's first text is sent once per ``SALT_ROWS`` copies, so
 that no task gets a whole group.
 
 Edge cases: rows with the same ``doc_id`` are rows of their own (``group_size`` counts rows; of equal
-rows one stays, by locator); a null ``doc_id`` sorts after all others; extra columns are ignored;
+rows one stays, the first landed); a null ``doc_id`` sorts after all others; extra columns are ignored;
 an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -43,8 +45,9 @@ STATE_CONF = {
     "spark.sql.streaming.stateStore.maintenanceInterval": "10s",  # state of a finished run leaves the executors soon
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",  # else 4 MB of disk per state partition
 }
-LANDED = "doc_id long, digest string, n_bytes long, locator long"
-FIRST = "struct<id:long,locator:long,doc_id:long>"
+LOCATOR = "struct<landing:long,row:long>"
+LANDED = f"doc_id long, digest string, n_bytes long, locator {LOCATOR}"
+FIRST = f"struct<id:long,locator:{LOCATOR},doc_id:long>"
 STATE = f"digest string, n_bytes long, first {FIRST}, n long"
 
 
@@ -55,15 +58,15 @@ def normal_text(text: Column) -> Column:
 
 
 def land(docs: DataFrame, path: str, digest: Callable[[Column], Column] = lambda sha: sha) -> None:
-    """Write every row of ``docs`` (as ``row``) with its digest and a locator of its own.
+    """Add every row of ``docs`` (as ``row``) with its digest and a locator of its own to the landing.
 
     ``digest`` makes the state's key from the text's SHA-256; byte checks make any choice exact.
     """
     text = normal_text(F.col("text"))
     (docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
                  F.sha2(text.cast("binary"), 256).alias("text_sha256"), F.octet_length(text).cast("bigint").alias("n_bytes"),
-                 F.monotonically_increasing_id().alias("locator"))
-     .withColumn("digest", digest(F.col("text_sha256"))).write.parquet(path))
+                 F.struct(F.lit(time.time_ns()).alias("landing"), F.monotonically_increasing_id().alias("row")).alias("locator"))
+     .withColumn("digest", digest(F.col("text_sha256"))).write.mode("append").parquet(path))
 
 
 def absorb(spark: SparkSession, landing: str, state: str) -> DataFrame:
@@ -134,8 +137,12 @@ def exact_dedup(docs: DataFrame, digest: Callable[[Column], Column] = lambda sha
                           (F.col("locator") == F.col("first.locator")).alias("kept"), "text_sha256")
 
 
-def drop_copies(docs: DataFrame) -> DataFrame:
-    """``docs`` without the rows that are copies of another, columns unchanged."""
-    landed, settled = _deduplicated(docs, lambda sha: sha)
+def first_rows(landed: DataFrame, settled: DataFrame) -> DataFrame:
+    """The landed rows that are no copies of another, with the columns they were landed with."""
     stay = settled.filter("locator = first.locator").select("locator")
     return landed.join(stay, "locator", "left_semi").select("row.*")
+
+
+def drop_copies(docs: DataFrame) -> DataFrame:
+    """``docs`` without the rows that are copies of another, columns unchanged."""
+    return first_rows(*_deduplicated(docs, lambda sha: sha))

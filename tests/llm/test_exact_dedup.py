@@ -42,13 +42,20 @@ def test_a_hot_group_is_salted(spark, monkeypatch):
     assert _got(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
 
 
-def test_state_goes_on_between_runs(spark):
+def test_three_landings_with_copies_across_them(spark):
     root = scratch_path(spark, "test-op4")
-    for n, rows in enumerate(([(5, "a b"), (6, "c")], [(2, "a  b"), (9, "d")])):
-        K.land(spark.createDataFrame(rows, "doc_id long, text string"), f"{root}/part-{n}")
-        spark.read.parquet(f"{root}/part-{n}").write.mode("append").parquet(f"{root}/landing")
+    landings = [[(5, "a b"), (6, "c"), (7, "c")], [(2, "a  b"), (9, "d"), (6, "c")], [(1, "e"), (5, "a\tb"), (None, "d")]]
+    for n, rows in enumerate(landings):
+        K.land(spark.createDataFrame(rows, "doc_id long, text string"), f"{root}/landing")
         groups = K.absorb(spark, f"{root}/landing", f"{root}/state")
-    assert sorted((r["first"].doc_id, r.n) for r in groups.collect()) == [(2, 2), (6, 1), (9, 1)]
+        landed = spark.read.parquet(f"{root}/landing")
+        so_far = [x for rows in landings[:n + 1] for x in rows]
+        assert landed.select("locator").distinct().count() == len(so_far)
+        settled = K.settle(landed, groups)
+        got = settled.select("doc_id", "first.doc_id", "n", (F.col("locator") == F.col("first.locator")).alias("kept"), "text_sha256")
+        assert sorted(map(tuple, got.collect()), key=repr) == brute(so_far)
+        assert K.first_rows(landed, settled).count() == len({_normal(t) for _, t in so_far})
+    assert sorted((r["first"].doc_id, r.n) for r in groups.collect()) == [(1, 1), (2, 3), (6, 3), (9, 2)]
 
 
 def test_rows_and_columns_of_the_table_stay(edge_docs, no_docs):
