@@ -1,8 +1,9 @@
 """Personal data by weak supervision: labelers vote, EM weighs them, a span classifier decides.
 
 Base spans (strict patterns with length, range and Luhn checks) always stay. Further candidates come
-from looser patterns: e-mail addresses with "at" and "dot" in brackets, full IPv6 addresses, cards of
-13 to 15 digits, national phone numbers. Five labelers vote +1, -1 or 0 (abstain) on every candidate
+from looser patterns (e-mail addresses with "at" and "dot" in brackets, IPv6 addresses in full or
+shortened, cards of 13 to 15 digits, national phone numbers) and from cues: a context word of phones or
+cards proposes the digits after it, however they are grouped. Five labelers vote +1, -1 or 0 (abstain) on every candidate
 and base span: strict pattern, checksum or plausible range, gazetteer, context words nearby, clean
 edges. Votes and features are few small numbers, so their patterns are counted over the whole corpus
 in one aggregate (at most ``4 * 3**5 * 2**6`` rows, whatever the corpus). Expectation-maximisation on
@@ -14,7 +15,8 @@ Plan: one pass over the texts (texts without a digit, ``@`` or opening bracket a
 counts), whose small rows are written; one aggregate; one pass over the small rows. No shuffle of
 texts. All searches are linear in the text, also in long runs of one character.
 
-Edge cases: a null or empty text has no spans; rows that repeat a ``doc_id`` are judged each; extra
+Edge cases: a null or empty text has no spans; the local part of a bracketed address has at most 64
+characters and its domain five parts (as addresses may have); a null ``doc_id`` is a row like any other; rows that repeat a ``doc_id`` are judged each; extra
 columns are ignored; without candidates nothing is fitted and only base spans are returned.
 """
 
@@ -56,7 +58,9 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _SPOKEN_EMAIL = re.compile(
     r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64} ?[\[(] ?(?:at|AT) ?[\])] ?[A-Za-z0-9-]{1,63}"
     r"(?: ?(?:[\[(] ?(?:dot|DOT) ?[\])]|\.) ?[A-Za-z0-9-]{1,63}){1,4}")
-_IPV6 = re.compile(r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])")
+_HEX_GROUPS = re.compile(r"(?<![0-9A-Za-z:.])[0-9A-Fa-f:]++(?![0-9A-Za-z:])")
+_CUED = {kind: re.compile(r"(?i)(?<![A-Za-z])(?:" + "|".join(map(re.escape, CONTEXT[kind])) + r")(?![A-Za-z])[^0-9A-Za-z\n]{0,12}?"
+                          r"(?:[A-Za-z]{1,12}[^0-9A-Za-z\n]{1,4}?){0,2}(\(?[0-9][0-9 ()/.-]{4,30}[0-9])(?![0-9])") for kind in (CARD, PHONE)}
 _NATIONAL_PHONE = re.compile(r"(?<![0-9+])(?:\([0-9]{3}\) ?|[0-9]{3}[-. ])[0-9]{3}[-. ][0-9]{4}(?![0-9])")
 _MAY_HOLD = np.isin(np.arange(256), [ord(c) for c in "0123456789@[("])
 
@@ -122,16 +126,30 @@ def loose_spans(text: str) -> list[tuple[int, int, int]]:
     out = []
     if "[" in text or "(" in text:
         out.extend((EMAIL, *m.span()) for m in _SPOKEN_EMAIL.finditer(text))
-    if text.count(":") >= 7:
-        out.extend((IP, *m.span()) for m in _IPV6.finditer(text))
+    if ":" in text:
+        out.extend((IP, *m.span()) for m in _HEX_GROUPS.finditer(text) if ":" in m.group() and is_ipv6(m.group()))
     for m in _CARD.finditer(text):
         digits = _digits(m.group())
         if 13 <= len(digits) <= 15 and luhn(digits):
             out.append((CARD, *m.span()))
     out.extend((PHONE, *m.span()) for m in _NATIONAL_PHONE.finditer(text))
+    for kind, (least, most) in ((CARD, (13, 19)), (PHONE, (8, 15))):
+        out.extend((kind, *m.span(1)) for m in _CUED[kind].finditer(text) if least <= len(_digits(m.group(1))) <= most)
     return out
 
 
+def is_ipv6(text: str) -> bool:
+    """Eight groups of up to four hexadecimal digits, or fewer around one ``::``; with a digit, so no words."""
+    groups = text.split(":")
+    if len(groups) > 9 or any(len(g) > 4 for g in groups) or not any("0" <= c <= "9" for c in text):
+        return False
+    if "::" not in text:
+        return len(groups) == 8 and all(groups)
+    head, _, tail = text.partition("::")
+    ends = [*head.split(":")] * bool(head) + [*tail.split(":")] * bool(tail)
+    return "::" not in tail and not tail.startswith(":") and all(ends) and 1 < len(ends) <= 7
+
+
 def votes_and_features(text: str, kind: int, start: int, end: int, is_base: bool) -> tuple[int, int]:
     """The five votes as base-3 digits (0: -1, 1: abstain, 2: +1) and six feature bits."""
     span = text[start:end]

@@ -37,7 +37,7 @@ def test_base_spans_are_the_patterns():
         assert K.base_spans(text) == brute(text), text
 
 
-@pytest.mark.parametrize("part", ["a", "1", "a@", "1.", "+1(", "1 ", "(", "1:", "[at]"])
+@pytest.mark.parametrize("part", ["a", "1", "a@", "1.", "+1(", "1 ", "(", "1:", "[at]", "tel ", "tel 1 ", "::", "call(", "phone 12-"])
 def test_searches_are_linear(part):
     began = time.process_time()
     K.find_spans(part * (200_000 // len(part)) + "@")
@@ -65,6 +65,26 @@ def test_method_adds_likely_spans_only(spark):
     assert all(rows[i].n_added == 0 for i, _ in many)
 
 
+def test_cues_propose_and_the_classifier_decides(spark):
+    planted = {1: ("reach me, tel 030 12345678 or later", "phone:14:26"), 2: ("please call phone 06 12 34 56 78 today", "phone:18:32"),
+               3: ("the server 2001:db8::1 is down", "ip:11:22"), 4: ("login at host fe80::1:2ab was seen", "ip:14:25"),
+               5: ("Telefon: (030) 1234567, Herr", "phone:9:22")}
+    clean = {11: "order number 030 12345678 shipped", 12: "std::vector and a::b of c++", 13: "at 12:30 and 10:45:59 in 2024",
+             14: "call of duty 2019 and 2020", 15: "the year 1999 2000 2001", 16: "ratio 3:4 or 16:9"}
+    many = [(100 + i, f"mail x{i}@mail.example.com or call +1 (743) 555-{1000 + i} server 10.0.0.{i}") for i in range(60)]
+    many += [(300 + i, f"order {i} has 4 parts, see page {i * 7}") for i in range(60)]
+    rows = [*((k, t) for k, (t, _) in planted.items()), *clean.items(), *many]
+    got = {r.doc_id: r.spans for r in K.personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {k: got[k] for k in planted} == {k: want for k, (_, want) in planted.items()}
+    assert {k: got[k] for k in clean} == dict.fromkeys(clean, "")
+
+
+def test_ipv6():
+    good = ["2001:db8::1", "::1:2", "1::2", "1:2:3:4:5:6:7:8", "fe80::1:2ab", "1:2:3:4:5:6:7::"]
+    bad = ["12:30", "10:45:59", "a::b", "::", "1::2::3", "1:2:3:4:5:6:7:8:9", "12345::1", ":1:2", "1:2:3:4:5:6:7", "1::", "::1"]
+    assert [K.is_ipv6(x) for x in good + bad] == [True] * len(good) + [False] * len(bad)
+
+
 def test_em_recovers_reliabilities():
     rng = np.random.default_rng(1)
     truth = rng.random(20_000) < 0.4
