@@ -25,13 +25,3 @@ def dedupe_replay(records: DataFrame) -> DataFrame:
     return (records.select("route", "emit_seq", "content", record_identity().alias("_attrs"))
             .distinct()
             .select("route", F.map_from_entries("_attrs").alias("attributes"), "content", "emit_seq"))
-
-
-def dedupe_pages(pages: DataFrame) -> DataFrame:
-    """The same page landed twice: keep one copy per (chain, page_no, body), of any attempt.
-
-    Pages are compared by a digest of the body before they are flattened, so equal items on
-    different pages (a bag of attachments) are never merged."""
-    chain = [c for c in ("resource", "user_id", "folder_id", "message_id", "request_token") if c in pages.columns]
-    keyed = pages.withColumn("_digest", F.sha2("body", 256))
-    return keyed.dropDuplicates([*chain, "page_no", "_digest"]).drop("_digest")

@@ -101,7 +101,7 @@ def request_table(records: DataFrame, params: RequestParams = RequestParams()) -
     return records.select(
         "*",
         url.alias("url"), m.alias("method"),
-        F.when(F.trim(sel) != "", sel).alias("select_fields"),
+        F.when(~K.is_blank(sel), sel).alias("select_fields"),
         fo["options"].alias("function_options"), qo["options"].alias("query_options"),
         hd["options"].alias("headers"),
         F.when(m.isin(*C.REQUEST_METHODS_WITH_BODY), data).alias("request_body"),

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from mailsync import constants as C
 from mailsync.functions.checks import request_token, token_changed
 from mailsync.functions.fields import attrs_of, inherit
-from mailsync.sources.pages import with_links
+from mailsync.operators.attempts import links_of, tokens_of_links
+from mailsync.session import written
 
 
 def lookup_token(keys: DataFrame, ckpt: DataFrame, key: str = "key") -> DataFrame:
@@ -49,42 +50,32 @@ def work_from(keys: DataFrame) -> DataFrame:
     return keys.withColumn("request_token", request_token(F.col("delta")))
 
 
-def page_links(pages: DataFrame, chain: list[str]) -> DataFrame:
-    """What token detection needs of a page: chain, attempt, number, landing time and links; no body.
-
-    ``attempt_id`` tells apart runs that asked for the same chain (null in landings without it).
-    """
-    for name, kind in (("attempt_id", "string"), ("fetched_at", "timestamp")):
-        if name not in pages.columns:
-            pages = pages.withColumn(name, F.lit(None).cast(kind))
-    p = with_links(pages.select(*chain, "attempt_id", "fetched_at", "page_no", "body")).filter("page_ok")
-    return p.select(*chain, "attempt_id", "fetched_at", "page_no", "next_link", "delta_link")
-
-
-def tokens_of_links(links: DataFrame, chain: list[str]) -> DataFrame:
-    """``chain`` columns and ``new_delta`` of each chain with a complete attempt, one row per chain.
+def chain_tokens(pages: DataFrame, chain: list[str]) -> DataFrame:
+    """The delta link of each chain with a complete attempt (see :mod:`mailsync.operators.attempts`).
 
-    An attempt is complete when its last page (the one without a next page) and every page before
-    it have landed; pages of different attempts never add up. Of a page landed twice in one attempt
-    the later landing counts; of several complete attempts the one whose last page landed last
-    (ties: by attempt, then link). Three aggregates of fixed-width rows, each combined before its
-    shuffle, so a chain with a third of all pages is spread by page first and small afterwards.
+    A page whose body does not parse counts as missing. Bodies are dropped before any shuffle.
     """
-    landing = F.struct(F.col("fetched_at"), F.col("next_link").isNull().alias("ends"), F.col("delta_link"))
-    page = links.groupBy(*chain, "attempt_id", "page_no").agg(F.max(landing).alias("x"))
-    last = F.when(F.col("x.ends"), F.struct(F.col("page_no"), F.col("x.fetched_at").alias("at"), F.col("x.delta_link").alias("link")))
-    attempt = page.groupBy(*chain, "attempt_id").agg(F.count(F.lit(1)).alias("pages"), F.max(last).alias("last"))
-    done = attempt.filter(F.col("pages") == F.col("last.page_no") + 1)
-    newest = F.max(F.struct(F.col("last.at"), F.col("attempt_id"), F.col("last.link").alias("link")))
-    return done.groupBy(*chain).agg(newest.alias("x")).select(*chain, F.col("x.link").alias("new_delta"))
+    return tokens_of_links(links_of(pages, chain), chain)
 
 
-def chain_tokens(pages: DataFrame, chain: list[str]) -> DataFrame:
-    """The delta link of each **complete** chain (see :func:`tokens_of_links`).
+def reachable_tokens(edges: DataFrame, start: DataFrame, entity: list[str]) -> DataFrame:
+    """``entity..., request_token``: the tokens of ``start`` and all that follow from them over ``edges``
+    (``entity..., request_token, new_delta``, one per closed chain).
 
-    A page whose body does not parse counts as missing. Bodies are dropped before any shuffle.
+    Pointer jumping: each round adds the tokens one jump ahead and doubles the jump, so k tokens in a row
+    take about log2 k rounds. Ends when a round adds nothing, also where tokens run in a circle.
     """
-    return tokens_of_links(page_links(pages, chain), chain)
+    jump = edges.select(*entity, "request_token", "new_delta").filter("new_delta is not null and new_delta != request_token").distinct()
+    reached = written(start.select(*entity, "request_token").distinct(), "reached")
+    n = reached.count()
+    while True:
+        ahead = reached.join(jump, [*entity, "request_token"]).select(*entity, F.col("new_delta").alias("request_token"))
+        reached = written(reached.union(ahead).distinct(), "reached")
+        if (more := reached.count()) == n:
+            return reached
+        n = more
+        further = jump.select(*entity, F.col("request_token").alias("new_delta"), F.col("new_delta").alias("further"))
+        jump = written(jump.join(further, [*entity, "new_delta"]).select(*entity, "request_token", F.col("further").alias("new_delta")), "jumps")
 
 
 def token_records(tokens: DataFrame, route: str, base_attrs: Column | None = None,

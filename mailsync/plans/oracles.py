@@ -484,3 +484,13 @@ SELECT * FROM ckpt WHERE key <> 'O365_users_delta'
 
     "generic_scan": """SELECT page_id AS request_id, page_id AS id, url AS web_url, CAST(length(html) AS INTEGER) AS n_chars FROM pages""",
 }
+
+# the same rows whatever was landed twice, in another order, or by other pages
+ORACLES["messages_recut"] = ORACLES["stream_recut"] = ORACLES["stream_sync"]
+ORACLES["attachments_unfinished_rerun"] = ORACLES["attachments_replay"]
+ORACLES["messages_catch_up"] = ORACLES["stream_chained_tokens"]
+ORACLES["stream_tenant"] = ORACLES["tenant_sync"]
+ORACLES["scans_landed_twice"] = """SELECT 'users' AS entity, count(*) AS n_rows FROM customer
+UNION ALL SELECT 'messages', count(*) FROM orders
+UNION ALL SELECT 'attachments', count(*) FROM lineitem JOIN part ON p_partkey = l_partkey JOIN orders ON o_orderkey = l_orderkey"""
+ORACLES["pruned_tokens"] = f"""WITH {TOKENS} SELECT key, old_delta, new_delta FROM tokens WHERE regexp_matches(key, '^O365_messages\\|[0-9]\\|')"""

@@ -26,6 +26,7 @@ from mailsync.plans import sync as SY
 from mailsync.plans import testviews as TV
 from mailsync.sources import checkpoints as CK
 from mailsync.sources import pages as PS
+from mailsync.sources import scans as SC
 from mailsync.sources import sink as SK
 
 MSG_ITEM_DDL = "id STRING, receivedDateTime TIMESTAMP_NTZ, subject STRING, `@removed` STRUCT<reason: STRING>"
@@ -240,7 +241,7 @@ def q_generic_records(spark, d):
 # ---- users, folders, messages, attachments ---------------------------------------------------------
 
 def q_users_scan(spark, d):
-    return P.select_fields(PS.scan_users(TV.landed(spark, d, "users")), "id,displayName,jobTitle,officeLocation")
+    return P.select_fields(SC.scan_users(TV.landed(spark, d, "users")), "id,displayName,jobTitle,officeLocation")
 
 
 def _user_record_view(recs):
@@ -312,13 +313,13 @@ def q_user_folder_tree(spark, d):
 
 
 def q_messages_scan(spark, d):
-    m = PS.scan_messages(TV.landed(spark, d, "messages"), "id,parentFolderId,receivedDateTime,importance,subject")
+    m = SC.scan_messages(TV.landed(spark, d, "messages"), "id,parentFolderId,receivedDateTime,importance,subject")
     return m.select("user_id", F.col("id").alias("message_id"), F.col("parentFolderId").alias("folder_id"),
                     F.col("receivedDateTime").alias("received_at"), "importance", "subject")
 
 
 def q_attachments_scan(spark, d):
-    a = PS.scan_attachments(TV.landed(spark, d, "attachments"), "name,contentType,size")
+    a = SC.scan_attachments(TV.landed(spark, d, "attachments"), "name,contentType,size")
     return a.select("user_id", "message_id", "name", F.col("contentType").alias("content_type"), "size")
 
 
@@ -348,7 +349,7 @@ def q_attachment_attrs(spark, d):
 def q_select_fields(spark, d):
     """P1 on the typed view of all fields, and on the items' raw JSON with a field no schema knows."""
     pages = TV.landed(spark, d, "messages")
-    typed = P.select_fields(PS.scan_messages(pages, None), "id, subject ,importance").withColumn("raw", F.lit(None).cast("string"))
+    typed = P.select_fields(SC.scan_messages(pages, None), "id, subject ,importance").withColumn("raw", F.lit(None).cast("string"))
     unknown = F.concat(F.expr("left(item, length(item) - 1)"), F.lit(',"extra":{"a":[1,"x"]}}'))
     items = PS.flatten_pages(pages.filter("folder_id is null"), ["user_id"]).withColumn("item", unknown)
     raw = items.select(PS.item_field("id").alias("id"), F.lit(None).cast("string").alias("subject"),
@@ -670,6 +671,71 @@ def q_attachments_replay(spark, d):
     return _attachment_view(SY.expand_attachments(msg.unionByName(msg), thrice))
 
 
+def _recut_changes(spark, d):
+    """The changes feed in two complete attempts, the second an hour later in pages of seven instead of ten."""
+    one = TV.landed(spark, d, "changes").withColumn("attempt_id", F.lit("a"))
+    two = _later(TV.land_changes(spark, d, page_size=7).withColumn("attempt_id", F.lit("b")), "1 HOUR")
+    return one.select(*S.ENVELOPE_DDL_COLS).unionByName(two.select(*S.ENVELOPE_DDL_COLS))
+
+
+def q_messages_recut(spark, d):
+    """A rerun whose pages are cut differently: the newer complete attempt counts."""
+    return record_view(SY.sync_messages(_recut_changes(spark, d), _changes_work(spark, d))[0])
+
+
+def q_stream_recut(spark, d):
+    """The same on a stream: the first attempt that is complete counts, the rerun is a replay."""
+    pages = _recut_changes(spark, d)
+    return _stream_run(spark, d, pages.filter("attempt_id = 'a' and page_no = 0"), pages.filter("attempt_id = 'b'"),
+                       pages.filter("attempt_id = 'a' and page_no > 0"))
+
+
+def q_attachments_unfinished_rerun(spark, d):
+    """Attachments in pages of one with a complete attempt, and a later rerun of which only the first page landed."""
+    one = TV.land_attachments(spark, d, page_size=1).withColumn("attempt_id", F.lit("a"))
+    two = _later(one.filter("page_no = 0").withColumn("attempt_id", F.lit("b")), "1 HOUR")
+    return _attachment_view(SY.expand_attachments(_message_records_all(spark, d), one.unionByName(two)))
+
+
+def q_scans_landed_twice(spark, d):
+    """The plain scans of users, messages and attachments that were loaded twice, by attempts a day apart."""
+    def twice(part):
+        pages = TV.landed(spark, d, part).withColumn("attempt_id", F.lit("a"))
+        return pages.unionByName(_later(pages.withColumn("attempt_id", F.lit("b")), "1 DAY"))
+
+    users, messages = SC.scan_users(twice("users")), SC.scan_messages(twice("messages"), "id")
+    files = SC.scan_attachments(twice("attachments"), "name")
+    count = lambda df, name: df.agg(F.lit(name).alias("entity"), F.count(F.lit(1)).alias("n_rows"))
+    return count(users, "users").unionByName(count(messages, "messages")).unionByName(count(files, "attachments"))
+
+
+def q_messages_catch_up(spark, d):
+    """Two chains per folder in one landing, the second asked with the first one's token, in one batch run."""
+    ck = _changes_work(spark, d).withColumn("delta", F.lit(""))
+    return record_view(SY.catch_up_messages(TV.land_chained_changes(spark, d), ck)[0])
+
+
+def q_pruned_tokens(spark, d):
+    """Tokens of the folders of ten users, from a landing whose other buckets are not read."""
+    from mailsync.session import scratch_path
+    root = scratch_path(spark, "landing-buckets")
+    PS.write_pages(TV.landed(spark, d, "changes"), root, buckets=64)
+    ten = F.col("key").rlike(r"^O365_messages\|[0-9]\|")
+    toks = SY.sync_messages(PS.read_pages(spark, root), _changes_work(spark, d).filter(ten))[1]
+    return toks.select("key", F.col("delta").alias("old_delta"), "new_delta")
+
+
+def q_stream_tenant(spark, d):
+    """The whole tenant as streams, the levels' pages landed from the last level to the first."""
+    from mailsync.session import scratch_path
+    from mailsync.streaming import stream as STR
+    root = scratch_path(spark, "stream-tenant")
+    for part in ("attachments", "folder_messages", "changes", "messages", "folders", "users"):
+        STR.land_files(TV.landed(spark, d, part), f"{root}/landing", 2)
+    STR.sync_tenant_stream(spark, f"{root}/landing", f"{root}/state", f"{root}/out", initial_ckpt=TV.checkpoints(spark, d))
+    return record_view(STR.read_tenant_output(spark, f"{root}/out"))
+
+
 def q_ckpt_remove_stored(spark, d):
     """Removing keys as a stored delta version."""
     from mailsync.session import scratch_path
@@ -747,4 +813,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "replay_new_link": q_replay_new_link,
     "attachments_replay": q_attachments_replay,
     "ckpt_remove_stored": q_ckpt_remove_stored,
+    "messages_recut": q_messages_recut,
+    "stream_recut": q_stream_recut,
+    "attachments_unfinished_rerun": q_attachments_unfinished_rerun,
+    "scans_landed_twice": q_scans_landed_twice,
+    "messages_catch_up": q_messages_catch_up,
+    "pruned_tokens": q_pruned_tokens,
+    "stream_tenant": q_stream_tenant,
 }

@@ -6,18 +6,21 @@ content, emit_seq), ``tokens`` as ``(key, delta, new_delta)`` for the checkpoint
 
 Scale notes:
 
-* pages are selected with an equi-join on the chain key against the work table (one row per
-  key): broadcast when AQE measures the work side small, sort-merge otherwise, and AQE splits a
-  skewed chain's partitions; the pages are flattened only after this selection;
-* the ``resource`` filter is a partition filter on a landing partitioned by resource;
-* token detection is two hash aggregates per chain (page count, last page) and a join, with
-  partial aggregation; no window and no sort-based aggregate;
+* the work of a level (one row per key) is written once; the buckets of its chains prune the landing, and
+  pages are semi-joined to its keys before a body is parsed: by broadcast up to a counted number of
+  keys, by a shuffle beyond;
+* the links of these pages are parsed once and written. Tokens, and the attempts and pages that count
+  (``operators.attempts``), come from them with hash aggregates over numbers; bodies move only if some of
+  the pages do not count, or if the keys are too many to broadcast;
+* pages are flattened last; a mailbox that holds a third of all items stays spread over its files;
 * a page that does not parse keeps its chain incomplete; ``bad_pages`` reports such pages once,
   where pages land.
 """
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,10 +28,13 @@ from mailsync import constants as C
 from mailsync.functions.checks import token_changed
 from mailsync.functions.fields import attachment_attrs, attrs_of, inherit
 from mailsync.functions.keys import filter_keys, folders_key, messages_key, parse_key
-from mailsync.operators.dedupe import dedupe_pages
+from mailsync.operators.attempts import counting, counting_chains, links_of, newest_attempts, tokens_of_links
+from mailsync.operators.joins import sized
 from mailsync.operators.routes import error_records, passthrough_original, record, union_records
-from mailsync.operators.state import bootstrap, chain_tokens, token_records, work_from
-from mailsync.sources.pages import flatten_pages, is_tombstone, item_field, with_links
+from mailsync.operators.state import bootstrap, reachable_tokens, token_records, work_from
+from mailsync.session import written
+from mailsync.sources.pages import flatten_pages, is_tombstone, item_field, of_chains, with_links
+from mailsync.sources.scans import full_user_messages
 
 
 def _base(input_attrs: dict | None) -> Column:
@@ -37,19 +43,38 @@ def _base(input_attrs: dict | None) -> Column:
     return attrs_of({k: F.lit(v) for k, v in input_attrs.items()})
 
 
-def _select_chains(pages: DataFrame, resource: str, work: DataFrame, chain: list[str], dedupe: bool = True) -> DataFrame:
-    """The resource's pages of the chains in ``work``; pages landed again are dropped unless told not to."""
-    p = pages.filter(F.col("resource") == resource).join(work, on=chain, how="inner")
-    return dedupe_pages(p) if dedupe else p
+class Selected(NamedTuple):
+    """The landed pages of the chains of some work, and their links (parsed once)."""
+    pages: DataFrame
+    links: DataFrame
+    work: DataFrame
+    chain: list[str]
+
+    def records_of(self, dedupe: bool = True) -> DataFrame:
+        """The pages that count with the columns of the work; all landed pages with ``dedupe`` off."""
+        own = counting(self.pages, self.links, self.chain) if dedupe else self.pages
+        # rows of the work may be many and wide (attributes): the planner picks the join by measured sizes
+        return own.join(self.work, on=self.chain, how="inner")
 
+    def tokens(self) -> DataFrame:
+        """The work rows whose chain has a complete attempt, with ``new_delta``."""
+        return self.work.join(tokens_of_links(self.links, self.chain), on=self.chain, how="inner")
 
-def _select_tokens(pages: DataFrame, resource: str, work: DataFrame, chain: list[str]) -> DataFrame:
-    """The work rows whose chain is complete, with ``new_delta``.
+    def unread(self) -> DataFrame:
+        """Rows of the work whose chain has a page that does not parse and no complete attempt."""
+        readable = self.links.groupBy(*self.chain).agg(F.count(F.lit(1)).alias("readable"))
+        landed = self.pages.groupBy(*self.chain).agg(F.count(F.lit(1)).alias("landed"))
+        bad = landed.join(readable, self.chain, "left").filter("landed > coalesce(readable, 0)")
+        return (self.work.join(bad, on=self.chain, how="left_semi")
+                .join(newest_attempts(self.links, self.chain), on=self.chain, how="left_anti"))
 
-    The links are reduced to one row per chain before the join, so no body and no hot chain's pages
-    are ever shuffled for the tokens."""
-    tokens = chain_tokens(pages.filter(F.col("resource") == resource), chain)
-    return work.join(tokens, on=chain, how="inner")
+
+def select_chains(pages: DataFrame, resource: str, work: DataFrame, chain: list[str]) -> Selected:
+    """The resource's pages of the chains in ``work``: pruned by bucket, then by key, then parsed for links."""
+    work = written(work, "work")
+    found = of_chains(pages.filter(F.col("resource") == resource), work)
+    found = found.join(sized(work.select(*chain).distinct()), on=chain, how="left_semi")
+    return Selected(found, links_of(found, chain), work, chain)
 
 
 def bad_pages(pages: DataFrame, chain: list[str] | None = None) -> DataFrame:
@@ -66,13 +91,6 @@ def bad_pages(pages: DataFrame, chain: list[str] | None = None) -> DataFrame:
                          F.lit("page body is not JSON"), "JsonParseException", keep_attrs=True)
 
 
-def _unread_chains(pages: DataFrame, resource: str, work: DataFrame, chain: list[str]) -> DataFrame:
-    """Rows of ``work`` whose chain has a page that does not parse and no complete attempt."""
-    p = pages.filter(F.col("resource") == resource)
-    bad = with_links(p).filter(~F.col("page_ok")).select(*chain).distinct()
-    return work.join(bad, on=chain, how="left_semi").join(chain_tokens(p, chain).select(*chain), on=chain, how="left_anti")
-
-
 def _chain_failures(failed: DataFrame, variant: str) -> DataFrame:
     """R2 of the record-driven variants: the input's attributes and content with their error names."""
     return error_records(failed.select(F.col("input_attrs").alias("attributes"), F.col("input_content").alias("content")),
@@ -99,10 +117,9 @@ def message_work(ckpt: DataFrame, pattern: str = C.REGEX_MESSAGES_DEFAULT) -> Da
 MESSAGE_CHAIN = ["user_id", "folder_id", "request_token"]
 
 
-def select_message_chains(pages: DataFrame, work: DataFrame, dedupe: bool = True) -> DataFrame:
+def select_message_chains(pages: DataFrame, work: DataFrame) -> Selected:
     """The landed message pages of the chains the work asks for (carrying ``key`` and ``delta``)."""
-    good = work.filter(F.col("key_ok")).select(*MESSAGE_CHAIN, "key", "delta")
-    return _select_chains(pages, "messages", good, MESSAGE_CHAIN, dedupe)
+    return select_chains(pages, "messages", work.filter(F.col("key_ok")).select(*MESSAGE_CHAIN, "key", "delta"), MESSAGE_CHAIN)
 
 
 def message_records(sel: DataFrame, input_attrs: dict | None = None,
@@ -116,8 +133,7 @@ def message_records(sel: DataFrame, input_attrs: dict | None = None,
 
 def message_tokens(pages: DataFrame, work: DataFrame) -> DataFrame:
     """T1 per chain of the work: ``(user_id, folder_id, request_token, key, delta, new_delta)``."""
-    good = work.filter(F.col("key_ok")).select(*MESSAGE_CHAIN, "key", "delta")
-    return _select_tokens(pages, "messages", good, MESSAGE_CHAIN)
+    return select_message_chains(pages, work).tokens()
 
 
 def sync_messages(pages: DataFrame, ckpt: DataFrame, pattern: str = C.REGEX_MESSAGES_DEFAULT,
@@ -129,12 +145,39 @@ def sync_messages(pages: DataFrame, ckpt: DataFrame, pattern: str = C.REGEX_MESS
     folder and message ids; token records go to the same route (R3) after them (R5).
     """
     work = message_work(ckpt, pattern)
-    records = message_records(select_message_chains(pages, work, dedupe), input_attrs, route)
-    tokens = message_tokens(pages, work)
+    found = select_message_chains(pages, work)
+    records = message_records(found.records_of(dedupe), input_attrs, route)
+    tokens = found.tokens()
     tok_records = token_records(tokens, route, _base(input_attrs), always=always_emit_token)
     return union_records(records, tok_records), tokens, _bad_keys(work)
 
 
+def catch_up_messages(pages: DataFrame, ckpt: DataFrame, pattern: str = C.REGEX_MESSAGES_DEFAULT, input_attrs: dict | None = None,
+                      route: str = C.ROUTE_SUCCESS_MESSAGES) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """S5 over a landing that holds several runs: from every key's token on, each chain asked with the token
+    that the chain before it ended with is synced too.
+
+    Returns ``(records, tokens, failures)`` as :func:`sync_messages`; there is a token record per closed
+    chain, and ``tokens`` has the last token of each key.
+    """
+    work = written(message_work(ckpt, pattern), "work")
+    folder, good = ["user_id", "folder_id"], work.filter(F.col("key_ok"))
+    found = of_chains(pages.filter(F.col("resource") == "messages"), good)
+    found = found.join(sized(good.select(*folder).distinct()), on=folder, how="left_semi")
+    links = links_of(found, MESSAGE_CHAIN)
+    edges = written(tokens_of_links(links, MESSAGE_CHAIN), "edges")
+    reached = reachable_tokens(edges, good, folder)
+    keyed = written(reached.join(good.select(*folder, "key", F.col("delta").alias("stored")), on=folder), "reached")
+    chosen = found.join(sized(reached), on=MESSAGE_CHAIN, how="left_semi")
+    own = counting(chosen, written(links.join(reached, on=MESSAGE_CHAIN, how="left_semi"), "links"), MESSAGE_CHAIN)
+    closed = keyed.join(edges, on=MESSAGE_CHAIN).withColumn("delta", F.col("request_token"))
+    moved = closed.filter(token_changed("request_token", "new_delta"))
+    onward = moved.select(*folder, F.col("request_token").alias("new_delta"))
+    last = moved.join(onward, on=[*folder, "new_delta"], how="left_anti").select(*folder, "key", F.col("stored").alias("delta"), "new_delta")
+    records = union_records(message_records(own, input_attrs, route), token_records(closed, route, _base(input_attrs)))
+    return records, last, _bad_keys(work)
+
+
 # ---- users (S1/S2): key O365_users_delta ---------------------------------------------------------
 
 def user_work(ckpt: DataFrame, pattern: str = C.REGEX_USERS_DEFAULT) -> DataFrame:
@@ -143,6 +186,14 @@ def user_work(ckpt: DataFrame, pattern: str = C.REGEX_USERS_DEFAULT) -> DataFram
     return work_from(keys.unionByName(bootstrap(keys, C.KEY_USERS)))
 
 
+def user_records(pages: DataFrame, input_attrs: dict | None = None, route: str = C.ROUTE_SUCCESS) -> DataFrame:
+    """User records of selected pages, each with the folders key its children are fetched under."""
+    items = flatten_pages(pages, ["request_token", "page_no"])
+    uid = item_field("id")
+    a = attrs_of({C.ATTR_USER_ID: uid, C.ATTR_CACHE_KEY: folders_key(uid)})
+    return items.select(*record(route, inherit(_base(input_attrs), a), F.col("item"), C.EMIT_ITEM))
+
+
 def sync_users(pages: DataFrame, ckpt: DataFrame, pattern: str = C.REGEX_USERS_DEFAULT,
                input_attrs: dict | None = None, route: str = C.ROUTE_SUCCESS,
                always_emit_token: bool = False, dedupe: bool = True,
@@ -150,15 +201,10 @@ def sync_users(pages: DataFrame, ckpt: DataFrame, pattern: str = C.REGEX_USERS_D
     """Users from the stored token (full load without one). Each user record carries the
     folders key its children are fetched under (``office365_cache_key``). The records that
     triggered the run (``trigger``), if any, go to ``Original`` (R4)."""
-    work = user_work(ckpt, pattern).select("request_token", "key", "delta")
-    sel = _select_chains(pages, "users", work, ["request_token"], dedupe)
-    base = _base(input_attrs)
-    items = flatten_pages(sel, ["request_token", "page_no"])
-    uid = item_field("id")
-    a = attrs_of({C.ATTR_USER_ID: uid, C.ATTR_CACHE_KEY: folders_key(uid)})
-    records = items.select(*record(route, inherit(base, a), F.col("item"), C.EMIT_ITEM))
-    tokens = _select_tokens(pages, "users", work, ["request_token"])
-    recs = union_records(records, token_records(tokens, route, base, always=always_emit_token))
+    found = select_chains(pages, "users", user_work(ckpt, pattern).select("request_token", "key", "delta"), ["request_token"])
+    records = user_records(found.records_of(dedupe), input_attrs, route)
+    tokens = found.tokens()
+    recs = union_records(records, token_records(tokens, route, _base(input_attrs), always=always_emit_token))
     return (union_records(recs, passthrough_original(trigger)) if trigger is not None else recs), tokens
 
 
@@ -170,6 +216,14 @@ def folder_work(ckpt: DataFrame, pattern: str = C.REGEX_FOLDERS_DEFAULT) -> Data
     return work_from(keys.select("key", "delta", pk["user"].alias("user_id"), pk["key_ok"].alias("key_ok")))
 
 
+def folder_records(pages: DataFrame, input_attrs: dict | None = None, route: str = C.ROUTE_SUCCESS) -> DataFrame:
+    """Folder records of selected pages, each with the messages key its children are fetched under."""
+    items = flatten_pages(pages, ["user_id", "page_no"])
+    fid = item_field("id")
+    a = attrs_of({C.ATTR_USER_ID: F.col("user_id"), C.ATTR_FOLDER_ID: fid, C.ATTR_CACHE_KEY: messages_key(F.col("user_id"), fid)})
+    return items.select(*record(route, inherit(_base(input_attrs), a), F.col("item"), C.EMIT_ITEM))
+
+
 def sync_folders(pages: DataFrame, ckpt: DataFrame, pattern: str = C.REGEX_FOLDERS_DEFAULT,
                  input_attrs: dict | None = None, route: str = C.ROUTE_SUCCESS,
                  always_emit_token: bool = False, dedupe: bool = True,
@@ -178,25 +232,17 @@ def sync_folders(pages: DataFrame, ckpt: DataFrame, pattern: str = C.REGEX_FOLDE
     messages key its children are fetched under. ``trigger`` as in :func:`sync_users`."""
     work = folder_work(ckpt, pattern)
     good = work.filter(F.col("key_ok")).select("user_id", "request_token", "key", "delta")
-    chain = ["user_id", "request_token"]
-    sel = _select_chains(pages, "folders", good, chain, dedupe)
-    base = _base(input_attrs)
-    items = flatten_pages(sel, chain + ["page_no"])
-    fid = item_field("id")
-    a = attrs_of({C.ATTR_USER_ID: F.col("user_id"), C.ATTR_FOLDER_ID: fid,
-                  C.ATTR_CACHE_KEY: messages_key(F.col("user_id"), fid)})
-    records = items.select(*record(route, inherit(base, a), F.col("item"), C.EMIT_ITEM))
-    tokens = _select_tokens(pages, "folders", good, chain)
-    recs = union_records(records, token_records(tokens, route, base, always=always_emit_token))
+    found = select_chains(pages, "folders", good, ["user_id", "request_token"])
+    records = folder_records(found.records_of(dedupe), input_attrs, route)
+    tokens = found.tokens()
+    recs = union_records(records, token_records(tokens, route, _base(input_attrs), always=always_emit_token))
     return (union_records(recs, passthrough_original(trigger)) if trigger is not None else recs), tokens, _bad_keys(work)
 
 
 def scan_message_records(pages: DataFrame, route: str = C.ROUTE_SUCCESS_MESSAGES) -> DataFrame:
     """S4 as records: every message of the per-user full chains (no folder, no token), with user,
     folder (the message's parent folder) and message ids as attributes."""
-    p = pages.filter((F.col("resource") == "messages") & F.col("folder_id").isNull()
-                     & (F.col("request_token") == ""))
-    items = flatten_pages(p, ["user_id"]).withColumn("_m", F.from_json("item", "id STRING, parentFolderId STRING"))
+    items = flatten_pages(full_user_messages(pages), ["user_id"]).withColumn("_m", F.from_json("item", "id STRING, parentFolderId STRING"))
     ids = attrs_of({C.ATTR_USER_ID: F.col("user_id"), C.ATTR_FOLDER_ID: F.col("_m.parentFolderId"),
                     C.ATTR_MESSAGE_ID: F.col("_m.id")})
     return items.select(*record(route, ids, F.col("item"), C.EMIT_ITEM))
@@ -204,44 +250,47 @@ def scan_message_records(pages: DataFrame, route: str = C.ROUTE_SUCCESS_MESSAGES
 
 # ---- attachments (J3): message -> attachments -----------------------------------------------------
 
+ATTACHMENT_CHAIN = ["user_id", "message_id", "request_token"]
+
+
+def attachment_parents(message_records: DataFrame, dedupe: bool = True) -> DataFrame:
+    """``user_id, message_id, parent_attrs`` of the message records that can have attachments: no tombstones
+    (removed messages have none), no token records; equal ones once unless told not to."""
+    msgs = (message_records.filter((F.col("emit_seq") == C.EMIT_ITEM) & ~is_tombstone("content"))
+            .select(F.col("attributes")[C.ATTR_USER_ID].alias("user_id"), F.col("attributes")[C.ATTR_MESSAGE_ID].alias("message_id"),
+                    F.array_sort(F.map_entries("attributes")).alias("entries"))
+            .filter(F.col("message_id").isNotNull()))
+    msgs = msgs.distinct() if dedupe else msgs  # a map can not be compared, its sorted entries can
+    return msgs.select("user_id", "message_id", F.map_from_entries("entries").alias("parent_attrs"))
+
+
+def attachment_records(pages: DataFrame, route: str = C.ROUTE_SUCCESS_ATTACHMENTS, with_file_attrs: bool = True) -> DataFrame:
+    """Attachment records of pages that carry their message's ``parent_attrs``. Within a page attachments are
+    a bag: no key on them is assumed."""
+    items = flatten_pages(pages, ["parent_attrs"]).withColumn("_a", F.from_json("item", "name STRING, contentType STRING"))
+    extra = attachment_attrs(F.col("_a.contentType"), F.col("_a.name")) if with_file_attrs else F.create_map().cast("map<string,string>")
+    return items.select(*record(route, inherit(F.col("parent_attrs"), extra), F.col("item"), C.EMIT_ATTACHMENT))
+
+
 def expand_attachments(message_records: DataFrame, pages: DataFrame,
                        route: str = C.ROUTE_SUCCESS_ATTACHMENTS, with_file_attrs: bool = True,
                        dedupe: bool = True) -> DataFrame:
     """J3 + P4 + P5: each message record's attachments, inheriting the message's attributes.
 
-    Message records without attachments give nothing (inner join). Removed messages have none:
-    tombstone records are left out, and so are token records. With ``dedupe`` (the default) the
-    attachments are those of the message's latest ask: of several attempts landed for one message
-    only the newest counts, pages landed again count once, and equal message records count once.
-    Within a page attachments are a bag: no key on them is assumed.
+    Message records without attachments give nothing (inner join). With ``dedupe`` (the default) the
+    attachments are those of the attempt that counts (an unfinished rerun never hides a complete one),
+    pages landed again count once, and equal message records count once.
 
-    Pages are joined to the messages first and flattened afterwards, so a delta of ten messages
-    does not parse every attachment of the history.
+    The messages prune the landing (by their users' buckets) and semi-join the pages before a body is
+    read; attempts are chosen on links, and the pages that count are flattened last.
     """
-    msgs = (message_records.filter((F.col("emit_seq") == C.EMIT_ITEM) & ~is_tombstone("content"))
-            .select(F.col("attributes")[C.ATTR_USER_ID].alias("user_id"),
-                    F.col("attributes")[C.ATTR_MESSAGE_ID].alias("message_id"),
-                    F.col("attributes").alias("parent_attrs"))
-            .filter(F.col("message_id").isNotNull()))
+    msgs = written(attachment_parents(message_records, dedupe), "parents")
     keys = ["user_id", "message_id"]
-    att = pages.filter(F.col("resource") == "attachments")
+    found = of_chains(pages.filter(F.col("resource") == "attachments"), msgs)
+    found = found.join(sized(msgs.select(*keys).distinct()), on=keys, how="left_semi")
     if dedupe:
-        entries = F.array_sort(F.map_entries("parent_attrs")).alias("entries")
-        msgs = msgs.select(*keys, entries).distinct().select(*keys, F.map_from_entries("entries").alias("parent_attrs"))
-        if "attempt_id" in att.columns:
-            newest = (att.groupBy(*keys).agg(F.max(F.struct("fetched_at", "attempt_id")).alias("x"))
-                      .select(*keys, F.col("x.attempt_id").alias("newest_attempt")))
-            att = att.join(newest, keys).filter(F.col("attempt_id").eqNullSafe(F.col("newest_attempt"))).drop("newest_attempt")
-    chosen = att.join(msgs, on=keys, how="inner")
-    if dedupe:  # a map can not be compared, its sorted entries can
-        chosen = (chosen.withColumn("_digest", F.sha2("body", 256))
-                  .withColumn("_entries", F.to_json(F.array_sort(F.map_entries("parent_attrs"))))
-                  .dropDuplicates([*keys, "request_token", "page_no", "_digest", "_entries"]))
-    j = (flatten_pages(chosen, [*keys, "parent_attrs"])
-         .withColumn("_a", F.from_json("item", "name STRING, contentType STRING")))
-    extra = attachment_attrs(F.col("_a.contentType"), F.col("_a.name")) if with_file_attrs \
-        else F.create_map().cast("map<string,string>")
-    return j.select(*record(route, inherit(F.col("parent_attrs"), extra), F.col("item"), C.EMIT_ATTACHMENT))
+        found = counting_chains(found, ATTACHMENT_CHAIN)
+    return attachment_records(found.join(msgs, on=keys, how="inner"), route, with_file_attrs)
 
 
 def new_tokens(tokens: DataFrame) -> DataFrame:
@@ -271,16 +320,14 @@ def sync_messages_from_records(pages: DataFrame, inputs: DataFrame,
         F.col("attributes")[C.ATTR_FOLDER_ID].alias("folder_id"),
         F.col("attributes")[delta_attr].alias("delta"),
         F.col("attributes").alias("input_attrs"), F.col("content").alias("input_content")))
-    chain = ["user_id", "folder_id", "request_token"]
-    failed = union_records(failed, _chain_failures(_unread_chains(pages, "messages", work, chain), "message"))
-    sel = _select_chains(pages, "messages", work, chain)
-    items = flatten_pages(sel, chain + ["page_no", "input_attrs"])
+    found = select_chains(pages, "messages", work, MESSAGE_CHAIN)
+    failed = union_records(failed, _chain_failures(found.unread(), "message"))
+    items = flatten_pages(found.records_of(), [*MESSAGE_CHAIN, "page_no", "input_attrs"])
     ids = attrs_of({C.ATTR_USER_ID: F.col("user_id"), C.ATTR_FOLDER_ID: F.col("folder_id"),
                     C.ATTR_MESSAGE_ID: item_field("id")})
     records = items.select(*record(C.ROUTE_SUCCESS_MESSAGES, inherit(F.col("input_attrs"), ids),
                                    F.col("item"), C.EMIT_ITEM))
-    tokens = _select_tokens(pages, "messages", work.select(*chain), chain)  # one Delta record per input
-    delta = tokens.filter(F.col("new_delta").isNotNull()).select(
+    delta = found.tokens().filter(F.col("new_delta").isNotNull()).select(
         *record(C.ROUTE_DELTA, attrs_of({C.ATTR_USER_ID: F.col("user_id"), C.ATTR_FOLDER_ID: F.col("folder_id")}),
                 F.col("new_delta"), C.EMIT_TOKEN))
     return records, delta, failed
@@ -348,9 +395,9 @@ def sync_tenant(pages: DataFrame, ckpt: DataFrame, out_dir: str | None = None,
     messages = level("messages", of_messages)
     level("attachments", lambda: (expand_attachments(messages.filter(F.col("route") != C.ROUTE_FAILURE), pages, dedupe=dedupe), None))
 
-    written = read_records(spark, f"{out}/records")
-    records = written.filter(F.col("route") != C.ROUTE_FAILURE)
-    failures = written.filter(F.col("route") == C.ROUTE_FAILURE)
+    stored = read_records(spark, f"{out}/records")
+    records = stored.filter(F.col("route") != C.ROUTE_FAILURE)
+    failures = stored.filter(F.col("route") == C.ROUTE_FAILURE)
     tokens = records.filter(F.col("emit_seq") == C.EMIT_TOKEN).select(
         F.col("attributes")[C.ATTR_DELTA_KEY].alias("key"), F.col("attributes")[C.ATTR_DELTA].alias("delta"))
     return records, tokens, failures
@@ -373,13 +420,12 @@ def sync_folders_from_records(pages: DataFrame, inputs: DataFrame,
         F.col("attributes")[delta_attr].alias("delta"),
         F.col("attributes").alias("input_attrs"), F.col("content").alias("input_content")))
     chain = ["user_id", "request_token"]
-    failed = union_records(failed, _chain_failures(_unread_chains(pages, "folders", work, chain), "folder"))
-    sel = _select_chains(pages, "folders", work, chain)
-    items = flatten_pages(sel, chain + ["page_no", "input_attrs"])
+    found = select_chains(pages, "folders", work, chain)
+    failed = union_records(failed, _chain_failures(found.unread(), "folder"))
+    items = flatten_pages(found.records_of(), chain + ["page_no", "input_attrs"])
     a = inherit(F.col("input_attrs"), attrs_of({C.ATTR_FOLDER_ID: item_field("id")}))
     records = items.select(*record(C.ROUTE_SUCCESS, a, F.col("item"), C.EMIT_ITEM))
-    tokens = _select_tokens(pages, "folders", work.select(*chain), chain)
-    delta = (tokens.filter(F.col("new_delta").isNotNull())
+    delta = (found.tokens().filter(F.col("new_delta").isNotNull())
              .select(*record(C.ROUTE_DELTA, attrs_of({C.ATTR_USER_ID: F.col("user_id")}), F.col("new_delta"),
                              C.EMIT_TOKEN)))
     return records, delta, failed
@@ -395,14 +441,13 @@ def sync_users_from_records(pages: DataFrame, inputs: DataFrame,
     """
     work = work_from(inputs.select(F.col("attributes")[delta_attr].alias("delta"),
                                    F.col("attributes").alias("input_attrs"), "content", "emit_seq"))
-    sel = _select_chains(pages, "users", work, ["request_token"])
-    items = flatten_pages(sel, ["request_token", "page_no", "input_attrs"])
+    found = select_chains(pages, "users", work, ["request_token"])
+    items = flatten_pages(found.records_of(), ["request_token", "page_no", "input_attrs"])
     a = inherit(F.col("input_attrs"), attrs_of({C.ATTR_USER_ID: item_field("id")}))
     records = items.select(*record(C.ROUTE_SUCCESS, a, F.col("item"), C.EMIT_ITEM))
-    tokens = _select_tokens(pages, "users", work, ["request_token"])
-    delta = (tokens.filter(token_changed(F.col("delta"), F.col("new_delta")))
+    delta = (found.tokens().filter(token_changed(F.col("delta"), F.col("new_delta")))
              .select(*record(C.ROUTE_DELTA, F.col("input_attrs"), F.col("new_delta"), C.EMIT_TOKEN)))
-    unread = _unread_chains(pages, "users", work.select("request_token").distinct(), ["request_token"])
+    unread = found.unread().select("request_token").distinct()
     routed = work.join(unread.withColumn("unread", F.lit(True)), on="request_token", how="left").select(
         F.when(F.col("unread"), C.ROUTE_FAILURE).otherwise(C.ROUTE_ORIGINAL).alias("route"),
         F.col("input_attrs").alias("attributes"), "content", "emit_seq")

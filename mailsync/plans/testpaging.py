@@ -1,4 +1,4 @@
-"""Page assignment (P13) and page packing (items -> landed envelopes).
+"""Fixture: the server's paging (P13) and page packing, which make the test tenant's landed envelopes.
 
 Ranking items inside a chain is the only step here that needs an order per key. A plain
 ``row_number() OVER (PARTITION BY chain ORDER BY ...)`` puts a whole chain into one task, and a
@@ -22,21 +22,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mailsync import constants as C
+from mailsync.operators.joins import join_null_safe
 from mailsync.session import ensure_checkpoint_dir
 
 
-def join_keys_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
-    """Equi-join on ``keys`` where a null key matches a null key (``<=>``), so rows whose key
-    holds a null are kept, not silently dropped. Still a hash/sort-merge join on the keys."""
-    r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys],
-                     *[c for c in right.columns if c not in keys])
-    cond = None
-    for k in keys:
-        c = F.col(k).eqNullSafe(F.col(f"_r_{k}"))
-        cond = c if cond is None else cond & c
-    return left.join(r, on=cond, how=how).drop(*[f"_r_{k}" for k in keys])
-
-
 def rank_within(df: DataFrame, keys: list[str], order: list[str],
                 num_partitions: int | None = None, rank_col: str = "rank") -> DataFrame:
     """1-based rank of each row inside its key group by ``order`` (ties broken arbitrarily)."""
@@ -52,7 +41,7 @@ def rank_within(df: DataFrame, keys: list[str], order: list[str],
     before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = runs.select(*keys, "_part", "_first",
                           F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    return (join_keys_null_safe(tagged, offsets, [*keys, "_part"])
+    return (join_null_safe(tagged, offsets, [*keys, "_part"])
             .withColumn(rank_col, F.col("_off") + (F.col("_tag") - F.col("_first")) + 1)
             .drop("_part", "_tag", "_first", "_off"))
 
@@ -90,13 +79,13 @@ def pack_pages(items: DataFrame, chains: DataFrame, keys: list[str], order: list
              .select(*keys, "page_no", F.transform("_v", lambda e: e["item"]).alias("value")))
     counts = items.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     n = F.coalesce(F.col("_n"), F.lit(0))
-    stats = (join_keys_null_safe(chains, counts, keys, how="left")
+    stats = (join_null_safe(chains, counts, keys, how="left")
              .select(*keys, "delta_link", n.alias("_n"),
                      F.greatest(F.ceil(n / F.lit(page_size)) - 1, F.lit(0)).cast("int").alias("_last")))
     empty = (stats.filter(F.col("_n") == 0)
              .select(*keys, F.lit(0).alias("page_no"), F.array().cast("array<string>").alias("value")))
     all_pages = pages.unionByName(empty)
-    joined = join_keys_null_safe(all_pages, stats.drop("_n"), keys)
+    joined = join_null_safe(all_pages, stats.drop("_n"), keys)
     is_last = F.col("page_no") == F.col("_last")
     next_link = F.when(~is_last, F.concat(F.lit("next:"), (F.col("page_no") + 1).cast("string")))
     delta_link = F.when(is_last, F.col("delta_link"))

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from mailsync import constants as C
 from mailsync import schemas as S
 from mailsync.functions.keys import folders_key, messages_key, users_key
-from mailsync.operators.paging import pack_pages
+from mailsync.plans.testpaging import pack_pages
 from mailsync.sources.pages import read_pages, write_pages
 
 # Cut-off of the previous sync in the changes feed (fixed test parameter).
@@ -169,7 +169,8 @@ def recipient_lists(spark, sf_dir) -> DataFrame:
 
 # ---- landing: the pages the API answers with -----------------------------------------------------
 
-def land_changes(spark, sf_dir, ckpt: DataFrame | None = None, fetched_at: Column | None = None) -> DataFrame:
+def land_changes(spark, sf_dir, ckpt: DataFrame | None = None, fetched_at: Column | None = None,
+                 page_size: int = C.MESSAGE_PAGE_SIZE) -> DataFrame:
     """Message delta chains per folder, asked with the folder's checkpoint token ('' if none).
 
     The chain holds the changes after the token, ten per page, in event order; its last page
@@ -193,7 +194,7 @@ def land_changes(spark, sf_dir, ckpt: DataFrame | None = None, fetched_at: Colum
         .otherwise(_json(F.col("id"), F.col("ts").alias("receivedDateTime"), F.col("subject"),
                          F.col("folder_id").alias("parentFolderId")))
     items = after.select(*keys, "event_id", item.alias("item"))
-    return pack_pages(items, chains, keys, ["event_id"], C.MESSAGE_PAGE_SIZE, "messages", fetched_at)
+    return pack_pages(items, chains, keys, ["event_id"], page_size, "messages", fetched_at)
 
 
 def land_chained_changes(spark, sf_dir) -> DataFrame:
@@ -272,7 +273,7 @@ def land_folder_messages(spark, sf_dir) -> DataFrame:
     return pack_pages(items, chains, keys, ["orderkey"], C.MESSAGE_PAGE_SIZE, "messages")
 
 
-def land_attachments(spark, sf_dir) -> DataFrame:
+def land_attachments(spark, sf_dir, page_size: int = DEFAULT_PAGE_SIZE) -> DataFrame:
     """The attachments chain of every message (asked for every message, with or without any)."""
     m = messages(spark, sf_dir).select("user_id", F.col("id").alias("message_id"))
     a = attachments(spark, sf_dir)
@@ -283,7 +284,7 @@ def land_attachments(spark, sf_dir) -> DataFrame:
              .select("user_id", "message_id", F.lit("").alias("request_token"), "seq", "name",
                      item.alias("item")))
     return pack_pages(items, chains, ["user_id", "message_id", "request_token"], ["seq", "name"],
-                      DEFAULT_PAGE_SIZE, "attachments")
+                      page_size, "attachments")
 
 
 LANDERS = {

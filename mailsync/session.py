@@ -11,7 +11,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job of this package relies on. Shuffle partitions are sized by the caller: a few
 # per core locally, a few thousand on a large cluster (AQE coalesces small ones at run time).
@@ -64,3 +64,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder (never a machine-local temp folder)."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{root}/mailsync/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the shared folder, read back: cuts lineage and survives lost executors."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,37 +1,24 @@
-"""S8 / T4 storage: the checkpoint map as snapshot plus token deltas on shared storage.
+"""S8 / T4 storage: the checkpoint map as numbered versions, one Parquet partition each, on shared storage.
 
 Layout under ``root``::
 
-    base/version=<n>-<attempt>/     the whole map as of version n (a snapshot)
-    delta/version=<m>-<attempt>/    only the keys changed by version m (m > n)
-    _manifest/<c>.json              what is valid as of commit c
-
-A sync run writes one small ``delta`` version with the tokens it changed, not a rewrite of the
-whole map: at a hundred million folder keys a full rewrite per micro-batch would dominate the
-job. Readers take the latest snapshot plus all later deltas: the deltas (small) are reduced to the
-highest version per key, and snapshot rows whose key has a newer delta are dropped with an
-anti-join, so the snapshot itself is never aggregated or sorted. ``compact`` folds the deltas into
-a new snapshot every so often. A removed key is a stored row with ``removed`` set.
-
-Commits. Data goes to a folder of its own attempt; then a small manifest naming the valid folders is
-renamed into place, which is the commit point. A write that dies half-way leaves an unnamed folder
-that no reader sees and that does not hinder the next attempt. A commit number is never taken
-twice, so of two writers one fails. Only the last ``KEEP`` manifests and the folders they name are
-kept, so the one listing that a read needs does not grow with the number of past commits.
+    place=<2n>/      the keys changed (or removed) by version n
+    place=<2n + 1>/  the whole map as of version n, where it was compacted
+
+A sync run writes only the tokens it changed. Writing a version again overwrites its partition, so a run or a
+micro-batch that is replayed after a failure gives the same map. Readers take the newest row per key with
+one aggregate; a removed key is a row with ``removed`` set. ``compact`` writes the whole map and then
+deletes what it replaces, the oldest first: if it dies between, the newest rows are still the same.
 """
 
 from __future__ import annotations
 
-import json
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mailsync import schemas as S
 
 STORED_DDL = S.CHECKPOINT_DDL + ", removed BOOLEAN"
-KEEP = 2
 
 
 def _fs(spark: SparkSession, path: str):
@@ -40,11 +27,6 @@ def _fs(spark: SparkSession, path: str):
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def delete_path(spark: SparkSession, path: str) -> None:
-    p, fs = _fs(spark, path)
-    fs.delete(p, True)
-
-
 def is_marked(spark: SparkSession, path: str) -> bool:
     p, fs = _fs(spark, path)
     return fs.exists(p)
@@ -56,130 +38,60 @@ def mark(spark: SparkSession, path: str) -> None:
     fs.create(p, True).close()
 
 
-def _commits(spark: SparkSession, root: str) -> list[int]:
-    path, fs = _fs(spark, f"{root}/_manifest")
-    if not fs.exists(path):
-        return []
-    names = [st.getPath().getName() for st in fs.listStatus(path)]
-    return sorted(int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit())
-
-
-def _load(spark: SparkSession, root: str, commit: int) -> dict:
-    p, fs = _fs(spark, f"{root}/_manifest/{commit}.json")
-    stream = fs.open(p)
-    try:
-        return json.loads(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-    finally:
-        stream.close()
-
-
-def read_manifest(spark: SparkSession, root: str) -> dict:
-    """The valid state: ``commit, base, deltas, extra`` (``base`` null before the first snapshot)."""
-    found = _commits(spark, root.rstrip("/"))
-    return _load(spark, root.rstrip("/"), found[-1]) if found else {"commit": 0, "base": None, "deltas": [], "extra": {}}
-
-
-def _commit(spark: SparkSession, root: str, manifest: dict) -> None:
-    number = manifest["commit"] + 1
-    draft, fs = _fs(spark, f"{root}/_manifest/{number}.{uuid.uuid4().hex}.draft")
-    final, _ = _fs(spark, f"{root}/_manifest/{number}.json")
-    out = fs.create(draft, True)
-    out.write(bytearray(json.dumps({**manifest, "commit": number}), "utf-8"))
-    out.close()
-    if fs.exists(final) or not fs.rename(draft, final):
-        fs.delete(draft, False)
-        raise RuntimeError(f"commit {number} of {root} was taken by another writer")
-    old = [c for c in _commits(spark, root) if c <= number - KEEP]
-    kept = {x for c in _commits(spark, root) if c > number - KEEP for x in _paths(_load(spark, root, c))}
-    for c in old:
-        for path in set(_paths(_load(spark, root, c))) - kept:
-            delete_path(spark, path)
-        fs.delete(_fs(spark, f"{root}/_manifest/{c}.json")[0], False)
-
-
-def prune(spark: SparkSession, folder: str, root: str) -> None:
-    """Delete what lies in ``folder`` and is named by none of the kept manifests of ``root``."""
-    path, fs = _fs(spark, folder)
-    kept = {x for c in _commits(spark, root.rstrip("/")) for x in _paths(_load(spark, root.rstrip("/"), c))}
-    for st in fs.listStatus(path) if fs.exists(path) else []:
-        if f"{folder}/{st.getPath().getName()}" not in kept:
-            fs.delete(st.getPath(), True)
-
-
-def _paths(manifest: dict) -> list[str]:
-    extra = [x for v in manifest["extra"].values() for x in (v if isinstance(v, list) else [v]) if isinstance(x, str)]
-    return [x["path"] for x in [manifest["base"], *manifest["deltas"]] if x] + extra
-
-
-def versions(spark: SparkSession, root: str) -> tuple[int | None, list[int]]:
-    """The snapshot's version (null without one) and those of the deltas after it."""
-    m = read_manifest(spark, root)
-    return (m["base"]["version"] if m["base"] else None), [d["version"] for d in m["deltas"]]
+def _places(spark: SparkSession, root: str) -> list[int]:
+    path, fs = _fs(spark, root)
+    names = [st.getPath().getName() for st in fs.listStatus(path)] if fs.exists(path) else []
+    return sorted(int(n.split("=")[1]) for n in names if n.startswith("place="))
 
 
 def latest_version(spark: SparkSession, root: str) -> int | None:
-    base, deltas = versions(spark, root)
-    return max([*deltas, *([] if base is None else [base])], default=None)
-
+    places = _places(spark, root)
+    return places[-1] // 2 if places else None
 
-def _store(df: DataFrame, root: str, kind: str, version: int) -> dict:
-    path = f"{root}/{kind}/version={version}-{uuid.uuid4().hex[:12]}"
-    df.select("key", "delta", "version", "removed").write.parquet(path)
-    return {"path": path, "version": version}
 
+def _store(rows: DataFrame, root: str, place: int) -> None:
+    rows.select("key", "delta", "version", "removed").write.mode("overwrite").parquet(f"{root.rstrip('/')}/place={place}")
 
-def write_checkpoints(ckpt: DataFrame, root: str, version: int) -> str:
-    """Write a full snapshot as of ``version``; deltas up to it are no longer needed.
 
-    Rows keep their own ``version`` (the version that last changed the key) when they carry one;
-    rows without it are stamped with this version."""
-    spark, root = ckpt.sparkSession, root.rstrip("/")
-    m = read_manifest(spark, root)
+def write_checkpoints(ckpt: DataFrame, root: str, version: int) -> None:
+    """Write a map as ``version``. Rows keep their own ``version`` (the one that last changed the key) when they
+    carry one; rows without it are stamped with this one."""
     v = F.col("version").cast("bigint") if "version" in ckpt.columns else F.lit(version).cast("bigint")
-    base = _store(ckpt.select("key", "delta", v.alias("version"), F.lit(False).alias("removed")), root, "base", version)
-    _commit(spark, root, {**m, "base": base, "deltas": [d for d in m["deltas"] if d["version"] > version]})
-    return base["path"]
-
-
-def write_delta(tokens: DataFrame, root: str, version: int, removed: DataFrame | None = None,
-                extra: dict | None = None) -> str:
-    """T4 on storage: commit the changed ``(key, delta)`` pairs, and the ``key``s of ``removed``, as
-    ``version``. ``extra`` is kept in the manifest with them (a stream's own state)."""
-    spark, root = tokens.sparkSession, root.rstrip("/")
-    m = read_manifest(spark, root)
-    latest = max([d["version"] for d in m["deltas"]] + ([m["base"]["version"]] if m["base"] else []), default=None)
-    if latest is not None and version <= latest:
-        raise ValueError(f"version {version} of {root} is already committed")
+    _store(ckpt.select("key", "delta", v.alias("version"), F.lit(False).alias("removed")), root, 2 * version)
+
+
+def write_delta(tokens: DataFrame, root: str, version: int, removed: DataFrame | None = None) -> None:
+    """T4 on storage: the changed ``(key, delta)`` pairs, and the ``key``s of ``removed``, as ``version``."""
+    latest = latest_version(tokens.sparkSession, root)
+    if latest is not None and version < latest:
+        raise ValueError(f"version {version} of {root} is older than {latest}")
     rows = tokens.select("key", "delta", F.lit(False).alias("removed"))
     if removed is not None:
         rows = rows.unionByName(removed.select("key", F.lit(None).cast("string").alias("delta"), F.lit(True).alias("removed")))
-    delta = _store(rows.withColumn("version", F.lit(version).cast("bigint")), root, "delta", version)
-    _commit(spark, root, {**m, "deltas": [*m["deltas"], delta], "extra": {**m["extra"], **(extra or {})}})
-    return delta["path"]
+    _store(rows.withColumn("version", F.lit(version).cast("bigint")), root, 2 * version)
 
 
 def scan_checkpoints(spark: SparkSession, root: str) -> DataFrame:
-    """Every key with its current token: the latest snapshot overlaid by the later deltas.
+    """Every key with its current token: the newest row per key, if it is not a removal.
 
     Of rows of one key and version a removal wins, then the greatest delta."""
-    m = read_manifest(spark, root)
-    if not m["base"] and not m["deltas"]:
+    if not _places(spark, root):
         return spark.createDataFrame([], S.CHECKPOINT_DDL)
-    reader = spark.read.schema(STORED_DDL)
-    snap = reader.parquet(m["base"]["path"]) if m["base"] else spark.createDataFrame([], STORED_DDL)
-    out = ["key", "delta", "version"]
-    if not m["deltas"]:
-        return snap.filter(~F.col("removed")).select(out)
-    newest = (reader.parquet(*[d["path"] for d in m["deltas"]]).groupBy("key")
-              .agg(F.max(F.struct("version", "removed", "delta")).alias("w")).select("key", "w.delta", "w.version", "w.removed"))
-    return (snap.join(newest.select("key"), on="key", how="left_anti").unionByName(newest)
-            .filter(~F.col("removed")).select(out))
+    rows = spark.read.schema(STORED_DDL + ", place BIGINT").parquet(root)
+    newest = rows.groupBy("key").agg(F.max(F.struct("place", "removed", "delta", "version")).alias("w"))
+    return newest.filter(~F.col("w.removed")).select("key", "w.delta", "w.version")
 
 
 def compact(spark: SparkSession, root: str) -> int | None:
-    """Fold the deltas into a new snapshot at the latest version (readers switch at its commit)."""
-    base, deltas = versions(spark, root)
-    if not deltas:
-        return base
-    write_checkpoints(scan_checkpoints(spark, root), root, max(deltas))
-    return max(deltas)
+    """Write the whole map as of the latest version and delete the older rows."""
+    root, places = root.rstrip("/"), _places(spark, root)
+    if not places or len(places) == 1:
+        return places[-1] // 2 if places else None
+    version = places[-1] // 2
+    if places[-1] % 2 == 0:
+        _store(scan_checkpoints(spark, root).withColumn("removed", F.lit(False)), root, 2 * version + 1)
+    for place in places:
+        if place < 2 * version + 1:
+            path, fs = _fs(spark, f"{root}/place={place}")
+            fs.delete(path, True)
+    return version

@@ -1,4 +1,4 @@
-"""Landed page envelopes: read (batch), flatten to items (P2, P3), and typed entity scans.
+"""Landed page envelopes: write, read and prune, flatten to items (P2, P3), generic responses.
 
 A landed page is one row: ``resource, user_id, folder_id, message_id, request_token, page_no,
 fetched_at, body`` where ``body`` is the API page ``{"value": [...], "@odata.nextLink": ...,
@@ -8,8 +8,6 @@ explicit (and pruned) DDL, so only the asked-for fields are materialised.
 
 from __future__ import annotations
 
-from urllib.parse import unquote
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,14 +16,15 @@ from mailsync import schemas as S
 from mailsync.functions.fields import ddl_subset
 
 LANDING_DATE = "landing_date"
-CHAIN_COLS = ["resource", "user_id", "folder_id", "message_id", "request_token"]
+BUCKET = "chain_bucket_"  # a partition column: the prefix, then the number of buckets
+BUCKETS = 16
 
 
 def read_pages(spark: SparkSession, path: str, resource: str | None = None,
                fmt: str = "parquet", since: str | None = None) -> DataFrame:
-    """Read landed pages. Parquet landings are expected partitioned by ``resource`` and landing date,
-    so that the resource and ``since`` (a date: pages fetched from then on) prune whole directories;
-    JSON-lines landings are read with the fixed DDL."""
+    """Read landed pages. Parquet landings are expected partitioned by ``resource``, chain bucket and landing
+    date, so that the resource, ``since`` (a date: pages fetched from then on) and the chains of some work
+    (``of_chains``) prune whole directories; JSON-lines landings are read with the fixed DDL."""
     reader = spark.read.schema(S.ENVELOPE_DDL) if fmt == "json" else spark.read
     df = reader.format(fmt).load(path)
     if "attempt_id" not in df.columns:  # landed before the envelope had it
@@ -38,28 +37,36 @@ def read_pages(spark: SparkSession, path: str, resource: str | None = None,
     return df.drop(LANDING_DATE)
 
 
-def landed_files(spark: SparkSession, path: str, resource: str) -> list[str]:
-    """The files of a resource in a partitioned landing, from a listing alone."""
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/resource={resource}")
-    if not folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
-        return []
-    found = spark.read.schema(S.ENVELOPE_DDL).option("basePath", path).parquet(folder.toString()).inputFiles()
-    return [unquote(f) for f in found]
+def bucket_of(buckets: int) -> Column:
+    """The bucket of a chain: by its user, or by its token where it has none, so that a level's work finds it."""
+    owner = F.coalesce(F.col("user_id"), F.concat(F.lit("token:"), F.col("request_token")), F.lit(""))
+    return F.pmod(F.xxhash64(owner), F.lit(buckets)).cast("int")
 
 
-def read_landed_files(spark: SparkSession, path: str, files: list[str]) -> DataFrame:
-    """The pages of some of a partitioned landing's files."""
-    if not files:
-        return spark.createDataFrame([], S.ENVELOPE_DDL)
-    return spark.read.schema(S.ENVELOPE_DDL).option("basePath", path).parquet(*files).drop(LANDING_DATE)
+def write_pages(pages: DataFrame, path: str, pages_per_file: int = 1000, mode: str = "errorifexists", buckets: int = BUCKETS) -> None:
+    """Land pages as Parquet partitioned by ``resource``, chain bucket and landing date (the day of ``fetched_at``),
+    in files of at most ``pages_per_file`` pages: readers then split a landing into many tasks (a Parquet file splits only at row-group
+    boundaries, so one large file would be one task). Rows of a bucket are gathered before (large buckets
+    stay spread), so that a bucket is a few files, not one per task."""
+    column = f"{BUCKET}{buckets}"
+    (pages.select(*S.ENVELOPE_DDL_COLS).withColumn(column, bucket_of(buckets)).withColumn(LANDING_DATE, F.to_date("fetched_at"))
+     .hint("rebalance", F.col("resource"), F.col(column))
+     .write.mode(mode).option("maxRecordsPerFile", pages_per_file).partitionBy("resource", column, LANDING_DATE).parquet(path))
 
 
-def write_pages(pages: DataFrame, path: str, pages_per_file: int = 1000, mode: str = "errorifexists") -> None:
-    """Land pages as Parquet partitioned by ``resource`` and landing date (the day of ``fetched_at``),
-    in files of at most ``pages_per_file`` pages: readers then split a landing into many tasks (a Parquet file splits only at row-group
-    boundaries, so one large file would be one task)."""
-    (pages.withColumn(LANDING_DATE, F.to_date("fetched_at")).write.mode(mode).option("maxRecordsPerFile", pages_per_file)
-     .partitionBy("resource", LANDING_DATE).parquet(path))
+def of_chains(pages: DataFrame, work: DataFrame) -> DataFrame:
+    """``pages`` of the buckets that hold chains of ``work``; all of them where the landing has no buckets.
+
+    Bucket numbers reach the driver, so that they prune directories when the scan is planned."""
+    column = next((c for c in pages.columns if c.startswith(BUCKET)), None)
+    if column is None:
+        return pages
+    buckets = int(column[len(BUCKET):])
+    for c in ("user_id", "request_token"):
+        if c not in work.columns:
+            work = work.withColumn(c, F.lit(None).cast("string"))
+    wanted = [r.b for r in work.select(bucket_of(buckets).alias("b")).distinct().collect()]  # at most ``buckets`` numbers
+    return pages if len(wanted) == buckets else pages.filter(F.col(column).isin(wanted))
 
 
 def parse_body(body="body") -> Column:
@@ -116,27 +123,7 @@ def is_tombstone(item="item") -> Column:
     return F.get_json_object(i, "$['@removed']").isNotNull()
 
 
-# ---- entity scans ---------------------------------------------------------------------------------
-
-def scan_users(pages: DataFrame, fields: str | None = C.USER_FIELDS_DEFAULT) -> DataFrame:
-    """Every user of every landed full-load users chain (following pages to the end)."""
-    p = pages.filter((F.col("resource") == "users") & (F.col("request_token") == ""))
-    return parse_items(flatten_pages(p, ["page_no"]), S.USER_DDL, fields, keep=[])
-
-
-def scan_messages(pages: DataFrame, fields: str | None = C.MESSAGE_FIELDS_DEFAULT) -> DataFrame:
-    """All messages of each user over all folders (no token, no folder in the chain)."""
-    p = pages.filter((F.col("resource") == "messages") & F.col("folder_id").isNull()
-                     & (F.col("request_token") == ""))
-    return parse_items(flatten_pages(p, ["user_id"]), S.MESSAGE_DDL, fields, keep=["user_id"])
-
-
-def scan_attachments(pages: DataFrame, fields: str | None = None) -> DataFrame:
-    """Every attachment of every message, over all pages of each message's chain."""
-    p = pages.filter(F.col("resource") == "attachments")
-    return parse_items(flatten_pages(p, ["user_id", "message_id"]), S.ATTACHMENT_DDL, fields,
-                       keep=["user_id", "message_id"])
-
+# ---- generic responses ----------------------------------------------------------------------------
 
 def scan_generic(responses: DataFrame, content: str = "content") -> DataFrame:
     """One response object per request, kept whole; parsed once as ``VARIANT`` for lookups."""

@@ -1,176 +1,235 @@
-"""The repeated trigger as a Structured Streaming file stream (and T5 on a stream).
-
-Landed page files are read with ``readStream``; each micro-batch runs the messages sync in
-``foreachBatch`` against the checkpoint map as of the previous batch and commits once, with the
-checkpoint store's manifest. What is kept between batches, next to the map:
-
-* the *pool*: every page that has landed and is not part of a closed chain. A page that matches no
-  current chain (of a later token, or of a key that is not known yet) waits there with its body; a
-  page whose records are out stays as its links only, until its chain is complete;
-* the *closed* chains: those whose token was committed, one small row each.
-
-A batch adds its pages to the pool and then goes on, step by step, until nothing changes (each step
-but the last closes a chain of the pool, so it ends): pages of
-current chains give their records, complete chains their tokens, new tokens make further chains
-current, and keys that only landed pages know are seeded as full loads (J4). No page is dropped but
-exact replays: pages of the same chain, number and body digest as one in the pool, and pages of a
-closed chain. How late a page lands does not matter.
-
-Crashes: a batch that was committed is skipped when it is replayed; one that was not starts over from
-the last commit and overwrites its own output. All state lies on shared storage.
+"""The repeated trigger as Structured Streaming over landed page files (and T5 on a stream).
+
+A stream reads the landing (flat, or partitioned as ``write_pages`` does; the file source's own log knows which
+files were taken, whatever dates their pages bear), keeps of each page its links and the place where it lies,
+and lets the chain state (:mod:`mailsync.streaming.chains`, ``transformWithState``) decide which pages count
+and which tokens are new. Each micro-batch writes these decisions once, reads the bodies of the decided pages
+from the files named in them, and writes records and tokens under its batch number. No body crosses a
+shuffle or lies in the state, so a folder with a third of all pages is small rows in one task and bodies
+spread over its files.
+
+Crashes: state, offsets and file log are Spark's own; a batch that is replayed decides the same and overwrites
+its own partitions. All state lies on shared storage.
+
+``sync_stream`` follows messages. ``sync_tenant_stream`` runs one stream per level: each takes the records
+of the level above as a second source, which makes its entities known (J4), and attachments are a stateful
+join of message records and attachment pages. Any order of landing gives the same records.
 """
 
 from __future__ import annotations
 
-import itertools
-import uuid
+from collections.abc import Callable
+from contextlib import contextmanager
+from typing import NamedTuple
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mailsync import constants as C
 from mailsync import schemas as S
 from mailsync.functions.checks import token_changed
-from mailsync.functions.keys import messages_key
+from mailsync.functions.keys import filter_keys, folders_key, messages_key, parse_key, users_key
+from mailsync.operators.attempts import with_attempt
+from mailsync.operators.joins import sized
 from mailsync.operators.routes import union_records
-from mailsync.operators.state import seed_work, token_records, tokens_of_links
+from mailsync.operators.state import token_records
 from mailsync.plans import sync as SY
 from mailsync.sources import checkpoints as CK
-from mailsync.sources.pages import landed_files, read_landed_files, with_links
-
-CHAIN = SY.MESSAGE_CHAIN
-PAGE_ID = [*CHAIN, "page_no", "digest"]
-POOL_DDL = S.ENVELOPE_DDL + ", digest STRING, next_link STRING, delta_link STRING, page_ok BOOLEAN, emitted BOOLEAN"
-CHAIN_DDL = "user_id STRING, folder_id STRING, request_token STRING"
-FILES_DDL = "file STRING"
+from mailsync.sources.pages import with_links
+from mailsync.streaming.chains import FROM, GIVEN, EntityChains
+
+STATE_CONF = {"spark.sql.streaming.stateStore.providerClass":
+              "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}
+
+
+class Level(NamedTuple):
+    """One resource's entities: the columns that name one, its checkpoint key, and its records."""
+    resource: str
+    entity: tuple[str, str]     # envelope columns; '' where there is none
+    pattern: str
+    prefix: str
+    key: Callable[[], Column] | None
+    records: Callable[[DataFrame], DataFrame]
+    route: str
+
+
+LEVELS = {
+    "users": Level("users", ("", ""), C.REGEX_USERS_DEFAULT, C.KEY_USERS, users_key, SY.user_records, C.ROUTE_SUCCESS),
+    "folders": Level("folders", ("user_id", ""), C.REGEX_FOLDERS_DEFAULT, C.KEY_FOLDERS_PREFIX,
+                     lambda: folders_key("one"), SY.folder_records, C.ROUTE_SUCCESS),
+    "messages": Level("messages", ("user_id", "folder_id"), C.REGEX_MESSAGES_DEFAULT, C.KEY_MESSAGES_PREFIX,
+                      lambda: messages_key("one", "two"), SY.message_records, C.ROUTE_SUCCESS_MESSAGES),
+    "attachments": Level("attachments", ("user_id", "message_id"), "", "", None, SY.attachment_records, C.ROUTE_SUCCESS_ATTACHMENTS),
+}
+
+
+@contextmanager
+def _state_store(spark: SparkSession):
+    """The session with RocksDB as state store, as it was afterwards."""
+    before = {k: spark.conf.get(k, None) for k in STATE_CONF}
+    for k, v in STATE_CONF.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def stream_pages(spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None,
-                 fmt: str = "parquet", max_bytes_per_trigger: int = 64 << 30) -> DataFrame:
+                 max_bytes_per_trigger: int = 64 << 30) -> DataFrame:
     """Landed page files as a stream (fixed DDL; no inference), bounded by bytes or by files."""
     reader = spark.readStream.schema(S.ENVELOPE_DDL)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     else:
         reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
-    return reader.format(fmt).load(landing_dir)
+    return reader.parquet(landing_dir)
 
 
-def _written(df: DataFrame, root: str, name: str, ddl: str) -> tuple[str, DataFrame]:
-    path = f"{root}/{name}-{uuid.uuid4().hex[:12]}"
-    df.write.parquet(path)
-    return path, df.sparkSession.read.schema(ddl).parquet(path)
+def _entity(level: Level) -> list[Column]:
+    return [(F.col(c) if c else F.lit("")).alias(name) for c, name in zip(level.entity, ("one", "two"), strict=True)]
 
 
-def _read(spark: SparkSession, path: str | None, ddl: str) -> DataFrame:
-    return spark.read.schema(ddl).parquet(path) if path else spark.createDataFrame([], ddl)
+def page_rows(pages: DataFrame, level: Level) -> DataFrame:
+    """What the chain state needs of a page, and where the page lies; no body."""
+    named = F.lit(True)
+    for c in level.entity:
+        named = named & (F.col(c).isNotNull() if c else F.lit(True))
+    p = pages.filter((F.col("resource") == level.resource) & named).select("*", "_metadata.file_path", "_metadata.row_index")
+    p = with_links(with_attempt(p)).filter("page_ok")
+    return p.select(F.lit("page").alias("kind"), *_entity(level), F.coalesce("request_token", F.lit("")).alias("token"), "attempt",
+                    F.coalesce("page_no", F.lit(0)).alias("page_no"), "at", F.col("next_link").isNull().alias("ends"),
+                    F.col("delta_link").alias("link"), F.col("file_path").alias("file"), F.col("row_index").alias("place"))
 
 
-def _process_batch(spark: SparkSession, state_root: str, out_dir: str, compact_every: int, dedupe: bool = True,
-                   extra: dict | None = None):
+def _parent_rows(records: DataFrame, level: Level) -> DataFrame:
+    """The entities that records of the level above make known."""
+    if level.key is None:  # each message record, with its attributes
+        found = SY.attachment_parents(records, dedupe=False).select(
+            F.col("user_id").alias("one"), F.col("message_id").alias("two"),
+            F.to_json(F.array_sort(F.map_entries("parent_attrs"))).alias("link"))
+    else:
+        key = parse_key(F.col("attributes")[C.ATTR_CACHE_KEY], want_folder=bool(level.entity[1]))
+        items = records.filter((F.col("emit_seq") == C.EMIT_ITEM) & key["key_ok"])
+        found = items.select(key["user"].alias("one"), (key["folder"] if level.entity[1] else F.lit("")).alias("two"),
+                             F.lit(None).cast("string").alias("link"))
+    return found.selectExpr("'parent' AS kind", "one", "two", "'' AS token", "'' AS attempt", "0 AS page_no", "0L AS at", "false AS ends",
+                            "link", "cast(null AS string) AS file", "0L AS place")
+
+
+def _stored_tokens(ckpt: DataFrame, level: Level) -> DataFrame:
+    """``one, two, token`` of the level's entities that the map knows."""
+    keys = filter_keys(ckpt.select("key", "delta"), level.pattern, level.prefix)
+    parts = parse_key(F.col("key"), want_folder=bool(level.entity[1]))
+    known = SY.work_from(keys.filter(parts["key_ok"]) if level.entity[0] else keys)
+    own = [parts["user"] if level.entity[0] else F.lit(""), parts["folder"] if level.entity[1] else F.lit("")]
+    return known.select(own[0].alias("one"), own[1].alias("two"), F.col("request_token").alias("token")).dropDuplicates(["one", "two"])
+
+
+def _decided_pages(spark: SparkSession, landing_dir: str, decided: DataFrame) -> DataFrame:
+    """The landed pages that ``decided`` names, bodies included: only the files that hold one are read."""
+    files = [unquote(r.file) for r in decided.select("file").distinct().collect()]  # at most the files of a few batches
+    if not files:
+        return spark.createDataFrame([], S.ENVELOPE_DDL + ", parent STRING")
+    pages = (spark.read.schema(S.ENVELOPE_DDL).option("basePath", landing_dir).parquet(*files)
+             .select(*S.ENVELOPE_DDL_COLS, F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("place")))
+    return pages.join(sized(decided.select("file", "place", "parent")), ["file", "place"]).drop("file", "place")
+
+
+def _write_batch(spark: SparkSession, level: Level, landing_dir: str, state_root: str, out_dir: str, compact_every: int):
     root = f"{state_root}/checkpoints"
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        state = CK.read_manifest(spark, root)["extra"]
-        if state.get("batch", -1) >= batch_id:
-            return  # committed before a failure; the replay is a no-op
-        CK.delete_path(spark, f"{out_dir}/batch={batch_id}")  # of an attempt that was not committed
-        ckpt = CK.scan_checkpoints(spark, root)
-        closed = _read(spark, state.get("closed"), CHAIN_DDL)
-        old = _read(spark, state.get("pool"), POOL_DDL)
-        landed = batch.filter((F.col("resource") == "messages") & F.col("user_id").isNotNull() & F.col("folder_id").isNotNull())
-        new = (with_links(landed.select(*S.ENVELOPE_DDL_COLS)).withColumn("request_token", F.coalesce("request_token", F.lit("")))
-               .withColumn("digest", F.sha2("body", 256)).withColumn("emitted", F.lit(False)))
-        if dedupe:
-            new = (new.dropDuplicates(PAGE_ID).join(old.select(*PAGE_ID), PAGE_ID, "left_anti")
-                   .join(closed, CHAIN, "left_anti"))
-        if not dedupe:  # a rerun of a closed chain gives its records again, as the original does
-            replayed = new.join(closed, CHAIN, "left_semi")
-            new = new.join(closed, CHAIN, "left_anti")
-            SY.message_records(replayed).write.parquet(f"{out_dir}/batch={batch_id}/step=0")
-        pool_path, pool = _written(old.unionByName(new.select(old.columns)), f"{state_root}/pool", "landed", POOL_DDL)
-        keys = pool.filter("request_token = ''").select(messages_key("user_id", "folder_id").alias("key"))
-        seeds = seed_work(keys, ckpt)
-        _, changed = _written(seeds, f"{state_root}/pool", "tokens", "key STRING, delta STRING")
-        newly_closed = spark.createDataFrame([], CHAIN_DDL)
-        for step in itertools.count(1):
-            current = ckpt.select("key", "delta").join(changed.select("key"), "key", "left_anti").unionByName(changed)
-            work = SY.message_work(current)
-            chains = work.filter(F.col("key_ok")).select(*CHAIN, "key", "delta")
-            mine = pool.join(chains, CHAIN)
-            tokens = chains.join(tokens_of_links(pool.filter("page_ok"), CHAIN), CHAIN)
-            records = union_records(SY.message_records(mine.filter(~F.col("emitted"))),
-                                    token_records(tokens, C.ROUTE_SUCCESS_MESSAGES))
-            records.write.mode("overwrite").parquet(f"{out_dir}/batch={batch_id}/step={step}")
-            _, moved = _written(tokens.filter(token_changed(F.col("delta"), F.col("new_delta"))),
-                                         f"{state_root}/pool", "moved", CHAIN_DDL + ", key STRING, delta STRING, new_delta STRING")
-            out = F.col("emitted") | F.col("is_current").isNotNull()
-            rest = (pool.join(moved.select(*CHAIN), CHAIN, "left_anti")
-                    .join(chains.select(*CHAIN, F.lit(True).alias("is_current")), CHAIN, "left")
-                    .withColumn("body", F.when(~out, F.col("body"))).withColumn("emitted", out))
-            pool_path, pool = _written(rest.select(old.columns), f"{state_root}/pool", "pool", POOL_DDL)
-            if moved.isEmpty():
-                break
-            fresh = moved.select("key", F.col("new_delta").alias("delta"))
-            _, changed = _written(changed.join(fresh.select("key"), "key", "left_anti").unionByName(fresh),
-                                  f"{state_root}/pool", "tokens", "key STRING, delta STRING")
-            _, newly_closed = _written(newly_closed.unionByName(moved.select(*CHAIN)), f"{state_root}/pool", "closing", CHAIN_DDL)
-            ahead = moved.select("user_id", "folder_id", F.col("new_delta").alias("request_token"))
-            if pool.join(ahead, CHAIN, "left_semi").isEmpty():
-                break  # no page waits for the new tokens
-        closed_path, _ = _written(closed.unionByName(newly_closed), f"{state_root}/pool", "closed", CHAIN_DDL)
-        CK.write_delta(changed, root, batch_id + 1, extra={"batch": batch_id, "pool": pool_path, "closed": closed_path, **(extra or {})})
-        CK.prune(spark, f"{state_root}/pool", root)
+        path = f"{state_root}/decisions/batch={batch_id}"
+        batch.write.mode("overwrite").parquet(path)  # the state's work is done once
+        decided = spark.read.schema(GIVEN).parquet(path)
+        pages = _decided_pages(spark, landing_dir, decided.filter("kind = 'page'"))
+        if level.key is None:
+            entries = F.from_json("parent", "array<struct<key:string,value:string>>")
+            records = level.records(pages.withColumn("parent_attrs", F.map_from_entries(entries)))
+            records.write.mode("overwrite").parquet(f"{out_dir}/batch={batch_id}")
+            return
+        tokens = decided.filter("kind = 'token'").select(level.key().alias("key"), F.col("token").alias("delta"), F.col("link").alias("new_delta"))
+        union_records(level.records(pages), token_records(tokens, level.route)).write.mode("overwrite").parquet(f"{out_dir}/batch={batch_id}")
+        moved = decided.filter((F.col("kind") == "token") & token_changed("token", "link"))
+        # the last of the tokens that followed each other is the one no other starts from
+        last = moved.join(moved.select("one", "two", F.col("token").alias("link")), ["one", "two", "link"], "left_anti")
+        CK.write_delta(last.select(level.key().alias("key"), F.col("link").alias("delta")), root, batch_id + 1)
         if compact_every and (batch_id + 1) % compact_every == 0:
             CK.compact(spark, root)
 
     return run
 
 
-def sync_landing(spark: SparkSession, landing: str, state_root: str, out_dir: str,
-                 initial_ckpt: DataFrame | None = None, compact_every: int = 20) -> None:
-    """One incremental batch run over a partitioned landing.
-
-    The landing is listed, and the files that no earlier run has taken are read, whatever dates their
-    pages bear; their names are committed with the run's tokens. A state of before files were recorded
-    reads all files once, and what was taken then is dropped as a replay. Pages of open chains wait in
-    the pool, however old they are, so none is skipped.
-    """
-    root = f"{state_root}/checkpoints"
-    if CK.latest_version(spark, root) is None:
-        CK.write_checkpoints(initial_ckpt if initial_ckpt is not None else spark.createDataFrame([], S.CHECKPOINT_DDL), root, 0)
-    state = CK.read_manifest(spark, root)["extra"]
-    files = landed_files(spark, landing, "messages")
-    taken = {r.file for r in _read(spark, state.get("files"), FILES_DDL).collect()}
-    pages = read_landed_files(spark, landing, [f for f in files if f not in taken])
-    files_path, _ = _written(spark.createDataFrame([(f,) for f in files], FILES_DDL), f"{state_root}/pool", "files", FILES_DDL)
-    run = _process_batch(spark, state_root, out_dir, compact_every, extra={"files": files_path})
-    run(pages, state.get("batch", -1) + 1)
-
-
-def scan_pool(spark: SparkSession, state_root: str) -> DataFrame:
-    """The pages that wait as of the last commit."""
-    return _read(spark, CK.read_manifest(spark, f"{state_root}/checkpoints")["extra"].get("pool"), POOL_DDL)
+def _run_level(spark: SparkSession, level: Level, landing_dir: str, state_root: str, out_dir: str, processor: EntityChains,
+               initial_ckpt: DataFrame | None, parents: DataFrame | None = None, max_files_per_trigger: int | None = None,
+               compact_every: int = 20) -> None:
+    """Run a level's stream over everything there so far (``availableNow``) and return when done."""
+    root, initial = f"{state_root}/checkpoints", f"{state_root}/initial"
+    if CK.latest_version(spark, initial) is None:
+        start = initial_ckpt if initial_ckpt is not None else spark.createDataFrame([], S.CHECKPOINT_DDL)
+        CK.write_checkpoints(start, root, 0)
+        CK.write_checkpoints(CK.scan_checkpoints(spark, root), initial, 0)
+    rows = page_rows(stream_pages(spark, landing_dir, max_files_per_trigger), level)
+    if parents is not None:
+        rows = rows.unionByName(_parent_rows(parents, level))
+    # read by the first batch only, also when that is replayed: never the map as that batch has left it
+    known = (_stored_tokens(CK.scan_checkpoints(spark, initial), level) if level.key is not None
+             else spark.createDataFrame([], "one string, two string, token string"))
+    with _state_store(spark):
+        given = rows.groupBy("one", "two").transformWithState(
+            processor, outputStructType=GIVEN, outputMode="append", timeMode="none", initialState=known.groupBy("one", "two"))
+        query = (given.writeStream.foreachBatch(_write_batch(spark, level, landing_dir, state_root, out_dir, compact_every))
+                 .option("checkpointLocation", f"{state_root}/stream").trigger(availableNow=True).start())
+        query.awaitTermination()
 
 
 def sync_stream(spark: SparkSession, landing_dir: str, state_root: str, out_dir: str,
                 initial_ckpt: DataFrame | None = None, dedupe: bool = True,
                 max_files_per_trigger: int | None = None, compact_every: int = 20) -> None:
-    """Run the stream over everything landed so far (``availableNow``) and return when done."""
-    root = f"{state_root}/checkpoints"
-    if CK.latest_version(spark, root) is None:
-        seed = initial_ckpt if initial_ckpt is not None else spark.createDataFrame([], S.CHECKPOINT_DDL)
-        CK.write_checkpoints(seed, root, 0)
-    pages = stream_pages(spark, landing_dir, max_files_per_trigger)
-    q = (pages.writeStream.foreachBatch(_process_batch(spark, state_root, out_dir, compact_every, dedupe))
-         .option("checkpointLocation", f"{state_root}/stream")
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
+    """Messages of every known folder from its token on, and of unknown folders as full loads."""
+    _run_level(spark, LEVELS["messages"], landing_dir, state_root, out_dir, EntityChains(dedupe), initial_ckpt,
+               max_files_per_trigger=max_files_per_trigger, compact_every=compact_every)
+
+
+def sync_landing(spark: SparkSession, landing: str, state_root: str, out_dir: str, initial_ckpt: DataFrame | None = None,
+                 compact_every: int = 20) -> None:
+    """One incremental run over a landing: all files that no earlier run has taken."""
+    sync_stream(spark, landing, state_root, out_dir, initial_ckpt, compact_every=compact_every)
+
+
+def sync_tenant_stream(spark: SparkSession, landing_dir: str, state_root: str, out_dir: str, initial_ckpt: DataFrame | None = None,
+                       max_files_per_trigger: int | None = None, compact_every: int = 20) -> None:
+    """The whole tenant, a stream per level: users, folders, messages, attachments.
+
+    Users start from their stored token (J2: a full load without one). An entity of a level below is synced if
+    the map knows it or a record of the level above names it."""
+    above = None
+    for name, level in LEVELS.items():
+        out = f"{out_dir}/level={name}"
+        spark.createDataFrame([], S.RECORD_DDL).write.mode("overwrite").parquet(f"{out}/batch=-1")  # for the level below to read
+        parents = spark.readStream.schema(S.RECORD_DDL).parquet(above) if above else None
+        _run_level(spark, level, landing_dir, f"{state_root}/level={name}", out,
+                   EntityChains(waits_for_parent=name != "users", per_parent=name == "attachments"),
+                   initial_ckpt, parents, max_files_per_trigger, compact_every)
+        above = out
+
+
+def scan_waiting(spark: SparkSession, state_root: str) -> DataFrame:
+    """The pages that wait as of the last commit, from the state store itself: ``one, two, token, attempt, page_no``."""
+    with _state_store(spark):
+        state = spark.read.format("statestore").option("stateVarName", "pages").load(f"{state_root}/stream")
+        return state.select("key.one", "key.two", "user_map_key.token", "user_map_key.attempt", "user_map_key.page_no")
 
 
 def read_stream_output(spark: SparkSession, out_dir: str) -> DataFrame:
-    return spark.read.schema(S.RECORD_DDL + ", batch BIGINT, step BIGINT").parquet(out_dir).select(
-        "route", "attributes", "content", "emit_seq")
+    return spark.read.schema(S.RECORD_DDL + ", batch BIGINT").parquet(out_dir).select("route", "attributes", "content", "emit_seq")
+
+
+def read_tenant_output(spark: SparkSession, out_dir: str) -> DataFrame:
+    return spark.read.schema(S.RECORD_DDL + ", level STRING, batch BIGINT").parquet(out_dir).select("route", "attributes", "content", "emit_seq")
 
 
 def land_files(pages: DataFrame, landing_dir: str, n_files: int, mode: str = "append") -> None:

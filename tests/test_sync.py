@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from mailsync import constants as C
 from mailsync.operators.dedupe import dedupe_replay
-from mailsync.operators.paging import pack_pages, rank_within
+from mailsync.plans.testpaging import pack_pages, rank_within
 from mailsync.operators.state import bootstrap, chain_tokens, upsert_checkpoints
 from mailsync.plans import queries as Q
 from mailsync.plans import sync as SY
@@ -113,31 +113,56 @@ def test_checkpoint_store_deltas_and_compaction(spark):
     import pytest
     from mailsync.sources import checkpoints as CK
     root = scratch_path(spark, "test-ckpt")
-    CK.write_checkpoints(spark.createDataFrame([("a", "1"), ("b", "1")], "key STRING, delta STRING"), root, 0)
-    CK.write_delta(spark.createDataFrame([("b", "2")], "key STRING, delta STRING"), root, 1)
-    CK.write_delta(spark.createDataFrame([("c", "3")], "key STRING, delta STRING"), root, 2)
+    rows = lambda *x: spark.createDataFrame(list(x), "key STRING, delta STRING")
+    assert CK.scan_checkpoints(spark, root).count() == 0 and CK.latest_version(spark, root) is None
+    CK.write_checkpoints(rows(("a", "1"), ("b", "1")), root, 0)
+    CK.write_delta(rows(("b", "half")), root, 1)
+    CK.write_delta(rows(("b", "2")), root, 1)  # the replay of a run that failed
+    CK.write_delta(rows(("c", "3"), ("d", "3")), root, 2)
+    CK.write_delta(rows(), root, 3, removed=rows(("d", "")).select("key"))
     want = {"a": ("1", 0), "b": ("2", 1), "c": ("3", 2)}
-    assert {r.key: (r.delta, r.version) for r in CK.scan_checkpoints(spark, root).collect()} == want
-    assert CK.compact(spark, root) == 2
-    assert CK.versions(spark, root) == (2, [])
-    assert {r.key: (r.delta, r.version) for r in CK.scan_checkpoints(spark, root).collect()} == want
-    with pytest.raises(Exception):
-        CK.write_delta(spark.createDataFrame([("d", "4")], "key STRING, delta STRING"), root, 2)  # never overwrite
+    read = lambda: {r.key: (r.delta, r.version) for r in CK.scan_checkpoints(spark, root).collect()}
+    assert read() == want
+    assert CK.compact(spark, root) == 3 and CK._places(spark, root) == [7]
+    assert read() == want and CK.compact(spark, root) == 3
+    with pytest.raises(ValueError):
+        CK.write_delta(rows(("d", "4")), root, 2)
+    CK.write_delta(rows(("d", "4")), root, 4)
+    assert read() == {**want, "d": ("4", 4)}
 
 
-def test_stream_batch_replay_is_noop(spark):
+def test_a_compaction_that_died_leaves_the_same_map(spark):
+    from mailsync.sources import checkpoints as CK
+    root = scratch_path(spark, "test-compact")
+    rows = lambda *x: spark.createDataFrame(list(x), "key STRING, delta STRING")
+    CK.write_checkpoints(rows(("a", "1"), ("b", "1")), root, 0)
+    CK.write_delta(rows(("a", "2")), root, 1, removed=rows(("b", "")).select("key"))
+    CK._store(CK.scan_checkpoints(spark, root).withColumn("removed", F.lit(False)), root, 3)  # written, nothing deleted yet
+    assert {r.key: r.delta for r in CK.scan_checkpoints(spark, root).collect()} == {"a": "2"}
+    assert CK.compact(spark, root) == 1 and CK._places(spark, root) == [3]
+    assert {r.key: r.delta for r in CK.scan_checkpoints(spark, root).collect()} == {"a": "2"}
+
+
+def test_stream_batch_replay_gives_the_same(spark, monkeypatch):
+    """A run dies after its batch wrote records, before the batch was committed: the replay overwrites it."""
     from mailsync.sources import checkpoints as CK
     root = scratch_path(spark, "test-replay")
-    state, out = f"{root}/state", f"{root}/out"
+    args = (spark, f"{root}/landing", f"{root}/state", f"{root}/out")
+    STR.land_files(TV.land_changes(spark, SF_SMALL), f"{root}/landing", 1)
     ck = Q._changes_work(spark, SF_SMALL).withColumn("version", F.lit(0).cast("bigint"))
-    CK.write_checkpoints(ck, f"{state}/checkpoints", 0)
-    pages = TV.land_changes(spark, SF_SMALL)
-    run = STR._process_batch(spark, state, out, compact_every=0)
-    run(pages, 0)
-    first = STR.read_stream_output(spark, out).count()
-    run(pages, 0)  # the same batch again after a "failure": already committed
-    assert STR.read_stream_output(spark, out).count() == first
-    assert CK.versions(spark, f"{state}/checkpoints") == (0, [1])
+    real = CK.write_delta
+    monkeypatch.setattr(CK, "write_delta", lambda *a, **k: (real(*a, **k), 1 / 0))
+    try:
+        STR.sync_stream(*args, initial_ckpt=ck)
+        raise AssertionError("the batch should have failed")
+    except Exception as exc:
+        assert "ZeroDivisionError" in str(exc)
+    monkeypatch.undo()
+    first = Q.record_view(STR.read_stream_output(spark, f"{root}/out")).collect()
+    STR.sync_stream(*args, initial_ckpt=ck)
+    again = Q.record_view(STR.read_stream_output(spark, f"{root}/out")).collect()
+    assert len(first) > 0 and sorted(map(str, first)) == sorted(map(str, again))
+    assert CK.latest_version(spark, f"{root}/state/checkpoints") == 1
 
 
 def test_json_lines_landing_and_json_records(spark):
@@ -227,34 +252,6 @@ def test_tenant_sync_routes_bad_keys_to_failure(spark):
     assert toks.filter(F.col("key").isNull() | F.col("delta").isNull()).count() == 0
 
 
-def test_half_written_versions_do_not_hinder_the_next_attempt(spark):
-    from mailsync.sources import checkpoints as CK
-    root = scratch_path(spark, "test-crash")
-    rows = lambda *x: spark.createDataFrame(list(x), "key STRING, delta STRING")
-    for kind in ("base", "delta"):  # what writers killed half-way leave behind
-        rows(("a", "half")).write.parquet(f"{root}/{kind}/version=0-killed")
-        rows(("a", "half")).write.parquet(f"{root}/{kind}/version=1")
-    assert CK.scan_checkpoints(spark, root).count() == 0
-    CK.write_checkpoints(rows(("a", "1"), ("b", "1")), root, 0)
-    CK.write_delta(rows(("b", "2")), root, 1, removed=rows(("a", "")).select("key"))
-    assert {r.key: r.delta for r in CK.scan_checkpoints(spark, root).collect()} == {"b": "2"}
-
-
-def test_listing_does_not_grow_with_commits(spark):
-    from mailsync.sources import checkpoints as CK
-    root = scratch_path(spark, "test-retention")
-    row = lambda i: spark.createDataFrame([("k", str(i))], "key STRING, delta STRING")
-    CK.write_checkpoints(row(0), root, 0)
-    for v in range(1, 7):
-        CK.write_delta(row(v), root, v)
-        if v % 3 == 0:
-            CK.compact(spark, root)
-    assert len(CK._commits(spark, root)) == CK.KEEP
-    assert [(r.delta, r.version) for r in CK.scan_checkpoints(spark, root).collect()] == [("6", 6)]
-    path, fs = CK._fs(spark, f"{root}/delta")
-    assert len(fs.listStatus(path)) <= 3
-
-
 def _page(chain, no, items, nxt=None, delta=None, attempt=None, at=0):
     import datetime as dt
     import json
@@ -298,32 +295,32 @@ def test_hot_chain_gives_its_token(spark):
 
 def _streamed(spark, batches, ckpt, **how):
     from mailsync.sources import checkpoints as CK
+    from mailsync.sources.pages import write_pages
     root = scratch_path(spark, "test-lossless")
-    start = spark.createDataFrame(ckpt, "key STRING, delta STRING")
-    CK.write_checkpoints(start, f"{root}/state/checkpoints", 0)
-    run = STR._process_batch(spark, f"{root}/state", f"{root}/out", compact_every=2, **how)
-    for n, rows in enumerate(batches):
-        run(_pages(spark, *rows), n)
+    for rows in batches:
+        write_pages(_pages(spark, *rows).coalesce(1), f"{root}/landing", mode="append", buckets=1)
+    STR.sync_stream(spark, f"{root}/landing", f"{root}/state", f"{root}/out", initial_ckpt=spark.createDataFrame(ckpt, "key STRING, delta STRING"),
+                    max_files_per_trigger=1, compact_every=2, **how)
     recs = STR.read_stream_output(spark, f"{root}/out").collect()
     ids = sorted(r.attributes[C.ATTR_MESSAGE_ID] for r in recs if r.emit_seq == C.EMIT_ITEM)
     tokens = [r.content for r in recs if r.emit_seq == C.EMIT_TOKEN]
     now = {r.key: r.delta for r in CK.scan_checkpoints(spark, f"{root}/state/checkpoints").collect()}
-    return ids, sorted(tokens), now, STR.scan_pool(spark, f"{root}/state").count()
+    return ids, sorted(tokens), now, STR.scan_waiting(spark, f"{root}/state").count()
 
 
 def test_stream_loses_nothing(spark):
     a, b, c = _page("", 0, ["a"], delta="T1"), _page("T1", 0, ["b"], delta="T2"), _page("T2", 0, ["c"], delta="T3")
     want = (["a", "b", "c"], ["T1", "T2", "T3"], {MAIL_KEY: "T3"}, 0)
     known = [(MAIL_KEY, "")]
-    for dedupe in (True, False):
-        assert _streamed(spark, [[a, b], [c]], known, dedupe=dedupe) == want    # chained tokens in one batch
-        assert _streamed(spark, [[c], [b], [a]], known, dedupe=dedupe) == want  # later tokens first
-        assert _streamed(spark, [[a, b, c]], [("O365_users_delta", "")], dedupe=dedupe)[0] == ["a", "b", "c"]  # unknown key
+    assert _streamed(spark, [[a, b], [c]], known) == want                    # chained tokens in one batch
+    assert _streamed(spark, [[c], [b], [a]], known, dedupe=False) == want    # later tokens first
+    assert _streamed(spark, [[a, b, c]], [("O365_users_delta", "")])[0] == ["a", "b", "c"]  # unknown key
     late = _page("", 1, ["b2"], delta="T1", at=9000), _page("", 0, ["a"], nxt="n", at=0)
     assert _streamed(spark, [[late[0]], [late[1]]], known) == (["a", "b2"], ["T1"], {MAIL_KEY: "T1"}, 0)
+    assert _streamed(spark, [[late[0]], [c]], known) == ([], [], {MAIL_KEY: ""}, 2)  # both wait
 
 
-def test_stream_drops_exact_replays_only(spark):
+def test_stream_drops_replays_only(spark):
     first, last = _page("", 0, ["a"], nxt="n"), _page("", 1, ["b"], delta="T1")
     again = _page("", 0, ["a"], nxt="n", attempt="2", at=5)
     got = _streamed(spark, [[first, again], [again], [last], [first, last]], [(MAIL_KEY, "")])
@@ -332,6 +329,31 @@ def test_stream_drops_exact_replays_only(spark):
     assert got[0] == ["a", "a", "b", "b"] and got[1:] == (["T1"], {MAIL_KEY: "T1"}, 0)
 
 
+def _token_row(n):
+    return [_page(f"T{k}" if k else "", 0, [f"m{k}"], delta=f"T{k + 1}", at=k) for k in range(n)]
+
+
+def test_64_chained_tokens_in_one_landing(spark, monkeypatch):
+    from mailsync.operators import state as ST
+    got = _streamed(spark, [_token_row(64)[::-1]], [(MAIL_KEY, "")])
+    assert got[0] == sorted(f"m{k}" for k in range(64)) and got[2:] == ({MAIL_KEY: "T64"}, 0)
+    rounds = []
+    real = ST.written
+    monkeypatch.setattr(ST, "written", lambda df, name: rounds.append(name) or real(df, name))
+    ck = spark.createDataFrame([(MAIL_KEY, "")], "key STRING, delta STRING")
+    recs, tokens, _ = SY.catch_up_messages(_pages(spark, *_token_row(64)), ck)
+    assert sorted(r.attributes[C.ATTR_MESSAGE_ID] for r in recs.collect() if r.emit_seq == C.EMIT_ITEM) == got[0]
+    assert [tuple(r) for r in tokens.select("key", "delta", "new_delta").collect()] == [(MAIL_KEY, "", "T64")]
+    assert rounds.count("jumps") <= 7  # log2 of 64, and the round that finds nothing
+
+
+def test_catch_up_ends_where_tokens_run_in_a_circle(spark):
+    rows = [_page("", 0, ["a"], delta="T1"), _page("T1", 0, ["b"], delta="T2"), _page("T2", 0, ["c"], delta="T1"), _page("T9", 0, ["z"], delta="T10")]
+    ck = spark.createDataFrame([(MAIL_KEY, "")], "key STRING, delta STRING")
+    recs, _, _ = SY.catch_up_messages(_pages(spark, *rows), ck)
+    assert sorted(r.attributes[C.ATTR_MESSAGE_ID] for r in recs.collect() if r.emit_seq == C.EMIT_ITEM) == ["a", "b", "c"]
+
+
 def test_attachments_of_replays_and_removed_messages(spark):
     import datetime as dt
     from mailsync import schemas as S
@@ -400,16 +422,3 @@ def test_incremental_runs_take_older_days_and_undated_pages_that_land_later(spar
     recs = STR.read_stream_output(spark, f"{root}/out").collect()
     assert sorted(r.attributes[C.ATTR_MESSAGE_ID] for r in recs if r.emit_seq == C.EMIT_ITEM) == ["a", "b", "c"]
     assert [r.content for r in recs if r.emit_seq == C.EMIT_TOKEN] == ["T1"]
-
-
-def test_a_batch_follows_chained_tokens_to_the_end(spark, monkeypatch):
-    from mailsync.sources.pages import write_pages
-    monkeypatch.setattr(STR, "MOST_STEPS", 2, raising=False)  # no bound on the steps may cut the chain
-    root = scratch_path(spark, "test-long-chain")
-    ck = spark.createDataFrame([(MAIL_KEY, "")], "key STRING, delta STRING")
-    rows = [_page(f"T{n}" if n else "", 0, [f"m{n}"], delta=f"T{n + 1}", at=n) for n in range(5)]
-    write_pages(_pages(spark, *rows), f"{root}/landing")
-    STR.sync_landing(spark, f"{root}/landing", f"{root}/state", f"{root}/out", initial_ckpt=ck)
-    recs = STR.read_stream_output(spark, f"{root}/out").collect()
-    assert sorted(r.attributes[C.ATTR_MESSAGE_ID] for r in recs if r.emit_seq == C.EMIT_ITEM) == [f"m{n}" for n in range(5)]
-    assert STR.scan_pool(spark, f"{root}/state").count() == 0
