@@ -55,6 +55,7 @@ WIDTH, CHUNKS = 6, 16
 SYMBOLS = WIDTH * CHUNKS
 LEAST_EQUAL = 48
 OPEN_MEMBERS = 64
+MOST_DF = 256          # sets of a shingle that are counted; more are all frequent
 BROADCAST_IDS = 1_000_000  # 8 MB of ids; more are joined by a shuffle
 LAST_ID = (1 << 63) - 1    # stands for a null doc_id
 BLOCK_BYTES = 1 << 20
@@ -268,16 +269,42 @@ def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                  pa.array(values)], ["id", "component", "n", "shingle"])
 
 
+def _with_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``df`` of rows in order of their shingle: in how many sets it is, ``MOST_DF`` + 1 standing for more; rows of
+    shingles in one set alone are left out. At most ``MOST_DF`` rows are held between batches."""
+    names = ["id", "component", "n", "shingle"]
+    give = lambda rows, df: pa.RecordBatch.from_arrays([*map(pa.array, rows), pa.array(df)], [*names, "df"])
+    kept, passing = [np.zeros(0, np.int64)] * 4, None
+    for batch in batches:
+        if not len(batch):
+            continue
+        rows = [np.concatenate([x, batch.column(c).to_numpy()]) for x, c in zip(kept, names, strict=True)]
+        heads = np.flatnonzero(np.concatenate([[True], rows[3][1:] != rows[3][:-1]]))
+        sizes = np.diff(np.append(heads, len(rows[3])))
+        df = np.minimum(sizes, MOST_DF + 1)
+        if rows[3][0] == passing:
+            df[0] = MOST_DF + 1
+        last_is_large = df[-1] > MOST_DF
+        cut = len(rows[3]) if last_is_large else int(heads[-1])  # a small last group may go on
+        passing = rows[3][-1] if last_is_large else None
+        each = np.repeat(df, sizes)[:cut]
+        yield give([x[:cut][each > 1] for x in rows], each[each > 1])
+        kept = [x[cut:] for x in rows]
+    if len(kept[3]) > 1:
+        yield give(kept, np.full(len(kept[3]), len(kept[3])))
+
+
 def _prefixes(sets: DataFrame) -> DataFrame:
     """``id, component, n, prefix, skipped``: the rarest shingles of each of ``id, component, shingles``.
 
-    Shingles of one document alone come first in the order; they match nothing, so the ``prefix`` is
-    without them and ``skipped`` is their number."""
+    Rows are dealt and sorted by shingle once and counted as they stream by. Shingles in more than ``MOST_DF`` sets
+    come last in the order, by their hash. Shingles of one document alone come first; they match nothing, so
+    the ``prefix`` is without them and ``skipped`` is their number."""
     rows = sets.mapInArrow(_set_rows, "id long, component long, n long, shingle long")
-    common = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+    counted = (rows.repartition("shingle").sortWithinPartitions("shingle")
+               .mapInArrow(_with_counts, "id long, component long, n long, shingle long, df long"))
     of_id = Window.partitionBy("id")
-    ranked = (rows.join(common, "shingle")
-              .withColumn("place", F.row_number().over(of_id.orderBy("df", "shingle")) + F.col("n") - F.count(F.lit(1)).over(of_id))
+    ranked = (counted.withColumn("place", F.row_number().over(of_id.orderBy("df", "shingle")) + F.col("n") - F.count(F.lit(1)).over(of_id))
               .filter(f"place <= n - ceil({PERCENT} * n / 100) + 1"))
     prefix = ranked.groupBy("id", "component", "n").agg(F.array_sort(F.collect_list(F.struct("df", "shingle"))).alias("x"),
                                                         (F.min("place") - 1).alias("skipped"))

@@ -120,3 +120,16 @@ def test_rows_that_share_an_id_or_have_none_are_judged_by_their_texts(spark):
     alone = [r for r in rows if r in {(5, near(0, 10)), (9, near(1, 10)), (20, near(2, 10)), (21, near(3, 10)), (30, near(4, 10)), (None, None)}]
     one = [r for r in left if r[0] is None and r[1] is not None]  # two near-copies without an id: one stays
     assert sorted([*alone, *one], key=repr) == left and len(one) == 1 and one[0] in rows[9:11]
+
+
+def test_counts_of_streamed_shingles(monkeypatch):
+    import pyarrow as pa
+    monkeypatch.setattr(K, "MOST_DF", 5)
+    rng = random.Random(2)
+    for _ in range(200):
+        sizes = [rng.choice([1, 1, 2, 4, 5, 6, 30]) for _ in range(rng.randint(0, 12))]
+        shingles = np.repeat(np.arange(len(sizes)), sizes).astype(np.int64)
+        cuts = sorted(rng.randint(0, len(shingles)) for _ in range(4))
+        batches = [pa.RecordBatch.from_arrays([pa.array(part)] * 4, ["id", "component", "n", "shingle"]) for part in np.split(shingles, cuts)]
+        got = [(r["shingle"], r["df"]) for b in K._with_counts(iter(batches)) for r in b.to_pylist()]
+        assert got == [(k, min(size, 6)) for k, size in enumerate(sizes) if size > 1 for _ in range(size)]
