@@ -43,7 +43,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mailsync.llm import textbatch as T
@@ -55,7 +55,8 @@ WIDTH, CHUNKS = 6, 16
 SYMBOLS = WIDTH * CHUNKS
 LEAST_EQUAL = 48
 OPEN_MEMBERS = 64
-MOST_DF = 256          # sets of a shingle that are counted; more are all frequent
+MOST_DF = 256          # sets of a shingle that are counted; with more it is frequent
+MOST_SENT = 500_000    # frequent shingles, 4 MB
 BROADCAST_IDS = 1_000_000  # 8 MB of ids; more are joined by a shuffle
 LAST_ID = (1 << 63) - 1    # stands for a null doc_id
 BLOCK_BYTES = 1 << 20
@@ -269,46 +270,79 @@ def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                  pa.array(values)], ["id", "component", "n", "shingle"])
 
 
-def _with_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``df`` of rows in order of their shingle: in how many sets it is, ``MOST_DF`` + 1 standing for more; rows of
-    shingles in one set alone are left out. At most ``MOST_DF`` rows are held between batches."""
-    names = ["id", "component", "n", "shingle"]
-    give = lambda rows, df: pa.RecordBatch.from_arrays([*map(pa.array, rows), pa.array(df)], [*names, "df"])
-    kept, passing = [np.zeros(0, np.int64)] * 4, None
+def _rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows in order of their shingle those whose shingle is in 2 to ``MOST_DF`` sets, with that number as ``df``;
+    for a shingle in more sets rows without an ``id``. At most ``MOST_DF`` rows are held between batches."""
+    kept, passing = [np.zeros(0, np.int64)] * 2, None
     for batch in batches:
         if not len(batch):
             continue
-        rows = [np.concatenate([x, batch.column(c).to_numpy()]) for x, c in zip(kept, names, strict=True)]
-        heads = np.flatnonzero(np.concatenate([[True], rows[3][1:] != rows[3][:-1]]))
-        sizes = np.diff(np.append(heads, len(rows[3])))
-        df = np.minimum(sizes, MOST_DF + 1)
-        if rows[3][0] == passing:
-            df[0] = MOST_DF + 1
-        last_is_large = df[-1] > MOST_DF
-        cut = len(rows[3]) if last_is_large else int(heads[-1])  # a small last group may go on
-        passing = rows[3][-1] if last_is_large else None
-        each = np.repeat(df, sizes)[:cut]
-        yield give([x[:cut][each > 1] for x in rows], each[each > 1])
-        kept = [x[cut:] for x in rows]
-    if len(kept[3]) > 1:
-        yield give(kept, np.full(len(kept[3]), len(kept[3])))
+        ids, shingles = (np.concatenate([x, batch.column(c).to_numpy()]) for x, c in zip(kept, ("id", "shingle"), strict=True))
+        heads = np.flatnonzero(np.concatenate([[True], shingles[1:] != shingles[:-1]]))
+        sizes = np.diff(np.append(heads, len(shingles)))
+        frequent = sizes > MOST_DF
+        frequent[0] |= shingles[0] == passing
+        cut = len(shingles) if frequent[-1] else int(heads[-1])  # a small last group may go on
+        passing = shingles[-1] if frequent[-1] else None
+        each = np.repeat(np.where(frequent, 0, sizes), sizes)[:cut]
+        yield _counted(ids[:cut][each > 1], shingles[:cut][each > 1], each[each > 1])
+        yield _counted(None, shingles[heads[frequent]], np.full(int(frequent.sum()), MOST_DF + 1))
+        kept = [ids[cut:], shingles[cut:]]
+    if len(kept[0]) > 1:
+        yield _counted(*kept, np.full(len(kept[0]), len(kept[0])))
+
+
+def _counted(ids: np.ndarray | None, shingles: np.ndarray, df: np.ndarray) -> pa.RecordBatch:
+    column = pa.nulls(len(shingles), pa.int64()) if ids is None else pa.array(ids)
+    return pa.RecordBatch.from_arrays([column, pa.array(shingles), pa.array(df.astype(np.int64))], ["id", "shingle", "df"])
+
+
+def _prefix_length(n: int) -> int:
+    return n - (PERCENT * n + 99) // 100 + 1
+
+
+def _with_frequent(frequent: np.ndarray):
+    """The number of frequent shingles of each set, and as many of them, by hash, as its prefix may hold."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes, found, first = [], [], []
+            for x in batch.column("shingles").to_pylist():
+                values = np.frombuffer(x, np.int64)
+                own = np.intersect1d(values, frequent, assume_unique=True)
+                sizes.append(len(values))
+                found.append(len(own))
+                first.append(own[:_prefix_length(len(values))].tolist())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), batch.column("component"), pa.array(sizes, pa.int64()), pa.array(found, pa.int64()),
+                 pa.array(first, pa.list_(pa.int64()))], ["id", "component", "n", "n_frequent", "frequent"])
+    return run
 
 
 def _prefixes(sets: DataFrame) -> DataFrame:
     """``id, component, n, prefix, skipped``: the rarest shingles of each of ``id, component, shingles``.
 
-    Rows are dealt and sorted by shingle once and counted as they stream by. Shingles in more than ``MOST_DF`` sets
-    come last in the order, by their hash. Shingles of one document alone come first; they match nothing, so
-    the ``prefix`` is without them and ``skipped`` is their number."""
-    rows = sets.mapInArrow(_set_rows, "id long, component long, n long, shingle long")
-    counted = (rows.repartition("shingle").sortWithinPartitions("shingle")
-               .mapInArrow(_with_counts, "id long, component long, n long, shingle long, df long"))
-    of_id = Window.partitionBy("id")
-    ranked = (counted.withColumn("place", F.row_number().over(of_id.orderBy("df", "shingle")) + F.col("n") - F.count(F.lit(1)).over(of_id))
-              .filter(f"place <= n - ceil({PERCENT} * n / 100) + 1"))
-    prefix = ranked.groupBy("id", "component", "n").agg(F.array_sort(F.collect_list(F.struct("df", "shingle"))).alias("x"),
-                                                        (F.min("place") - 1).alias("skipped"))
-    return prefix.select("id", "component", "n", F.expr("transform(x, y -> y.shingle)").alias("prefix"), "skipped")
+    The order of all shingles is: those of one set alone, which match nothing, so the ``prefix`` is without them
+    and ``skipped`` is their number; those in up to ``MOST_DF`` sets by their number; the frequent others by hash.
+    Rows are dealt and sorted by shingle once and counted as they stream by; only rare ones go on. Frequent
+    shingles are fewer than the rows over ``MOST_DF``; they are sent to all tasks up to ``MOST_SENT``, else joined."""
+    rows = sets.mapInArrow(_set_rows, "id long, component long, n long, shingle long").select("id", "shingle")
+    counted = written(rows.repartition("shingle").sortWithinPartitions("shingle").mapInArrow(_rare, "id long, shingle long, df long"), "op7-rare")
+    frequent = counted.filter("id is null").select("shingle").distinct()
+    if frequent.count() <= MOST_SENT:
+        sent = np.array([r.shingle for r in frequent.collect()], np.int64)
+        own = sets.mapInArrow(_with_frequent(np.sort(sent)), "id long, component long, n long, n_frequent long, frequent array<long>")
+    else:
+        by_set = rows.join(frequent, "shingle").groupBy("id").agg(F.array_sort(F.collect_list("shingle")).alias("frequent"))
+        own = (sets.select("id", "component", (F.octet_length("shingles") / 8).cast("bigint").alias("n")).join(by_set, "id", "left")
+               .withColumn("frequent", F.coalesce("frequent", F.array().cast("array<long>")))
+               .withColumn("n_frequent", F.size("frequent").cast("bigint")))
+    rare = (counted.filter("id is not null").groupBy("id")
+            .agg(F.transform(F.array_sort(F.collect_list(F.struct("df", "shingle"))), lambda x: x["shingle"]).alias("rare")))
+    own = own.join(rare, "id", "left").withColumn("rare", F.coalesce("rare", F.array().cast("array<long>")))
+    skipped = F.col("n") - F.col("n_frequent") - F.size("rare")
+    length = F.expr(f"n - ceil({PERCENT} * n / 100) + 1") - skipped
+    return (own.withColumn("skipped", skipped).withColumn("length", F.greatest(length, F.lit(0)).cast("int"))
+            .select("id", "component", "n", F.slice(F.concat("rare", "frequent"), F.lit(1), F.col("length")).alias("prefix"), "skipped"))
 
 
 def _small_pairs(rows: DataFrame) -> DataFrame:

@@ -130,6 +130,22 @@ def test_counts_of_streamed_shingles(monkeypatch):
         sizes = [rng.choice([1, 1, 2, 4, 5, 6, 30]) for _ in range(rng.randint(0, 12))]
         shingles = np.repeat(np.arange(len(sizes)), sizes).astype(np.int64)
         cuts = sorted(rng.randint(0, len(shingles)) for _ in range(4))
-        batches = [pa.RecordBatch.from_arrays([pa.array(part)] * 4, ["id", "component", "n", "shingle"]) for part in np.split(shingles, cuts)]
-        got = [(r["shingle"], r["df"]) for b in K._with_counts(iter(batches)) for r in b.to_pylist()]
-        assert got == [(k, min(size, 6)) for k, size in enumerate(sizes) if size > 1 for _ in range(size)]
+        batches = [pa.RecordBatch.from_arrays([pa.array(part)] * 2, ["id", "shingle"]) for part in np.split(shingles, cuts)]
+        got = [(r["id"], r["shingle"], r["df"]) for b in K._rare(iter(batches)) for r in b.to_pylist()]
+        assert [x for x in got if x[0] is not None] == [(k, k, size) for k, size in enumerate(sizes) if 1 < size <= 5 for _ in range(size)]
+        assert {x[1:] for x in got if x[0] is None} == {(k, 6) for k, size in enumerate(sizes) if size > 5}
+
+
+@pytest.mark.parametrize("sent", [0, 500_000])
+def test_prefixes_keep_one_order(spark, monkeypatch, sent):
+    monkeypatch.setattr(K, "MOST_DF", 3)
+    monkeypatch.setattr(K, "MOST_SENT", sent)
+    rng = np.random.default_rng(5)
+    sets = [np.unique(np.concatenate([rng.integers(0, 12, 8), rng.integers(100, 160, 12), rng.integers(1000, 90000, 10)])) for _ in range(40)]
+    frame = spark.createDataFrame([(k, 0, bytearray(x.astype(np.int64).tobytes())) for k, x in enumerate(sets)], "id long, component long, shingles binary")
+    df = {x: sum(x in s for s in map(set, sets)) for x in {int(v) for s in sets for v in s}}
+    for r in K._prefixes(frame).collect():
+        order = sorted(map(int, sets[r.id]), key=lambda x: (min(df[x], 4), x))
+        n = len(order)
+        alone = sum(df[x] == 1 for x in order)
+        assert (r.n, r.skipped, r.prefix) == (n, alone, order[alone:n - -(-75 * n // 100) + 1])
