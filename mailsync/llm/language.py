@@ -16,7 +16,7 @@ all documents of a block by one word at a time, so Python's work does not grow w
 Edge cases: a null text, an empty one, or one without a letter is ``und`` with score 0; a language
 value with few samples is a language like others; with no labelled document at all, every text is
 ``und``; ties go to the alphabetically first language; rows that repeat a ``doc_id`` are judged
-each; extra columns are ignored. A run of letters longer than a block is scored in parts.
+each; a row without one is judged too and learnt from (``held_out`` is false); extra columns are ignored. A run of letters longer than a block is scored in parts.
 """
 
 from __future__ import annotations
@@ -238,16 +238,23 @@ def label_spans(texts: list[str], model: Model) -> list[list[tuple[int, int, str
     return out
 
 
-def _judge(texts: list[str], model: Model) -> tuple[np.ndarray, np.ndarray]:
-    """Letters of each text under each language, and its number of spans."""
+def _judge(texts: list[str], model: Model) -> tuple[np.ndarray, pa.Array]:
+    """Letters of each text under each language, and its spans: start, end (code points) and language."""
     pieces = [(i, part) for i, t in enumerate(texts) for part in (_parts(t) if len(t) > BLOCK_CHARS else (t,))]
     words = [split_words([p]) for _, p in pieces] if len(pieces) > len(texts) else None
     if words is None:
         one = split_words(texts)
         scores, sizes, offsets = word_scores(one, model), one.ends - one.starts, one.offsets
+        laid = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])])  # where each text starts among all
+        begins = one.starts - np.repeat(laid[:-1], np.diff(offsets))
     else:
         scores = np.concatenate([word_scores(w, model) for w in words])
         sizes = np.concatenate([w.ends - w.starts for w in words])
+        of_text = np.array([i for i, _ in pieces])
+        before = np.concatenate([[0], np.cumsum([len(p) for _, p in pieces])])[:-1]
+        first = np.flatnonzero(np.concatenate([[True], of_text[1:] != of_text[:-1]]))
+        before = before - np.repeat(before[first], np.diff(np.append(first, len(pieces))))
+        begins = np.concatenate([w.starts + at for w, at in zip(words, before, strict=True)])
         per_text = np.bincount([i for i, _ in pieces], weights=[len(w.starts) for w in words], minlength=len(texts)).astype(np.int64)
         offsets = np.concatenate([[0], np.cumsum(per_text)])
     labels = viterbi(scores, offsets)
@@ -255,19 +262,26 @@ def _judge(texts: list[str], model: Model) -> tuple[np.ndarray, np.ndarray]:
     letters = np.bincount(row * len(model.languages) + labels, weights=sizes, minlength=len(texts) * len(model.languages))
     change = np.ones(len(labels), dtype=bool)
     change[1:] = (labels[1:] != labels[:-1]) | (row[1:] != row[:-1])
+    heads = np.flatnonzero(change)
+    last = np.append(heads[1:], len(labels))[:len(heads)] - 1
+    names = pa.DictionaryArray.from_arrays(pa.array(labels[heads].astype(np.int32)), pa.array(model.languages, pa.string()))
+    spans = pa.StructArray.from_arrays([pa.array(begins[heads]), pa.array(begins[last] + sizes[last]), names.dictionary_decode()],
+                                       ["start", "end", "lang"])
+    per_text = np.bincount(row[heads], minlength=len(texts))
     return (letters.reshape(len(texts), len(model.languages)),
-            np.bincount(row, weights=change, minlength=len(texts)).astype(np.int64))
+            pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(per_text)]).astype(np.int32)), spans))
 
 
-SCHEMA = "doc_id long, lang_pred string, score double, n_spans long"
+SPANS = "array<struct<start:long,end:long,lang:string>>"
+SCHEMA = f"doc_id long, lang_pred string, score double, n_spans long, spans {SPANS}"
 
 
 def identify(docs: DataFrame, model: Model | None) -> DataFrame:
-    """``doc_id, lang_pred, score, n_spans`` of every whole text."""
+    """``doc_id, lang_pred, score, n_spans, spans`` of every whole text."""
     ids = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     if model is None:
         return ids.select("doc_id", F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score"),
-                          F.lit(0).cast("bigint").alias("n_spans"))
+                          F.lit(0).cast("bigint").alias("n_spans"), F.array().cast(SPANS).alias("spans"))
     shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS x languages numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -286,8 +300,8 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
                 label = np.where(total > 0, letters.argmax(axis=1), len(model.languages))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(at, to - at), pa.array(names[label], pa.string()),
-                     pa.array(letters.max(axis=1) / np.maximum(total, 1)), pa.array(spans)],
-                    ["doc_id", "lang_pred", "score", "n_spans"])
+                     pa.array(letters.max(axis=1) / np.maximum(total, 1)), spans.value_lengths().cast(pa.int64()), spans],
+                    ["doc_id", "lang_pred", "score", "n_spans", "spans"])
                 at = to
     return ids.mapInArrow(run, SCHEMA)
 

@@ -13,7 +13,7 @@ Plan: texts are read once; from then on only rows of a few numbers move. A parti
 number of pieces whatever the sizes of sources or documents, as pieces are dealt by row number.
 
 Edge cases: a null or empty text is one piece of length 1 (the end id); an empty table gives an
-empty result; rows that repeat a ``doc_id`` are packed each; extra columns are ignored.
+empty result; rows that repeat a ``doc_id``, or have none, are packed each; extra columns are ignored.
 """
 
 from __future__ import annotations

@@ -14,7 +14,7 @@ without any shuffle. What reaches the driver is ``COMMON + 6`` numbers per langu
 
 Edge cases: a null text has no words, and is rejected by the base rule (under 50 words); a null
 language, or one with fewer than ``REFERENCE_WORDS`` words in all, is compared with the reference
-of all documents together; repeated rows are judged each; extra columns are ignored.
+of all documents together; repeated rows, and rows without a ``doc_id``, are judged each; extra columns are ignored.
 """
 
 from __future__ import annotations

@@ -27,7 +27,7 @@ TOKEN_LIMIT = 512
 
 
 def op1_language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return predict_languages(documents(spark, sf_dir)).select("doc_id", "held_out", "lang_pred", "score", "n_spans")
+    return predict_languages(documents(spark, sf_dir)).select("doc_id", "held_out", "lang_pred", "score", "n_spans", "spans")
 
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,7 +15,7 @@ first chunk's end, where neither a longer run nor a special token can change it.
 pair of chunks that never aligns are taken again with wider overlaps (``OVERLAPS``, the last as wide
 as a chunk), and what still fails (one run longer than a chunk) is encoded whole.
 
-Edge cases: a null or empty text has 0 bytes and 0 tokens; rows that repeat a ``doc_id`` are counted
+Edge cases: a null or empty text has 0 bytes and 0 tokens; rows that repeat a ``doc_id``, or have none, are counted
 each; extra columns are ignored; an empty table gives an empty result.
 """
 

@@ -65,6 +65,17 @@ def test_long_texts_are_scored_in_parts(model, monkeypatch):
     assert parts[0].argmax(axis=1).tolist() == whole[0].argmax(axis=1).tolist() and parts[0].sum() == whole[0].sum()
 
 
+def test_spans_leave_the_operator(spark, model, monkeypatch):
+    texts = ["the of and to in is", "", None, "  1 the der und die das of ", "x" * 50, "der und die " * 30 + "the of and " * 30]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    whole = {r.doc_id: r for r in K.identify(docs, model).collect()}
+    for n, text in enumerate(texts):
+        assert [tuple(x) for x in whole[n].spans] == K.label_spans([text or ""], model)[0] and whole[n].n_spans == len(whole[n].spans)
+    monkeypatch.setattr(K, "BLOCK_CHARS", 100)  # spans keep their places in the whole text, also where it is scored in parts
+    _, parts = K._judge([t or "" for t in texts], model)
+    assert [[(x["start"], x["end"], x["lang"]) for x in spans] for spans in parts.to_pylist()] == K.label_spans([t or "" for t in texts], model)
+
+
 def test_edges(spark, edge_docs, no_docs):
     rows = K.predict_languages(edge_docs).collect()
     learned = {r.lang for r in edge_docs.select("lang").collect()} | {K.UNDETERMINED}

@@ -47,7 +47,25 @@ def test_run_is_the_stages_in_order(spark, steps):
     assert got == sorted(map(tuple, steps[-1].select("doc_id", "piece", "length").collect()))
 
 
-def test_edge_rows_pass_through_all_stages(spark, edge_docs, no_docs):
-    for docs in (edge_docs, no_docs):
-        for name, stage in P.STAGES:
-            docs = written(stage(spark, docs, SF_SMALL), f"test-edge-{name}")
+def test_edge_rows_of_every_stage(spark, edge_docs, no_docs):
+    stages = dict(P.STAGES)
+    ids = lambda df: sorted((r.doc_id for r in df.select("doc_id").collect()), key=lambda x: (x is None, x))
+    good = written(stages["quality_rules"](spark, edge_docs, SF_SMALL), "test-edge")
+    verdict = sorted(((r.doc_id, r.kept) for r in quality.quality_rules(edge_docs).collect()), key=repr)
+    assert good.columns == edge_docs.columns
+    assert ids(good) == sorted((i for i, kept in verdict if kept), key=lambda x: (x is None, x))
+    assert not {3, 4, 5, 7, 8} & set(ids(good))  # null, empty, blank, one word, three words
+    once = written(stages["exact_dedup"](spark, edge_docs, SF_SMALL), "test-edge")
+    texts = [(r.doc_id, _normal(r.text)) for r in edge_docs.select("doc_id", "text").collect()]
+    assert ids(once) == sorted((min((d for d, t in texts if t == text and d is not None), default=None) for text in {t for _, t in texts}),
+                               key=lambda x: (x is None, x))
+    apart = written(stages["near_dedup"](spark, once, SF_SMALL), "test-edge")
+    rows = [(r.doc_id, r.text) for r in once.select("doc_id", "text").collect()]
+    assert set(ids(apart)) == {c for _, _, c in near(rows)} and apart.columns == edge_docs.columns
+    mixed = written(stages["mixing"](spark, apart, SF_SMALL), "test-edge")
+    assert ids(mixed) == ids(mixing.mix(apart).filter("kept"))
+    pieces = stages["packing"](spark, edge_docs, SF_SMALL)
+    assert sorted(r.length for r in pieces.collect() if r.doc_id in (3, 4)) == [1, 1]
+    assert {r.doc_id for r in pieces.collect()} == set(ids(edge_docs))
+    for name, stage in P.STAGES:
+        assert stage(spark, no_docs, SF_SMALL).collect() == [], name
