@@ -68,7 +68,7 @@ def test_a_body_is_read_only_from_buckets_and_chains_of_the_work(spark):
     rows = []
     for u in range(200):
         for token in ("", "T"):
-            rows.append(("messages", f"u{u}", "f", None, token, 0, None, '{"value":[{"id":"x"}],"@odata.deltaLink":"L"}', None))
+            rows.append(("messages", f"u{u}", "f", None, token, 0, None, f'{{"value":[{{"id":"m{u}"}}],"@odata.deltaLink":"L"}}', None))
             rows.append(("attachments", f"u{u}", None, f"m{u}", token, 0, None, '{"value":[{"name":"x"}]}', None))
     write_pages(_pages(spark, *rows), root, buckets=64)
     pages = read_pages(spark, root)
