@@ -143,3 +143,11 @@ def test_valid_request(spark, method, url, body, ok):
 @pytest.mark.parametrize("text,ok", [(" ", True), ("${x}", True), ('{"a":1}', True), ("nope", False)])
 def test_valid_json(spark, text, ok):
     assert one(spark, K.valid_json(F.col("v")), text) is ok
+
+
+def test_blank_select_list_is_no_list(spark):
+    from mailsync.operators.outbox import RequestParams, request_table
+    rows = [(C.ROUTE_SUCCESS, {"s": s}, "", 1) for s in ("\t", " ", "\n \t", "id,name")]
+    out = request_table(spark.createDataFrame(rows, "route STRING, attributes MAP<STRING,STRING>, content STRING, emit_seq BIGINT"),
+                        RequestParams(url="/me", method="GET", select_fields="${s}"))
+    assert [r.select_fields for r in out.collect()] == [None, None, None, "id,name"]
