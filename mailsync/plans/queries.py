@@ -692,7 +692,7 @@ def q_stream_recut(spark, d):
 
 def q_attachments_unfinished_rerun(spark, d):
     """Attachments in pages of one with a complete attempt, and a later rerun of which only the first page landed."""
-    one = TV.land_attachments(spark, d, page_size=1).withColumn("attempt_id", F.lit("a"))
+    one = TV.landed(spark, d, "attachments_by_one").withColumn("attempt_id", F.lit("a"))
     two = _later(one.filter("page_no = 0").withColumn("attempt_id", F.lit("b")), "1 HOUR")
     return _attachment_view(SY.expand_attachments(_message_records_all(spark, d), one.unionByName(two)))
 

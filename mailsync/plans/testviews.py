@@ -22,7 +22,9 @@ from pyspark.sql import functions as F
 from mailsync import constants as C
 from mailsync import schemas as S
 from mailsync.functions.keys import folders_key, messages_key, users_key
-from mailsync.plans.testpaging import pack_pages
+from mailsync.operators.joins import sized
+from mailsync.plans.testpaging import crowded, pack_chained, pack_pages
+from mailsync.session import written
 from mailsync.sources.pages import read_pages, write_pages
 
 # Cut-off of the previous sync in the changes feed (fixed test parameter).
@@ -274,17 +276,35 @@ def land_folder_messages(spark, sf_dir) -> DataFrame:
 
 
 def land_attachments(spark, sf_dir, page_size: int = DEFAULT_PAGE_SIZE) -> DataFrame:
-    """The attachments chain of every message (asked for every message, with or without any)."""
-    m = messages(spark, sf_dir).select("user_id", F.col("id").alias("message_id"))
-    a = attachments(spark, sf_dir)
-    chains = m.select("user_id", "message_id", F.lit("").alias("request_token"),
-                      F.lit(None).cast("string").alias("delta_link"))
-    item = _json(F.col("id"), F.col("name"), F.col("contentType"), F.col("size"))
-    items = (a.join(m, on="message_id", how="inner")
-             .select("user_id", "message_id", F.lit("").alias("request_token"), "seq", "name",
-                     item.alias("item")))
-    return pack_pages(items, chains, ["user_id", "message_id", "request_token"], ["seq", "name"],
-                      page_size, "attachments")
+    """The attachments chain of every message (asked for every message, with or without any).
+
+    Lines move twice, as narrow rows: to their part, and with its name and type to their message, where their
+    items are made, gathered and cut. Messages with more lines than one group may hold go the general way."""
+    keys, order = ["user_id", "message_id", "request_token"], ["seq", "name"]
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity")
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type")
+    o = table(spark, sf_dir, "orders").groupBy("o_orderkey", "o_custkey").agg(F.count(F.lit(1)).cast("int").alias("asks"))
+    large = written(crowded(li, ["l_orderkey"]).filter("l_orderkey is not null").withColumnRenamed("l_orderkey", "o_orderkey"), "crowded")
+    all_small = large.isEmpty()
+    small = o if all_small else o.join(sized(large), on="o_orderkey", how="left_anti")
+    line = F.struct(F.col("l_linenumber").alias("seq"), F.col("p_name").alias("name"), _json(
+        F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("id"), F.col("p_name").alias("name"),
+        F.col("p_type").alias("contentType"), F.col("l_quantity").cast("int").alias("size")).alias("item"))
+    lines = li.join(p, li.l_partkey == p.p_partkey, "inner").drop("l_partkey", "p_partkey")
+    gathered = (small.join(lines, small.o_orderkey == lines.l_orderkey, "left").groupBy("o_orderkey", "o_custkey", "asks")
+                .agg(F.collect_list(F.when(F.col("l_orderkey").isNotNull(), line)).alias("_lines")))
+    # a message that is there several times is asked several times, and its lines come with each
+    chained = gathered.select(F.col("o_custkey").cast("string").alias("user_id"), F.col("o_orderkey").cast("string").alias("message_id"),
+                              F.lit("").alias("request_token"), F.flatten(F.array_repeat("_lines", F.col("asks"))).alias("items"),
+                              F.array_repeat(F.struct(F.lit(None).cast("string").alias("delta_link")), F.col("asks")).alias("links"))
+    pages = pack_chained(chained, keys, page_size, "attachments")
+    if all_small:
+        return pages
+    m = (messages(spark, sf_dir).join(sized(large), F.col("orderkey") == F.col("o_orderkey"), "left_semi")
+         .select("user_id", F.col("id").alias("message_id"), F.lit("").alias("request_token")))
+    items = attachments(spark, sf_dir).join(m, on="message_id", how="inner").select(*keys, *order, _json(
+        F.col("id"), F.col("name"), F.col("contentType"), F.col("size")).alias("item"))
+    return pages.unionByName(pack_pages(items, m.withColumn("delta_link", F.lit(None).cast("string")), keys, order, page_size, "attachments"))
 
 
 LANDERS = {
@@ -295,6 +315,7 @@ LANDERS = {
     "folder_messages": lambda spark, d: land_folder_messages(spark, d),
     "attachments": lambda spark, d: land_attachments(spark, d),
 }
+OTHER_LANDERS = {"attachments_by_one": lambda spark, d: land_attachments(spark, d, page_size=1)}  # not part of the tenant
 _LANDED: dict[tuple, str] = {}
 
 
@@ -306,7 +327,7 @@ def landed(spark, sf_dir, part: str) -> DataFrame:
     path = _LANDED.get(key)
     if path is None:
         path = scratch_path(spark, f"landing-{part}")
-        write_pages(LANDERS[part](spark, sf_dir), path)
+        write_pages({**LANDERS, **OTHER_LANDERS}[part](spark, sf_dir), path)
         _LANDED[key] = path
     return read_pages(spark, path).select(*S.ENVELOPE_DDL_COLS)
 

@@ -422,3 +422,19 @@ def test_incremental_runs_take_older_days_and_undated_pages_that_land_later(spar
     recs = STR.read_stream_output(spark, f"{root}/out").collect()
     assert sorted(r.attributes[C.ATTR_MESSAGE_ID] for r in recs if r.emit_seq == C.EMIT_ITEM) == ["a", "b", "c"]
     assert [r.content for r in recs if r.emit_seq == C.EMIT_TOKEN] == ["T1"]
+
+
+def test_small_chains_are_gathered_and_large_ones_spread(spark, monkeypatch):
+    from mailsync.plans import testpaging as TP
+    sizes = {"a": 3, "b": 10, "c": 41, "d": 0}
+    items = spark.createDataFrame([(u, n, f'{{"id":{n}}}') for u, k in sizes.items() for n in range(k)] + [(None, 1, '{"id":1}')],
+                                  "user_id STRING, o INT, item STRING")
+    chains = spark.createDataFrame([(u, f"T{u}") for u in sizes] + [(None, "Tn"), ("b", "again")], "user_id STRING, delta_link STRING")
+    land = lambda: sorted((str(r.user_id), r.page_no, r.body) for r in pack_pages(items, chains, ["user_id"], ["o"], 5, "folders").collect())
+    assert len(land()) == 1 + 2 * 2 + 9 + 1 + 1
+    gathered = land()
+    monkeypatch.setattr(TP, "rank_within", None)  # nothing is ranked or checkpointed for chains that fit a group
+    assert land() == gathered
+    monkeypatch.undo()
+    monkeypatch.setattr(TP, "SMALL_CHAIN", 8)
+    assert land() == gathered
