@@ -21,6 +21,11 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str
     return joined if how in ("left_semi", "left_anti") else joined.drop(*[f"_r_{k}" for k in keys])
 
 
+def few(keys: DataFrame) -> bool:
+    """Whether there are at most ``BROADCAST_ROWS`` of ``keys``."""
+    return keys.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+
+
 def sized(keys: DataFrame) -> DataFrame:
     """``keys`` with a broadcast hint if there are at most ``BROADCAST_ROWS`` of them."""
-    return F.broadcast(keys) if keys.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else keys
+    return F.broadcast(keys) if few(keys) else keys

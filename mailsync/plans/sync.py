@@ -28,8 +28,8 @@ from mailsync import constants as C
 from mailsync.functions.checks import token_changed
 from mailsync.functions.fields import attachment_attrs, attrs_of, inherit
 from mailsync.functions.keys import filter_keys, folders_key, messages_key, parse_key
-from mailsync.operators.attempts import counting, counting_chains, links_of, newest_attempts, tokens_of_links
-from mailsync.operators.joins import sized
+from mailsync.operators.attempts import counting, decide, links_of, newest_attempts, page_links, tokens_of_links
+from mailsync.operators.joins import few, join_null_safe, sized
 from mailsync.operators.routes import error_records, passthrough_original, record, union_records
 from mailsync.operators.state import bootstrap, reachable_tokens, token_records, work_from
 from mailsync.session import written
@@ -281,16 +281,27 @@ def expand_attachments(message_records: DataFrame, pages: DataFrame,
     attachments are those of the attempt that counts (an unfinished rerun never hides a complete one),
     pages landed again count once, and equal message records count once.
 
-    The messages prune the landing (by their users' buckets) and semi-join the pages before a body is
-    read; attempts are chosen on links, and the pages that count are flattened last.
+    The messages prune the landing (by their users' buckets); few of them semi-join the pages before a body is
+    read, many only the links. Attempts are chosen on links, and the pages that count are flattened last.
     """
     msgs = written(attachment_parents(message_records, dedupe), "parents")
     keys = ["user_id", "message_id"]
     found = of_chains(pages.filter(F.col("resource") == "attachments"), msgs)
-    found = found.join(sized(msgs.select(*keys).distinct()), on=keys, how="left_semi")
-    if dedupe:
-        found = counting_chains(found, ATTACHMENT_CHAIN)
-    return attachment_records(found.join(msgs, on=keys, how="inner"), route, with_file_attrs)
+    wanted = msgs.select(*keys).distinct()
+    near = few(wanted)
+    if near:
+        found = found.join(F.broadcast(wanted), on=keys, how="left_semi")
+    if not dedupe:
+        return attachment_records(found.join(msgs, on=keys, how="inner"), route, with_file_attrs)
+    links = page_links(found, ATTACHMENT_CHAIN)
+    # with many messages only the links are sifted: a body moves once, to the messages that have it
+    count = decide(written(links if near else links.join(wanted, on=keys, how="left_semi"), "links"), ATTACHMENT_CHAIN)
+    if count.all_count or near or not count.all_whole:
+        return attachment_records(count.pages_of(found).join(msgs, on=keys, how="inner"), route, with_file_attrs)
+    asked = msgs.join(count.by_chain.select(*ATTACHMENT_CHAIN, F.col("attempt").alias("chosen")), on=keys, how="inner")
+    pages_of_msgs = (join_null_safe(count.of_runs(found), asked, ATTACHMENT_CHAIN)
+                     .filter("chosen is null or attempt = chosen"))
+    return attachment_records(pages_of_msgs, route, with_file_attrs)
 
 
 def new_tokens(tokens: DataFrame) -> DataFrame:

@@ -102,3 +102,20 @@ def test_work_of_one_key_finds_its_chain_without_buckets(spark):
     pages = _pages(spark, _page("", 0, ["a"], delta="T"))
     recs, toks, _ = SY.sync_messages(pages, spark.createDataFrame([(MAIL_KEY, "")], "key STRING, delta STRING"))
     assert recs.count() == 2 and [r.new_delta for r in toks.collect()] == ["T"]
+
+
+def test_a_body_moves_once_to_many_messages(spark, monkeypatch):
+    from mailsync.operators import joins
+    rows = []
+    for u in range(20):
+        rows.append(("messages", f"u{u}", "f", None, "", 0, None, f'{{"value":[{{"id":"m{u}"}}],"@odata.deltaLink":"L"}}', None))
+        for run in ("a", "b"):
+            rows.append(("attachments", f"u{u}", None, f"m{u}", "", 0, None, f'{{"value":[{{"name":"{run}"}}]}}', run))
+    pages = _pages(spark, *rows)
+    ck = spark.createDataFrame([(f"O365_messages|u{u}|f", "") for u in range(10)], "key STRING, delta STRING")
+    messages = SY.sync_messages(pages, ck)[0].filter("emit_seq = 1")
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 3)
+    files = SY.expand_attachments(messages, pages)
+    moved = [line for line in _plan(files).split("\n") if "Exchange" in line]
+    assert len(moved) <= 2  # the pages, and the messages with what is decided for them
+    assert sorted(r.content for r in files.collect()) == ['{"name":"b"}'] * 10
