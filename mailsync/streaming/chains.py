@@ -3,7 +3,8 @@
 One processor per entity (a mailbox folder, a user's folders, the users, a message). It sees the links of
 landed pages, never a body: chain, attempt, page number, landing time, whether the page ends its chain, the
 delta link, and where the page lies (file and row). The state is keyed map state in RocksDB without expiry,
-read and written entry by entry, so a micro-batch costs what it brings, not what lies there.
+read and written entry by entry, so a micro-batch costs what it brings, not what lies there. Pages that come and
+are given out in the same call never enter it.
 
 * A page of the current token is kept until its attempt is complete; then the attempt's pages are given out
   once, the token moves on, and the pages of the closed chain are forgotten. Of attempts that are complete
@@ -46,50 +47,62 @@ class EntityChains(StatefulProcessor):
     def handleInitialState(self, key, initialState, timerValues) -> None:
         self.current.update((initialState.token,))
 
+    def _stored(self, place: tuple) -> bool:
+        """Whether an earlier call has kept this page; the state is asked only about attempts it knows."""
+        return place[:2] in self.before and self.pages.containsKey(place)
+
+    def _page(self, place: tuple) -> tuple:
+        return self.held[place] if place in self.held else self.pages.getValue(place)
+
     def _take(self, row, attempts: dict) -> None:
         """Keep a page; of a page landed twice in one attempt the later landing."""
         place = (row.token, row.attempt, row.page_no)
         pages, last_no, top_no, given = attempts.get(place[:2], (0, -1, -1, False))
         if given:
             return
-        if self.pages.containsKey(place):
-            at, ended, *_ = self.pages.getValue(place)
+        if place in self.held or self._stored(place):
+            at, ended, *_ = self._page(place)
             if row.at < at:
                 return
             if ended and not row.ends and last_no == row.page_no:
                 last_no = -1
         else:
             pages += 1
-        self.pages.updateValue(place, (row.at, row.ends, row.link, row.file, row.place))
+        self.held[place] = (row.at, row.ends, row.link, row.file, row.place)
         attempts[place[:2]] = (pages, max(last_no, row.page_no) if row.ends else last_no, max(top_no, row.page_no), False)
 
     def _complete(self, token: str, attempts: dict) -> str | None:
         """The complete attempt of the token that ended last."""
-        done = [(self.pages.getValue((token, name, last_no))[0], name) for (of, name), (pages, last_no, _, given) in attempts.items()
+        done = [(self._page((token, name, last_no))[0], name) for (of, name), (pages, last_no, _, given) in attempts.items()
                 if of == token and not given and last_no >= 0 and pages == last_no + 1]
         return max(done)[1] if done else None
 
     def _forget(self, of: tuple, attempts: dict) -> None:
         for page_no in range(attempts[of][2] + 1):
-            if self.pages.containsKey((*of, page_no)):
-                self.pages.removeKey((*of, page_no))
+            place = (*of, page_no)
+            self.held.pop(place, None)
+            if self._stored(place):
+                self.pages.removeKey(place)
 
     def _given(self, key, token: str, name: str, last_no: int, parent: str | None = None) -> Iterator[Row]:
         for page_no in range(last_no + 1):
-            _, _, _, file, place = self.pages.getValue((token, name, page_no))
+            _, _, _, file, place = self._page((token, name, page_no))
             yield Row(kind="page", one=key[0], two=key[1], token=token, link=None, file=file, place=place, parent=parent)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         attempts = {tuple(k): tuple(v) for k, v in self.attempts.iterator()}
-        before = dict(attempts)
-        known = self.current.exists()
-        now = self.current.get()[0] if known else None
+        self.before, self.held, closed = dict(attempts), {}, {}  # a call to the state costs more than the work on a page
+        stored = self.current.get()
+        known, now = stored is not None, stored[0] if stored is not None else None
         for row in rows:
             if row.kind == "parent":
                 known, now = True, now or ""
                 if self.per_parent and not self.parents.containsKey((row.link,)):
                     self.parents.updateValue((row.link,), (False,))
-            elif self.closed.containsKey((row.token,)):
+                continue
+            if row.token not in closed:  # an entity without a current token has closed none
+                closed[row.token] = stored is not None and self.closed.containsKey((row.token,))
+            if closed[row.token]:
                 if not self.dedupe:
                     yield Row(kind="page", one=key[0], two=key[1], token=row.token, link=None, file=row.file, place=row.place, parent=None)
             else:
@@ -98,19 +111,21 @@ class EntityChains(StatefulProcessor):
                 self._take(row, attempts)
         if known:
             if self.per_parent:
-                yield from self._to_parents(key, attempts)
+                yield from self._to_parents(key, attempts, stored)
             else:
-                yield from self._follow(key, now, attempts)
+                yield from self._follow(key, now, attempts, stored)
+        for place, value in self.held.items():
+            self.pages.updateValue(place, value)
         for of, value in attempts.items():
-            if before.get(of) != value:
+            if self.before.get(of) != value:
                 self.attempts.updateValue(of, value)
-        for of in before.keys() - attempts.keys():
+        for of in self.before.keys() - attempts.keys():
             self.attempts.removeKey(of)
 
-    def _follow(self, key, now: str, attempts: dict) -> Iterator[Row]:
+    def _follow(self, key, now: str, attempts: dict, stored: tuple | None) -> Iterator[Row]:
         while (name := self._complete(now, attempts)) is not None:
             last_no = attempts[now, name][1]
-            link = self.pages.getValue((now, name, last_no))[2]
+            link = self._page((now, name, last_no))[2]
             yield from self._given(key, now, name, last_no)
             yield Row(kind="token", one=key[0], two=key[1], token=now, link=link, file=None, place=None, parent=None)
             if link is None or link == now:
@@ -122,10 +137,12 @@ class EntityChains(StatefulProcessor):
                 del attempts[of]
             self.closed.updateValue((now,), (link,))
             now = link
-        self.current.update((now,))
+        if stored is None or stored[0] != now:
+            self.current.update((now,))
 
-    def _to_parents(self, key, attempts: dict) -> Iterator[Row]:
-        self.current.update(("",))
+    def _to_parents(self, key, attempts: dict, stored: tuple | None) -> Iterator[Row]:
+        if stored is None or stored[0] != "":
+            self.current.update(("",))
         name = self._complete("", attempts)
         if name is not None:
             for (parent,), (given,) in list(self.parents.iterator()):

@@ -127,3 +127,19 @@ def test_replays_come_again_where_they_are_wanted():
     chains, _ = start("", dedupe=False)
     rows = [page("", 0, 0, "T")]
     assert [k for k, *_ in feed(chains, rows, rows)] == ["page", "token", "page"]
+
+
+def test_pages_that_are_given_out_at_once_never_enter_the_state():
+    chains, states = start("")
+    calls = []
+
+    class Counted(Map):
+        def __getattribute__(self, name):
+            if name in ("containsKey", "getValue", "updateValue", "removeKey"):
+                calls.append(name)
+            return super().__getattribute__(name)
+
+    chains.pages, chains.closed = Counted(), Counted()
+    got = feed(chains, [page("", n, 99, "T" if n == 99 else None) for n in range(100)])
+    assert len(got) == 101 and not chains.pages
+    assert len(calls) <= 2  # whether the token is closed, and that it is now
