@@ -18,6 +18,7 @@ from mailsync.functions.fields import ddl_subset
 LANDING_DATE = "landing_date"
 BUCKET = "chain_bucket_"  # a partition column: the prefix, then the number of buckets
 BUCKETS = 16
+ROW_GROUP = 16 << 20
 
 
 def read_pages(spark: SparkSession, path: str, resource: str | None = None,
@@ -43,15 +44,15 @@ def bucket_of(buckets: int) -> Column:
     return F.pmod(F.xxhash64(owner), F.lit(buckets)).cast("int")
 
 
-def write_pages(pages: DataFrame, path: str, pages_per_file: int = 1000, mode: str = "errorifexists", buckets: int = BUCKETS) -> None:
+def write_pages(pages: DataFrame, path: str, pages_per_file: int = 20_000, mode: str = "errorifexists", buckets: int = BUCKETS) -> None:
     """Land pages as Parquet partitioned by ``resource``, chain bucket and landing date (the day of ``fetched_at``),
-    in files of at most ``pages_per_file`` pages: readers then split a landing into many tasks (a Parquet file splits only at row-group
-    boundaries, so one large file would be one task). Rows of a bucket are gathered before (large buckets
+    in files of at most ``pages_per_file`` pages and row groups of ``ROW_GROUP`` bytes: readers then split a landing into many tasks (a
+    Parquet file splits only at row-group boundaries), and its number of files stays small. Rows of a bucket are gathered before (large buckets
     stay spread), so that a bucket is a few files, not one per task."""
     column = f"{BUCKET}{buckets}"
     (pages.select(*S.ENVELOPE_DDL_COLS).withColumn(column, bucket_of(buckets)).withColumn(LANDING_DATE, F.to_date("fetched_at"))
      .hint("rebalance", F.col("resource"), F.col(column))
-     .write.mode(mode).option("maxRecordsPerFile", pages_per_file).partitionBy("resource", column, LANDING_DATE).parquet(path))
+     .write.mode(mode).option("maxRecordsPerFile", pages_per_file).option("parquet.block.size", ROW_GROUP).partitionBy("resource", column, LANDING_DATE).parquet(path))
 
 
 def of_chains(pages: DataFrame, work: DataFrame) -> DataFrame:
