@@ -18,8 +18,10 @@ empty result; rows that repeat a ``doc_id``, or have none, are packed each; extr
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from struct import pack as pack_ids
 from zlib import crc32
 
 import numpy as np
@@ -35,6 +37,9 @@ CAPACITY = 4096
 GROUP = 16_384
 ROUNDS = 4
 END_ID = 1
+TAILS = 4096  # kept runs of punctuation
+_ACCENTED = "ßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ"  # what is left of À-ÿ without × and ÷ in lower case
+_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -43,11 +48,38 @@ def _word_ids(path: str) -> SpanCache:
     """Ids of white-space-free words as little-endian 32-bit bytes.
 
     The vocabulary's normaliser and pattern never join characters across white space, so a text's
-    ids are its words' ids laid end to end.
+    ids are its words' ids laid end to end. A plain word, Latin-1 letters and then ASCII punctuation
+    if any, needs no normaliser and no pattern either: its lower-cased letters are one pre-token,
+    and the library's model is given just that; the rest is another one, and few are distinct. No
+    plain word holds a special token, which has letters after punctuation. Other words take the
+    library's whole way.
     """
     coder = tokenizer(path)
-    return SpanCache(lambda words: [np.array(e.ids, "<u4").tobytes() for e in coder.encode_batch_fast(
-        [w.decode() for w in words], add_special_tokens=False)])
+    forms = str.maketrans({c: coder.pre_tokenizer.pre_tokenize_str(c)[0][0] for c in _ACCENTED})
+    split, tokenize = _PLAIN.fullmatch, coder.model.tokenize
+
+    @lru_cache(maxsize=TAILS)
+    def tail_ids(tail: str) -> list[int]:
+        return coder.encode(tail, add_special_tokens=False).ids
+
+    def encode(words: list[bytes]) -> list[bytes]:
+        texts = [w.decode() for w in words]
+        plain = list(map(split, texts))
+        others = iter(coder.encode_batch_fast([t for t, m in zip(texts, plain, strict=True) if m is None],
+                                              add_special_tokens=False))
+        out = []
+        for m in plain:
+            if m is None:
+                ids = next(others).ids
+            else:
+                letters, tail = m.groups()
+                letters = letters.lower()
+                ids = [t.id for t in tokenize(letters if letters.isascii() else letters.translate(forms))]
+                if tail:
+                    ids += tail_ids(tail)
+            out.append(pack_ids(f"<{len(ids)}I", *ids))
+        return out
+    return SpanCache(encode)
 
 
 def _cut_pieces(path: str, capacity: int, end_id: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:

@@ -58,24 +58,17 @@ class SpanCache:
         self.old: dict = {}
 
     def values(self, spans: list) -> list:
-        young, old = self.young, self.old
-        fresh = [x for x in set(spans) if x not in young]
-        if not fresh:
-            return list(map(young.__getitem__, spans))
-        if len(young) + len(fresh) > self.half:
-            self.old, self.young = old, young = young, {}
-            fresh = set(spans)
-        new, long = [], []
-        for x in fresh:
-            if x in old:
-                young[x] = old[x]
-            else:
-                (long if len(x) > CACHE_CHARS else new).append(x)
-        young.update(zip(new, self.encode(new), strict=True))
-        if not long:
-            return list(map(young.__getitem__, spans))
-        once = dict(zip(long, self.encode(long), strict=True))
-        return [once[x] if x in once else young[x] for x in spans]
+        found = list(map(self.young.get, spans))
+        missed = {x for x, v in zip(spans, found, strict=True) if v is None}
+        if not missed:
+            return found
+        late = {x: self.old[x] for x in missed if x in self.old}
+        new = [x for x in missed if x not in late]
+        late.update(zip(new, self.encode(new), strict=True))
+        if len(self.young) + len(late) > self.half:
+            self.old, self.young = self.young, {}
+        self.young.update((x, v) for x, v in late.items() if len(x) <= CACHE_CHARS)
+        return [late[x] if v is None else v for x, v in zip(spans, found, strict=True)]
 
 
 @lru_cache(maxsize=2)
