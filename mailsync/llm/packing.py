@@ -39,7 +39,7 @@ ROUNDS = 4
 END_ID = 1
 TAILS = 4096  # kept runs of punctuation
 _ACCENTED = "ßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ"  # what is left of À-ÿ without × and ÷ in lower case
-_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
+_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]{1,64})([!-/:-@\[-`{-~]{0,16})")  # bounded, as tails are kept
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -48,8 +48,8 @@ def _word_ids(path: str) -> SpanCache:
     """Ids of white-space-free words as little-endian 32-bit bytes.
 
     The vocabulary's normaliser and pattern never join characters across white space, so a text's
-    ids are its words' ids laid end to end. A plain word, Latin-1 letters and then ASCII punctuation
-    if any, needs no normaliser and no pattern either: its lower-cased letters are one pre-token,
+    ids are its words' ids laid end to end. A plain word, some Latin-1 letters and then ASCII
+    punctuation if any, needs no normaliser and no pattern either: its lower-cased letters are one pre-token,
     and the library's model is given just that; the rest is another one, and few are distinct. No
     plain word holds a special token, which has letters after punctuation. Other words take the
     library's whole way.

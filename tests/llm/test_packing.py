@@ -1,3 +1,4 @@
+import random
 from zlib import crc32
 
 import numpy as np
@@ -71,6 +72,31 @@ def test_pieces_are_the_librarys(spark, edge_docs):
     assert sorted(got.items(), key=repr) == _pieces(rows)
 
 
+def test_plain_words_go_straight_to_the_model(monkeypatch):
+    coder, whole = tokenizer(WORD_BPE), []
+
+    class Counting:
+        def __getattr__(self, name):
+            return getattr(coder, name)
+
+        def encode_batch_fast(self, texts, **how):
+            whole.extend(texts)
+            return coder.encode_batch_fast(texts, **how)
+    monkeypatch.setattr(K, "tokenizer", lambda path: Counting())
+    letters = [chr(c) for c in range(0x41, 0x100) if chr(c).isalpha() and chr(c) not in "ªµº"]
+    marks = [chr(c) for c in range(0x21, 0x7F) if not chr(c).isalnum()]
+    rng = random.Random(5)
+    plain = [a + b for a in letters for b in ["", *marks]] + ["A" * 64, "it'''", "a<|", "z|>"]
+    plain += ["".join(rng.choices(letters, k=rng.randint(1, 14)) + rng.choices(marks, k=rng.randint(0, 4))) for _ in range(3000)]
+    odd = ["A" * 5000, "z" + "." * 50, "<|endoftext|>", "A<|endoftext|>,", "it's", "IT'S.", "'s", "H\u0331", "A\u0301,",
+           "\u00c9\u0301,", "\u0130,", "\u212a", "\u03a3\u03a3,", "\ufb01", "\u017f", "\u00aa", "\u00b5", "\u00d7", "\u00a0",
+           "A\u00a0b", "\u0001", "\u001c", "a1", "1,2", "...", "e\u0327\u0301", "\u65e5\u672c,", "a\u0338"]
+    odd += ["".join(rng.choices([*letters, *marks, *odd], k=rng.randint(1, 6))) + "7" for _ in range(2000)]
+    got = K._word_ids.__wrapped__(WORD_BPE).values([w.encode() for w in plain + odd])
+    assert got == [np.array(e.ids, "<u4").tobytes() for e in coder.encode_batch(plain + odd, add_special_tokens=False)]
+    assert sorted(whole) == sorted(set(odd))
+
+
 @pytest.mark.parametrize("group", [16_384, 60])
 def test_packing_is_whole_and_tight(spark, group):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
