@@ -8,6 +8,7 @@ with the DuckDB oracle of the same name (``oracles.py``), which reads the base t
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -730,8 +731,11 @@ def q_stream_tenant(spark, d):
     from mailsync.session import scratch_path
     from mailsync.streaming import stream as STR
     root = scratch_path(spark, "stream-tenant")
-    for part in ("attachments", "folder_messages", "changes", "messages", "folders", "users"):
-        STR.land_files(TV.landed(spark, d, part), f"{root}/landing", 2)
+    parts = ("attachments", "folder_messages", "changes", "messages", "folders", "users")
+    with ThreadPoolExecutor(3) as threads:  # one alone leaves most cores idle
+        landed = list(threads.map(lambda part: TV.landed(spark, d, part), parts))
+    for pages in landed:
+        STR.land_files(pages, f"{root}/landing", 2)
     STR.sync_tenant_stream(spark, f"{root}/landing", f"{root}/state", f"{root}/out", initial_ckpt=TV.checkpoints(spark, d))
     return record_view(STR.read_tenant_output(spark, f"{root}/out"))
 

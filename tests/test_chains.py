@@ -1,9 +1,10 @@
 """The chain state alone (no Spark): any order of landing gives the same pages and tokens."""
 
+import json
 import random
 from types import SimpleNamespace
 
-from mailsync.streaming.chains import EntityChains
+from mailsync.streaming.chains import EntityChains, GroupChains
 
 
 class Value:
@@ -143,3 +144,82 @@ def test_pages_that_are_given_out_at_once_never_enter_the_state():
     got = feed(chains, [page("", n, 99, "T" if n == 99 else None) for n in range(100)])
     assert len(got) == 101 and not chains.pages
     assert len(calls) <= 2  # whether the token is closed, and that it is now
+
+
+class Stored(Map):
+    """Counts calls; values go as text, as to the state."""
+    calls = 0
+
+    def getValue(self, key):
+        Stored.calls += 1
+        return self[key]
+
+    def updateValue(self, key, value):
+        Stored.calls += 1
+        self[key] = value
+
+
+def group(known=(), **how):
+    chains, handle = GroupChains(EntityChains(**how)), Handle()
+    handle.states["leaves"] = Stored()
+    chains.init(handle)
+    if known:
+        chains.handleInitialState((0,), SimpleNamespace(row=json.dumps(known)), None)
+    return chains, handle.states
+
+
+def to_row(entity, x):
+    at = ["", "0", "0", "false"] if x.kind == "parent" else [x.attempt, str(x.page_no), str(x.at), str(x.ends).lower()]
+    return 0, json.dumps([x.kind, *entity, x.token, *at, x.link, getattr(x, "file", None), "0"])
+
+
+def feed_group(chains, rows, now):
+    """One call, by a worker that has nothing but the state."""
+    worker = GroupChains(chains.chains)
+    worker.init(now)
+    return [g for r in worker.handleInputRows((0,), iter(rows), None) for g in json.loads(r.given)]
+
+
+def test_a_group_decides_as_each_entity_alone():
+    rng = random.Random(2)
+    for per_parent in (False, True):
+        how = {"waits_for_parent": True, "per_parent": per_parent}
+        entities = [("u", f"f{n}") for n in range(300)] + [("", ""), ("u\"\\", "\u00e9\x00"), (None, "m")]
+        known = [] if per_parent else [(*e, "T0") for e in entities[::3]]
+        alone = {e: start("T0" if (*e, "T0") in known else None, **how) for e in entities}
+        grouped, states = group(known, **how)
+        handle = SimpleNamespace(getValueState=lambda n, _: states[n], getMapState=lambda n, *_: states[n])  # noqa: B023
+        for _ in range(4):
+            rows = []
+            for e in rng.sample(entities, 200):
+                for _ in range(rng.randint(0, 4)):
+                    token, attempt = "" if per_parent else rng.choice(["", "T0", "T1", "T2"]), rng.choice(["", "x"])
+                    last = 1 if attempt else 0
+                    rows.append((e, parent(rng.choice(["a", "b"]) if per_parent else None) if rng.random() < 0.4 else page(
+                        token, rng.randint(0, last), last, rng.choice([None, "T1", "T2"]), attempt, rng.randint(0, 9))))
+            rng.shuffle(rows)
+            got = feed_group(grouped, [to_row(e, x) for e, x in rows], handle)
+            for e in entities:
+                mine = [tuple(g) for g in got if (g[1], g[2]) == e]
+                want = [tuple(r) for r in alone[e][0].handleInputRows(e, iter([x for of, x in rows if of == e]), None)]
+                assert mine == want
+        kept = {k: v for leaf, in states["leaves"].values() for k, v in json.loads(leaf).items()}
+        assert len(kept) == states["size"].x[1] and states["size"].x[0] == len(states["leaves"]) > 1
+        for e in entities:
+            pages = {tuple(json.loads(k)[3:]): tuple(v) for k, v in kept.items() if json.loads(k)[:3] == ["page", *e]}
+            assert pages == {k: tuple(v) for k, v in alone[e][1]["pages"].items()}
+            closed = {tuple(json.loads(k)[3:]) for k in kept if json.loads(k)[:3] == ["closed", *e]}
+            assert closed == set(alone[e][1]["closed"])
+
+
+def test_entities_of_a_group_share_calls_to_the_state():
+    grouped, states = group(waits_for_parent=True, per_parent=True)
+    handle = SimpleNamespace(getValueState=lambda n, _: states[n], getMapState=lambda n, *_: states[n])
+    rows = [to_row(("u", str(n)), x) for n in range(5_000) for x in (page("", 0, 0), parent("m"))]
+    Stored.calls = 0
+    assert len(feed_group(grouped, rows, handle)) == 5_000
+    assert Stored.calls <= 5_000 / 20
+    Stored.calls = 0  # what comes later costs its own leaves, not all that lie there
+    assert len(feed_group(grouped, [to_row(("u", "7"), parent("n"))], handle)) == 1
+    assert Stored.calls <= 4 and len(states["leaves"]) >= 50
+    assert max(len(json.loads(leaf)) for leaf, in states["leaves"].values()) < 1_000
